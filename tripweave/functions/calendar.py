@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Day-type codes and their labels.
 DAY_TYPE_LABELS = {
@@ -64,9 +64,13 @@ def good_friday(years: DataFrame) -> DataFrame:
     return offset.select("year", F.date_sub(easter, 2).alias("date"))
 
 
+def holidays_between(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
+    """The calendar of a span of years, both included."""
+    return national_holidays(spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year")))
+
+
 def national_holidays(years: DataFrame) -> DataFrame:
-    """(date, is_holiday) rows for every distinct ``year`` of the input."""
-    years = years.select(F.col("year").cast("int").alias("year")).where("year is not null").distinct()
+    """(date, is_holiday) rows for each ``year`` of the input."""
     fixed = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d")) for m, d in FIXED_DAYS])
     dated = years.select("year", F.explode(fixed).alias("day")).select(
         F.make_date("year", "day.m", "day.d").alias("date")

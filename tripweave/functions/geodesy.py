@@ -93,8 +93,7 @@ def ellipsoid_distance(
 class TransverseMercator:
     """A transverse Mercator plane; the defaults are UTM zone 30 north on GRS80.
 
-    Krueger's series to the fourth order in the third flattening, good to well
-    below a millimetre across a zone.
+    Krueger's series in the third flattening, good to well below a millimetre across a zone.
     """
 
     meridian: float = -3.0
@@ -137,10 +136,12 @@ class TransverseMercator:
     def delta(self) -> list[float]:
         n = self._n
         return [
-            2 * n - 2 / 3 * n**2 - 2 * n**3 + 116 / 45 * n**4,
-            7 / 3 * n**2 - 8 / 5 * n**3 - 227 / 45 * n**4,
-            56 / 15 * n**3 - 136 / 35 * n**4,
-            4279 / 630 * n**4,
+            2 * n - 2 / 3 * n**2 - 2 * n**3 + 116 / 45 * n**4 + 26 / 45 * n**5 - 2854 / 675 * n**6,
+            7 / 3 * n**2 - 8 / 5 * n**3 - 227 / 45 * n**4 + 2704 / 315 * n**5 + 2323 / 945 * n**6,
+            56 / 15 * n**3 - 136 / 35 * n**4 - 1262 / 105 * n**5 + 73814 / 2835 * n**6,
+            4279 / 630 * n**4 - 332 / 35 * n**5 - 399572 / 14175 * n**6,
+            4174 / 315 * n**5 - 144838 / 6237 * n**6,
+            601676 / 22275 * n**6,
         ]
 
     def to_lonlat(self, easting: Column, northing: Column) -> Column:

@@ -8,9 +8,9 @@ from pyspark.sql import Column, functions as F
 def to_double(text: Column) -> Column:
     """Text to double; NULL if it is no number.
 
-    Java reads a trailing d or f as a type mark ("1.5d"), so that is refused here.
+    Java reads a trailing d or f as a type mark ("1.5d"); it is spoilt here first.
     """
-    return F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast("double"))
+    return F.regexp_replace(text, "(?<=[0-9.])[dDfF]$", "#").try_cast("double")
 
 
 def to_int(text: Column) -> Column:
@@ -30,7 +30,7 @@ def digits_long(text: Column) -> Column:
 
 def compact_date(text: Column) -> Column:
     """yyyyMMdd to date; NULL if it is no such date."""
-    return F.when(text.rlike("^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd"))
+    return F.try_to_date(text, "yyyyMMdd")
 
 
 def leading_code(label: Column) -> Column:
@@ -55,7 +55,7 @@ def digits_zone(zone: Column) -> Column:
 
 def is_domestic(zone: Column) -> Column:
     """True for zones inside the country; NULL for a NULL zone."""
-    return ~zone.startswith("PT") & ~zone.startswith("FR") & (zone != "externo")
+    return ~zone.rlike("^(PT|FR|externo$)")
 
 
 def municipality_of(zone: Column) -> Column:

@@ -31,7 +31,7 @@ def silver_trips(bronze: DataFrame, holidays: DataFrame) -> DataFrame:
         text.plain_zone(F.col("destination_zone")).alias("destination_zone"),
         text.to_double(F.col("trips")).alias("trips"),
     )
-    kept = typed.dropna(subset=["date", "hour_period", "trips"])
+    kept = typed.where("date is not null and hour_period is not null and trips is not null")
     return calendar.with_day_type(kept, holidays).select(*schemas.SILVER_TRIPS.fieldNames())
 
 

@@ -32,9 +32,10 @@ def _bounds(wkt: str) -> tuple[float, float, float, float]:
     return min(xs), min(ys), max(xs), max(ys)
 
 
-def _constant(zones: DataFrame, value: Column) -> Column:
-    """A column value worked out once for the whole query, not once per row."""
-    return zones.sparkSession.range(1).select(value.alias("v")).scalar()
+def _with_area(zones: DataFrame, wkt: str) -> DataFrame:
+    """Add the polygon as ``_area``; a scalar subquery, so the text is read once per query."""
+    area = zones.sparkSession.range(1).select(formats.from_wkt(F.lit(wkt)).alias("v"))
+    return zones.withColumn("_area", area.scalar())
 
 
 def zones_in_area(zones: DataFrame, wkt: str = DEFAULT_AREA, name: str = "intersects") -> DataFrame:
@@ -46,7 +47,6 @@ def zones_in_area(zones: DataFrame, wkt: str = DEFAULT_AREA, name: str = "inters
     if name not in ("intersects", "within", "contains"):
         raise ValueError(f"unknown predicate {name!r}; known: intersects, within, contains")
     xmin, ymin, xmax, ymax = _bounds(wkt)
-    area = _constant(zones, formats.from_wkt(F.lit(wkt)))
     if name == "intersects":
         near = zones.where(
             (F.col("xmax") >= xmin)
@@ -54,14 +54,14 @@ def zones_in_area(zones: DataFrame, wkt: str = DEFAULT_AREA, name: str = "inters
             & (F.col("ymax") >= ymin)
             & (F.col("ymin") <= ymax)
         )
-        return near.where(predicates.intersects(F.col("geometry"), area))
+        return _with_area(near, wkt).where(predicates.intersects(F.col("geometry"), F.col("_area"))).drop("_area")
     inside = zones.where(
         (F.col("xmin") >= xmin)
         & (F.col("xmax") <= xmax)
         & (F.col("ymin") >= ymin)
         & (F.col("ymax") <= ymax)
     )
-    return inside.where(predicates.within(F.col("geometry"), area))
+    return _with_area(inside, wkt).where(predicates.within(F.col("geometry"), F.col("_area"))).drop("_area")
 
 
 # A shape reaches over at most this many grid cells in each direction.

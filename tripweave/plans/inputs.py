@@ -10,7 +10,7 @@ from tripweave.operators import gravity, longtrip, mobility, zones as zone_ops
 from tripweave.plans import fixtures as fx
 from tripweave.session import scratch_path
 from tripweave.sources import boundaries, census, trips
-from tripweave.sources.store import Store
+from tripweave.sources.store import Store, spread
 
 
 class Inputs:
@@ -21,21 +21,25 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def trip_rows(self) -> DataFrame:
+        columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"]
+        return spread(self.table("lineitem").select(*columns))
+
     def store(self, name: str) -> Store:
         return Store(self.spark, scratch_path(self.spark, name))
 
-    def _of(self, source: DataFrame, expressions: list[str]) -> DataFrame:
-        return source.selectExpr(*fx.render(expressions, fx.SPARK))
+    def _of(self, source: DataFrame, expressions: list[str], dialect=fx.SPARK) -> DataFrame:
+        return source.selectExpr(*fx.render(expressions, dialect))
 
     # trips
 
-    def bronze(self) -> DataFrame:
+    def bronze(self, days: dict[str, str] = fx.DAILY) -> DataFrame:
         """The five bronze columns that hold data."""
-        return self._of(self.table("lineitem"), fx.TRIPS)
+        return self._of(self.trip_rows(), fx.TRIPS, {**fx.SPARK, "D": days["spark"]})
 
-    def raw_trips(self) -> DataFrame:
+    def raw_trips(self, days: dict[str, str] = fx.DAILY) -> DataFrame:
         """All fifteen columns under the names of the daily files."""
-        five = self.bronze()
+        five = self.bronze(days)
         columns = [
             F.col(new).alias(old) if new in five.columns else F.lit(None).cast("string").alias(old)
             for old, new in schemas.TRIP_COLUMNS.items()
@@ -46,8 +50,7 @@ class Inputs:
         return trips.to_bronze(self.raw_trips())
 
     def holidays(self) -> DataFrame:
-        years = self.table("lineitem").select(F.year("l_shipdate").alias("year"))
-        return calendar.national_holidays(years)
+        return calendar.holidays_between(self.spark, *fx.YEARS)
 
     def silver(self) -> DataFrame:
         return mobility.silver_trips(self.bronze(), self.holidays())

@@ -68,6 +68,7 @@ def _inside(x1: str, y1: str, x2: str, y2: str) -> str:
 # Named parts; a query takes in those it mentions, and those they mention.
 PARTS: dict[str, str] = {
     "bronze": fx.duckdb_select(fx.TRIPS, "lineitem"),
+    "bronze_monthly": fx.duckdb_select(fx.TRIPS, "lineitem", fx.MONTHLY),
     "trip_years": "select distinct year(l_shipdate) as y from lineitem",
     "easter": (
         "select y, make_date(y, 3, 22) + cast(case when d = 29 and e = 6 then 28"
@@ -93,6 +94,7 @@ PARTS: dict[str, str] = {
         " left join feasts on feast = day"
         " where day is not null and hour_period is not null and trips is not null"
     ),
+    "silver_monthly": "",  # filled in below: the same over bronze_monthly
     "patterns": (
         "select day_type, hour_period, origin_zone, destination_zone, sum(trips) as total_trips,"
         " avg(trips) as avg_trips, coalesce(stddev_samp(trips), 0) as std_trips,"
@@ -213,6 +215,8 @@ PARTS: dict[str, str] = {
     ),
 }
 
+PARTS["silver_monthly"] = PARTS["silver"].replace("from bronze ", "from bronze_monthly ")
+
 ORACLES: dict[str, str] = {}
 
 
@@ -249,7 +253,7 @@ oracle(
 )
 oracle(
     "bronze_incremental_append",
-    "select date, count(*) as row_count, count(distinct (origin_zone, trips)) as kinds from bronze group by date",
+    "select date, count(*) as row_count, count(distinct (origin_zone, trips)) as kinds from bronze_monthly group by date",
 )
 oracle("bronze_economy_year", "select * from raw_income where Periodo = '2023'")
 oracle(
@@ -257,8 +261,9 @@ oracle(
     "select *, case right(Periodo, 4) when '2022' then 2023 else 2022 end as year from raw_population",
 )
 oracle("silver_append_new_years", f"select * exclude (avg_income), {_r('avg_income')} from income")
-for key in ("silver_trips", "silver_replace_day", "stream_daily_trips"):
-    oracle(key, "select * from silver")
+oracle("silver_trips", "select * from silver")
+for key in ("silver_replace_day", "stream_daily_trips"):
+    oracle(key, "select * from silver_monthly")
 oracle(
     "profile_csv_roundtrip",
     "select day_type, hour_period, round(sum(total_trips), 6) as total_trips,"
@@ -440,14 +445,14 @@ _CORNERS = (
 )
 oracle(
     "reproject_zones",
-    "select census_section_id, corner, round(lon, 9) as x, round(lat, 9) as y from"
+    "select census_section_id, corner, round(lon, 7) as x, round(lat, 7) as y from"
     f" ({_to_degrees(_CORNERS)})",
 )
 oracle(
     "boundary_ingest",
     "select census_section_id, district_id, municipality_id, province_id, autonomous_community_id,"
-    " 2023 as year, round(min(lon), 9) as xmin, round(min(lat), 9) as ymin, round(max(lon), 9) as xmax,"
-    f" round(max(lat), 9) as ymax from ({_to_degrees(_CORNERS)}) join plane_zones using (census_section_id)"
+    " 2023 as year, round(min(lon), 7) as xmin, round(min(lat), 7) as ymin, round(max(lon), 7) as xmax,"
+    f" round(max(lat), 7) as ymax from ({_to_degrees(_CORNERS)}) join plane_zones using (census_section_id)"
     " group by all",
 )
 
@@ -465,12 +470,12 @@ _INPUTS = (
 oracle("gravity_inputs", f"select {_INPUTS} from mass")
 oracle(
     "gravity_model",
-    f"select {_INPUTS}, round(predicted, 6) as predicted_trips, round(ratio, 6) as mismatch_ratio,"
-    " round(k, 6) as calibration_constant from model",
+    f"select {_INPUTS}, round(predicted, 3) as predicted_trips, round(ratio, 6) as mismatch_ratio,"
+    " round(k, 12) as calibration_constant from model",
 )
 _RANK = (
     "round(r, 6) as avg_mismatch_ratio, population, n as num_connections,"
-    " round(actual, 6) as total_actual_trips, round(expected, 6) as total_predicted_trips,"
+    " round(actual, 6) as total_actual_trips, round(expected, 3) as total_predicted_trips,"
     " status as infrastructure_status"
 )
 oracle("infrastructure_ranking", f"select o as origin_municipality, {_RANK} from ranking")

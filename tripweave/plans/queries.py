@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tripweave import schemas
 from tripweave.functions import calendar, formats, geometry as geo, text
@@ -49,15 +49,19 @@ def query(build: Callable[[Inputs], DataFrame]):
 
 
 def rounded(table: DataFrame, digits: int = 6) -> DataFrame:
-    doubles = {c: F.round(c, digits) for c, kind in table.dtypes if kind == "double"}
+    # Values so large or small that six places are not what a double can hold.
+    own = {"predicted_trips": 3, "total_predicted_trips": 3, "calibration_constant": 12}
+    doubles = {c: F.round(c, own.get(c, digits)) for c, kind in table.dtypes if kind == "double"}
     return table.withColumns(doubles) if doubles else table
 
 
-def as_xy(table: DataFrame, column: str = "centroid") -> DataFrame:
+def as_xy(table: DataFrame, column: str = "centroid", digits: int = 9) -> DataFrame:
     """A point column as two rounded columns."""
     spot = F.col(column)
     return table.select(
-        *[c for c in table.columns if c != column], F.round(spot.x, 9).alias("x"), F.round(spot.y, 9).alias("y")
+        *[c for c in table.columns if c != column],
+        F.round(spot.x, digits).alias("x"),
+        F.round(spot.y, digits).alias("y"),
     )
 
 
@@ -81,7 +85,7 @@ def bronze_trips(data: Inputs) -> DataFrame:
 def bronze_incremental_append(data: Inputs) -> DataFrame:
     """A first load, then a delivery that repeats a month: no row is doubled."""
     store = data.store("bronze")
-    whole = data.full_bronze()
+    whole = trips.to_bronze(data.raw_trips(fx.MONTHLY))
     trips.append_days(store, whole.where(F.col("date") < fx.SECOND))
     trips.append_days(store, whole.where(F.col("date") >= fx.FIRST))
     stored = store.read(trips.BRONZE, schemas.BRONZE_TRIPS)
@@ -115,7 +119,7 @@ def boundary_ingest(data: Inputs) -> DataFrame:
     data.plane_boxes().select(F.to_json(feature)).write.text(path)
     read = boundaries.scan_geojson(data.spark, path)
     zones = boundaries.to_zones(read, fx.ZONE_YEAR, TransverseMercator())
-    return rounded(zones.drop("geometry", "centroid"), 9)
+    return rounded(zones.drop("geometry", "centroid"), 7)
 
 
 @query
@@ -132,7 +136,7 @@ def silver_append_new_years(data: Inputs) -> DataFrame:
 def silver_replace_day(data: Inputs) -> DataFrame:
     """Days loaded with every trip counted twice are made anew from a second delivery."""
     store = data.store("silver")
-    bronze, holidays = data.bronze(), data.holidays()
+    bronze, holidays = data.bronze(fx.MONTHLY), data.holidays()
     wrong = bronze.where(F.col("date") >= fx.FIRST)
     mobility.replace_days(store, bronze.unionByName(wrong), holidays)
     mobility.replace_days(store, wrong, holidays)
@@ -162,8 +166,9 @@ def date_from_path(data: Inputs) -> DataFrame:
 def holiday_calendar(data: Inputs) -> DataFrame:
     """The calendar stored year by year; years stored already are left alone."""
     store = data.store("holidays")
-    years = data.holidays().withColumn("year", F.year("date"))
-    layout = schemas.HOLIDAYS.add("year", "int")
+    seen = data.table("lineitem").select(F.year("l_shipdate").alias("year")).distinct()
+    years = calendar.national_holidays(seen).withColumn("year", F.year("date"))
+    layout = T.StructType(schemas.HOLIDAYS.fields + [T.StructField("year", T.IntegerType())])
     store.append_new(years.where("year < 1999"), "ref_holidays", "year", layout)
     store.append_new(years, "ref_holidays", "year", layout)
     return store.read("ref_holidays", layout).select("date", "is_holiday")
@@ -184,7 +189,7 @@ def stream_daily_trips(data: Inputs) -> DataFrame:
     come partly with the first and partly with the second."""
     store = data.store("stream")
     landing, checkpoint = store.location("landing"), store.location("checkpoint")
-    raw = data.raw_trips()
+    raw = data.raw_trips(fx.MONTHLY)
     early = (F.col("fecha") < fx.FIRST) | ((F.col("fecha") < fx.SECOND) & (F.col("viajes") < "3"))
     for part in (early, ~early):
         files = raw.where(part).write.mode("append").option("header", True)
@@ -389,7 +394,7 @@ def reproject_zones(data: Inputs) -> DataFrame:
     corners = data.plane_boxes().select(
         F.col("CUSEC").alias("census_section_id"), F.posexplode(geo.points(shape)).alias("corner", "p")
     )
-    return as_xy(corners, "p")
+    return as_xy(corners, "p", 7)
 
 
 @query

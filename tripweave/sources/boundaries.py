@@ -8,10 +8,10 @@ from tripweave import schemas
 from tripweave.functions import formats, geometry as geo
 from tripweave.functions.geodesy import TransverseMercator
 
-_PROPERTIES = ", ".join(f"{code}: string" for code in schemas.BOUNDARY_CODES)
+_PROPERTIES = ", ".join(f"{code} string" for code in schemas.BOUNDARY_CODES)
 _FEATURE = (
-    "type: string, geometry: struct<type: string, coordinates: string>, "
-    f"properties: struct<{_PROPERTIES}>"
+    "type string, geometry struct<type string, coordinates string>, "
+    f"properties struct<{_PROPERTIES}>"
 )
 
 
@@ -24,7 +24,7 @@ def scan_geojson(spark: SparkSession, path, by_line: bool = True) -> DataFrame:
     if by_line:
         features = spark.read.schema(_FEATURE).json(path)
     else:
-        whole = spark.read.schema(f"features: array<struct<{_FEATURE}>>").option("multiLine", True)
+        whole = spark.read.schema(f"features array<struct<{_FEATURE}>>").option("multiLine", True)
         features = whole.json(path).select(F.explode("features").alias("f")).select("f.*")
     shape = formats.from_geojson(F.col("geometry.type"), F.col("geometry.coordinates"))
     codes = [F.col(f"properties.{code}").alias(code) for code in schemas.BOUNDARY_CODES]
