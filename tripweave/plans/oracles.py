@@ -175,12 +175,16 @@ PARTS: dict[str, str] = {
         " case when avg(ratio) < 0.5 then 'Well-served' when avg(ratio) > 1.5 then 'Underserved'"
         " else 'Adequately-served' end as status from model where ratio is not null group by o"
     ),
-    "journeys": (
-        "select t.origin_zone as o, trips, a.x as ax, a.y as ay, b.x as bx, b.y as by_ from silver t"
+    "area_pairs": (
+        "select a.municipality_id as o, b.municipality_id as d, a.x as ax, a.y as ay, b.x as bx, b.y as by_"
+        " from area_spots a, area_spots b"
+    ),
+    "area_meters": "select o, d, m from (" + _vincenty("area_pairs", "ax", "ay", "bx", "by_", "m") + ")",
+    "legs": (
+        "select t.origin_zone as o, trips, m from silver t"
         " join area_spots a on a.municipality_id = t.origin_zone"
-        " left join area_spots b on b.municipality_id = t.destination_zone"
+        " left join area_meters on o = t.origin_zone and d = t.destination_zone"
     ),
-    "legs": _vincenty("journeys", "ax", "ay", "bx", "by_", "m", rounds=6),
     "dependency": (
         "select 2023 as year, o as municipality_id, sum(trips) as total_trips,"
         " sum(case when m > 15000 then trips else 0 end) as long_trips,"
@@ -231,7 +235,7 @@ def _needed(sql: str, found: set[str]) -> set[str]:
 def oracle(name: str, sql: str, skip: tuple[str, ...] = ()) -> None:
     """Register a query, with the parts it mentions put in front."""
     used = _needed(sql, set(skip)) - set(skip)
-    parts = ", ".join(f"{part} as ({PARTS[part]})" for part in PARTS if part in used)
+    parts = ", ".join(f"{part} as materialized ({PARTS[part]})" for part in PARTS if part in used)
     ORACLES[name] = f"with {parts} {sql}" if parts else sql
 
 
