@@ -1,82 +1,81 @@
-"""WKT and GeoJSON text to geometry columns and back."""
+"""WKT and GeoJSON text to geometry columns and back; functions give Spark SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable
 
 from tripweave.functions.geometry import oriented, point
+from tripweave.functions.lambdas import each, let
 
 _NUMBER = r"([-+]?[0-9.]+(?:[eE][-+]?[0-9]+)?)"
-_MULTI_TEXT = "array<array<array<array<string>>>>"
-_MULTI_NUMBER = "array<array<array<array<double>>>>"
-_POLYGON_NUMBER = "array<array<array<double>>>"
 
 
-def _map_points(geometry: Column, make) -> Column:
-    return F.transform(
-        geometry, lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, make))
-    )
+def _each_point(geometry: str, make: Callable[[str], str]) -> str:
+    return each(geometry, lambda polygon: each(polygon, lambda ring: each(ring, make)))
+
+
+def from_wkt(text: str) -> str:
+    """POLYGON or MULTIPOLYGON text to a geometry; NULL for anything else.
+
+    Point pairs and brackets become those of a JSON list, which Spark then parses.
+    """
 
+    def parse(t: str) -> str:
+        body = rf"regexp_replace({t}, r'^(MULTI)?POLYGON\s*', '')"
+        quoted = rf"""regexp_replace({body}, r'{_NUMBER}\s+{_NUMBER}', '["$1","$2"]')"""
+        lists = f"translate({quoted}, '()', '[]')"
+        nested = f"if(startswith({t}, 'MULTI'), {lists}, concat('[', {lists}, ']'))"
+        parsed = f"from_json({nested}, 'array<array<array<array<string>>>>')"
+        shape = _each_point(parsed, lambda p: point(f"cast({p}[0] as double)", f"cast({p}[1] as double)"))
+        return rf"if(rlike({t}, r'^(MULTI)?POLYGON\s*\(\('), {let(shape, oriented)}, null)"
 
-def from_wkt(text: Column) -> Column:
-    """POLYGON or MULTIPOLYGON text to a geometry; NULL for anything else."""
-    clean = F.upper(F.trim(text))
-    body = F.regexp_replace(clean, r"^(MULTI)?POLYGON\s*", "")
-    quoted = F.regexp_replace(body, _NUMBER + r"\s+" + _NUMBER, '["$1","$2"]')
-    lists = F.translate(quoted, "()", "[]")
-    nested = F.when(clean.startswith("MULTI"), lists).otherwise(F.concat(F.lit("["), lists, F.lit("]")))
-    parsed = F.from_json(nested, _MULTI_TEXT)
-    geometry = _map_points(parsed, lambda p: point(p[0].cast("double"), p[1].cast("double")))
-    return F.when(clean.rlike(r"^(MULTI)?POLYGON\s*\(\("), oriented(geometry))
+    return let(f"upper(trim({text}))", parse)
 
 
-def point_from_wkt(text: Column) -> Column:
-    found = r"^\s*POINT\s*\(\s*" + _NUMBER + r"\s+" + _NUMBER + r"\s*\)\s*$"
-    parts = [F.regexp_extract(F.upper(text), found, i).try_cast("double") for i in (1, 2)]
-    return F.when(F.upper(text).rlike(found), point(*parts))
+def point_from_wkt(text: str) -> str:
+    found = rf"r'^\s*POINT\s*\(\s*{_NUMBER}\s+{_NUMBER}\s*\)\s*$'"
+    x, y = (f"try_cast(regexp_extract(upper({text}), {found}, {i}) as double)" for i in (1, 2))
+    return f"if(rlike(upper({text}), {found}), {point(x, y)}, null)"
 
 
-def _joined(items: Column) -> Column:
-    return F.concat(F.lit("("), F.array_join(items, ", "), F.lit(")"))
+def _joined(items: str) -> str:
+    return f"concat('(', array_join({items}, ', '), ')')"
 
 
-def to_wkt(geometry: Column) -> Column:
+def to_wkt(geometry: str) -> str:
     """POLYGON text for one polygon, else MULTIPOLYGON text."""
 
-    def pair(p: Column) -> Column:
-        return F.concat_ws(" ", p.x.cast("string"), p.y.cast("string"))
+    def text(polygon: str) -> str:
+        return _joined(each(polygon, lambda ring: _joined(each(ring, lambda p: f"concat_ws(' ', {p}.x, {p}.y)"))))
 
-    polygons = F.transform(
-        geometry,
-        lambda polygon: _joined(F.transform(polygon, lambda ring: _joined(F.transform(ring, pair)))),
-    )
-    return F.when(F.size(geometry) == 1, F.concat(F.lit("POLYGON "), polygons[0])).otherwise(
-        F.concat(F.lit("MULTIPOLYGON "), _joined(polygons))
+    return let(
+        each(geometry, text),
+        lambda t: f"if(size({t}) = 1, concat('POLYGON ', {t}[0]), concat('MULTIPOLYGON ', {_joined(t)}))",
     )
 
 
-def point_to_wkt(p: Column) -> Column:
-    return F.concat(F.lit("POINT ("), p.x.cast("string"), F.lit(" "), p.y.cast("string"), F.lit(")"))
+def point_to_wkt(p: str) -> str:
+    return f"concat('POINT (', {p}.x, ' ', {p}.y, ')')"
 
 
-def to_geojson(geometry: Column) -> Column:
-    return F.to_json(
-        F.struct(
-            F.lit("MultiPolygon").alias("type"),
-            _map_points(geometry, lambda p: F.array(p.x, p.y)).alias("coordinates"),
-        )
-    )
+def to_geojson(geometry: str) -> str:
+    lists = _each_point(geometry, lambda p: f"array({p}.x, {p}.y)")
+    return f"to_json(named_struct('type', 'MultiPolygon', 'coordinates', {lists}))"
 
 
-def from_geojson(kind: Column, coordinates: Column) -> Column:
+def from_geojson(kind: str, coordinates: str) -> str:
     """The ``type`` and raw ``coordinates`` text of a GeoJSON geometry to a geometry."""
-    multi = F.when(kind == "MultiPolygon", F.from_json(coordinates, _MULTI_NUMBER)).when(
-        kind == "Polygon", F.array(F.from_json(coordinates, _POLYGON_NUMBER))
+    lists = (
+        f"case {kind} when 'MultiPolygon' then"
+        f" from_json({coordinates}, 'array<array<array<array<double>>>>')"
+        f" when 'Polygon' then array(from_json({coordinates}, 'array<array<array<double>>>')) end"
     )
-    return oriented(_map_points(multi, lambda p: point(p[0], p[1])))
+    return let(_each_point(lists, lambda p: point(f"{p}[0]", f"{p}[1]")), oriented)
 
 
-def geojson_text(text: Column) -> Column:
+def geojson_text(text: str) -> str:
     """A whole GeoJSON geometry text to a geometry."""
-    parts = F.from_json(text, "struct<type: string, coordinates: string>")
-    return from_geojson(parts.type, parts.coordinates)
+    return let(
+        f"from_json({text}, 'type string, coordinates string')",
+        lambda g: from_geojson(f"{g}.type", f"{g}.coordinates"),
+    )

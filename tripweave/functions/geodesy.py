@@ -1,13 +1,12 @@
-"""Distance on the ellipsoid and the transverse Mercator projection, as columns."""
+"""Distance on the ellipsoid and the transverse Mercator projection, as Spark SQL text."""
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
-
-from tripweave.functions.geometry import let, point
+from tripweave.functions.geometry import point
+from tripweave.functions.lambdas import each, fold, let, num, row
 
 # WGS84 and GRS80 semi-major axis (m) and flattening.
 WGS84 = (6378137.0, 1 / 298.257223563)
@@ -17,76 +16,69 @@ GRS80 = (6378137.0, 1 / 298.257222101)
 ROUNDS = 6
 
 
-def _named(**columns: Column) -> Column:
-    return F.struct(*[value.alias(name) for name, value in columns.items()])
-
-
-def ellipsoid_distance(
-    lon1: Column, lat1: Column, lon2: Column, lat2: Column, ellipsoid=WGS84
-) -> Column:
+def ellipsoid_distance(lon1: str, lat1: str, lon2: str, lat2: str, ellipsoid=WGS84) -> str:
     """Metres along the ellipsoid (Vincenty's inverse formula); 0 for equal points."""
     axis, flat = ellipsoid
     minor = axis * (1 - flat)
+    f = num(flat)
 
-    def half(sin_part: Column, cos_part: Column, name: str) -> list[Column]:
-        norm = F.sqrt(sin_part * sin_part + cos_part * cos_part)
-        return [(sin_part / norm).alias("s" + name), (cos_part / norm).alias("c" + name)]
+    def reduced(lat: str, sin: str, cos: str) -> dict[str, str]:
+        """Sine and cosine of the latitude on the auxiliary sphere."""
+        s, c = f"({num(1 - flat)} * sin(radians({lat})))", f"cos(radians({lat}))"
+        norm = f"sqrt({s} * {s} + {c} * {c})"
+        return {sin: f"{s} / {norm}", cos: f"{c} / {norm}"}
 
-    start = F.struct(
-        F.radians(lon2 - lon1).alias("L"),
-        *half((1 - flat) * F.sin(F.radians(lat1)), F.cos(F.radians(lat1)), "1"),
-        *half((1 - flat) * F.sin(F.radians(lat2)), F.cos(F.radians(lat2)), "2"),
+    start = row(
+        L=f"radians({lon2} - {lon1})", **reduced(lat1, "s1", "c1"), **reduced(lat2, "s2", "c2")
     )
 
-    def improve(u: Column, lam: Column) -> Column:
-        def arc(v: Column) -> Column:
-            across, along = u.c2 * v.sin, u.c1 * u.s2 - u.s1 * u.c2 * v.cos
-            return _named(
-                sin=v.sin,
-                ss=F.sqrt(across * across + along * along),
-                cs=u.s1 * u.s2 + u.c1 * u.c2 * v.cos,
+    def improve(u: str, lam: str) -> str:
+        def arc(v: str) -> str:
+            across = f"({u}.c2 * {v}.sin)"
+            along = f"({u}.c1 * {u}.s2 - {u}.s1 * {u}.c2 * {v}.cos)"
+            return row(
+                sin=f"{v}.sin",
+                ss=f"sqrt({across} * {across} + {along} * {along})",
+                cs=f"{u}.s1 * {u}.s2 + {u}.c1 * {u}.c2 * {v}.cos",
+            )
+
+        def azimuth(v: str) -> str:
+            sin_a = f"coalesce(try_divide({u}.c1 * {u}.c2 * {v}.sin, {v}.ss), 0D)"
+            return row(
+                ss=f"{v}.ss", cs=f"{v}.cs", sigma=f"atan2({v}.ss, {v}.cs)", sa=sin_a, c2a=f"1 - {sin_a} * {sin_a}"
             )
 
-        def azimuth(v: Column) -> Column:
-            sin_a = F.coalesce(F.try_divide(u.c1 * u.c2 * v.sin, v.ss), F.lit(0.0))
-            return _named(ss=v.ss, cs=v.cs, sigma=F.atan2(v.ss, v.cs), sa=sin_a, c2a=1 - sin_a * sin_a)
-
-        def middle(v: Column) -> Column:
-            c2m = v.cs - F.coalesce(F.try_divide(2 * u.s1 * u.s2, v.c2a), F.lit(0.0))
-            c = flat / 16 * v.c2a * (4 + flat * (4 - 3 * v.c2a))
-            return _named(ss=v.ss, cs=v.cs, sigma=v.sigma, sa=v.sa, c2a=v.c2a, c2m=c2m, c=c)
-
-        def finish(v: Column) -> Column:
-            bend = v.sigma + v.c * v.ss * (v.c2m + v.c * v.cs * (-1 + 2 * v.c2m * v.c2m))
-            return _named(
-                lam=u.L + (1 - v.c) * flat * v.sa * bend,
-                ss=v.ss,
-                cs=v.cs,
-                sigma=v.sigma,
-                c2a=v.c2a,
-                c2m=v.c2m,
+        def middle(v: str) -> str:
+            return row(
+                **{name: f"{v}.{name}" for name in ("ss", "cs", "sigma", "sa", "c2a")},
+                c2m=f"{v}.cs - coalesce(try_divide(2 * {u}.s1 * {u}.s2, {v}.c2a), 0D)",
+                c=f"{f} / 16 * {v}.c2a * (4 + {f} * (4 - 3 * {v}.c2a))",
             )
 
-        turn = _named(sin=F.sin(lam), cos=F.cos(lam))
+        def finish(v: str) -> str:
+            inner = f"({v}.c2m + {v}.c * {v}.cs * (-1 + 2 * {v}.c2m * {v}.c2m))"
+            return row(
+                lam=f"{u}.L + (1 - {v}.c) * {f} * {v}.sa * ({v}.sigma + {v}.c * {v}.ss * {inner})",
+                **{name: f"{v}.{name}" for name in ("ss", "cs", "sigma", "c2a", "c2m")},
+            )
+
+        turn = row(sin=f"sin({lam})", cos=f"cos({lam})")
         return let(turn, lambda v: let(arc(v), lambda w: let(azimuth(w), lambda x: let(middle(x), finish))))
 
-    def length(v: Column) -> Column:
-        u2 = v.c2a * ((axis * axis - minor * minor) / (minor * minor))
-        a = 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))
-        b = u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))
-        near = v.cs * (-1 + 2 * v.c2m * v.c2m)
-        far = b / 6 * v.c2m * (-3 + 4 * v.ss * v.ss) * (-3 + 4 * v.c2m * v.c2m)
-        return minor * a * (v.sigma - b * v.ss * (v.c2m + b / 4 * (near - far)))
-
-    def solve(u: Column) -> Column:
-        zero = {name: F.lit(0.0) for name in ("ss", "cs", "sigma", "c2a", "c2m")}
-        rounds = F.array(*[F.lit(i) for i in range(ROUNDS)])
-        return let(
-            F.aggregate(rounds, _named(lam=u.L, **zero), lambda acc, _: improve(u, acc.lam)), length
-        )
+    def length(v: str) -> str:
+        u2 = f"({v}.c2a * {num((axis * axis - minor * minor) / (minor * minor))})"
+        a = f"(1 + {u2} / 16384 * (4096 + {u2} * (-768 + {u2} * (320 - 175 * {u2}))))"
+        b = f"({u2} / 1024 * (256 + {u2} * (-128 + {u2} * (74 - 47 * {u2}))))"
+        near = f"{v}.cs * (-1 + 2 * {v}.c2m * {v}.c2m)"
+        far = f"{b} / 6 * {v}.c2m * (-3 + 4 * {v}.ss * {v}.ss) * (-3 + 4 * {v}.c2m * {v}.c2m)"
+        return f"{num(minor)} * {a} * ({v}.sigma - {b} * {v}.ss * ({v}.c2m + {b} / 4 * ({near} - {far})))"
 
-    known = lon1.isNotNull() & lat1.isNotNull() & lon2.isNotNull() & lat2.isNotNull()
-    return F.when(known, let(start, solve))
+    def solve(u: str) -> str:
+        first = row(lam=f"{u}.L", **dict.fromkeys(("ss", "cs", "sigma", "c2a", "c2m"), "0D"))
+        return let(fold(f"sequence(1, {ROUNDS})", first, lambda acc, i: improve(u, f"{acc}.lam")), length)
+
+    known = " and ".join(f"{c} is not null" for c in (lon1, lat1, lon2, lat2))
+    return f"if({known}, {let(start, solve)}, null)"
 
 
 @dataclass(frozen=True)
@@ -144,65 +136,63 @@ class TransverseMercator:
             601676 / 22275 * n**6,
         ]
 
-    def to_lonlat(self, easting: Column, northing: Column) -> Column:
+    def to_lonlat(self, easting: str, northing: str) -> str:
         """Plane metres to struct<x: longitude, y: latitude> in degrees."""
 
-        def unbend(v: Column) -> Column:
-            xi, eta = v.xi, v.eta
+        def unbend(v: str) -> str:
+            xi, eta = f"{v}.xi", f"{v}.eta"
             for j, b in enumerate(self.beta, 1):
-                xi = xi - b * F.sin(2 * j * v.xi) * F.cosh(2 * j * v.eta)
-                eta = eta - b * F.cos(2 * j * v.xi) * F.sinh(2 * j * v.eta)
-            return _named(xi=xi, eta=eta)
+                xi += f" - {num(b)} * sin({2 * j} * {v}.xi) * cosh({2 * j} * {v}.eta)"
+                eta += f" - {num(b)} * cos({2 * j} * {v}.xi) * sinh({2 * j} * {v}.eta)"
+            return row(xi=xi, eta=eta)
 
-        def sphere(v: Column) -> Column:
-            return _named(
-                chi=F.asin(F.sin(v.xi) / F.cosh(v.eta)), lam=F.atan2(F.sinh(v.eta), F.cos(v.xi))
+        def sphere(v: str) -> str:
+            return row(
+                chi=f"asin(sin({v}.xi) / cosh({v}.eta))", lam=f"atan2(sinh({v}.eta), cos({v}.xi))"
             )
 
-        def ellipsoid(v: Column) -> Column:
-            phi = v.chi
+        def degrees(v: str) -> str:
+            phi = f"{v}.chi"
             for j, d in enumerate(self.delta, 1):
-                phi = phi + d * F.sin(2 * j * v.chi)
-            return point(self.meridian + F.degrees(v.lam), F.degrees(phi))
+                phi += f" + {num(d)} * sin({2 * j} * {v}.chi)"
+            return point(f"{num(self.meridian)} + degrees({v}.lam)", f"degrees({phi})")
 
-        plane = _named(
-            xi=(northing - self.false_northing) / self.radius,
-            eta=(easting - self.false_easting) / self.radius,
+        plane = row(
+            xi=f"({northing} - {num(self.false_northing)}) / {num(self.radius)}",
+            eta=f"({easting} - {num(self.false_easting)}) / {num(self.radius)}",
         )
-        return let(plane, lambda v: let(unbend(v), lambda w: let(sphere(w), ellipsoid)))
+        return let(plane, lambda v: let(unbend(v), lambda w: let(sphere(w), degrees)))
 
-    def from_lonlat(self, lon: Column, lat: Column) -> Column:
+    def from_lonlat(self, lon: str, lat: str) -> str:
         """Degrees to struct<x: easting, y: northing> in metres."""
         flat = self.ellipsoid[1]
-        ecc = math.sqrt(flat * (2 - flat))
+        ecc = num(math.sqrt(flat * (2 - flat)))
 
-        def sphere(v: Column) -> Column:
-            t = F.sinh(F.atanh(v.s) - ecc * F.atanh(ecc * v.s))
-            return _named(t=t, lam=v.lam)
+        def sphere(v: str) -> str:
+            return row(t=f"sinh(atanh({v}.s) - {ecc} * atanh({ecc} * {v}.s))", lam=f"{v}.lam")
 
-        def bend(v: Column) -> Column:
-            return _named(
-                xi=F.atan2(v.t, F.cos(v.lam)),
-                eta=F.asinh(F.sin(v.lam) / F.sqrt(v.t * v.t + F.cos(v.lam) * F.cos(v.lam))),
-            )
+        def bend(v: str) -> str:
+            wide = f"sqrt({v}.t * {v}.t + cos({v}.lam) * cos({v}.lam))"
+            return row(xi=f"atan2({v}.t, cos({v}.lam))", eta=f"asinh(sin({v}.lam) / {wide})")
 
-        def plane(v: Column) -> Column:
-            xi, eta = v.xi, v.eta
+        def plane(v: str) -> str:
+            xi, eta = f"{v}.xi", f"{v}.eta"
             for j, a in enumerate(self.alpha, 1):
-                xi = xi + a * F.sin(2 * j * v.xi) * F.cosh(2 * j * v.eta)
-                eta = eta + a * F.cos(2 * j * v.xi) * F.sinh(2 * j * v.eta)
+                xi += f" + {num(a)} * sin({2 * j} * {v}.xi) * cosh({2 * j} * {v}.eta)"
+                eta += f" + {num(a)} * cos({2 * j} * {v}.xi) * sinh({2 * j} * {v}.eta)"
             return point(
-                self.false_easting + self.radius * eta, self.false_northing + self.radius * xi
+                f"{num(self.false_easting)} + {num(self.radius)} * ({eta})",
+                f"{num(self.false_northing)} + {num(self.radius)} * ({xi})",
             )
 
-        start = _named(s=F.sin(F.radians(lat)), lam=F.radians(lon - self.meridian))
+        start = row(s=f"sin(radians({lat}))", lam=f"radians({lon} - {num(self.meridian)})")
         return let(start, lambda v: let(sphere(v), lambda w: let(bend(w), plane)))
 
-    def reproject(self, geometry: Column) -> Column:
+    def reproject(self, geometry: str) -> str:
         """A geometry in plane metres to one in degrees."""
-        return F.transform(
+        return each(
             geometry,
-            lambda polygon: F.transform(
-                polygon, lambda ring: F.transform(ring, lambda p: self.to_lonlat(p.x, p.y))
+            lambda polygon: each(
+                polygon, lambda ring: each(ring, lambda p: self.to_lonlat(f"{p}.x", f"{p}.y"))
             ),
         )

@@ -1,4 +1,4 @@
-"""Geometry as ordinary columns.
+"""Geometry as ordinary columns; each function takes and gives Spark SQL text.
 
 A geometry is ``array<polygon>``, a polygon ``array<ring>`` (shell first, then
 holes), a ring an array of ``struct<x,y>`` whose last point repeats the first.
@@ -9,214 +9,194 @@ inside of a geometry lies to the left of each of its edges.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tripweave.functions.lambdas import each, every, fold, having, let, neighbours, num, row, some
 
-from pyspark.sql import Column, functions as F
 
+def point(x: str, y: str) -> str:
+    return row(x=x, y=y)
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it many times inside ``body``."""
-    return F.transform(F.array(value), body)[0]
 
-
-def point(x: Column, y: Column) -> Column:
-    return F.struct(x.alias("x"), y.alias("y"))
-
-
-def rectangle(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
+def rectangle(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
     corners = [(xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax), (xmin, ymin)]
-    return F.array(F.array(F.array(*[point(x, y) for x, y in corners])))
-
+    return f"array(array(array({', '.join(point(x, y) for x, y in corners)})))"
 
-def _pairs(ring: Column, make: Callable[[Column, Column], Column]) -> Column:
-    """``make(p, q)`` for each two neighbours of a ring."""
-    steps = F.greatest(F.size(ring) - 1, F.lit(0))
-    return F.zip_with(F.slice(ring, 1, steps), F.slice(ring, 2, steps), make)
 
-
-def _edge(p: Column, q: Column) -> Column:
-    return F.struct(p.x.alias("ax"), p.y.alias("ay"), q.x.alias("bx"), q.y.alias("by"))
-
-
-def edges(geometry: Column) -> Column:
+def edges(geometry: str) -> str:
     """All edges as array<struct<ax,ay,bx,by>>; edges without length are left out."""
-    every = F.flatten(F.transform(F.flatten(geometry), lambda ring: _pairs(ring, _edge)))
-    return F.filter(every, lambda e: (e.ax != e.bx) | (e.ay != e.by))
-
-
-def points(geometry: Column) -> Column:
-    return F.flatten(F.flatten(geometry))
+    rings = each(
+        f"flatten({geometry})",
+        lambda r: neighbours(r, lambda p, q: row(ax=f"{p}.x", ay=f"{p}.y", bx=f"{q}.x", by=f"{q}.y")),
+    )
+    return having(f"flatten({rings})", lambda e: f"{e}.ax <> {e}.bx or {e}.ay <> {e}.by")
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
+def points(geometry: str) -> str:
+    return f"flatten(flatten({geometry}))"
 
 
-def ring_area(ring: Column) -> Column:
+def ring_area(ring: str) -> str:
     """Signed area, positive if counter-clockwise. Measured from the ring's first
     point, which keeps the digits that large coordinates would cancel away."""
-    return let(
-        F.struct(ring.alias("ring"), F.get(ring, F.lit(0)).alias("o")),
-        lambda v: _sum(
-            _pairs(
-                v.ring,
-                lambda p, q: (p.x - v.o.x) * (q.y - v.o.y) - (q.x - v.o.x) * (p.y - v.o.y),
-            )
+
+    def doubled(v: str) -> str:
+        ox, oy = f"{v}.o.x", f"{v}.o.y"
+        turns = neighbours(
+            f"{v}.ring",
+            lambda p, q: f"({p}.x - {ox}) * ({q}.y - {oy}) - ({q}.x - {ox}) * ({p}.y - {oy})",
         )
-        / 2,
-    )
+        return fold(turns, "0D", lambda total, t: f"{total} + {t}") + " / 2"
+
+    return let(row(ring=ring, o=f"get({ring}, 0)"), doubled)
 
 
-def oriented(geometry: Column) -> Column:
+def oriented(geometry: str) -> str:
     """The same geometry with shells counter-clockwise and holes clockwise."""
-    return F.transform(
-        geometry,
-        lambda polygon: F.transform(
-            polygon,
-            lambda ring, i: F.when((ring_area(ring) > 0) == (i == 0), ring).otherwise(
-                F.reverse(ring)
-            ),
-        ),
-    )
 
+    def turned(ring: str, i: str) -> str:
+        return f"if(({ring_area(ring)} > 0) = ({i} = 0), {ring}, reverse({ring}))"
+
+    return each(geometry, lambda polygon: each(polygon, turned))
 
-def moments(geometry: Column) -> Column:
-    """struct<area, mx, my>: area and first moments about the first point ``ox, oy``."""
 
-    def of(v: Column) -> Column:
-        def step(acc: Column, e: Column) -> Column:
-            ax, ay, bx, by = e.ax - v.o.x, e.ay - v.o.y, e.bx - v.o.x, e.by - v.o.y
-            cross = ax * by - bx * ay
-            return F.struct(
-                (acc.area + cross / 2).alias("area"),
-                (acc.mx + (ax + bx) * cross / 6).alias("mx"),
-                (acc.my + (ay + by) * cross / 6).alias("my"),
+def moments(geometry: str) -> str:
+    """struct<area, mx, my, ox, oy>: area and first moments about the first point (ox, oy)."""
+
+    def of(v: str) -> str:
+        def step(acc: str, e: str) -> str:
+            ax, ay = f"({e}.ax - {v}.o.x)", f"({e}.ay - {v}.o.y)"
+            bx, by = f"({e}.bx - {v}.o.x)", f"({e}.by - {v}.o.y)"
+            turn = f"({ax} * {by} - {bx} * {ay})"
+            return row(
+                area=f"{acc}.area + {turn} / 2",
+                mx=f"{acc}.mx + ({ax} + {bx}) * {turn} / 6",
+                my=f"{acc}.my + ({ay} + {by}) * {turn} / 6",
             )
 
-        zero = F.struct(*[F.lit(0.0).alias(n) for n in ("area", "mx", "my")])
-        done = F.aggregate(edges(v.g), zero, step)
-        return F.struct(
-            done.area.alias("area"),
-            done.mx.alias("mx"),
-            done.my.alias("my"),
-            v.o.x.alias("ox"),
-            v.o.y.alias("oy"),
+        done = fold(edges(f"{v}.g"), row(area="0D", mx="0D", my="0D"), step)
+        return let(
+            done,
+            lambda d: row(area=f"{d}.area", mx=f"{d}.mx", my=f"{d}.my", ox=f"{v}.o.x", oy=f"{v}.o.y"),
         )
 
-    first = F.get(points(geometry), F.lit(0))
-    return let(F.struct(geometry.alias("g"), first.alias("o")), of)
+    return let(row(g=geometry, o=f"get({points(geometry)}, 0)"), of)
 
 
-def area(geometry: Column) -> Column:
-    return moments(geometry).area
+def area(geometry: str) -> str:
+    return f"{moments(geometry)}.area"
 
 
-def centroid(geometry: Column) -> Column:
+def centroid(geometry: str) -> str:
     """Centre of area; holes count against it. NULL if there is no area."""
     return let(
         moments(geometry),
-        lambda m: F.when(
-            m.area != 0,
-            point(m.ox + F.try_divide(m.mx, m.area), m.oy + F.try_divide(m.my, m.area)),
-        ),
+        lambda m: f"if({m}.area <> 0, "
+        + point(
+            f"{m}.ox + try_divide({m}.mx, {m}.area)", f"{m}.oy + try_divide({m}.my, {m}.area)"
+        )
+        + ", null)",
     )
 
 
-def envelope(geometry: Column) -> dict[str, Column]:
+def envelope(geometry: str) -> dict[str, str]:
     """Bounding box columns, kept beside each geometry so that files can be pruned by them."""
-    xs = F.transform(points(geometry), lambda p: p.x)
-    ys = F.transform(points(geometry), lambda p: p.y)
+    xs = each(points(geometry), lambda p: f"{p}.x")
+    ys = each(points(geometry), lambda p: f"{p}.y")
     return {
-        "xmin": F.array_min(xs),
-        "ymin": F.array_min(ys),
-        "xmax": F.array_max(xs),
-        "ymax": F.array_max(ys),
+        "xmin": f"array_min({xs})",
+        "ymin": f"array_min({ys})",
+        "xmax": f"array_max({xs})",
+        "ymax": f"array_max({ys})",
     }
 
 
-def is_valid(geometry: Column) -> Column:
+def is_valid(geometry: str) -> str:
     """Rings closed, of at least four points, with area, and no edge meeting another
     of its ring except at the shared point of neighbours."""
 
-    def simple(ring: Column) -> Column:
-        lines = edges(F.array(F.array(ring)))
-
-        def free(e: Column, i: Column, v: Column) -> Column:
-            later = F.slice(v.e, i + 2, F.size(v.e))
-            return ~F.exists(
-                F.transform(later, lambda f, k: F.struct(f.alias("f"), (k + i + 1).alias("j"))),
-                lambda w: F.when(
-                    (w.j == i + 1) | ((i == 0) & (w.j == F.size(v.e) - 1)),
-                    _folds_back(e, w.f),
-                ).otherwise(segments_meet(e, w.f)),
-            )
-
-        return let(
-            F.struct(lines.alias("e")),
-            lambda v: F.forall(F.transform(v.e, lambda e, i: free(e, i, v)), lambda ok: ok),
+    def free(lines: str, e: str, i: str) -> str:
+        later = each(f"slice({lines}, {i} + 2, size({lines}))", lambda f, k: row(f=f, j=f"{k} + {i} + 1"))
+        hit = some(
+            later,
+            lambda w: f"if({w}.j = {i} + 1 or ({i} = 0 and {w}.j = size({lines}) - 1), "
+            f"{_folds_back(e, w + '.f')}, {segments_meet(e, w + '.f')})",
         )
+        return f"not {hit}"
+
+    def simple(ring: str) -> str:
+        lines = edges(f"array(array({ring}))")
+        return let(lines, lambda v: every(each(v, lambda e, i: free(v, e, i)), lambda ok: ok))
+
+    def good(ring: str) -> str:
+        closed = f"get({ring}, 0) = get({ring}, size({ring}) - 1)"
+        return f"size({ring}) >= 4 and {closed} and {ring_area(ring)} <> 0 and {simple(ring)}"
+
+    rings = f"flatten({geometry})"
+    return f"coalesce(size({rings}) > 0 and {every(rings, good)}, false)"
 
-    def good(ring: Column) -> Column:
-        closed = F.get(ring, F.lit(0)) == F.get(ring, F.size(ring) - 1)
-        return (F.size(ring) >= 4) & closed & (ring_area(ring) != 0) & simple(ring)
 
-    rings = F.flatten(geometry)
-    return F.coalesce((F.size(rings) > 0) & F.forall(rings, good), F.lit(False))
+def cross(ax: str, ay: str, bx: str, by: str) -> str:
+    return f"(({ax}) * ({by}) - ({ay}) * ({bx}))"
 
 
-def cross(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-    return ax * by - ay * bx
+def direction(e: str) -> tuple[str, str]:
+    return f"({e}.bx - {e}.ax)", f"({e}.by - {e}.ay)"
 
 
-def _folds_back(e: Column, f: Column) -> Column:
+def _folds_back(e: str, f: str) -> str:
     """Neighbour edges that lie on one line and run over each other."""
-    dot = (e.bx - e.ax) * (f.bx - f.ax) + (e.by - e.ay) * (f.by - f.ay)
-    return (cross(e.bx - e.ax, e.by - e.ay, f.bx - f.ax, f.by - f.ay) == 0) & (dot < 0)
+    (ex, ey), (fx, fy) = direction(e), direction(f)
+    return f"({cross(ex, ey, fx, fy)} = 0 and {ex} * {fx} + {ey} * {fy} < 0)"
 
 
 # Points closer than this to an edge count as lying on it (degrees; about a micrometre).
 TOLERANCE = 1e-11
+_T = num(TOLERANCE)
 
 
-def on_edge(x: Column, y: Column, e: Column) -> Column:
-    dx, dy = e.bx - e.ax, e.by - e.ay
-    slack = TOLERANCE * F.sqrt(dx * dx + dy * dy)
-    along = (x - e.ax) * dx + (y - e.ay) * dy
+def on_edge(x: str, y: str, e: str) -> str:
+    dx, dy = direction(e)
+    slack = f"{_T} * sqrt({dx} * {dx} + {dy} * {dy})"
+    along = f"(({x} - {e}.ax) * {dx} + ({y} - {e}.ay) * {dy})"
+    off = cross(dx, dy, f"{x} - {e}.ax", f"{y} - {e}.ay")
     return (
-        (F.abs(cross(dx, dy, x - e.ax, y - e.ay)) <= slack)
-        & (along >= -slack)
-        & (along <= dx * dx + dy * dy + slack)
+        f"(abs({off}) <= {slack} and {along} >= -({slack})"
+        f" and {along} <= {dx} * {dx} + {dy} * {dy} + {slack})"
     )
 
 
-def segments_cross(e: Column, f: Column) -> Column:
+def segments_cross(e: str, f: str) -> str:
     """Each segment has the ends of the other strictly on both its sides."""
 
-    def side(g: Column, x: Column, y: Column) -> Column:
-        return cross(g.bx - g.ax, g.by - g.ay, x - g.ax, y - g.ay)
+    def sides(g: str, h: str) -> str:
+        dx, dy = direction(g)
+        first = cross(dx, dy, f"{h}.ax - {g}.ax", f"{h}.ay - {g}.ay")
+        second = cross(dx, dy, f"{h}.bx - {g}.ax", f"{h}.by - {g}.ay")
+        return f"signum({first}) * signum({second}) < 0"
 
-    return (side(e, f.ax, f.ay) * side(e, f.bx, f.by) < 0) & (
-        side(f, e.ax, e.ay) * side(f, e.bx, e.by) < 0
-    )
+    return f"({sides(e, f)} and {sides(f, e)})"
 
 
-def boxes_meet(e: Column, f: Column) -> Column:
+def boxes_meet(e: str, f: str) -> str:
     """The bounding boxes of two edges touch (a cheap first test)."""
+
+    def spans(c: str, d: str) -> str:
+        return f"least({c}.a{d}, {c}.b{d})", f"greatest({c}.a{d}, {c}.b{d})"
+
+    (ex1, ex2), (ey1, ey2) = spans(e, "x"), spans(e, "y")
+    (fx1, fx2), (fy1, fy2) = spans(f, "x"), spans(f, "y")
     return (
-        (F.least(e.ax, e.bx) <= F.greatest(f.ax, f.bx) + TOLERANCE)
-        & (F.least(f.ax, f.bx) <= F.greatest(e.ax, e.bx) + TOLERANCE)
-        & (F.least(e.ay, e.by) <= F.greatest(f.ay, f.by) + TOLERANCE)
-        & (F.least(f.ay, f.by) <= F.greatest(e.ay, e.by) + TOLERANCE)
+        f"({ex1} <= {fx2} + {_T} and {fx1} <= {ex2} + {_T}"
+        f" and {ey1} <= {fy2} + {_T} and {fy1} <= {ey2} + {_T})"
     )
 
 
-def segments_meet(e: Column, f: Column) -> Column:
+def segments_meet(e: str, f: str) -> str:
     """The segments share at least one point, ends included."""
-    return F.when(
-        boxes_meet(e, f),
-        segments_cross(e, f)
-        | on_edge(f.ax, f.ay, e)
-        | on_edge(f.bx, f.by, e)
-        | on_edge(e.ax, e.ay, f)
-        | on_edge(e.bx, e.by, f),
-    ).otherwise(False)
+    touches = [
+        segments_cross(e, f),
+        on_edge(f"{f}.ax", f"{f}.ay", e),
+        on_edge(f"{f}.bx", f"{f}.by", e),
+        on_edge(f"{e}.ax", f"{e}.ay", f),
+        on_edge(f"{e}.bx", f"{e}.by", f),
+    ]
+    return f"({boxes_meet(e, f)} and ({' or '.join(touches)}))"

@@ -1,4 +1,4 @@
-"""Exact polygon predicates over edge arrays (see ``geometry.edges``).
+"""Exact polygon predicates; each function takes and gives Spark SQL text.
 
 Every question is answered from pieces: an edge of one shape is cut wherever it
 may meet the boundary of the other, and the middle of each piece is then inside,
@@ -13,135 +13,140 @@ With A, B the two shapes (inside to the left of their edges):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable
 
 from tripweave.functions.geometry import (
     TOLERANCE,
     boxes_meet,
     cross,
+    direction,
     edges,
-    let,
     on_edge,
     segments_meet,
 )
+from tripweave.functions.lambdas import each, every, having, let, neighbours, num, row, some
 
 
-def point_inside(x: Column, y: Column, boundary: Column) -> Column:
+def point_inside(x: str, y: str, boundary: str) -> str:
     """Even-odd rule: true if a ray to the right meets the boundary an odd number of times."""
-    hits = F.filter(
-        boundary,
-        lambda e: ((e.ay > y) != (e.by > y))
-        & ((cross(e.bx - e.ax, e.by - e.ay, x - e.ax, y - e.ay) > 0) == (e.by > e.ay)),
-    )
-    return F.size(hits) % 2 == 1
+
+    def hit(e: str) -> str:
+        dx, dy = direction(e)
+        left = f"{cross(dx, dy, f'{x} - {e}.ax', f'{y} - {e}.ay')} > 0"
+        return f"({e}.ay > {y}) <> ({e}.by > {y}) and ({left}) = ({e}.by > {e}.ay)"
+
+    return f"(size({having(boundary, hit)}) % 2 = 1)"
 
 
-def _middles(e: Column, boundary: Column) -> Column:
+def _middles(e: str, boundary: str) -> str:
     """Middles (x, y) of the pieces of ``e``, with half the length of each as ``r``."""
-    dx, dy = e.bx - e.ax, e.by - e.ay
-    length2 = dx * dx + dy * dy
-
-    def cuts(f: Column) -> Column:
-        fx, fy = f.bx - f.ax, f.by - f.ay
-        return F.array(
-            F.try_divide(cross(f.ax - e.ax, f.ay - e.ay, fx, fy), cross(dx, dy, fx, fy)),
-            ((f.ax - e.ax) * dx + (f.ay - e.ay) * dy) / length2,
-            ((f.bx - e.ax) * dx + (f.by - e.ay) * dy) / length2,
+    dx, dy = direction(e)
+    length2 = f"({dx} * {dx} + {dy} * {dy})"
+
+    def cuts(f: str) -> str:
+        fx, fy = direction(f)
+        meet = cross(f"{f}.ax - {e}.ax", f"{f}.ay - {e}.ay", fx, fy)
+        return (
+            f"array(try_divide({meet}, {cross(dx, dy, fx, fy)}),"
+            f" (({f}.ax - {e}.ax) * {dx} + ({f}.ay - {e}.ay) * {dy}) / {length2},"
+            f" (({f}.bx - {e}.ax) * {dx} + ({f}.by - {e}.ay) * {dy}) / {length2})"
         )
 
-    near = F.filter(boundary, lambda f: boxes_meet(e, f))
-    inner = F.filter(F.flatten(F.transform(near, cuts)), lambda t: t.isNotNull() & (t > 0) & (t < 1))
-    places = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), inner)))
+    near = having(boundary, lambda f: boxes_meet(e, f))
+    inner = having(f"flatten({each(near, cuts)})", lambda t: f"{t} is not null and {t} > 0 and {t} < 1")
     return let(
-        places,
-        lambda ts: F.zip_with(
-            F.slice(ts, 1, F.size(ts) - 1),
-            F.slice(ts, 2, F.size(ts) - 1),
-            lambda s, t: F.struct(
-                (e.ax + dx * (s + t) / 2).alias("x"),
-                (e.ay + dy * (s + t) / 2).alias("y"),
-                (F.sqrt(length2) * (t - s) / 2).alias("r"),
+        f"array_sort(array_distinct(concat(array(0D, 1D), {inner})))",
+        lambda ts: neighbours(
+            ts,
+            lambda s, t: row(
+                x=f"{e}.ax + {dx} * ({s} + {t}) / 2",
+                y=f"{e}.ay + {dy} * ({s} + {t}) / 2",
+                r=f"sqrt({length2}) * ({t} - {s}) / 2",
             ),
         ),
     )
 
 
-def edge_runs_inside(e: Column, boundary: Column) -> Column:
+def edge_runs_inside(e: str, boundary: str) -> str:
     """Some piece of the edge lies strictly inside the shape."""
-    return F.exists(
+    return some(
         _middles(e, boundary),
-        lambda m: ~F.exists(boundary, lambda f: on_edge(m.x, m.y, f))
-        & point_inside(m.x, m.y, boundary),
+        lambda m: f"not {some(boundary, lambda f: on_edge(m + '.x', m + '.y', f))}"
+        f" and {point_inside(m + '.x', m + '.y', boundary)}",
     )
 
 
-def _edge_shared(e: Column, boundary: Column) -> Column:
+def _edge_shared(e: str, boundary: str) -> str:
     """Some piece of the edge runs along the boundary, inside on the same side."""
 
-    def same_way(m: Column, f: Column) -> Column:
-        ex, ey, fx, fy = e.bx - e.ax, e.by - e.ay, f.bx - f.ax, f.by - f.ay
-        scale = F.sqrt((ex * ex + ey * ey) * (fx * fx + fy * fy))
+    def same_way(m: str, f: str) -> str:
+        (ex, ey), (fx, fy) = direction(e), direction(f)
+        scale = f"sqrt(({ex} * {ex} + {ey} * {ey}) * ({fx} * {fx} + {fy} * {fy}))"
         return (
-            on_edge(m.x, m.y, f)
-            & (F.abs(cross(ex, ey, fx, fy)) <= 1e-7 * scale)
-            & (ex * fx + ey * fy > 0)
+            f"{on_edge(m + '.x', m + '.y', f)} and abs({cross(ex, ey, fx, fy)}) <= {num(1e-7)} * {scale}"
+            f" and {ex} * {fx} + {ey} * {fy} > 0"
         )
 
-    return F.exists(
+    return some(
         _middles(e, boundary),
-        lambda m: (m.r > 4 * TOLERANCE) & F.exists(boundary, lambda f: same_way(m, f)),
+        lambda m: f"{m}.r > {num(4 * TOLERANCE)} and {some(boundary, lambda f: same_way(m, f))}",
     )
 
 
-def _with_edges(a: Column, b: Column, body) -> Column:
-    return let(F.struct(edges(a).alias("a"), edges(b).alias("b")), lambda v: body(v.a, v.b))
+def _with_edges(a: str, b: str, body: Callable[[str, str], str]) -> str:
+    return let(row(a=edges(a), b=edges(b)), lambda v: f"({body(v + '.a', v + '.b')})")
 
 
-def intersects(a: Column, b: Column) -> Column:
+def intersects(a: str, b: str) -> str:
     """The shapes share at least one point; touching counts."""
 
-    def body(ea: Column, eb: Column) -> Column:
-        return (
-            F.exists(ea, lambda e: F.exists(eb, lambda f: segments_meet(e, f)))
-            | F.exists(ea, lambda e: point_inside(e.ax, e.ay, eb))
-            | F.exists(eb, lambda f: point_inside(f.ax, f.ay, ea))
+    def body(ea: str, eb: str) -> str:
+        return " or ".join(
+            [
+                some(ea, lambda e: some(eb, lambda f: segments_meet(e, f))),
+                some(ea, lambda e: point_inside(f"{e}.ax", f"{e}.ay", eb)),
+                some(eb, lambda f: point_inside(f"{f}.ax", f"{f}.ay", ea)),
+            ]
         )
 
     return _with_edges(a, b, body)
 
 
-def interiors_meet(a: Column, b: Column) -> Column:
-    def body(ea: Column, eb: Column) -> Column:
-        return (
-            F.exists(ea, lambda e: edge_runs_inside(e, eb))
-            | F.exists(eb, lambda f: edge_runs_inside(f, ea))
-            | F.exists(ea, lambda e: _edge_shared(e, eb))
+def interiors_meet(a: str, b: str) -> str:
+    def body(ea: str, eb: str) -> str:
+        return " or ".join(
+            [
+                some(ea, lambda e: edge_runs_inside(e, eb)),
+                some(eb, lambda f: edge_runs_inside(f, ea)),
+                some(ea, lambda e: _edge_shared(e, eb)),
+            ]
         )
 
     return _with_edges(a, b, body)
 
 
-def boundary_runs_inside(a: Column, b: Column) -> Column:
+def boundary_runs_inside(a: str, b: str) -> str:
     """Some piece of A's boundary lies strictly inside B."""
-    return _with_edges(a, b, lambda ea, eb: F.exists(ea, lambda e: edge_runs_inside(e, eb)))
+    return _with_edges(a, b, lambda ea, eb: some(ea, lambda e: edge_runs_inside(e, eb)))
 
 
-def within(a: Column, b: Column) -> Column:
+def within(a: str, b: str) -> str:
     """No point of A lies outside B (boundaries may be shared)."""
-    return F.forall(
-        a,
-        lambda polygon: interiors_meet(F.array(polygon), b)
-        & ~boundary_runs_inside(b, F.array(polygon)),
-    ) & (F.size(a) > 0)
+
+    def held(polygon: str) -> str:
+        single = f"array({polygon})"
+        return f"{interiors_meet(single, b)} and not {boundary_runs_inside(b, single)}"
+
+    return f"(size({a}) > 0 and {every(a, held)})"
 
 
-def contains(a: Column, b: Column) -> Column:
+def contains(a: str, b: str) -> str:
     return within(b, a)
 
 
-def overlaps(a: Column, b: Column) -> Column:
+def overlaps(a: str, b: str) -> str:
     """The interiors meet and each shape has a part outside the other."""
-    return interiors_meet(a, b) & ~within(a, b) & ~within(b, a)
+    return f"({interiors_meet(a, b)} and not {within(a, b)} and not {within(b, a)})"
 
 
 PREDICATES = {
@@ -152,7 +157,7 @@ PREDICATES = {
 }
 
 
-def predicate(name: str):
+def predicate(name: str) -> Callable[[str, str], str]:
     if name not in PREDICATES:
         raise ValueError(f"unknown predicate {name!r}; known: {', '.join(PREDICATES)}")
     return PREDICATES[name]

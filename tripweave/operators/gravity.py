@@ -15,9 +15,9 @@ MIN_KM = 0.1
 WELL, ADEQUATE, UNDER = "Well-served", "Adequately-served", "Underserved"
 
 
-def distance_km(a: Column, b: Column) -> Column:
-    """Ellipsoid distance of two points; x is the longitude."""
-    return ellipsoid_distance(a.x, a.y, b.x, b.y) / 1000.0
+def distance_km(a: str, b: str) -> Column:
+    """Ellipsoid distance of two point columns; x is the longitude."""
+    return F.expr(ellipsoid_distance(f"{a}.x", f"{a}.y", f"{b}.x", f"{b}.y") + " / 1000D")
 
 
 def _every_pair(origins: DataFrame, destinations: DataFrame, blocks: int) -> DataFrame:
@@ -43,7 +43,7 @@ def _as_destination(points: DataFrame) -> DataFrame:
 
 def _with_distance(pairs: DataFrame) -> DataFrame:
     apart = pairs.where("origin_municipality <> dest_municipality")
-    measured = apart.withColumn("distance_km", distance_km(F.col("_from"), F.col("_to")))
+    measured = apart.withColumn("distance_km", distance_km("_from", "_to"))
     return measured.where(F.col("distance_km") > MIN_KM)
 
 
@@ -173,7 +173,7 @@ def infrastructure_map(ranking: DataFrame, zones: DataFrame) -> DataFrame:
     """The ranking with a status code and each municipality's outline as GeoJSON."""
     shapes = merged_shapes(zones).select(
         F.col("municipality_id").alias("origin_municipality"),
-        formats.to_geojson(F.col("geometry")).alias("geometry"),
+        F.expr(formats.to_geojson("geometry")).alias("geometry"),
     )
     return ranking.join(shapes, "origin_municipality").select(
         F.col("origin_municipality").alias("municipality_id"),

@@ -21,7 +21,7 @@ def outline_edges(zones: DataFrame, by: list[str]) -> DataFrame:
     inside the union cancels out. Edges are counted on the edge itself, combined
     before the shuffle: a group of any size spreads over all tasks.
     """
-    snapped = zones.select(*by, F.explode(geo.edges(F.col("geometry"))).alias("e")).select(
+    snapped = zones.select(*by, F.explode(F.expr(geo.edges("geometry"))).alias("e")).select(
         *by, *[F.round(f"e.{c}", SNAP).alias(c) for c in ("ax", "ay", "bx", "by")]
     )
     forward = (F.col("ax") < F.col("bx")) | ((F.col("ax") == F.col("bx")) & (F.col("ay") < F.col("by")))
@@ -105,4 +105,4 @@ def merged_shapes(zones: DataFrame, by: str = "municipality_id") -> DataFrame:
 
     outline = outline_edges(zones.where(F.col(by).isNotNull()), [by])
     texts = outline.groupBy(by).applyInPandas(assemble, f"{by} string, wkt string")
-    return texts.select(by, formats.from_wkt(F.col("wkt")).alias("geometry"))
+    return texts.select(by, F.expr(formats.from_wkt("wkt")).alias("geometry"))

@@ -32,7 +32,7 @@ def duplicate_keys(table: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def valid_geometry(zones: DataFrame) -> DataFrame:
-    good = F.count_if(is_valid(F.col("geometry")))
+    good = F.count_if(F.expr(is_valid("geometry")))
     return zones.agg(good.alias("valid_rows"), F.count(F.lit(1)).alias("row_count"))
 
 

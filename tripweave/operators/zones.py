@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripweave.functions import formats, geometry as geo, predicates
+from tripweave.functions.lambdas import let, row
 from tripweave.operators.outline import outline_edges
 
 # Fixed value: the default study polygon, in degrees.
@@ -34,7 +35,7 @@ def _bounds(wkt: str) -> tuple[float, float, float, float]:
 
 def _with_area(zones: DataFrame, wkt: str) -> DataFrame:
     """Add the polygon as ``_area``; a scalar subquery, so the text is read once per query."""
-    area = zones.sparkSession.range(1).select(formats.from_wkt(F.lit(wkt)).alias("v"))
+    area = zones.sparkSession.range(1).select(F.lit(wkt).alias("t")).select(F.expr(formats.from_wkt("t")).alias("v"))
     return zones.withColumn("_area", area.scalar())
 
 
@@ -54,14 +55,14 @@ def zones_in_area(zones: DataFrame, wkt: str = DEFAULT_AREA, name: str = "inters
             & (F.col("ymax") >= ymin)
             & (F.col("ymin") <= ymax)
         )
-        return _with_area(near, wkt).where(predicates.intersects(F.col("geometry"), F.col("_area"))).drop("_area")
+        return _with_area(near, wkt).where(F.expr(predicates.intersects("geometry", "_area"))).drop("_area")
     inside = zones.where(
         (F.col("xmin") >= xmin)
         & (F.col("xmax") <= xmax)
         & (F.col("ymin") >= ymin)
         & (F.col("ymax") <= ymax)
     )
-    return _with_area(inside, wkt).where(predicates.within(F.col("geometry"), F.col("_area"))).drop("_area")
+    return _with_area(inside, wkt).where(F.expr(predicates.within("geometry", "_area"))).drop("_area")
 
 
 # A shape reaches over at most this many grid cells in each direction.
@@ -70,6 +71,10 @@ CELLS_ACROSS = 4
 SALTS = 8
 
 
+def _boxed(table: DataFrame, shape: str) -> DataFrame:
+    return table.withColumns({c: F.expr(e) for c, e in geo.envelope(shape).items()})
+
+
 def _extent(table: DataFrame) -> DataFrame:
     return table.select(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")).alias("d"))
 
@@ -127,24 +132,24 @@ def zones_by_layer(zones: DataFrame, layer: DataFrame, name: str = "intersects")
     predicates.predicate(name)
     polygon = layer.select(F.explode("geometry").alias("p")).select(F.array("p").alias("s_geometry"))
     parts = polygon.distinct().withColumn("part", F.xxhash64("s_geometry"))
-    parts = parts.withColumns(geo.envelope(F.col("s_geometry")))
+    parts = _boxed(parts, "s_geometry")
     single = zones.select(*ZONE_KEY, F.posexplode("geometry").alias("piece", "p")).select(
         *ZONE_KEY, "piece", F.array("p").alias("shape")
     )
-    single = single.withColumns(geo.envelope(F.col("shape")))
+    single = _boxed(single, "shape")
     largest = _extent(parts).unionAll(_extent(zones)).agg((F.max("d") / CELLS_ACROSS).alias("d"))
     size = largest.scalar()
     pairs = _meet_on_grid(single, parts, size)
 
     if name == "intersects":
-        hits = pairs.where(predicates.intersects(F.col("shape"), F.col("s_geometry")))
+        hits = pairs.where(predicates.intersects("shape", "s_geometry"))
         return zones.join(hits.select(*ZONE_KEY).distinct(), ZONE_KEY, "left_semi")
 
     met = pairs.select(
         *ZONE_KEY,
         "piece",
-        predicates.interiors_meet(F.col("shape"), F.col("s_geometry")).alias("meets"),
-        F.when(predicates.within(F.col("s_geometry"), F.col("shape")), F.col("part")).alias("held"),
+        F.expr(predicates.interiors_meet("shape", "s_geometry")).alias("meets"),
+        F.when(F.expr(predicates.within("s_geometry", "shape")), F.col("part")).alias("held"),
     )
     total = parts.agg(F.count_distinct("part").alias("n")).scalar()
     held = met.groupBy(*ZONE_KEY).agg(
@@ -164,9 +169,11 @@ def zones_by_layer(zones: DataFrame, layer: DataFrame, name: str = "intersects")
         *ZONE_KEY,
         "piece",
         F.lit(False).alias("meets"),
-        geo.let(
-            F.struct("edge", geo.edges(F.col("shape")).alias("e")),
-            lambda v: predicates.edge_runs_inside(v.edge, v.e),
+        F.expr(
+            let(
+                row(edge="edge", e=geo.edges("shape")),
+                lambda v: predicates.edge_runs_inside(f"{v}.edge", f"{v}.e"),
+            )
         ).alias("cut"),
     )
     facts = met.select(*ZONE_KEY, "piece", "meets", F.lit(False).alias("cut")).unionByName(crossed)
@@ -184,7 +191,7 @@ def zones_by_layer(zones: DataFrame, layer: DataFrame, name: str = "intersects")
 def layer_from_wkt(zones: DataFrame, texts: list[str]) -> DataFrame:
     """A polygon layer from WKT texts given as parameters."""
     rows = zones.sparkSession.createDataFrame([(t,) for t in texts], "wkt string")
-    return rows.select(formats.from_wkt(F.col("wkt")).alias("geometry"))
+    return rows.select(F.expr(formats.from_wkt("wkt")).alias("geometry"))
 
 
 def district_list(zones: DataFrame) -> DataFrame:
@@ -227,7 +234,7 @@ def municipality_centroids(zones: DataFrame) -> DataFrame:
     """Per municipality the mean of its distinct zone centres."""
     spots = zones.select("municipality_id", "centroid.x", "centroid.y").distinct()
     return spots.groupBy(F.col("municipality_id").alias("municipality_code")).agg(
-        geo.point(F.avg("x"), F.avg("y")).alias("centroid")
+        F.expr(geo.point("avg(x)", "avg(y)")).alias("centroid")
     )
 
 
@@ -241,15 +248,15 @@ def municipality_area_centroids(zones: DataFrame, year: int | None = None) -> Da
     The centres of the zones weighted with their areas: the same point, as zones do
     not overlap, without merging any geometry.
     """
-    m = geo.moments(F.col("geometry"))
-    sized = _of_year(zones, year).select("municipality_id", m.alias("m")).where("m.area <> 0")
-    x = F.sum(F.col("m.area") * F.col("m.ox") + F.col("m.mx")) / F.sum("m.area")
-    y = F.sum(F.col("m.area") * F.col("m.oy") + F.col("m.my")) / F.sum("m.area")
-    return sized.groupBy("municipality_id").agg(geo.point(x, y).alias("centroid"))
+    measured = _of_year(zones, year).select("municipality_id", F.expr(geo.moments("geometry")).alias("m"))
+    x = "sum(m.area * m.ox + m.mx) / sum(m.area)"
+    y = "sum(m.area * m.oy + m.my) / sum(m.area)"
+    sized = measured.where("m.area <> 0").groupBy("municipality_id")
+    return sized.agg(F.expr(geo.point(x, y)).alias("centroid"))
 
 
 def municipality_mean_centroids(zones: DataFrame, year: int | None = None) -> DataFrame:
     """Per municipality the mean of its zone centres, for tables without shapes."""
     return _of_year(zones, year).groupBy("municipality_id").agg(
-        geo.point(F.avg("centroid.x"), F.avg("centroid.y")).alias("centroid")
+        F.expr(geo.point("avg(centroid.x)", "avg(centroid.y)")).alias("centroid")
     )

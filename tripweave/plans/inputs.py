@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripweave import schemas
@@ -13,14 +15,29 @@ from tripweave.sources import boundaries, census, trips
 from tripweave.sources.store import Store, spread
 
 
+def once(build):
+    """Build a table's plan once per ``Inputs``; uses of it share the plan."""
+    name = build.__name__
+
+    @wraps(build)
+    def method(self) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = build(self)
+        return self._built[name]
+
+    return method
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @once
     def trip_rows(self) -> DataFrame:
         columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"]
         return spread(self.table("lineitem").select(*columns))
@@ -49,15 +66,19 @@ class Inputs:
     def full_bronze(self) -> DataFrame:
         return trips.to_bronze(self.raw_trips())
 
+    @once
     def holidays(self) -> DataFrame:
         return calendar.holidays_between(self.spark, *fx.YEARS)
 
+    @once
     def silver(self) -> DataFrame:
         return mobility.silver_trips(self.bronze(), self.holidays())
 
+    @once
     def patterns(self) -> DataFrame:
         return mobility.typical_patterns(self.silver())
 
+    @once
     def od_trips(self) -> DataFrame:
         return mobility.by_municipality(self.patterns())
 
@@ -69,20 +90,25 @@ class Inputs:
 
     # census
 
+    @once
     def raw_population(self) -> DataFrame:
         rows = self._of(self.table("customer"), fx.POPULATION)
         return rows.withColumnRenamed("age_group", "Edad (grandes grupos)")
 
+    @once
     def raw_income(self) -> DataFrame:
         return self._of(self.table("part"), fx.INCOME)
 
+    @once
     def population(self) -> DataFrame:
         """Silver population: the rows of 2022 stored as 2023."""
         return census.population_by_municipality(census.period_rows(self.raw_population(), 2022), 2023)
 
+    @once
     def income(self) -> DataFrame:
         return census.income_by_section(self.raw_income())
 
+    @once
     def income_2023(self) -> DataFrame:
         return census.income_by_municipality(self.income(), 2023)
 
@@ -94,42 +120,47 @@ class Inputs:
         grid = self._of(part.withColumn("strips", strips), fx.GRID)
         return self._of(self._of(grid, box), ["*", *fx.ZONE_CODES])
 
+    @once
     def zones(self) -> DataFrame:
-        corners = [F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]
-        shaped = self._boxes(fx.ZONE_BOX).withColumn("geometry", geo.rectangle(*corners))
-        return boundaries.with_measures(
-            shaped.drop("xmin", "ymin", "xmax", "ymax").withColumn("year", F.lit(fx.ZONE_YEAR))
-        )
+        box = F.expr(geo.rectangle("xmin", "ymin", "xmax", "ymax"))
+        shaped = self._boxes(fx.ZONE_BOX).withColumns({"geometry": box, "year": F.lit(fx.ZONE_YEAR)})
+        return boundaries.with_measures(shaped.drop("xmin", "ymin", "xmax", "ymax"))
 
     def plane_boxes(self) -> DataFrame:
         """The bronze boundary table in metres: geom and the five codes."""
-        corners = [F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]
-        boxes = self._boxes(fx.PLANE_BOX).withColumn("geom", geo.rectangle(*corners))
+        box = F.expr(geo.rectangle("xmin", "ymin", "xmax", "ymax"))
+        boxes = self._boxes(fx.PLANE_BOX).withColumn("geom", box)
         codes = [F.col(new).alias(old) for old, new in schemas.BOUNDARY_CODES.items()]
         return boxes.select("geom", *codes)
 
+    @once
     def area_zones(self) -> DataFrame:
         return zone_ops.zones_in_area(self.zones())
 
     # models
 
+    @once
     def centroids(self) -> DataFrame:
         return zone_ops.municipality_centroids(self.area_zones())
 
+    @once
     def gravity_inputs(self) -> DataFrame:
         return gravity.gravity_inputs(
             self.centroids(), self.population(), self.income_2023(), self.od_trips(), 2023
         )
 
+    @once
     def observed(self) -> DataFrame:
         return gravity.observed_inputs(
             self.centroids(), self.population(), self.income_2023(), self.od_trips(), 2023
         )
 
+    @once
     def ranking(self) -> DataFrame:
         observed = self.observed()
         return gravity.infrastructure_ranking(gravity.predict(observed, observed))
 
+    @once
     def dependency(self) -> DataFrame:
         points = zone_ops.municipality_area_centroids(self.area_zones(), 2023)
         return longtrip.long_trip_dependency(self.silver(), points, 2023)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripweave import schemas
 from tripweave.functions import calendar, formats, geometry as geo, text
@@ -114,7 +114,7 @@ def boundary_ingest(data: Inputs) -> DataFrame:
     """Features written as GeoJSON lines, read back and brought to degrees."""
     path = scratch_path(data.spark, "boundaries")
     properties = F.struct(*schemas.BOUNDARY_CODES)
-    shape = F.from_json(formats.to_geojson(F.col("geom")), "type string, coordinates array<array<array<array<double>>>>")
+    shape = F.from_json(F.expr(formats.to_geojson("geom")), "type string, coordinates array<array<array<array<double>>>>")
     feature = F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), properties.alias("properties"))
     data.plane_boxes().select(F.to_json(feature)).write.text(path)
     read = boundaries.scan_geojson(data.spark, path)
@@ -390,9 +390,9 @@ def municipality_mean_centroids(data: Inputs) -> DataFrame:
 
 @query
 def reproject_zones(data: Inputs) -> DataFrame:
-    shape = TransverseMercator().reproject(F.col("geom"))
+    shape = TransverseMercator().reproject("geom")
     corners = data.plane_boxes().select(
-        F.col("CUSEC").alias("census_section_id"), F.posexplode(geo.points(shape)).alias("corner", "p")
+        F.col("CUSEC").alias("census_section_id"), F.posexplode(F.expr(geo.points(shape))).alias("corner", "p")
     )
     return as_xy(corners, "p", 7)
 
@@ -400,8 +400,8 @@ def reproject_zones(data: Inputs) -> DataFrame:
 @query
 def wkt_roundtrip(data: Inputs) -> DataFrame:
     zones = data.zones()
-    back = formats.from_wkt(formats.to_wkt(F.col("geometry")))
-    spot = formats.point_from_wkt(formats.point_to_wkt(F.col("centroid")))
+    back = F.expr(formats.from_wkt(formats.to_wkt("geometry")))
+    spot = F.expr(formats.point_from_wkt(formats.point_to_wkt("centroid")))
     return zones.select(
         "census_section_id",
         (back == F.col("geometry")).alias("same_shape"),
@@ -412,7 +412,7 @@ def wkt_roundtrip(data: Inputs) -> DataFrame:
 @query
 def dissolved_outline(data: Inputs) -> DataFrame:
     lines = zone_ops.outline_edges(data.area_zones(), ["municipality_id"])
-    a, b = geo.point(F.col("ax"), F.col("ay")), geo.point(F.col("bx"), F.col("by"))
+    a, b = F.expr(geo.point("ax", "ay")), F.expr(geo.point("bx", "by"))
     lo, hi = F.least(a, b), F.greatest(a, b)
     return lines.select(
         "municipality_id", lo.x.alias("x1"), lo.y.alias("y1"), hi.x.alias("x2"), hi.y.alias("y2")
@@ -449,14 +449,9 @@ def infrastructure_summary(data: Inputs) -> DataFrame:
 
 def _measured(frame: DataFrame) -> DataFrame:
     """The outline text of a map frame as its area and number of corners."""
-
-    def corners(shape: Column) -> Column:
-        return F.size(geo.edges(shape))
-
-    shape = formats.geojson_text(F.col("geometry"))
-    return frame.withColumns(
-        {"outline_area": F.round(geo.area(shape), 9), "outline_corners": corners(shape)}
-    ).drop("geometry")
+    shaped = frame.withColumn("geometry", F.expr(formats.geojson_text("geometry")))
+    area, corners = F.expr(geo.area("geometry")), F.size(F.expr(geo.edges("geometry")))
+    return shaped.withColumns({"outline_area": F.round(area, 9), "outline_corners": corners}).drop("geometry")
 
 
 @query

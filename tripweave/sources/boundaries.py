@@ -26,14 +26,14 @@ def scan_geojson(spark: SparkSession, path, by_line: bool = True) -> DataFrame:
     else:
         whole = spark.read.schema(f"features array<struct<{_FEATURE}>>").option("multiLine", True)
         features = whole.json(path).select(F.explode("features").alias("f")).select("f.*")
-    shape = formats.from_geojson(F.col("geometry.type"), F.col("geometry.coordinates"))
+    shape = F.expr(formats.from_geojson("geometry.type", "geometry.coordinates"))
     codes = [F.col(f"properties.{code}").alias(code) for code in schemas.BOUNDARY_CODES]
     return features.select(shape.alias("geom"), *codes)
 
 
 def from_wkt_column(table: DataFrame, column: str = "wkt") -> DataFrame:
     """Rows with a WKT column and the five codes to the same form."""
-    shape = formats.from_wkt(F.col(column))
+    shape = F.expr(formats.from_wkt(column))
     return table.select(shape.alias("geom"), *schemas.BOUNDARY_CODES)
 
 
@@ -42,7 +42,7 @@ def to_zones(bronze: DataFrame, year: int, plane: TransverseMercator | None = No
 
     ``plane`` is the projection of the source; None if it is in degrees already.
     """
-    shape = F.col("geom") if plane is None else plane.reproject(F.col("geom"))
+    shape = F.expr("geom" if plane is None else plane.reproject("geom"))
     codes = [F.col(old).alias(new) for old, new in schemas.BOUNDARY_CODES.items()]
     zones = bronze.select(shape.alias("geometry"), *codes)
     return with_measures(zones.withColumn("year", F.lit(year)))
@@ -50,7 +50,6 @@ def to_zones(bronze: DataFrame, year: int, plane: TransverseMercator | None = No
 
 def with_measures(zones: DataFrame) -> DataFrame:
     """Add the centroid and the bounding box that every zone row carries."""
-    shape = F.col("geometry")
-    measured = zones.select("*", geo.centroid(shape).alias("centroid"))
-    boxed = measured.withColumns(geo.envelope(shape))
-    return boxed.select(*schemas.ZONES.fieldNames())
+    measures = {"centroid": geo.centroid("geometry"), **geo.envelope("geometry")}
+    measured = zones.withColumns({name: F.expr(text) for name, text in measures.items()})
+    return measured.select(*schemas.ZONES.fieldNames())
