@@ -29,7 +29,8 @@ class Store:
         if schema is None:
             return reader.parquet(self.location(table))
         try:
-            return reader.schema(schema).parquet(self.location(table))
+            found = reader.schema(schema).parquet(self.location(table))
+            return found.select(*schema.fieldNames())  # partition columns come last in files
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
