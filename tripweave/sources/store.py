@@ -75,13 +75,13 @@ class Store:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """Deal out the rows of a table that comes in fewer files than there are cores.
+    """Deal out the rows of a table that is read in fewer tasks than there are cores.
 
     A gzip file or a Parquet file of one row group is read by one task, which would
     then do all that follows. A table of many files is left as it is.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
