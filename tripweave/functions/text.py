@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 
+def has_all(*columns: str) -> Column:
+    """No column is NULL. Plain conditions, which the optimizer drops where they are
+    known to hold; ``dropna`` hides them in one large expression."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def to_double(text: Column) -> Column:
     """Text to double; NULL if it is no number.
 

@@ -31,7 +31,7 @@ def silver_trips(bronze: DataFrame, holidays: DataFrame) -> DataFrame:
         text.plain_zone(F.col("destination_zone")).alias("destination_zone"),
         text.to_double(F.col("trips")).alias("trips"),
     )
-    kept = typed.where("date is not null and hour_period is not null and trips is not null")
+    kept = typed.where(text.has_all("date", "hour_period", "trips"))
     return calendar.with_day_type(kept, holidays).select(*schemas.SILVER_TRIPS.fieldNames())
 
 
@@ -66,7 +66,7 @@ def typical_patterns(silver: DataFrame, large_group: int = LARGE_GROUP) -> DataF
        groups are small enough for one task by definition.
     The last aggregation combines before its shuffle again.
     """
-    trips = silver.dropna(subset=PATTERN_KEYS)
+    trips = silver.where(text.has_all(*PATTERN_KEYS))
     spread = trips.groupBy(*PATTERN_KEYS).agg(
         F.avg("trips").alias("_mean"),
         F.stddev_samp("trips").alias("_std"),

@@ -116,8 +116,10 @@ class Inputs:
 
     def _boxes(self, box: list[str]) -> DataFrame:
         part = self.table("part")
-        strips = part.selectExpr(fx.STRIPS.format(**fx.SPARK) + " as n").scalar()
-        grid = self._of(part.withColumn("strips", strips), fx.GRID)
+        # One number, from the file statistics; as a subquery it would be copied into
+        # every expression over the corners.
+        strips = part.selectExpr(fx.STRIPS.format(**fx.SPARK) + " as n").first().n
+        grid = self._of(part.withColumn("strips", F.lit(strips)), fx.GRID)
         return self._of(self._of(grid, box), ["*", *fx.ZONE_CODES])
 
     @once

@@ -77,7 +77,7 @@ def income_by_section(bronze: DataFrame, indicator: str | None = None) -> DataFr
         text.leading_code(F.col("Secciones")).alias("section_code"),
         text.period_year(F.col("Periodo")).alias("year"),
         text.decimal_comma(F.col("Total")).alias("income"),
-    ).dropna(subset=["municipality_code", "district_code", "section_code", "income"])
+    ).where(text.has_all("municipality_code", "district_code", "section_code", "income"))
     keys = ["municipality_code", "district_code", "section_code", "year"]
     return parsed.groupBy(*keys).agg(F.avg("income").alias("avg_income"))
 
