@@ -78,10 +78,13 @@ def spread(table: DataFrame) -> DataFrame:
     """Deal out the rows of a table that is read in fewer tasks than there are cores.
 
     A gzip file or a Parquet file of one row group is read by one task, which would
-    then do all that follows. A table of many files is left as it is.
+    then do all that follows. A table of many files is left as it is. Rows go by the hash
+    of all their columns, which is the same when a task is run again and needs no sort.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, *table.columns)
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
