@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripweave.llm import bpe, exact, packing
+from tripweave.llm import bpe, exact, packing, suffixes
 from tripweave.llm.common import documents
 
 
@@ -24,10 +24,23 @@ def op7_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffixes.remove_repeats(documents(spark, sf_dir, "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op4_vector_packing": op4_vector_packing,
     "op5_tree_bpe": op5_tree_bpe,
     "op7_grace_dedup": op7_grace_dedup,
+    "op9_radix_repeats": op9_radix_repeats,
 }
 
 ORACLES = {
