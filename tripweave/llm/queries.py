@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripweave.llm import bpe, exact, packing, suffixes
+from tripweave.llm import bpe, exact, near, packing, suffixes
 from tripweave.llm.common import documents
 
 
@@ -19,6 +19,10 @@ def op5_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decoded_digest(encoded, "doc_id")
 
 
+def op6_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_dedup(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op7_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact.exact_dedup(documents(spark, sf_dir, "doc_id", "text"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -39,6 +43,7 @@ def op9_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_vector_packing": op4_vector_packing,
     "op5_tree_bpe": op5_tree_bpe,
+    "op6_odd_sketches": op6_odd_sketches,
     "op7_grace_dedup": op7_grace_dedup,
     "op9_radix_repeats": op9_radix_repeats,
 }
