@@ -36,7 +36,7 @@ DEFAULT_VOCABULARY = "word_bpe_49k.json"
 LEAF = 256
 WINDOW = 24
 SEGMENT = 1 << 16
-CACHED = 400_000
+CACHED = 250_000
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -265,23 +265,19 @@ def rejoin(words: WordBPE, parts: list[bytes], encoded: list[bytes]) -> bytes:
     return b"".join(ids)
 
 
-def encode_texts(texts: DataFrame, key: str, text: str, vocabulary: str | None = None, segment: int = SEGMENT) -> DataFrame:
-    """key, ids (binary, little-endian 32-bit): one row for each row of ``texts``.
+def half_encoded(texts: DataFrame, key: str, text: str, vocabulary: str | None = None, segment: int = SEGMENT) -> DataFrame:
+    """key, text, ids: one row for each row of ``texts``, with its text or, if that is
+    longer than ``segment`` bytes, its ids; ``ids_of`` gives the ids of either.
 
-    Texts up to ``segment`` bytes never leave their task. The segments of longer ones are
-    spread by a shuffle and meet again per text, which is the size of the output row.
+    Texts up to ``segment`` bytes never leave their task: they are encoded where their ids
+    are used. The segments of longer ones are spread by a shuffle and meet again per text,
+    which is the size of the output row.
     """
     path = vocabulary or vocabulary_path()
     kind = dict(texts.dtypes)[key]
     source = texts.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     long = F.octet_length("text") > segment
 
-    def short(batches):
-        words = coder(path)
-        for batch in slices(batches, 1):
-            ids = [words.encode(t) for t in utf8(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
-
     def cut(batches):
         for batch in slices(batches, 2):
             rows = [
@@ -304,22 +300,40 @@ def encode_texts(texts: DataFrame, key: str, text: str, vocabulary: str | None =
         ids = rejoin(coder(path), group["text"].tolist(), group["ids"].tolist())
         return group.iloc[:1][["key"]].assign(ids=[ids])
 
-    near = source.where(~long).mapInArrow(short, f"key {kind}, ids binary")
+    near = source.where(~long).select("key", "text", F.lit(None).cast("binary").alias("ids"))
     parts = source.where(long).select("key", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(cut, f"key {kind}, row long, part int, text binary")
     spread = parts.repartition("row", "part").mapInArrow(encode, f"key {kind}, row long, part int, text binary, ids binary")
     far = spread.groupBy("row").applyInPandas(together, f"key {kind}, ids binary")
-    return near.unionByName(far).withColumnRenamed("key", key)
+    return near.unionByName(far.select("key", F.lit(None).cast("string").alias("text"), "ids"))
+
+
+def ids_of(words: WordBPE, texts: pa.Array, ids: pa.Array) -> list[bytes]:
+    known = ids.to_pylist()
+    return [words.encode(t) if i is None else i for t, i in zip(utf8(texts), known, strict=True)]
+
+
+def encode_texts(texts: DataFrame, key: str, text: str, vocabulary: str | None = None, segment: int = SEGMENT) -> DataFrame:
+    """key, ids (binary, little-endian 32-bit): one row for each row of ``texts``."""
+    path = vocabulary or vocabulary_path()
+    half = half_encoded(texts, key, text, vocabulary, segment)
+
+    def run(batches):
+        for batch in slices(batches, 1):
+            ids = ids_of(coder(path), batch.column(1), batch.column(2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
+
+    return half.mapInArrow(run, f"key {dict(half.dtypes)['key']}, ids binary").withColumnRenamed("key", key)
 
 
-def decoded_digest(encoded: DataFrame, key: str, vocabulary: str | None = None) -> DataFrame:
-    """key, n_tokens, ids_sha256, decoded_sha256 of encoded texts, from the ids alone."""
+def coding_digest(texts: DataFrame, key: str, text: str, vocabulary: str | None = None, segment: int = SEGMENT) -> DataFrame:
+    """key, n_tokens, ids_sha256, decoded_sha256: texts encoded, and decoded from the ids."""
     path = vocabulary or vocabulary_path()
-    kind = dict(encoded.dtypes)[key]
+    half = half_encoded(texts, key, text, vocabulary, segment)
 
-    def digest(batches):
+    def run(batches):
         words = coder(path)
         for batch in slices(batches, 1):
-            ids = batch.column(1).to_pylist()
+            ids = ids_of(words, batch.column(1), batch.column(2))
             columns = [
                 batch.column(0),
                 pa.array([len(x) // 4 for x in ids], pa.int64()),
@@ -328,5 +342,5 @@ def decoded_digest(encoded: DataFrame, key: str, vocabulary: str | None = None)
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    rows = encoded.select(F.col(key).alias("key"), "ids").mapInArrow(digest, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    rows = half.mapInArrow(run, f"key {dict(half.dtypes)['key']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return rows.withColumnRenamed("key", key)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tripweave.llm.bpe import encode_texts
+from tripweave.llm.bpe import coder, half_encoded, ids_of, vocabulary_path
 from tripweave.llm.common import row_numbers, slices
 
 TOKENS = 4096
@@ -181,8 +181,9 @@ class VectorPacker:
 PIECES = "doc_id {kind}, start long, length long, ids binary, doc_tokens long, loss_tokens long, sequence_id long, offset long"
 
 
-def pack(encoded: DataFrame, key: str, end_id: int | None = END_ID, limits: Limits | None = None, loss: str | None = None) -> DataFrame:
-    """key, ids (binary, 32-bit) -> one row per piece, its ids with it.
+def pack(encoded: DataFrame, key: str, end_id: int | None = END_ID, limits: Limits | None = None, loss: str | None = None, vocabulary: str | None = None) -> DataFrame:
+    """key, ids (binary, 32-bit) -> one row per piece, its ids with it. Rows whose ids are
+    null have a column text, which is encoded here by ``vocabulary``.
 
     ``loss``: a column with one byte per token, 1 where the token bears loss; without it
     all tokens do. ``end_id`` closes each item and always bears loss.
@@ -191,7 +192,9 @@ def pack(encoded: DataFrame, key: str, end_id: int | None = END_ID, limits: Limi
     kind = dict(encoded.dtypes)[key]
     schema = PIECES.format(kind=kind)
     names = [x.split()[0] for x in schema.split(", ")]
-    columns = [F.col(key).alias("key"), "ids", *([F.col(loss).alias("loss")] if loss else [])]
+    text = "text" if "text" in encoded.columns else F.lit(None).cast("string").alias("text")
+    columns = [F.col(key).alias("key"), text, "ids", *([F.col(loss).alias("loss")] if loss else [])]
+    path = vocabulary or vocabulary_path()
     tail = np.array([], "<u4") if end_id is None else np.array([end_id], "<u4")
 
     def run(batches):
@@ -227,9 +230,10 @@ def pack(encoded: DataFrame, key: str, end_id: int | None = END_ID, limits: Limi
         key_type = pa.int64()
         for batch in slices(batches, 1, 1 << 20):
             key_type = batch.column(0).type
-            marks = batch.column(2).to_pylist() if loss else [None] * batch.num_rows
-            for doc, raw, mark in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), marks, strict=True):
-                ids = np.concatenate([np.frombuffer(raw or b"", "<u4"), tail])
+            marks = batch.column(3).to_pylist() if loss else [None] * batch.num_rows
+            known = ids_of(coder(path), batch.column(1), batch.column(2))
+            for doc, raw, mark in zip(batch.column(0).to_pylist(), known, marks, strict=True):
+                ids = np.concatenate([np.frombuffer(raw, "<u4"), tail])
                 if not len(ids):
                     continue
                 if loss:
@@ -251,7 +255,8 @@ def pack(encoded: DataFrame, key: str, end_id: int | None = END_ID, limits: Limi
 
 def pack_texts(texts: DataFrame, key: str, text: str, vocabulary: str | None = None, limits: Limits | None = None) -> DataFrame:
     """Encode whole texts and pack them."""
-    return pack(encode_texts(texts, key, text, vocabulary), key, limits=limits)
+    half = half_encoded(texts, key, text, vocabulary)
+    return pack(half, "key", limits=limits, vocabulary=vocabulary).withColumnRenamed("key", key)
 
 
 def with_crc32(pieces: DataFrame) -> DataFrame:
