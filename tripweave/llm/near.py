@@ -134,7 +134,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _close_pairs(batches, least: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _close_pairs(batches, allowed: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket, block, part: pairs of a probe and a member of another
     component whose sketches are close enough."""
     held: list[pa.RecordBatch] = []
@@ -158,7 +158,7 @@ def _close_pairs(batches, least: np.ndarray) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(probes), 64):
             some = probes[at : at + 64]
             bits = np.bitwise_count(sketch[some][:, None, :] ^ sketch[members][None, :, :]).sum(axis=2)
-            close = least[bits] & (component[some][:, None] != component[members][None, :])
+            close = allowed[bits] & (component[some][:, None] != component[members][None, :])
             i, j = np.nonzero(close)
             x, y = node[some[i]], node[members[j]]
             yield np.minimum(x, y), np.maximum(x, y)
@@ -184,10 +184,11 @@ def _close_pairs(batches, least: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def open_candidates(members: DataFrame, sketches: DataFrame, labels: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+def open_candidates(members: DataFrame, sketches: DataFrame, labels: DataFrame, close: np.ndarray, block: int = BLOCK) -> DataFrame:
     """Close pairs (a, b) across components, in buckets that hold more than one.
 
-    members: band, node; sketches: node, sketch; labels: node, component.
+    members: band, node; sketches: node, sketch (binary, whole 8-byte words); labels: node,
+    component. ``close`` says for each number of differing bits whether it is close.
     """
     labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = stored(labelled, "near-labelled")
@@ -203,9 +204,8 @@ def open_candidates(members: DataFrame, sketches: DataFrame, labels: DataFrame,
     every = F.sequence(F.lit(0), blocks - 1)
     probes = rows.where("component <> main").select("band", F.explode(every).alias("block"), own.alias("part"), "node", "component", "sketch", F.lit(True).alias("probe"))
     held = rows.select("band", own.alias("block"), F.explode(every).alias("part"), "node", "component", "sketch", F.lit(False).alias("probe"))
-    least = estimates() >= percent / 100 - SLACK
     together = probes.unionAll(held).repartition("band", "block", "part").sortWithinPartitions("band", "block", "part")
-    return together.mapInArrow(lambda b: _close_pairs(b, least), "a long, b long").distinct()
+    return together.mapInArrow(lambda b: _close_pairs(b, close), "a long, b long").distinct()
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -223,7 +223,8 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     stars = members.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub"))
     first = stored(confirmed(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")), texts, percent), "near-links")
     labels = components(first)
-    pairs = open_candidates(members.select("band", "node"), leaders.select("node", "sketch"), labels, percent)
+    close = estimates() >= percent / 100 - SLACK
+    pairs = open_candidates(members.select("band", "node"), leaders.select("node", "sketch"), labels, close)
     links = first.unionAll(confirmed(stored(pairs, "near-pairs"), texts, percent))
     labels = components(links).select(F.col("node").alias("leader"), "component")
     placed = signed.select("node", "id", "n_shingles", "set").join(classes, "set", "left").join(labels, "leader", "left")

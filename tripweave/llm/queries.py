@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripweave.llm import bpe, exact, near, packing, suffixes
-from tripweave.llm.common import documents
+from tripweave.llm import bpe, exact, near, packing, simhash, suffixes
+from tripweave.llm.common import documents, stored
 
 
 def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +15,7 @@ def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode_texts(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
-    return bpe.decoded_digest(encoded, "doc_id")
+    return bpe.coding_digest(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
 
 
 def op6_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +27,21 @@ def op7_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored(simhash.edited_likeness(documents(spark, sf_dir, "doc_id", "text")), "simhash-rows")
+    classes = simhash.near_classes(rows)
+    return rows.join(classes, "print").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        F.lower(F.hex("print")).alias("fingerprint"),
+        F.lower(F.hex("edited_print")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "near_class",
+    )
+
+
 def op9_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffixes.remove_repeats(documents(spark, sf_dir, "doc_id", "text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
@@ -45,6 +59,7 @@ QUERIES = {
     "op5_tree_bpe": op5_tree_bpe,
     "op6_odd_sketches": op6_odd_sketches,
     "op7_grace_dedup": op7_grace_dedup,
+    "op8_simhash": op8_simhash,
     "op9_radix_repeats": op9_radix_repeats,
 }
 

@@ -20,8 +20,13 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def shingle_hashes(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
-    """For each text the distinct hashes of its ``n``-word shingles, sorted. A text with
-    fewer words is one shingle, one without words has none."""
+    """For each text the distinct hashes of its ``n``-word shingles, sorted."""
+    return map(np.unique, all_shingle_hashes(texts, n))
+
+
+def all_shingle_hashes(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
+    """For each text the hashes of its ``n``-word shingles. A text with fewer words is one
+    shingle, one without words has none."""
     held: list[list[bytes]] = []
     size = 0
     for text in texts:
@@ -33,7 +38,7 @@ def shingle_hashes(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
         if length > LIMIT:
             step = LIMIT // (LONGEST + 1) - n
             parts = [words[i : i + step + n - 1] for i in range(0, max(1, len(words) - n + 1), step)]
-            yield np.unique(np.concatenate([next(_hashes([p], n)) for p in parts]))
+            yield np.concatenate([next(_hashes([p], n)) for p in parts])
             continue
         held.append(words)
         size += length
@@ -57,7 +62,7 @@ def _hashes(docs: list[list[bytes]], n: int) -> Iterator[np.ndarray]:
     for i, count in enumerate(counts.tolist()):
         a = int(first[i])
         if count >= n:
-            yield np.unique(full[a : a + count - n + 1])
+            yield full[a : a + count - n + 1]
         elif count:
             yield hashes.at(starts[a : a + 1], ends[a + count - 1 : a + count])
         else:
