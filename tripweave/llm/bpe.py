@@ -36,7 +36,7 @@ DEFAULT_VOCABULARY = "word_bpe_49k.json"
 LEAF = 256
 WINDOW = 24
 SEGMENT = 1 << 16
-CACHED = 250_000
+CACHED = 300_000
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -120,6 +120,8 @@ class WordBPE:
         for name, i in [*vocabulary.items(), *special.items()]:
             self.names[i] = name
         self.letters = "".join(byte_letters())
+        self.codes = [i.to_bytes(4, "little") for i in range(len(self.names))]
+        self.tokenize = model.tokenize
         self.path = path
         self._inner = None
         self.young: dict[bytes, bytes] = {}
@@ -158,7 +160,11 @@ class WordBPE:
 
     def _word(self, word: bytes) -> bytes:
         """Ids of one lower-case run of Latin letters."""
-        return np.asarray(self._shown(word.decode("latin-1").translate(self.letters)), "<u4").tobytes()
+        shown = word.decode() if word.isascii() else word.decode("latin-1").translate(self.letters)
+        codes = self.codes
+        if len(shown) <= LEAF:
+            return b"".join([codes[t.id] for t in self.tokenize(shown)])
+        return b"".join([codes[i] for i in self._shown(shown)])
 
     @staticmethod
     def _plain(chunk: bytes) -> bool:
@@ -169,15 +175,15 @@ class WordBPE:
         return text.isalpha() and max(text) < "\u0180" and text.lower() == text
 
     def _learn(self, missing: list[bytes]) -> None:
-        rest = []
+        rest, young, plain, word = [], self.young, self._plain, self._word
+        ends = {tail: word(tail) for tail in (b".", b",")}
         for chunk in missing:
-            tail = chunk[-1:]
-            if self._plain(chunk):
-                self.young[chunk] = self._word(chunk)
-            elif tail in (b".", b",") and self._plain(chunk[:-1]):
-                self.young[chunk] = self._word(chunk[:-1]) + self._word(tail)
+            if plain(chunk):
+                young[chunk] = word(chunk)
+            elif (tail := chunk[-1:]) in ends and plain(chunk[:-1]):
+                young[chunk] = word(chunk[:-1]) + ends[tail]
             elif len(chunk) > LEAF or b"<|" in chunk or self.shield is None:
-                self.young[chunk] = self._odd(chunk)
+                young[chunk] = self._odd(chunk)
             else:
                 rest.append(chunk)
         for k in range(0, len(rest), 512):
@@ -185,7 +191,7 @@ class WordBPE:
             text = self.shield.join(chunk.decode() for chunk in some)
             ids = np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
             for chunk, part in zip(some, np.split(ids, np.flatnonzero(ids == self.shield_id)), strict=True):
-                self.young[chunk] = (part[1:] if chunk is not some[0] else part).tobytes()
+                young[chunk] = (part[1:] if chunk is not some[0] else part).tobytes()
 
     def _odd(self, chunk: bytes) -> bytes:
         """A long chunk or one with a special token: the file's own normal form and word
