@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripweave.llm import bpe, exact, near, packing, simhash, suffixes
+from tripweave.llm import bpe, chat, exact, near, packing, simhash, suffixes
 from tripweave.llm.common import documents, stored
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    odd = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], turns.schema)
+    return chat.read_back(chat.format_turns(turns.unionByName(extra)))
+
+
 def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_texts(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
     columns = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -55,6 +62,7 @@ def op9_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op4_vector_packing": op4_vector_packing,
     "op5_tree_bpe": op5_tree_bpe,
     "op6_odd_sketches": op6_odd_sketches,
@@ -64,6 +72,28 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_chat_format": """
+        with rows_ as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -7, 0, 'user', '\\### Assistant: </turn> ok'
+            union all select -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+        ), placed as (
+            select *, row_number() over w as n, lag(role) over w as before,
+                   regexp_replace(text, '(\\\\|###|</turn>|: )', '\\\\\\1', 'g') as escaped
+            from rows_ window w as (partition by conv_id order by turn, role, text)
+        ), judged as (
+            select *, case coalesce(before, '') when '' then role in ('system', 'user') when 'system' then role = 'user'
+                      when 'user' then role = 'assistant' when 'assistant' then role = 'user' else false end as allowed
+            from placed
+        )
+        select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256,
+               coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by n) filter (role = 'assistant'), '')) as loss_sha256,
+               sum(length('### ' || role || ': ' || escaped || '</turn>' || chr(10)))::bigint as formatted_chars,
+               bool_and(allowed) and arg_max(role, n) = 'assistant' as valid,
+               min(n - 1) filter (not allowed) as first_error
+        from judged group by conv_id
+    """,
     "op7_grace_dedup": """
         with n as (select doc_id, coalesce(text, '') as t,
                           regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') as norm from documents)
