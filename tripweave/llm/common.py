@@ -47,10 +47,15 @@ def row_numbers() -> Iterator[int]:
 
 def stored(table: DataFrame, name: str, **options: str) -> DataFrame:
     """The table, written to the shared folder and read back: a cut in the lineage that
-    outlives executors."""
+    outlives executors.
+
+    Shuffle files go when the driver's JVM drops the plan that made them. Nothing needs
+    them once the table is written, so the JVM is asked to do that now.
+    """
     spark = table.sparkSession
     path = scratch_path(spark, name)
     table.write.options(**{"compression": "zstd", **options}).parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(table.schema).parquet(path)
 
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripweave.llm import bpe, chat, exact, near, packing, simhash, suffixes
-from tripweave.llm.common import documents, stored
+from tripweave.llm import bpe, chat, exact, near, packing, simhash, suffixes, toxicity
+from tripweave.llm.common import bucket_of, documents, stored
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,17 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(extra)))
 
 
+def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
+    return toxicity.score(docs, model, keep=["doc_id"], column="score").select(
+        "doc_id",
+        (bucket_of("doc_id", toxicity.TRAINED) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_texts(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
     columns = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -63,6 +74,7 @@ def op9_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op3_string_kernel": op3_string_kernel,
     "op4_vector_packing": op4_vector_packing,
     "op5_tree_bpe": op5_tree_bpe,
     "op6_odd_sketches": op6_odd_sketches,

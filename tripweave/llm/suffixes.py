@@ -8,19 +8,22 @@ is left after the last digit, in groups of two and more, are exactly the windows
 The first digit is not taken at the start of each window but at its anchor: the place
 inside the window whose ``K`` bytes have the smallest hash, the leftmost of equal ones.
 Equal windows have equal anchors at equal distances, and neighbouring windows share
-theirs, so the first pass sorts one row per anchor (about one per 77 bytes) and not one
+theirs, so the first pass sorts one row per anchor (about one per 80 bytes) and not one
 per byte. The digits are
 
 1. the ``K`` bytes at the anchor: anchors that are alone in this are dropped;
 2. the stretch that all windows of the anchor cover together: where that occurs again, all
    of these windows do;
-3. for anchors left alone by the second digit within a group of the first, and for one of
-   each group of equal stretches beside them: each whole window of ``length`` bytes.
+3. for what the second digit leaves alone within a group of the first, and for one of each
+   group of equal stretches beside it: the bytes that ``STEP`` neighbouring windows, at a
+   fixed distance from the anchor, have in common;
+4. the stretch that these few windows cover together;
+5. for what is alone in that, and one of each group beside it: every whole window.
 
 Digits are compared by 64-bit hashes. A task first compares the rows it has at hand: of
-equal digits only one row leaves it, with their number, so that a passage that stands in a
-third of all texts crosses the network once per task. Rows of one first digit with
-different second ones are never gathered in one place.
+equal digits only one row leaves it, so that a passage that stands in a third of all texts
+crosses the network once per task. Rows of one group with different next digits are never
+gathered in one place.
 
 Windows never cross texts. Null texts count as empty; texts shorter than ``length`` have
 no windows. Rows that are equal in key and text are copies of each other like any two
@@ -33,13 +36,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tripweave.llm.common import slices, stored, text_or_empty, utf8
 from tripweave.llm.rolling import LIMIT, Rolling, mixed, sliding_min
 
 LENGTH = 200
-K = 48
+K = 32
+STEP = 16
 HELD_ROWS = 400_000
 
 
@@ -99,7 +104,7 @@ class Anchors:
         data, starts, ends, shift = laid_out(group)
         hashes = Rolling(data)
         bytes_at = hashes.every(k)
-        self.text = self.lo = self.hi = np.array([], np.int64)
+        self.text = self.lo = self.hi = self.anchor = np.array([], np.int64)
         self.first = self.second = np.array([], np.uint64)
         n = len(data) - length + 1
         if n <= 0:
@@ -119,82 +124,154 @@ class Anchors:
         anchor = anchor[new]
         part = np.searchsorted(ends, lo, "right")
         self.text = np.array([i for i, _, _ in group])[part]
-        self.lo, self.hi = lo + shift[part], hi + shift[part]
+        self.lo, self.hi, self.anchor = lo + shift[part], hi + shift[part], anchor + shift[part]
         self.first = bytes_at[anchor]
         stretch = hashes.at(lo, hi + length)
         self.second = mixed(stretch * np.uint64(3) + self.first + (anchor - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (hi - lo).astype(np.uint64))
 
 
-FIRST_PASS = "row long, lo long, hi long, first long, second long, n int"
+def packed(lo, hi, anchor):
+    """First and last window and the anchor in one number."""
+    return lo << 24 | (hi - lo) << 12 | (anchor - lo)
+
+
+def unpacked(place):
+    lo = place >> 24
+    return lo, lo + (place >> 12 & 4095), lo + (place & 4095)
+
+
+def _settled(rows: np.ndarray, lo: np.ndarray, hi: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """One row of each inner digit; the merged stretches of those that occur again here."""
+    order, at, sizes = groups_of(inner)
+    known = order[np.repeat(sizes > 1, sizes)]
+    return order[at], merged(rows[known], lo[known], hi[known])
+
+
+def _longs(own: np.ndarray, more: np.ndarray | None, n: int) -> pa.Array:
+    return pa.concat_arrays([pa.array(own.astype(np.int64, copy=False)), pa.nulls(n, pa.int64()) if more is None else pa.array(more)])
+
+
+FIRST_PASS = "row long, outer long, inner long, place long, lo long, hi long"
 
 
 def _first_pass(batches, length: int, k: int):
-    """Anchors, one row for equal ones, and the stretches these settle (first is null)."""
+    """Anchors, one row for equal ones, and the stretches these settle (lo, hi)."""
     held: list[tuple[np.ndarray, ...]] = []
 
     def done() -> pa.RecordBatch:
-        rows, lo, hi, first, second = (np.concatenate(x) for x in zip(*held, strict=True))
+        rows, lo, hi, anchor, first, second = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
-        order, at, sizes = groups_of(second)
-        again = np.repeat(sizes > 1, sizes)
-        known = order[again]
-        row, start, end = merged(rows[known], lo[known], hi[known] + length)
-        own = order[at]
-        nothing = pa.nulls(len(row), pa.int64())
+        own, (row, start, end) = _settled(rows, lo, hi + length, second)
+        nothing, n = np.zeros(0, np.int64), len(row)
         columns = [
             pa.array(np.r_[rows[own], row]),
-            pa.array(np.r_[lo[own], start]),
-            pa.array(np.r_[hi[own] + length, end]),
-            pa.concat_arrays([pa.array(first[own].view(np.int64)), nothing]),
-            pa.concat_arrays([pa.array(second[own].view(np.int64)), nothing]),
-            pa.array(np.r_[sizes, np.zeros(len(row), np.int64)].astype(np.int32)),
+            _longs(first[own].view(np.int64), None, n),
+            _longs(second[own].view(np.int64), None, n),
+            _longs(packed(lo, hi, anchor)[own], None, n),
+            pa.concat_arrays([pa.nulls(len(own), pa.int64()), pa.array(start if n else nothing)]),
+            pa.concat_arrays([pa.nulls(len(own), pa.int64()), pa.array(end if n else nothing)]),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["row", "lo", "hi", "first", "second", "n"])
+        return pa.RecordBatch.from_arrays(columns, names=["row", "outer", "inner", "place", "lo", "hi"])
 
     for batch in slices(batches, 1):
         keys = batch.column(0).to_numpy(zero_copy_only=False)
         for group in units(utf8(batch.column(1)), length):
             found = Anchors(group, length, k)
             if len(found.lo):
-                held.append((keys[found.text], found.lo, found.hi, found.first, found.second))
+                held.append((keys[found.text], found.lo, found.hi, found.anchor, found.first, found.second))
         if sum(len(x[0]) for x in held) >= HELD_ROWS:
             yield done()
     if held:
         yield done()
 
 
-def _third_pass(batches, length: int):
-    """row, text, stretches -> window, row, lo, hi, n: the windows that begin in them."""
-    held: list[tuple[np.ndarray, ...]] = []
+STEP_PASS = "row long, outer long, inner long, first_window long, left binary, right binary, lo long, hi long"
+
+
+def _step_pass(batches, length: int, step: int):
+    """row, text, places -> a row for each ``step`` windows at a fixed distance from an
+    anchor: the hash of what they have in common (outer), of what they cover (inner), and
+    the few bytes on both sides that tell them apart."""
+    held: list[tuple] = []
 
     def done() -> pa.RecordBatch:
-        window, rows, lo = (np.concatenate(x) for x in zip(*held, strict=True))
+        numbers = [np.concatenate([x[i] for x in held]) for i in range(5)]
+        left, right = ([b for x in held for b in x[i]] for i in (5, 6))
         held.clear()
-        order, at, sizes = groups_of(window)
-        known = order[np.repeat(sizes > 1, sizes)]
-        row, start, end = merged(rows[known], lo[known], lo[known] + length)
-        own = order[at]
+        rows, outer, inner, lo, hi = numbers
+        own, (row, start, end) = _settled(rows, lo, hi + length, inner)
+        n, chosen = len(row), own.tolist()
+        gone, none = pa.nulls(n, pa.binary()), pa.nulls(len(own), pa.int64())
         columns = [
-            pa.concat_arrays([pa.array(window[own].view(np.int64)), pa.nulls(len(row), pa.int64())]),
             pa.array(np.r_[rows[own], row]),
-            pa.array(np.r_[lo[own], start]),
-            pa.array(np.r_[lo[own] + length, end]),
+            _longs(outer[own].view(np.int64), None, n),
+            _longs(inner[own].view(np.int64), None, n),
+            _longs(lo[own], None, n),
+            pa.concat_arrays([pa.array([left[i] for i in chosen], pa.binary()), gone]),
+            pa.concat_arrays([pa.array([right[i] for i in chosen], pa.binary()), gone]),
+            pa.concat_arrays([none, pa.array(start)]),
+            pa.concat_arrays([none, pa.array(end)]),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["window", "row", "lo", "hi"])
+        names = ["row", "outer", "inner", "first_window", "left", "right", "lo", "hi"]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     for batch in slices(batches, 1):
-        keys = batch.column(0).to_pylist()
-        stretches = batch.column(2).to_pylist()
-        for i, text in enumerate(utf8(batch.column(1))):
-            wanted = np.array([(s["lo"], s["hi"]) for s in stretches[i]], np.int64).reshape(-1, 2)
-            _, starts, ends = merged(np.zeros(len(wanted), np.int64), wanted[:, 0], wanted[:, 1] - length + 1)
-            for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
-                for at in range(start, end, LIMIT - length):
-                    to = min(end, at + LIMIT - length)
-                    part = np.frombuffer(text, np.uint8)[at : to + length - 1]
-                    hashes = Rolling(part).every(length)
-                    held.append((hashes, np.full(len(hashes), keys[i]), np.arange(at, to)))
-        if sum(len(x[0]) for x in held) >= 2 * HELD_ROWS:
+        keys, places = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        for key, text, own in zip(keys, utf8(batch.column(1)), places, strict=True):
+            lo, hi, anchor = unpacked(np.array(own, np.int64))
+            # long texts by stretches that the hashes can hold
+            for chunk in np.unique(anchor // (LIMIT // 2)):
+                some = anchor // (LIMIT // 2) == chunk
+                held.append(_steps(key, text, lo[some], hi[some], anchor[some], length, step))
+        if sum(len(x[0]) for x in held) >= HELD_ROWS:
+            yield done()
+    if held:
+        yield done()
+
+
+def _steps(key: int, text: bytes, lo, hi, anchor, length: int, step: int) -> tuple:
+    near, far = (anchor - hi) // step, (anchor - lo) // step
+    times = far - near + 1
+    which = np.repeat(np.arange(len(lo)), times)
+    number = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + near[which]
+    core = anchor[which] - number * step
+    first = np.maximum(lo[which], core - step + 1)
+    last = np.minimum(hi[which], core)
+    core_end = core - step + 1 + length
+    base = int(first.min())
+    hashes = Rolling(np.frombuffer(text, np.uint8)[base : int(last.max()) + length])
+    outer = mixed(hashes.at(core - base, core_end - base) + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    shape = (core - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + (core - last).astype(np.uint64)
+    inner = mixed(hashes.at(first - base, last + length - base) + outer * np.uint64(3) + shape)
+    left = [text[a:b] for a, b in zip(first.tolist(), core.tolist(), strict=True)]
+    right = [text[a:b] for a, b in zip(core_end.tolist(), (last + length).tolist(), strict=True)]
+    return np.full(len(which), key, np.int64), outer, inner, first, last, left, right
+
+
+WINDOWS = "window long, row long, lo long, hi long"
+
+
+def _window_pass(batches, length: int, step: int):
+    """Each window of the steps still open, told apart by what is left and right of what
+    the step has in common."""
+    held: list[tuple[int, int, int]] = []
+
+    def done() -> pa.RecordBatch:
+        window, rows, lo = (np.array(x) for x in zip(*held, strict=True))
+        held.clear()
+        own, (row, start, end) = _settled(rows, lo, lo + length, window)
+        columns = [_longs(window[own], None, len(row)), *(pa.array(np.r_[a[own], b]) for a, b in ((rows, row), (lo, start), (lo + length, end)))]
+        return pa.RecordBatch.from_arrays(columns, names=["window", "row", "lo", "hi"])
+
+    for batch in batches:
+        for row, outer, first, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            windows = len(left) + len(right) - step + 2
+            for i in range(windows):
+                before, beyond = left[i:], right[: len(right) - windows + 1 + i]
+                seed = outer + 0x9E3779B97F4A7C15 * len(before) & (1 << 64) - 1
+                code = xxhash.xxh64_intdigest(before + beyond, seed)
+                held.append((code - (code >> 63 << 64), row, first + i))
+        if len(held) >= HELD_ROWS:
             yield done()
     if held:
         yield done()
@@ -206,39 +283,45 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return plain.withColumn("row", F.xxhash64(F.col(key), F.col("text")))
 
 
-def repeated_stretches(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
+def refined(table: DataFrame, name: str) -> tuple[list[DataFrame], DataFrame]:
+    """One pass over the outer and the inner digit: (the rows that this settles, the rows
+    still open). Rows that are alone in their outer digit are in neither."""
+    groups = table.groupBy("outer").agg(F.count("*").alias("rows"), F.min("inner").alias("a"), F.max("inner").alias("b"))
+    groups = groups.where("rows > 1").select("outer", (F.col("a") != F.col("b")).alias("split"))
+    left = stored(table.join(groups, "outer"), f"suffix-{name}-outer")
+    alike = Window.partitionBy("inner")
+    split = left.where("split").withColumns(
+        {"rows": F.count("*").over(alike), "turn": F.row_number().over(alike.orderBy("row"))}
+    )
+    split = stored(split, f"suffix-{name}-inner")
+    return [left.where("not split"), split.where("rows > 1")], split.where("turn = 1")
+
+
+def repeated_stretches(docs: DataFrame, length: int = LENGTH, k: int = K, step: int = STEP) -> DataFrame:
     """row, text -> row, lo, hi: stretches of bytes that cover all repeated windows."""
-    if not k < length:
-        raise ValueError("the first digit must be shorter than the window")
+    if not k < length < 4096:
+        raise ValueError("the first digit must be shorter than the window, and that less than 4096")
+    step = min(step, length - 1)
     texts = docs.select("row", "text")
-    passed = stored(texts.mapInArrow(lambda b: _first_pass(b, length, k), FIRST_PASS), "suffix-first")
-    anchors = passed.where("first is not null")
-    groups = anchors.groupBy("first").agg(
-        F.count("*").alias("rows"), F.min("second").alias("a"), F.max("second").alias("b")
-    )
-    groups = groups.where("rows > 1").select("first", (F.col("a") != F.col("b")).alias("split"))
-    left = stored(anchors.join(groups, "first"), "suffix-second")
-    alike = Window.partitionBy("second")
-    split = left.where("split").select(
-        "row", "lo", "hi", "n",
-        F.count("*").over(alike).alias("rows"),
-        F.row_number().over(alike.orderBy("row", "lo")).alias("place"),
-    )
-    split = stored(split, "suffix-split")
-    open_ = split.where("place = 1").groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("stretches"))
-    windows = texts.join(open_, "row").mapInArrow(
-        lambda b: _third_pass(b, length), "window long, row long, lo long, hi long"
-    )
-    windows = stored(windows, "suffix-third")
+    passed = stored(texts.mapInArrow(lambda b: _first_pass(b, length, k), FIRST_PASS), "suffix-anchors")
+    anchors = passed.where("outer is not null").select("row", "outer", "inner", "place")
+    known, open_ = refined(anchors, "anchors")
+    lo, count = F.shiftright("place", 24), F.shiftright("place", 12).bitwiseAND(4095)
+    found = [passed, *(x.select("row", lo.alias("lo"), (lo + count + length).alias("hi")) for x in known)]
+
+    listed = open_.groupBy("row").agg(F.collect_list("place").alias("places"))
+    steps = stored(texts.join(listed, "row").mapInArrow(lambda b: _step_pass(b, length, step), STEP_PASS), "suffix-steps")
+    some = steps.where("outer is not null").select("row", "outer", "inner", "first_window", "left", "right")
+    known, open_ = refined(some, "steps")
+    last = F.col("first_window") + F.octet_length("left") + F.octet_length("right") - step + 1
+    found += [steps, *(x.select("row", F.col("first_window").alias("lo"), (last + length).alias("hi")) for x in known)]
+
+    sides = open_.select("row", "outer", "first_window", "left", "right")
+    windows = stored(sides.mapInArrow(lambda b: _window_pass(b, length, step), WINDOWS), "suffix-windows")
     again = windows.where("window is not null").withColumn("rows", F.count("*").over(Window.partitionBy("window")))
-    found = [
-        passed.where("first is null"),
-        left.where("not split"),
-        split.where("rows > 1"),
-        windows.where("window is null"),
-        again.where("rows > 1"),
-    ]
-    first, *rest = (x.select("row", "lo", "hi") for x in found)
+    found += [windows.where("window is null"), again.where("rows > 1")]
+
+    first, *rest = (x.select("row", "lo", "hi").where("lo is not null") for x in found)
     for x in rest:
         first = first.unionAll(x)
     return first
