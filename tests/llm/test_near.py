@@ -5,6 +5,7 @@ import numpy as np
 
 from tripweave.llm import near
 from tripweave.llm.graphs import components
+from tripweave.llm.simhash import WithinRadius
 
 
 def shingles(text):
@@ -54,19 +55,19 @@ def test_components_against_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def test_blocks_of_a_large_bucket(spark, monkeypatch):
+def test_blocks_of_a_large_bucket(spark):
     """Members that the hub does not reach are still linked, over several blocks."""
     rng = np.random.default_rng(1)
     prints = [rng.integers(0, 256, 64, np.uint8) for _ in range(4)]
-    nodes = [prints[i % 4].tobytes() for i in range(40)]
-    sketches = spark.createDataFrame(list(enumerate(nodes)), "node long, sketch binary")
-    members = sketches.selectExpr("1L as band", "node")
+    nodes = spark.createDataFrame([(i, prints[i % 4].tobytes(), None) for i in range(60)], "node long, sketch binary, value string")
+    members = nodes.selectExpr("1L as band", "node")
     none = spark.createDataFrame([], "node long, component long")
     close = np.arange(513) < 5
-    pairs = {(r.a, r.b) for r in near.open_candidates(members, sketches, none, close, block=7).collect()}
-    assert {frozenset(p) for p in pairs} == {frozenset((i, j)) for i in range(40) for j in range(i) if i % 4 == j % 4}
-    labels = sketches.selectExpr("node", "node % 4 as component")
-    assert near.open_candidates(members, sketches, labels, close, block=7).count() == 0
+    links = near.remaining_links(members, nodes, none, close, WithinRadius(), "t1", block=7, part=5)
+    got = {r.node: r.component for r in components(links).collect()}
+    assert got == {i: i % 4 for i in range(60)}
+    labels = nodes.selectExpr("node", "node % 4 as component")
+    assert near.remaining_links(members, nodes, labels, close, WithinRadius(), "t2", block=7, part=5).count() == 0
 
 
 def test_odd_input(spark):

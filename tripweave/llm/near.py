@@ -7,13 +7,16 @@ samples differ, precisely where the similarity is high, and so tells which candi
 worth comparing. Links are confirmed on the full sets: 100 * intersection >= 75 * union.
 
 No group is paired out. Texts with equal sets are one class with one representative. In a
-first round every representative is compared with one hub, the least member of its
-buckets; what that links is joined into components. A bucket whose members are all in one
-component has nothing more to tell. Only in the others, members outside the bucket's
-largest component are compared, by sketch, with the members of other components, in
-blocks of bounded size; pairs whose sketches are close enough are confirmed like the rest.
-So a link can be lost only where all bands miss (about 5e-6 at a similarity of 0.75, less
-above) or a sketch is off by more than ``SLACK`` (about 1e-6), and never by a group's size.
+first round every representative is compared with one hub: of its buckets' members the one
+that shares the most buckets with others, which in a group of edited copies is the text
+they were made from. What that links is joined into components. A bucket whose members
+are all in one component has nothing more to tell. The others form families, in which the
+members outside the family's largest component are compared with the members of other
+components, in blocks of bounded size: by sketch first, and where the sketches are close
+enough by the full sets, unless other links have joined their components meanwhile. Only
+links that join something leave the task. So a link can be lost only where all bands miss
+(about 5e-6 at a similarity of 0.75, less above) or a sketch is off by more than ``SLACK``
+(about 1e-6), and never by a group's size.
 
 Null texts and texts without words have an empty set, are linked with nothing and are
 their own component. A text with fewer words than a shingle is one shingle. Repeated rows
@@ -43,7 +46,8 @@ SAMPLES = 128
 BAND = 4
 BITS = 512
 SLACK = 0.2
-BLOCK = 1024
+BLOCK = 256
+PART = 512
 
 
 @lru_cache(maxsize=1)
@@ -134,78 +138,121 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _close_pairs(batches, allowed: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket, block, part: pairs of a probe and a member of another
-    component whose sketches are close enough."""
-    held: list[pa.RecordBatch] = []
+def _groups(batches, keys: int) -> Iterator[pa.Table]:
+    """The rows of each key, from batches sorted by their first columns."""
+    held, current = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)])
+        edges = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
+        cuts = [0, *edges.tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            key = tuple(values[:, start].tolist())
+            if key != current and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            current = key
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
 
-    def rows():
-        for batch in batches:
-            keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
-            edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            cuts = [0, *edges.tolist(), batch.num_rows]
-            for start, end in zip(cuts, cuts[1:], strict=False):
-                if end > start:
-                    yield tuple(keys[:, start].tolist()), batch.slice(start, end - start)
 
-    def pairs():
-        table = pa.Table.from_batches(held).combine_chunks()
-        held.clear()
+def _joining_links(batches, close: np.ndarray, alike) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by family, block, part: links between probes and members of other
+    components, each of which joins components that no link before it has joined."""
+    for table in _groups(batches, 3):
         node, component = (table.column(i).to_numpy() for i in (3, 4))
-        probe = table.column(6).to_numpy(zero_copy_only=False)
+        probe = table.column(6).to_numpy()
         sketch = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint64).reshape(len(node), -1)
         probes, members = np.flatnonzero(probe), np.flatnonzero(~probe)
-        for at in range(0, len(probes), 64):
-            some = probes[at : at + 64]
-            bits = np.bitwise_count(sketch[some][:, None, :] ^ sketch[members][None, :, :]).sum(axis=2)
-            close = allowed[bits] & (component[some][:, None] != component[members][None, :])
-            i, j = np.nonzero(close)
-            x, y = node[some[i]], node[members[j]]
-            yield np.minimum(x, y), np.maximum(x, y)
-
-    out, current = [], None
-
-    def done():
-        a, b = (np.concatenate(x) for x in zip(*out, strict=True))
-        out.clear()
-        both = np.unique(np.stack([a, b]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
-
-    for key, part in rows():
-        if key != current and held:
-            out += pairs()
-        current = key
-        held.append(part)
-        if sum(len(x[0]) for x in out) > 100_000:
-            yield done()
-    if held:
-        out += pairs()
-    if out:
-        yield done()
+        values = table.column(7)
+        sets: dict[int, object] = {}
+        parent: dict[int, int] = {}
 
+        def root(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = x = parent.get(up, up)
+            return x
 
-def open_candidates(members: DataFrame, sketches: DataFrame, labels: DataFrame, close: np.ndarray, block: int = BLOCK) -> DataFrame:
-    """Close pairs (a, b) across components, in buckets that hold more than one.
+        def value(i: int):
+            if (key := int(node[i])) not in sets:
+                sets[key] = alike.prepare(values[i].as_py())
+            return sets[key]
 
-    members: band, node; sketches: node, sketch (binary, whole 8-byte words); labels: node,
-    component. ``close`` says for each number of differing bits whether it is close.
+        a, b = [], []
+        for at in range(0, len(probes), 64):
+            some = probes[at : at + 64]
+            bits = np.bitwise_count(sketch[some][:, None, :] ^ sketch[members][None, :, :]).sum(axis=2)
+            wanted = close[bits] & (component[some][:, None] != component[members][None, :])
+            x, y = np.nonzero(wanted)
+            order = np.argsort(bits[x, y], kind="stable")
+            for i, j in zip(some[x[order]].tolist(), members[y[order]].tolist(), strict=True):
+                one, two = root(int(component[i])), root(int(component[j]))
+                if one != two and alike.linked(value(i), value(j)):
+                    parent[one] = two
+                    a.append(int(node[i]))
+                    b.append(int(node[j]))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+class SameShingles:
+    """Full shingle sets, similar by at least ``percent``."""
+
+    def __init__(self, percent: int = PERCENT):
+        self.percent = percent
+
+    def prepare(self, text: str | None) -> np.ndarray:
+        return next(iter(shingle_hashes([(text or "").encode()], SHINGLE)))
+
+    def linked(self, x: np.ndarray, y: np.ndarray) -> bool:
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * common >= self.percent * (len(x) + len(y) - common)
+
+
+def bucket_members(banded: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """banded (node, band) -> (band, node of the buckets with more than one; the pair of
+    each node with the most central node it shares a bucket with: a, b)."""
+    sizes = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(banded.join(sizes, "band"), f"{name}-members")
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    weighed = members.join(weights, "node").select("band", "node", F.struct("weight", "node").alias("rank"))
+    weighed = stored(weighed, f"{name}-weighed")
+    hubs = weighed.groupBy("band").agg(F.max("rank").alias("hub"))
+    best = weighed.join(hubs, "band").where(F.col("node") != F.col("hub")["node"]).groupBy("node").agg(F.max("hub").alias("hub"))
+    return members.select("band", "node"), best.select(F.col("hub")["node"].alias("a"), F.col("node").alias("b"))
+
+
+def remaining_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, close: np.ndarray, alike, name: str, block: int = BLOCK, part: int = PART) -> DataFrame:
+    """Links (a, b) that join components, in buckets that hold more than one.
+
+    members: band, node; nodes: node, sketch (binary, whole 8-byte words), value; labels:
+    node, component. ``close`` says for each number of differing bits whether it is worth
+    asking ``alike`` about the values.
     """
     labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = stored(labelled, "near-labelled")
-    parts = labelled.groupBy("band", "component").agg(F.count("*").alias("n"))
-    open_ = (
-        parts.groupBy("band")
-        .agg(F.sum("n").alias("rows"), F.count("*").alias("kinds"), F.max(F.struct("n", "component"))["component"].alias("main"))
-        .where("kinds > 1")
-    )
-    rows = labelled.join(open_, "band").join(sketches, "node")
+    labelled = stored(labelled, f"{name}-labelled")
+    kinds = labelled.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.min("node").alias("first"))
+    open_ = labelled.join(kinds.where("least <> most").select("band", "first"), "band").select("node", "component", "first")
+    open_ = stored(open_.distinct(), f"{name}-open")
+    families = components(open_.select(F.col("first").alias("a"), F.col("node").alias("b")))
+    placed = open_.select("node", "component").distinct().join(families.withColumnRenamed("component", "family"), "node")
+    placed = stored(placed, f"{name}-families")
+    sizes = placed.groupBy("family", "component").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("family").agg(F.sum("n").alias("rows"), F.max(F.struct("n", "component")).alias("main"))
+    rows = placed.join(sizes, "family").join(nodes, "node")
     blocks = F.ceil(F.col("rows") / block).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    every = F.sequence(F.lit(0), blocks - 1)
-    probes = rows.where("component <> main").select("band", F.explode(every).alias("block"), own.alias("part"), "node", "component", "sketch", F.lit(True).alias("probe"))
-    held = rows.select("band", own.alias("block"), F.explode(every).alias("part"), "node", "component", "sketch", F.lit(False).alias("probe"))
-    together = probes.unionAll(held).repartition("band", "block", "part").sortWithinPartitions("band", "block", "part")
-    return together.mapInArrow(lambda b: _close_pairs(b, close), "a long, b long").distinct()
+    parts = F.ceil((F.col("rows") - F.col("main")["n"]) / part).cast("int")
+    turn = F.xxhash64("node", F.lit(1))
+    own_block, own_part = F.pmod(turn, blocks).cast("int"), F.pmod(turn, parts).cast("int")
+    rest = ["node", "component", "sketch"]
+    probes = rows.where(F.col("component") != F.col("main")["component"])
+    probes = probes.select("family", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), own_part.alias("part"), *rest, F.lit(True).alias("probe"), "value")
+    held = rows.select("family", own_block.alias("block"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), *rest, F.lit(False).alias("probe"), "value")
+    key = ["family", "block", "part"]
+    together = probes.unionAll(held).repartition(*key).sortWithinPartitions(*key)
+    return together.mapInArrow(lambda b: _joining_links(b, close, alike), "a long, b long")
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -215,18 +262,14 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     classes = signed.where("set is not null").groupBy("set").agg(F.min("node").alias("leader"))
     leaders = signed.select("node", "sketch", "bands", "set").join(classes.select(F.col("leader").alias("node")), "node", "left_semi")
     leaders = stored(leaders.dropDuplicates(["node"]), "near-leaders")
-    banded = leaders.select("node", F.explode("bands").alias("band"))
-    hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = stored(banded.join(hubs, "band"), "near-members")
+    members, stars = bucket_members(leaders.select("node", F.explode("bands").alias("band")), "near")
     texts = plain.select(F.col("row").alias("node"), "text").join(members.select("node").distinct(), "node", "left_semi")
     texts = stored(texts.dropDuplicates(["node"]), "near-texts")
-    stars = members.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub"))
-    first = stored(confirmed(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")), texts, percent), "near-links")
-    labels = components(first)
+    first = stored(confirmed(stars, texts, percent), "near-links")
     close = estimates() >= percent / 100 - SLACK
-    pairs = open_candidates(members.select("band", "node"), leaders.select("node", "sketch"), labels, close)
-    links = first.unionAll(confirmed(stored(pairs, "near-pairs"), texts, percent))
-    labels = components(links).select(F.col("node").alias("leader"), "component")
+    nodes = leaders.select("node", "sketch").join(texts.withColumnRenamed("text", "value"), "node")
+    more = remaining_links(members, nodes, components(first), close, SameShingles(percent), "near")
+    labels = components(first.unionAll(more)).select(F.col("node").alias("leader"), "component")
     placed = signed.select("node", "id", "n_shingles", "set").join(classes, "set", "left").join(labels, "leader", "left")
     placed = placed.withColumn("component", F.coalesce("component", "leader", "node"))
     placed = stored(placed.select("node", "id", "n_shingles", "component"), "near-placed")

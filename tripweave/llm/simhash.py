@@ -9,8 +9,8 @@ the angle between their weighted term vectors, and the likeness is that angle's
 cut into blocks, and two fingerprints that differ in at most ``RADIUS`` bits agree in whole
 blocks wherever these differences lie; there is a table for each choice of the blocks that
 must agree. Only distinct fingerprints are looked up, so copies cost nothing, and no
-table's bucket is paired out: members are compared with the bucket's least one first, and
-then only across components, in blocks of bounded size.
+table's bucket is paired out: members are compared with the bucket's most central one
+first, and then only across components, in blocks of bounded size.
 
 The edited text of a document takes the place of its second half from the next document.
 Documents are range-sorted by id once; a task sees each one and its successor as they pass
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tripweave.llm.common import slices, stored
 from tripweave.llm.graphs import components
-from tripweave.llm.near import open_candidates
+from tripweave.llm.near import bucket_members, remaining_links
 from tripweave.llm.rolling import mixed
 from tripweave.llm.suffixes import keyed
 from tripweave.llm.words import all_shingle_hashes
@@ -177,6 +177,16 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return passed.where("edge is null").select(*names).unionByName(closed).withColumnRenamed("key", key)
 
 
+class WithinRadius:
+    """Fingerprints whose differing bits are few: nothing more to ask."""
+
+    def prepare(self, value) -> None:
+        return None
+
+    def linked(self, x, y) -> bool:
+        return True
+
+
 def near_classes(prints: DataFrame, column: str = "print", radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """Distinct fingerprints with the class each belongs to: print, near_class (the least
     fingerprint, in hexadecimal, reachable in steps of at most ``radius`` bits)."""
@@ -188,24 +198,19 @@ def near_classes(prints: DataFrame, column: str = "print", radius: int = RADIUS,
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.list_(pa.int64()))], names=["print", "node", "keys"])
 
     table = stored(distinct.mapInArrow(keys, "print binary, node long, keys array<long>"), "simhash-tables")
-    entries = table.select("node", F.explode("keys").alias("band"))
-    hubs = entries.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = stored(entries.join(hubs, "band"), "simhash-members")
+    members, stars = bucket_members(table.select("node", F.explode("keys").alias("band")), "simhash")
     own = table.select("node", "print")
 
     def words(c: str) -> list:
         return [F.conv(F.substring(F.hex(c), 1 + 8 * i, 8), 16, 10).cast("long") for i in range(BITS // 32)]
 
-    def within(pairs: DataFrame) -> DataFrame:
-        a, b = (own.select(F.col("node").alias(x), F.col("print").alias(f"print_{x}")) for x in "ab")
-        both = pairs.join(a, "a").join(b, "b")
-        differing = sum(F.bit_count(x.bitwiseXOR(y)) for x, y in zip(words("print_a"), words("print_b"), strict=True))
-        return both.where(differing <= radius).select("a", "b")
-
-    stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    first = stored(within(stars), "simhash-links")
+    a, b = (own.select(F.col("node").alias(x), F.col("print").alias(f"print_{x}")) for x in "ab")
+    both = stars.join(a, "a").join(b, "b")
+    differing = sum(F.bit_count(x.bitwiseXOR(y)) for x, y in zip(words("print_a"), words("print_b"), strict=True))
+    first = stored(both.where(differing <= radius).select("a", "b"), "simhash-links")
     close = np.arange(BITS + 1) <= radius
-    more = open_candidates(members.select("band", "node"), own.select("node", F.col("print").alias("sketch")), components(first), close)
+    nodes = own.select("node", F.col("print").alias("sketch"), F.lit(None).cast("string").alias("value"))
+    more = remaining_links(members, nodes, components(first), close, WithinRadius(), "simhash")
     labels = components(first.unionAll(more))
     placed = own.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = placed.groupBy("component").agg(F.lower(F.hex(F.min("print"))).alias("near_class"))

@@ -6,8 +6,8 @@ still is like the insult. It is normalised, and word ends count as letters. Land
 taken from words that labelled toxic texts have and clean ones have not, carry it into a
 vector space (Nyström: kernel values with the landmarks times the inverse root of the
 landmarks' own kernel matrix), where a linear machine is trained. A text scores by its
-most toxic words: the two largest margins go through a logistic curve that is fitted to
-the labelled texts.
+most toxic words: a mean of the two largest margins goes through a logistic curve; the
+shares in the mean and the curve are fitted to the labelled texts.
 
 Learning needs only whether a text is labelled toxic. It uses at most ``PER_CLASS``
 labelled texts of each class, those with the smallest hash of the id, and of their words
@@ -25,6 +25,7 @@ are left out. Other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -39,11 +40,13 @@ CANDIDATES = 600
 COUNTER = 3000
 LANDMARKS = 160
 WIDTH = 24
-DECAY = 0.5
+DECAY = 0.6
 GAPS = 3
 TRAINED = 3  # rows whose id hash, modulo this, is 1 are held out
 THRESHOLD = 0.7
 PUNCTUATION = b".,;:!?\"'()[]{}<>|/\\*&%$#@~`^_+=-"
+SHARES = (1.0, 0.75, 0.5, 0.25)  # of the largest margin in a text's mean
+LEAST = 0.3  # words that cannot reach this kernel value count as unlike any landmark
 CACHED = 300_000
 
 
@@ -64,11 +67,29 @@ def tokens(text: bytes) -> set[bytes]:
 
 
 def stretches(word: bytes) -> list[bytes]:
-    """A word with its ends marked, in overlapping stretches of ``WIDTH`` bytes."""
-    marked = b"\x02" + word.strip(PUNCTUATION) + b"\x03"
-    if len(marked) <= WIDTH:
-        return [marked]
-    return [marked[i : i + WIDTH] for i in range(0, len(marked) - WIDTH // 2, WIDTH // 2)]
+    """A word with its ends marked, in overlapping stretches of ``WIDTH`` bytes; one with
+    punctuation inside also without that."""
+    word = word.strip(PUNCTUATION)
+    bare = word if word.isalnum() else word.translate(None, PUNCTUATION)
+    out = []
+    for form in (word,) if bare == word else (word, bare):
+        marked = b"\x02" + form + b"\x03"
+        if len(marked) <= WIDTH:
+            out.append(marked)
+        else:
+            out += [marked[i : i + WIDTH] for i in range(0, len(marked) - WIDTH // 2, WIDTH // 2)]
+    return out
+
+
+def with_insertions(word: bytes, times: int = 2) -> list[bytes]:
+    """Copies of a marked word, each with one letter put in somewhere: what the machine is
+    to tolerate. Which letter and where follows from the word."""
+    seed = zlib.crc32(word)
+    inside = range(2, len(word) - 1)
+    if len(word) >= WIDTH or not inside:
+        return []
+    places = [inside[(seed >> 5 * i) % len(inside)] for i in range(times)]
+    return [word[:at] + bytes([97 + (seed >> 7 * i) % 26]) + word[at:] for i, at in enumerate(places)]
 
 
 def triples(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,8 +181,9 @@ class Model:
             return np.zeros(len(words))
         if self._table is None:
             self._table = Landmarks(self.landmarks)
-        parts = [s for w in words for s in stretches(w)]
-        owner = np.repeat(np.arange(len(words)), [max(1, len(stretches(w))) for w in words])
+        cut = [stretches(w) for w in words]
+        parts = [s for some in cut for s in some]
+        owner = np.repeat(np.arange(len(words)), [len(some) for some in cut])
         out = np.full(len(words), self.bias)
         chosen = np.flatnonzero(self._table.promising(parts, self.least))
         if len(chosen):
@@ -192,7 +214,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(a * tops[:, 0] + b * tops[:, 1] + c, -40, 40)))
 
 
-def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
+def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 3e-4) -> np.ndarray:
     """Squared-hinge support vector machine by Newton steps; the last column is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -210,18 +232,29 @@ def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """A logistic curve over two values, by damped Newton steps."""
+    """A logistic curve over a mean of two values, with the share of the first one that
+    fits best."""
+    best, curve = np.inf, (0.0, 0.0, 0.0)
+    for share in SHARES:
+        slope, start = _logistic(x @ np.array([[share], [1 - share]]), y).tolist()
+        z = (2 * y - 1) * (slope * (x @ np.array([share, 1 - share])) + start)
+        loss = np.logaddexp(0, -z).sum()
+        if loss < best:
+            best, curve = loss, (share * slope, (1 - share) * slope, start)
+    return curve
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(3)
-    for _ in range(60):
+    ridge = np.r_[np.full(x.shape[1] - 1, 0.05), 1e-6]
+    w = np.zeros(x.shape[1])
+    for _ in range(80):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        grad = x.T @ (p - y) + np.array([1e-2, 1e-2, 0]) * w
-        hess = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag([1e-2, 1e-2, 1e-6])
-        step = np.linalg.solve(hess, grad)
-        w -= step * min(1, 5 / max(np.abs(step).max(), 1e-9))
+        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * w)
+        w -= step * min(1, 4 / max(np.abs(step).max(), 1e-9))
         if np.abs(step).max() < 1e-6:
             break
-    return tuple(w.tolist())
+    return w
 
 
 def spread_landmarks(words: list[bytes], n: int) -> list[bytes]:
@@ -291,18 +324,22 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     clean = counts.where("good > 0 and (bad = 0 or good >= bad)").select("word", "good").mapInArrow(likeness, "word binary, good int, near double")
     # the clean words most like a suspect, and some of every kind
     hard = clean.orderBy(F.desc("near"), "word").limit(COUNTER).union(clean.orderBy(F.xxhash64("word"), "word").limit(COUNTER // 3))
-    good = {bytes(r.word) for r in hard.collect()}
+    # a clean word counts for more the more texts have it and the more it is like a suspect
+    good = {bytes(r.word): r.good**0.5 * (r.near + 0.02) for r in hard.collect()}
+    heavy = sorted(good, key=lambda w: (-good[w], w))[: LANDMARKS // 2]
     positive, negative = [b"\x02" + w + b"\x03" for w in bad], [b"\x02" + w + b"\x03" for w in good]
-    landmarks = spread_landmarks(positive, 3 * LANDMARKS // 4) + spread_landmarks(negative, LANDMARKS // 4)
+    landmarks = spread_landmarks(positive, LANDMARKS // 2) + [b"\x02" + w + b"\x03" for w in heavy]
     table = Landmarks(landmarks)
     own = table.kernel(landmarks).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     root = vectors * (1 / np.sqrt(np.maximum(values, 1e-3)))[None, :]
-    x = table.kernel(positive + negative).astype(np.float64) @ root
-    y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-    weight = np.r_[np.full(len(positive), 1 / len(positive)), np.full(len(negative), 1 / len(negative))]
+    changed = [v for w in positive for v in with_insertions(w)]
+    x = table.kernel(positive + changed + negative).astype(np.float64) @ root
+    y = np.r_[np.ones(len(positive) + len(changed)), -np.ones(len(negative))]
+    evidence = np.array([e for _, e in suspects])
+    weight = np.r_[evidence / evidence.sum(), np.full(len(changed), 0.1 / max(1, len(changed))), np.array(list(good.values())) / sum(good.values())]
     w = machine(x, y, weight)
-    model = Model(landmarks, root @ w[:-1], float(w[-1]), (1.0, 0.0, 0.0), 0.3)
+    model = Model(landmarks, root @ w[:-1], float(w[-1]), (1.0, 0.0, 0.0), LEAST)
 
     def tops(batches):
         for batch in slices(batches, 0):
