@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripweave.llm import bpe, chat, exact, near, packing, simhash, suffixes, toxicity
+from tripweave.llm import bpe, chat, exact, near, packing, simhash, suffix_tree, suffixes, toxicity
 from tripweave.llm.common import bucket_of, documents, stored
 
 
@@ -15,6 +15,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(extra)))
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_texts(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
@@ -74,6 +78,7 @@ def op9_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_suffix_tree": op2_suffix_tree,
     "op3_string_kernel": op3_string_kernel,
     "op4_vector_packing": op4_vector_packing,
     "op5_tree_bpe": op5_tree_bpe,
