@@ -117,9 +117,10 @@ def _rank(chars: int, key, row: int) -> tuple:
     return (-chars, key is None, key if key is not None else 0, row)
 
 
-def digests(docs: DataFrame, key: str, text: str) -> DataFrame:
+def digests(docs: DataFrame, key: str, text: str, row: str | None = None) -> DataFrame:
     """One row per document with its digest; the first row of each distinct text of a batch
-    also carries the content, how many rows of the batch have it and the best of them."""
+    also carries the content, how many rows of the batch have it and the best of them.
+    ``row``: a column of unique numbers for the rows; without it they are counted."""
     kind = dict(docs.dtypes)[key]
     schema = DIGESTS.format(kind=kind)
 
@@ -127,20 +128,21 @@ def digests(docs: DataFrame, key: str, text: str) -> DataFrame:
         numbers = row_numbers()
         for batch in slices(batches, 1):
             keys = batch.column(0).to_pylist()
+            own = batch.column(2).to_pylist() if row else None
             chars = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()
             found: dict[bytes, list] = {}
             rows = []
-            for k, n, raw in zip(keys, chars, utf8(batch.column(1)), strict=True):
-                row, content = next(numbers), normal(raw)
+            for i, (k, n, raw) in enumerate(zip(keys, chars, utf8(batch.column(1)), strict=True)):
+                number, content = own[i] if own else next(numbers), normal(raw)
                 group = found.get(content)
                 if group is None:
                     digest = hashlib.sha256(content).digest()
-                    found[content] = group = [len(rows), (n, k, row), 0, row, digest]
-                    rows.append([row, k, n, digest, row, content, None, None, None, None])
+                    found[content] = group = [len(rows), (n, k, number), 0, number, digest]
+                    rows.append([number, k, n, digest, number, content, None, None, None, None])
                 else:
-                    rows.append([row, k, n, group[4], group[3], None, None, None, None, None])
-                    if _rank(n, k, row) < _rank(*group[1]):
-                        group[1] = (n, k, row)
+                    rows.append([number, k, n, group[4], group[3], None, None, None, None, None])
+                    if _rank(n, k, number) < _rank(*group[1]):
+                        group[1] = (n, k, number)
                 group[2] += 1
             for at, best, n, _, _ in found.values():
                 rows[at][6:] = [*best, n]
@@ -149,13 +151,13 @@ def digests(docs: DataFrame, key: str, text: str) -> DataFrame:
             names = [x.split()[0] for x in schema.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text, *([row] if row else [])).mapInArrow(run, schema)
 
 
-def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", budget: int = TABLE_BYTES) -> DataFrame:
+def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", budget: int = TABLE_BYTES, row: str | None = None) -> DataFrame:
     """key, keep_id, keep_row, row, group_size, n_chars, digest, kept: one row per document."""
     kind = dict(docs.dtypes)[key]
-    every = stored(digests(docs, key, text), "exact-digests")
+    every = stored(digests(docs, key, text, row), "exact-digests")
     firsts = every.where("n is not null").select("digest", "content", "first", "best_chars", "best_id", "best_row", "n")
 
     def grouped(batches):
@@ -186,3 +188,11 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", budget
     # a batch's first row stands for no more rows than a batch has: no hot key here
     joined = every.select("row", F.col("id").alias(key), "n_chars", "digest", "first").join(classes, "first")
     return joined.drop("first").withColumn("kept", F.col("row") == F.col("keep_row"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    row = next(name for i in range(len(docs.columns) + 1) if (name := f"row_{i}") not in docs.columns)
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "exact-rows")
+    kept = exact_dedup(numbered, key, text, row=row).where("kept").select(F.col("row").alias(row))
+    return numbered.join(kept, row, "left_semi").drop(row)

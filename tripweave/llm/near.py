@@ -256,7 +256,10 @@ def remaining_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, clo
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """key, n_shingles, component_id, kept: one row per row."""
+    """key, n_shingles, component_id, kept, row, stays: one row per row.
+
+    ``kept``: its id is the component's name. ``row`` is a hash of id and text, ``stays``
+    marks one such row of each component."""
     plain = keyed(docs, key, text)
     signed = stored(signatures(plain, key), "near-signatures")
     classes = signed.where("set is not null").groupBy("set").agg(F.min("node").alias("leader"))
@@ -274,6 +277,22 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     placed = placed.withColumn("component", F.coalesce("component", "leader", "node"))
     placed = stored(placed.select("node", "id", "n_shingles", "component"), "near-placed")
     # a component's name is its smallest id; its rows meet the name, not each other
-    names = placed.groupBy("component").agg(F.min("id").alias("component_id"))
+    at = F.struct(F.col("id").isNull().alias("none"), "id", "node")
+    names = placed.groupBy("component").agg(F.min(at).alias("first"))
     named = placed.join(names, "component")
-    return named.select(F.col("id").alias(key), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return named.select(
+        F.col("id").alias(key),
+        "n_shingles",
+        F.col("first.id").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("first.id")).alias("kept"),
+        F.col("node").alias("row"),
+        (F.col("node") == F.col("first.node")).alias("stays"),
+    )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each component, with all their columns."""
+    found = near_dedup(docs, key, text, percent).where("stays").select("row").distinct()
+    row = F.xxhash64(F.col(key), F.coalesce(F.col(text), F.lit("")))
+    everything = docs.select(row.alias("row"), F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
+    return everything.join(found, "row", "left_semi").select("doc.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripweave.llm import bpe, chat, exact, near, packing, simhash, suffix_tree, suffixes, toxicity
+from tripweave.llm import bpe, chat, exact, lines, near, packing, simhash, suffix_tree, suffixes, toxicity
 from tripweave.llm.common import bucket_of, documents, stored
 
 
@@ -41,7 +41,8 @@ def op5_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.near_dedup(documents(spark, sf_dir, "doc_id", "text"))
+    rows = near.near_dedup(documents(spark, sf_dir, "doc_id", "text"))
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op7_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +77,11 @@ def op9_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines.line_dedup(documents(spark, sf_dir, "doc_id", "text"))
+    return rows.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_suffix_tree": op2_suffix_tree,
@@ -86,9 +92,36 @@ QUERIES = {
     "op7_grace_dedup": op7_grace_dedup,
     "op8_simhash": op8_simhash,
     "op9_radix_repeats": op9_radix_repeats,
+    "op10_line_suffixes": op10_line_suffixes,
 }
 
 ORACLES = {
+    "op10_line_suffixes": """
+        with split as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+        window_ as (
+            select doc_id, pos, list_slice(ls, pos + 1, pos + 3) as win
+            from split, unnest(range(0, greatest(len(ls) - 2, 0))) as t(pos)
+        ), first_ as (
+            select doc_id, pos, first_value(doc_id) over w as fdoc, first_value(pos) over w as fpos
+            from window_ window w as (partition by win order by doc_id, pos)
+        ), later as (
+            select *, pos - row_number() over (partition by doc_id, fdoc, pos - fpos order by pos) as island
+            from first_ where not (doc_id = fdoc and pos = fpos)
+        ), longest as (
+            select doc_id, max(n) + 2 as longest_copy
+            from (select doc_id, count(*) as n from later group by doc_id, fdoc, pos - fpos, island) group by doc_id
+        ), gone as (select distinct doc_id, pos + k as i from later, unnest([0, 1, 2]) as t(k)),
+        lines_ as (
+            select s.doc_id, i, ls[i + 1] as line from split s, unnest(range(0, len(ls))) as t(i)
+        ), marked as (
+            select l.*, g.i is not null as dropped, lag(g.i is not null, 1, false) over (partition by l.doc_id order by l.i) as before
+            from lines_ l left join gone g using (doc_id, i)
+        )
+        select m.doc_id, count(*) as n_lines, count(*) filter (dropped) as n_removed,
+               count(*) filter (dropped and not before) as n_runs, coalesce(any_value(longest_copy), 0) as longest_copy,
+               sha256(coalesce(string_agg(line, chr(10) order by i) filter (not dropped), '')) as kept_sha256
+        from marked m left join longest using (doc_id) group by m.doc_id
+    """,
     "op1_chat_format": """
         with rows_ as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

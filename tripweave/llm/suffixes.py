@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tripweave.llm.common import slices, stored, text_or_empty, utf8
 from tripweave.llm.rolling import LIMIT, Rolling, mixed, sliding_min
@@ -277,9 +277,9 @@ def _window_pass(batches, length: int, step: int):
         yield done()
 
 
-def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+def keyed(docs: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
     """key, text, row: a number that says key and text, whatever order rows are read in."""
-    plain = docs.select(F.col(key), text_or_empty(text).alias("text"))
+    plain = docs.select(F.col(key), text_or_empty(text).alias("text"), *more)
     return plain.withColumn("row", F.xxhash64(F.col(key), F.col("text")))
 
 
@@ -337,14 +337,15 @@ def _whole_characters(text: bytes, start: int, end: int) -> tuple[int, int]:
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, k: int = K, whole_characters: bool = False) -> DataFrame:
-    """key, n_bytes, spans (array of start, end in bytes), kept (binary): one row per row.
+    """key, n_bytes, spans (array of start, end in bytes), kept (binary), others (the
+    further columns of ``docs``, as a struct): one row per row.
 
     ``whole_characters`` leaves a character at the edge of a span in place when only a part
     of its bytes is repeated, so that ``kept`` is UTF-8.
     """
-    texts = keyed(docs, key, text)
+    rest = [F.col(c) for c in docs.columns if c not in (key, text)]
+    texts = keyed(docs, key, text, F.struct(*(rest or [F.lit(0).alias("none")])).alias("others"))
     spans = repeated_stretches(texts, length, k).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("stretches"))
-    kind = dict(texts.dtypes)[key]
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def cut(batches):
@@ -360,9 +361,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 sizes.append(len(raw))
                 spans.append([{"start": a, "end": b} for a, b in runs])
                 kept.append(b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)))
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, span_type), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "n_bytes", "spans", "kept"])
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, span_type), pa.array(kept, pa.binary()), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n_bytes", "spans", "kept", "others"])
 
-    joined = texts.join(spans, "row", "left").select(F.col(key).alias("key"), "text", "stretches")
-    done = joined.mapInArrow(cut, f"key {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    joined = texts.join(spans, "row", "left").select(F.col(key).alias("key"), "text", "stretches", "others")
+    span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+    kinds = [("key", joined.schema["key"].dataType), ("n_bytes", T.LongType()), ("spans", span), ("kept", T.BinaryType()), ("others", joined.schema["others"].dataType)]
+    done = joined.mapInArrow(cut, T.StructType([T.StructField(*k) for k in kinds]))
     return done.withColumnRenamed("key", key)
