@@ -25,6 +25,7 @@ are left out. Other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -46,29 +47,23 @@ TRAINED = 3  # rows whose id hash, modulo this, is 1 are held out
 THRESHOLD = 0.7
 PUNCTUATION = b".,;:!?\"'()[]{}<>|/\\*&%$#@~`^_+=-"
 SHARES = (1.0, 0.75, 0.5, 0.25)  # of the largest margin in a text's mean
-LEAST = 0.3  # words that cannot reach this kernel value count as unlike any landmark
-CACHED = 300_000
+FLOOR = -1.0  # no word counts for less than this margin
+CACHED = 200_000
+SPACED = re.compile(rb"(?<![^\x20\x09-\x0d])(?:\w[\x20\x09-\x0d]+){2,}\w(?![^\x20\x09-\x0d])")
 
 
 def tokens(text: bytes) -> set[bytes]:
     """The distinct words of a text."""
-    words = text.split()
-    found = set(words)
-    if any(len(w) == 1 for w in found):
-        run: list[bytes] = []
-        for w in [*words, b"  "]:
-            if len(w) == 1 and w.isalnum():
-                run.append(w)
-            else:
-                if len(run) > 2:
-                    found.add(b"".join(run))
-                run = []
+    found = set(text.split())
+    found.update(b"".join(run.split()) for run in SPACED.findall(text))
     return found
 
 
 def stretches(word: bytes) -> list[bytes]:
     """A word with its ends marked, in overlapping stretches of ``WIDTH`` bytes; one with
     punctuation inside also without that."""
+    if word.isalnum() and len(word) + 2 <= WIDTH:
+        return [b"\x02" + word + b"\x03"]
     word = word.strip(PUNCTUATION)
     bare = word if word.isalnum() else word.translate(None, PUNCTUATION)
     out = []
@@ -92,30 +87,38 @@ def with_insertions(word: bytes, times: int = 2) -> list[bytes]:
     return [word[:at] + bytes([97 + (seed >> 7 * i) % 26]) + word[at:] for i, at in enumerate(places)]
 
 
-def triples(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number, letters in one number, weight) of every gapped triple."""
-    letters = np.array(words, f"S{WIDTH}").view(np.uint8).reshape(len(words), WIDTH).astype(np.uint32)
-    number, code, weight = [], [], []
-    for one in range(1, GAPS + 1):
-        for two in range(1, GAPS + 1):
-            n = WIDTH - one - two
-            third = letters[:, one + two :]
-            row, at = np.nonzero(third)
-            number.append(row)
-            code.append(letters[:, :n][row, at] << 16 | letters[:, one : one + n][row, at] << 8 | third[row, at])
-            weight.append(np.full(len(row), DECAY ** (one + two - 2), np.float32))
-    return np.concatenate(number), np.concatenate(code), np.concatenate(weight)
+STEPS = [(one, two, DECAY ** (one + two - 2)) for one in range(1, GAPS + 1) for two in range(1, GAPS + 1)]
+
+
+def laid_out(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words' letters with zeros between them, the word of each, and each word's
+    length in the kernel's space."""
+    gap = bytes(2 * GAPS)
+    letters = np.frombuffer(gap.join(words) + gap, np.uint8).astype(np.uint32)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    owner = np.repeat(np.arange(len(words)), sizes + len(gap))
+    square = sum(weight**2 * np.maximum(sizes - one - two, 0) for one, two, weight in STEPS)
+    return letters, owner, np.sqrt(np.maximum(square, 1e-9))
+
+
+def triples(letters: np.ndarray, one: int, two: int) -> np.ndarray:
+    """For each place the three letters of a gapped triple in one number, 0 for none."""
+    n = len(letters) - one - two
+    first, second, third = letters[:n], letters[one : one + n], letters[one + two :]
+    return np.where((first > 0) & (second > 0) & (third > 0), first << 16 | second << 8 | third, 0)
 
 
 def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Like ``triples``, with one entry for each triple of a word, and unit length."""
-    number, code, weight = triples(words)
-    key = number.astype(np.int64) << 24 | code
-    distinct, where = np.unique(key, return_inverse=True)
-    total = np.bincount(where, weight, len(distinct))
-    number, code = distinct >> 24, distinct & 0xFFFFFF
-    norm = np.sqrt(np.bincount(number, total**2, len(words)))
-    return number, code, total / np.maximum(norm[number], 1e-9)
+    """(word number, triple, value) of every gapped triple; values in unit length."""
+    letters, owner, length = laid_out(words)
+    number, code, value = [], [], []
+    for one, two, weight in STEPS:
+        found = triples(letters, one, two)
+        at = np.flatnonzero(found)
+        number.append(owner[at])
+        code.append(found[at])
+        value.append(weight / length[owner[at]])
+    return np.concatenate(number), np.concatenate(code), np.concatenate(value)
 
 
 class Landmarks:
@@ -125,87 +128,70 @@ class Landmarks:
         self.words = words
         number, code, value = features(words)
         self.codes, where = np.unique(code, return_inverse=True)
-        self.values = np.zeros((len(self.codes), len(words)), np.float32)
-        self.values[where, number] = value
-        self.known = np.zeros(1 << 24, bool)
-        self.known[self.codes] = True
+        self.values = np.zeros((len(self.codes), len(words)))
+        np.add.at(self.values, (where, number), value)
 
     def kernel(self, words: list[bytes]) -> np.ndarray:
-        out = np.zeros((len(words), len(self.words)), np.float32)
-        for at in range(0, len(words), 2048):
-            number, code, value = features(words[at : at + 2048])
-            hit = self.known[code]
-            number, value = number[hit], value[hit]
-            rows = np.searchsorted(self.codes, code[hit])
-            if len(rows):
-                starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
-                out[at + number[starts]] = np.add.reduceat(self.values[rows] * value[:, None].astype(np.float32), starts)
-        return out
-
-    def promising(self, words: list[bytes], least: float) -> np.ndarray:
-        """Which words share with the landmarks, taken together, at least so large a part
-        of their triples that a kernel value of ``least`` is possible: by Cauchy-Schwarz no
-        value is larger than the length of that part of the word's unit vector."""
-        out = np.zeros(len(words), bool)
-        for at in range(0, len(words), 8192):
-            some = words[at : at + 8192]
-            number, code, weight = triples(some)
-            hit = self.known[code]
-            # with a triple more than once in a word, its square is at most this
-            shared = np.bincount(number[hit], weight[hit], len(some))
-            single = np.bincount(number, weight.astype(np.float64) ** 2, len(some))
-            out[at : at + 8192] = shared >= least * np.sqrt(np.maximum(single, 1e-9))
+        out = np.zeros((len(words), len(self.words)))
+        for at in range(0, len(words), 256):
+            number, code, value = features(words[at : at + 256])
+            rows = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            hit = self.codes[rows] == code
+            np.add.at(out, at + number[hit], self.values[rows[hit]] * value[hit][:, None])
         return out
 
 
 @dataclass
 class Model:
-    """All that scoring needs; of fixed size."""
+    """All that scoring needs; of fixed size. The machine's margin is linear in the kernel
+    values and these are linear in a word's triples, so each triple has one share in it."""
 
-    landmarks: list[bytes]
-    directions: np.ndarray
+    codes: np.ndarray
+    shares: np.ndarray
     bias: float
     curve: tuple[float, float, float]
-    least: float
 
     def __post_init__(self):
-        self._table = None
-        self._young: dict[bytes, float] = {}
+        self._known = None
+        self._seen: set[bytes] = set()
+        self._marked: dict[bytes, float] = {}
 
     def __getstate__(self):
-        return {**self.__dict__, "_table": None, "_young": {}}
+        return {**self.__dict__, "_known": None, "_seen": set(), "_marked": {}}
 
     def margins(self, words: list[bytes]) -> np.ndarray:
-        """The margin of each word; no word is below the bias of a word like no landmark."""
-        if not self.landmarks:
-            return np.zeros(len(words))
-        if self._table is None:
-            self._table = Landmarks(self.landmarks)
+        """The margin of each word: of its stretches the largest."""
+        if not words or not len(self.codes):
+            return np.full(len(words), self.bias)
+        if self._known is None:
+            self._known = np.zeros(1 << 24, bool)
+            self._known[self.codes] = True
         cut = [stretches(w) for w in words]
-        parts = [s for some in cut for s in some]
-        owner = np.repeat(np.arange(len(words)), [len(some) for some in cut])
-        out = np.full(len(words), self.bias)
-        chosen = np.flatnonzero(self._table.promising(parts, self.least))
-        if len(chosen):
-            value = self._table.kernel([parts[i] for i in chosen]) @ self.directions + self.bias
-            np.maximum.at(out, owner[chosen], value)
-        return out
+        letters, part, length = laid_out([s for some in cut for s in some])
+        total = np.zeros(len(length))
+        for one, two, weight in STEPS:
+            found = triples(letters, one, two)
+            at = np.flatnonzero(self._known[found])
+            total += np.bincount(part[at], weight * self.shares[np.searchsorted(self.codes, found[at])], len(length))
+        starts = np.cumsum([0, *map(len, cut[:-1])])
+        return np.maximum.reduceat(total / length, starts) + self.bias
 
     def top_two(self, texts: Iterable[bytes]) -> np.ndarray:
         """The two largest margins of each text's words."""
         sets = [tokens(t) for t in texts]
         every = set().union(*sets) if sets else set()
-        young = self._young
-        new = [w for w in every if w not in young]
-        if new:
-            if len(young) + len(new) > CACHED:
-                self._young = young = {w: young[w] for w in every if w in young}
-            young.update(zip(new, self.margins(new).tolist(), strict=True))
-        out = np.full((len(sets), 2), self.bias)
-        get = young.__getitem__
+        new = list(every - self._seen)
+        if len(self._seen) + len(new) > CACHED:  # begin anew with the words at hand
+            self._seen, self._marked = set(), {}
+            new = list(every)
+        self._seen.update(new)
+        margins = self.margins(new)
+        raised = np.flatnonzero(margins > FLOOR)
+        self._marked.update((new[i], float(margins[i])) for i in raised.tolist())
+        out = np.full((len(sets), 2), FLOOR)
+        known = self._marked
         for i, words in enumerate(sets):
-            if words:
-                best = sorted(map(get, words))[-2:]
+            if best := sorted(known[w] for w in words if w in known)[-2:]:
                 out[i, : len(best)] = best[::-1]
         return out
 
@@ -282,7 +268,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, per_class
 
 def _each_word(batches):
     """Distinct words per text and label."""
-    for batch in slices(batches, 0):
+    for batch in slices(batches, 0, 2 << 20):
         words, marks = [], []
         for raw, toxic in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True):
             own = {w.strip(PUNCTUATION) for w in tokens(raw)}
@@ -297,7 +283,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     sample = stored(sample.select(F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"), "toxic"), "toxicity-sample")
     sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(1) or not sizes.get(0):
-        return Model([], np.zeros(0), 0.0, (0.0, 0.0, -40.0), 1.0)
+        return Model(np.zeros(0, np.int64), np.zeros(0), FLOOR, (0.0, 0.0, -40.0))
     words = sample.mapInArrow(_each_word, "word binary, toxic int").where(F.octet_length("word").between(3, WIDTH - 2))
     counts = words.groupBy("word").agg(F.sum("toxic").cast("int").alias("bad"), F.sum(1 - F.col("toxic")).cast("int").alias("good"))
     counts = stored(counts, "toxicity-words")
@@ -309,7 +295,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     picked = strong.orderBy(F.desc("evidence"), "word").limit(CANDIDATES).collect()
     suspects = [(bytes(r.word), r.evidence) for r in picked]
     if not suspects:
-        return Model([], np.zeros(0), 0.0, (0.0, 0.0, -40.0), 1.0)
+        return Model(np.zeros(0, np.int64), np.zeros(0), FLOOR, (0.0, 0.0, -40.0))
     best = suspects[0][1]
     suspects = [(w, e) for w, e in suspects if e >= best / 8]
     bad = [w for w, _ in suspects]
@@ -318,7 +304,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     def likeness(batches):
         for batch in batches:
             words = [b"\x02" + w + b"\x03" for w in batch.column(0).to_pylist()]
-            near = probe.kernel(words).max(axis=1).astype(np.float64) if words else []
+            near = probe.kernel(words).max(axis=1) if words else []
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.float64())], names=["word", "good", "near"])
 
     clean = counts.where("good > 0 and (bad = 0 or good >= bad)").select("word", "good").mapInArrow(likeness, "word binary, good int, near double")
@@ -330,19 +316,19 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     positive, negative = [b"\x02" + w + b"\x03" for w in bad], [b"\x02" + w + b"\x03" for w in good]
     landmarks = spread_landmarks(positive, LANDMARKS // 2) + [b"\x02" + w + b"\x03" for w in heavy]
     table = Landmarks(landmarks)
-    own = table.kernel(landmarks).astype(np.float64)
+    own = table.kernel(landmarks)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     root = vectors * (1 / np.sqrt(np.maximum(values, 1e-3)))[None, :]
     changed = [v for w in positive for v in with_insertions(w)]
-    x = table.kernel(positive + changed + negative).astype(np.float64) @ root
+    x = table.kernel(positive + changed + negative) @ root
     y = np.r_[np.ones(len(positive) + len(changed)), -np.ones(len(negative))]
     evidence = np.array([e for _, e in suspects])
     weight = np.r_[evidence / evidence.sum(), np.full(len(changed), 0.1 / max(1, len(changed))), np.array(list(good.values())) / sum(good.values())]
     w = machine(x, y, weight)
-    model = Model(landmarks, root @ w[:-1], float(w[-1]), (1.0, 0.0, 0.0), LEAST)
+    model = Model(table.codes, table.values @ (root @ w[:-1]), float(w[-1]), (1.0, 0.0, 0.0))
 
     def tops(batches):
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, 2 << 20):
             top = model.top_two(utf8(batch.column(0)))
             yield pa.RecordBatch.from_arrays([pa.array(top[:, 0]), pa.array(top[:, 1]), batch.column(1)], names=["one", "two", "toxic"])
 
@@ -360,7 +346,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: Iterable[str]
     rows = docs.select(lowered, F.struct(*[F.col(c) for c in kept]).alias("row"))
 
     def run(batches):
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, 2 << 20):
             marks = model.probability(model.top_two(utf8(batch.column(0))))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(marks, pa.float64())], names=["row", "score"])
 
