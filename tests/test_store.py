@@ -39,9 +39,63 @@ def test_days_are_appended_once(spark, store, tmp_path):
 
 def test_ragged_rows_drop(spark, tmp_path):
     path = tmp_path / "x.csv"
-    path.write_text("a,b\n1,2\n3,4,5,6\n7,8\n")
-    rows = tables.read_csv(spark, str(path), schemas.text_schema(["a", "b"]))
-    assert sorted(map(tuple, rows.collect())) == [("1", "2"), ("7", "8")]
+    path.write_text("b,more,a\n2,x,1\n3,x,4,5\n7\n8,y,9\n")
+    rows = tables.read_csv(spark, str(path), ["a", "b"])
+    assert rows.columns == ["b", "more", "a"]
+    assert sorted(map(tuple, rows.select("a", "b").collect())) == [("1", "2"), ("9", "8")]
+    for narrow in (rows, rows.select("a"), rows.select("b", "more")):
+        assert narrow.count() == 2 and len(narrow.collect()) == 2
+    with pytest.raises(ValueError, match="c"):
+        tables.read_csv(spark, str(path), ["a", "c"])
+
+
+def test_census_files_by_header(spark, store, tmp_path):
+    path = tmp_path / "income.csv"
+    path.write_text(
+        "Periodo;Indicadores;Total;Secciones;Distritos;Municipios\n"
+        "2023;Renta neta;10.000,5;4600101001 s;4600101 d;46001 M\n"
+        "2023;Renta bruta;99.000;4600101001 s;4600101 d;46001 M\n"
+    )
+    got = jobs.economy_job(store, str(path), 2023, indicator="neta").collect()
+    assert [(r.municipality_code, r.section_code, r.avg_income) for r in got] == [("46001", "4600101001", 10000.5)]
+
+
+def test_an_emptied_day_goes(spark, store):
+    holidays = calendar.holidays_between(spark, 2024, 2024)
+    columns = "date string, hour_period string, origin_zone string, destination_zone string, trips string"
+    row = lambda day, origin: (day, "01", origin, "46002", "1")
+    first = spark.createDataFrame([row("20240101", "46001"), row("20240102", "46001")], columns)
+    mobility.replace_days(store, first, holidays)
+    mobility.replace_days(store, spark.createDataFrame([row("20240102", "FR1")], columns), holidays)
+    left = store.read(mobility.SILVER, schemas.SILVER_TRIPS).collect()
+    assert [r.date for r in left] == [dt.date(2024, 1, 1)]
+    raw = spark.createDataFrame([("m", "1 de enero de 2022", "5")], "Municipios string, Periodo string, Total string")
+    census.load_year(store, raw, "p", 2023, source_year=2022, overwrite=True)
+    census.load_year(store, raw, "p", 2023, source_year=2000, overwrite=True)
+    assert store.read("p", T.StructType([*raw.schema.fields, T.StructField("year", T.IntegerType())])).count() == 0
+
+
+def test_load_then_stream(spark, store, tmp_path):
+    holidays = calendar.holidays_between(spark, 2024, 2024)
+    loaded = day_file(tmp_path / "in", "20240101", [("01", "46001", "46002", "1")] * 3)
+    trips.append_days(store, trips.to_bronze(trips.scan_trip_files(spark, loaded)))
+    day_file(tmp_path / "landing", "20240102", [("01", "46001", "46002", "2")] * 2)
+    stream_trip_files(store, str(tmp_path / "landing"), str(tmp_path / "checkpoint"), holidays)
+    trips.append_days(store, trips.to_bronze(trips.scan_trip_files(spark, loaded)))
+    counts = {r.date: r["count"] for r in store.read(trips.BRONZE, schemas.BRONZE_TRIPS).groupBy("date").count().collect()}
+    assert counts == {"20240101": 3, "20240102": 2}
+
+
+def test_appending_does_not_shuffle_the_delivery(spark, store):
+    rows = spark.range(100).selectExpr("id", "cast(id % 5 as int) as k")
+    store.refresh(rows.where("k < 2"), "t", ["k"])
+    seen = []
+    store._write = lambda fresh, *rest: seen.append(fresh)
+    store.append_new(rows, "t", "k", rows.schema)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    delivery = plan[: plan.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in delivery and "Exchange hashpartitioning" not in delivery
+    assert seen[0].count() == 60
 
 
 def test_partitions_replaced(spark, store):

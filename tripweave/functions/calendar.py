@@ -13,23 +13,19 @@ DAY_TYPE_LABELS = {
     6: "Saturday",
     8: "Holiday",
 }
+HOLIDAY = 8
+# The code of each day of the week, Monday first.
+WEEK = [1, 2, 2, 2, 5, 6, 0]
 
 # National days with a fixed date, as (month, day).
 FIXED_DAYS = [(1, 1), (1, 6), (5, 1), (8, 15), (10, 12), (11, 1), (12, 6), (12, 8), (12, 25)]
 
 
 def day_type(date: Column, is_holiday: Column) -> Column:
-    """Holiday 8, Sunday 0, Monday 1, Tuesday to Thursday 2, Friday 5, Saturday 6."""
-    weekday = F.weekday(date)
-    return (
-        F.when(F.coalesce(is_holiday, F.lit(False)), 8)
-        .when(weekday == 6, 0)
-        .when(weekday == 0, 1)
-        .when(weekday.isin(1, 2, 3), 2)
-        .when(weekday == 4, 5)
-        .when(weekday == 5, 6)
-        .otherwise(-1)
-    )
+    """The code of the weekday, read from a table of seven; on a holiday the holiday's.
+    NULL for a NULL date."""
+    of_week = F.get(F.array(*[F.lit(code) for code in WEEK]), F.weekday(date))
+    return F.when(is_holiday, HOLIDAY).otherwise(of_week)
 
 
 def day_type_label(code: Column) -> Column:

@@ -16,9 +16,11 @@ def has_all(*columns: str) -> Column:
 def to_double(text: Column) -> Column:
     """Text to double; NULL if it is no number.
 
-    Java reads a trailing d or f as a type mark ("1.5d"); it is spoilt here first.
+    Java reads a trailing d or f as a type mark ("1.5d"); such texts are no numbers here.
+    Only texts that end so are looked at any closer.
     """
-    return F.regexp_replace(text, "(?<=[0-9.])[dDfF]$", "#").try_cast("double")
+    marked = F.right(text, F.lit(1)).isin("d", "D", "f", "F") & text.rlike("[0-9.].$")
+    return F.when(marked, F.lit(None)).otherwise(text).try_cast("double")
 
 
 def to_int(text: Column) -> Column:

@@ -11,8 +11,9 @@ from tripweave.operators.outline import merged_shapes
 # Pairs closer than this are not connections between municipalities.
 MIN_KM = 0.1
 
-# Bounds of the service classes and their codes.
+# The service classes and the ratios that part them.
 WELL, ADEQUATE, UNDER = "Well-served", "Adequately-served", "Underserved"
+LOW_RATIO, HIGH_RATIO = 0.5, 1.5
 
 
 def distance_km(a: str, b: str) -> Column:
@@ -20,19 +21,6 @@ def distance_km(a: str, b: str) -> Column:
     return F.expr(ellipsoid_distance(f"{a}.x", f"{a}.y", f"{b}.x", f"{b}.y") + " / 1000D")
 
 
-def _every_pair(origins: DataFrame, destinations: DataFrame, blocks: int) -> DataFrame:
-    """Each origin with each destination, as an equi-join on a grid of blocks.
-
-    Origins take a random row of the grid and are copied along it, destinations a
-    column: each of the blocks x blocks cells is a task of equal size, and neither
-    side is sent whole to anyone. The pairs are the result itself.
-    """
-    lines = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    rows = origins.withColumn("_row", F.pmod(F.xxhash64("origin_municipality"), F.lit(blocks)).cast("int"))
-    columns = destinations.withColumn("_col", F.pmod(F.xxhash64("dest_municipality"), F.lit(blocks)).cast("int"))
-    return rows.withColumn("_col", lines).join(columns.withColumn("_row", lines), ["_row", "_col"])
-
-
 def _as_origin(points: DataFrame) -> DataFrame:
     return points.withColumnsRenamed({"municipality_code": "origin_municipality", "centroid": "_from"})
 
@@ -47,9 +35,12 @@ def _with_distance(pairs: DataFrame) -> DataFrame:
     return measured.where(F.col("distance_km") > MIN_KM)
 
 
-def municipality_distances(centroids: DataFrame, blocks: int = 16) -> DataFrame:
-    """All ordered pairs of different municipalities more than 100 m apart."""
-    pairs = _every_pair(_as_origin(centroids), _as_destination(centroids), blocks)
+def municipality_distances(centroids: DataFrame, od_trips: DataFrame) -> DataFrame:
+    """The ordered pairs of different municipalities that trips were seen between and that
+    are more than 100 m apart. Pairs without trips are of no use to the model and are never
+    made: there are as many of them as municipalities squared."""
+    seen = od_trips.select("origin_municipality", "dest_municipality").distinct()
+    pairs = seen.join(_as_origin(centroids), "origin_municipality").join(_as_destination(centroids), "dest_municipality")
     return _with_distance(pairs).select("origin_municipality", "dest_municipality", "distance_km")
 
 
@@ -83,25 +74,11 @@ def _od(od_trips: DataFrame) -> DataFrame:
 
 
 def gravity_inputs(
-    centroids: DataFrame,
-    population: DataFrame,
-    income: DataFrame,
-    od_trips: DataFrame,
-    year: int,
-    blocks: int = 16,
-) -> DataFrame:
-    """Every pair with population, income and distance; trips are NULL where none were seen."""
-    origins, destinations = _ends(centroids, population, income, year)
-    pairs = _with_distance(_every_pair(origins, destinations, blocks))
-    keys = ["origin_municipality", "dest_municipality"]
-    return pairs.join(_od(od_trips), keys, "left").select(*INPUT_COLUMNS)
-
-
-def observed_inputs(
     centroids: DataFrame, population: DataFrame, income: DataFrame, od_trips: DataFrame, year: int
 ) -> DataFrame:
-    """The rows of ``gravity_inputs`` that have trips, from the trips outward: equi-joins
-    only, no pair without trips is ever made. Calibration and ranking need just these."""
+    """The pairs with trips, with population, income and distance: from the trips outward,
+    equi-joins only. Calibration, prediction and ranking all need these rows; a job stores
+    them once and reads them for each."""
     origins, destinations = _ends(centroids, population, income, year)
     seen = _od(od_trips).where("actual_mean_trips is not null")
     pairs = seen.join(origins, "origin_municipality").join(destinations, "dest_municipality")
@@ -118,13 +95,13 @@ def calibration(observed: DataFrame) -> DataFrame:
     )
 
 
-def predict(inputs: DataFrame, observed: DataFrame) -> DataFrame:
+def predict(inputs: DataFrame) -> DataFrame:
     """Predicted trips and the ratio of actual to predicted ones for each input row.
 
     The constant is a scalar subquery: part of the same job, no value passes through
     the driver program.
     """
-    k = calibration(observed).scalar()
+    k = calibration(inputs).scalar()
     with_k = inputs.withColumn("calibration_constant", k)
     expected = (
         F.col("calibration_constant")
@@ -143,7 +120,7 @@ def predict(inputs: DataFrame, observed: DataFrame) -> DataFrame:
 
 
 def service_class(ratio: Column) -> Column:
-    return F.when(ratio < 0.5, WELL).when(ratio <= 1.5, ADEQUATE).otherwise(UNDER)
+    return F.when(ratio < LOW_RATIO, WELL).when(ratio <= HIGH_RATIO, ADEQUATE).otherwise(UNDER)
 
 
 def service_code(status: Column) -> Column:

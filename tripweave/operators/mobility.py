@@ -14,12 +14,6 @@ PATTERN_KEYS = ["day_type", "hour_period", "origin_zone", "destination_zone"]
 SILVER = "silver_mobility_trips"
 GOLD = "gold_typical_day_patterns"
 
-# A group with more rows than this is spread over several tasks when its rows
-# meet its bounds. There are at most (all rows / this) such groups, so the list
-# of them stays small enough to send to every task: 200,000 for 10^12 rows.
-LARGE_GROUP = 5_000_000
-
-
 def silver_trips(bronze: DataFrame, holidays: DataFrame) -> DataFrame:
     """Typed domestic trips with their day type; rows that do not parse are left out."""
     typed = bronze.where(
@@ -36,8 +30,11 @@ def silver_trips(bronze: DataFrame, holidays: DataFrame) -> DataFrame:
 
 
 def replace_days(store: Store, bronze: DataFrame, holidays: DataFrame) -> None:
-    """Write anew the silver days that occur in ``bronze``; a day without rows stays."""
-    store.replace_partitions(silver_trips(bronze, holidays), SILVER, ["date"])
+    """Write anew the silver days that occur in ``bronze``; a day whose rows are all left
+    out becomes empty. The days, as many as a calendar has at most, come to the driver."""
+    days = bronze.select(text.compact_date(F.col("date").cast("string")).alias("day")).distinct()
+    delivered = [row.day for row in days.where("day is not null").collect()]
+    store.replace_partitions(silver_trips(bronze, holidays), SILVER, ["date"], delivered)
 
 
 def _summary(trips: DataFrame) -> DataFrame:
@@ -54,56 +51,40 @@ def typical_patterns_raw(silver: DataFrame) -> DataFrame:
     return _summary(silver)
 
 
-def typical_patterns(silver: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
+def typical_patterns(silver: DataFrame) -> DataFrame:
     """The same after leaving out trips beyond three deviations from their group's mean.
 
     Two scans, no window: a window would bring each group whole into one task.
     1. Mean and spread per group, combined before the shuffle, give the bounds;
        minimum and maximum tell which groups hold an outlier at all.
-    2. Rows meet the bounds of such groups. Groups above ``large_group`` rows get
-       theirs from a broadcast (their number is bounded, see LARGE_GROUP), and
-       their rows are spread by input partition instead of by group; all other
-       groups are small enough for one task by definition.
+    2. Rows meet the bounds of such groups. Every group is cut into as many slices as a
+       shuffle has partitions, by a hash of the row, and the few bounds are copied to each
+       slice: a group that holds most of the rows is spread like all the others together.
     The last aggregation combines before its shuffle again.
     """
     trips = silver.where(text.has_all(*PATTERN_KEYS))
+    slices = int(silver.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = trips.groupBy(*PATTERN_KEYS).agg(
         F.avg("trips").alias("_mean"),
         F.stddev_samp("trips").alias("_std"),
         F.min("trips").alias("_min"),
         F.max("trips").alias("_max"),
-        F.count(F.lit(1)).alias("_rows"),
     )
-    bounds = spread.select(
+    bounds = spread.where("_std <> 0 and (_min < _mean - 3 * _std or _max > _mean + 3 * _std)").select(
         *PATTERN_KEYS,
-        "_rows",
         (F.col("_mean") - 3 * F.col("_std")).alias("_low"),
         (F.col("_mean") + 3 * F.col("_std")).alias("_high"),
-        F.expr("_std <> 0 and (_min < _mean - 3 * _std or _max > _mean + 3 * _std)").alias("_trim"),
-    )
-    large = bounds.where(F.col("_rows") > large_group).select(
-        *PATTERN_KEYS,
-        F.lit(True).alias("_large"),
-        F.when(F.col("_trim"), F.col("_low")).alias("_large_low"),
-        F.when(F.col("_trim"), F.col("_high")).alias("_large_high"),
-    )
-    small = bounds.where((F.col("_rows") <= large_group) & F.col("_trim")).select(
-        *PATTERN_KEYS, "_low", "_high", F.lit(0).alias("_slice")
-    )
-    spreader = 1 + F.pmod(F.xxhash64(F.spark_partition_id(), "date", "trips"), F.lit(4096)).cast("int")
-    sliced = trips.join(F.broadcast(large), PATTERN_KEYS, "left").withColumn(
-        "_slice", F.when(F.col("_large"), spreader).otherwise(0)
+        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice"),
     )
-    met = sliced.join(small, PATTERN_KEYS + ["_slice"], "left")
-    low = F.coalesce("_large_low", "_low")
-    high = F.coalesce("_large_high", "_high")
-    return _summary(met.where(low.isNull() | F.col("trips").between(low, high)))
+    sliced = trips.withColumn("_slice", F.pmod(F.xxhash64("date", "trips"), F.lit(slices)).cast("int"))
+    met = sliced.join(bounds, [*PATTERN_KEYS, "_slice"], "left")
+    return _summary(met.where(F.col("_low").isNull() | F.col("trips").between(F.col("_low"), F.col("_high"))))
 
 
 def refresh_day_types(store: Store, silver: DataFrame, day_types: Sequence[int]) -> None:
     """Recompute the patterns of some day types; those of the others stay."""
     chosen = silver.where(F.col("day_type").isin(*day_types))
-    store.replace_partitions(typical_patterns(chosen), GOLD, ["day_type"])
+    store.replace_partitions(typical_patterns(chosen), GOLD, ["day_type"], list(day_types))
 
 
 def by_municipality(patterns: DataFrame) -> DataFrame:

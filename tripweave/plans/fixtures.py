@@ -10,16 +10,11 @@ from __future__ import annotations
 SPARK = {"S": "string", "DIV": "div"}
 DUCKDB = {"S": "varchar", "DIV": "//"}
 
-# The day of a trip. Tables kept one partition per day use the first of the month, as
-# the driver tables have too few rows per calendar day to fill a file.
-DAILY = {
+# The day of a trip.
+DAYS = {
     "spark": "date_format(l_shipdate, 'yyyyMMdd')",
     "duckdb": "strftime(l_shipdate, '%Y%m%d')",
 }
-MONTHLY = {
-    "spark": "date_format(date_trunc('month', l_shipdate), 'yyyyMMdd')",
-    "duckdb": "strftime(date_trunc('month', l_shipdate), '%Y%m%d')",
-}
 
 TRIPS = [
     "{D} as date",
@@ -122,5 +117,5 @@ def render(expressions: list[str], dialect: dict[str, str]) -> list[str]:
     return [e.format(**dialect) for e in expressions]
 
 
-def duckdb_select(expressions: list[str], source: str, days: dict[str, str] = DAILY) -> str:
-    return f"select {', '.join(render(expressions, {**DUCKDB, 'D': days['duckdb']}))} from {source}"
+def duckdb_select(expressions: list[str], source: str) -> str:
+    return f"select {', '.join(render(expressions, {**DUCKDB, 'D': DAYS['duckdb']}))} from {source}"

@@ -12,7 +12,7 @@ from tripweave.operators import gravity, longtrip, mobility, zones as zone_ops
 from tripweave.plans import fixtures as fx
 from tripweave.session import scratch_path
 from tripweave.sources import boundaries, census, trips
-from tripweave.sources.store import Store, spread
+from tripweave.sources.store import Store
 
 
 def once(build):
@@ -40,7 +40,7 @@ class Inputs:
     @once
     def trip_rows(self) -> DataFrame:
         columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"]
-        return spread(self.table("lineitem").select(*columns))
+        return self.table("lineitem").select(*columns)
 
     def store(self, name: str) -> Store:
         return Store(self.spark, scratch_path(self.spark, name))
@@ -50,13 +50,13 @@ class Inputs:
 
     # trips
 
-    def bronze(self, days: dict[str, str] = fx.DAILY) -> DataFrame:
+    def bronze(self) -> DataFrame:
         """The five bronze columns that hold data."""
-        return self._of(self.trip_rows(), fx.TRIPS, {**fx.SPARK, "D": days["spark"]})
+        return self._of(self.trip_rows(), fx.TRIPS, {**fx.SPARK, "D": fx.DAYS["spark"]})
 
-    def raw_trips(self, days: dict[str, str] = fx.DAILY) -> DataFrame:
+    def raw_trips(self) -> DataFrame:
         """All fifteen columns under the names of the daily files."""
-        five = self.bronze(days)
+        five = self.bronze()
         columns = [
             F.col(new).alias(old) if new in five.columns else F.lit(None).cast("string").alias(old)
             for old, new in schemas.TRIP_COLUMNS.items()
@@ -147,20 +147,17 @@ class Inputs:
 
     @once
     def gravity_inputs(self) -> DataFrame:
-        return gravity.gravity_inputs(
-            self.centroids(), self.population(), self.income_2023(), self.od_trips(), 2023
-        )
-
-    @once
-    def observed(self) -> DataFrame:
-        return gravity.observed_inputs(
+        """Stored, as in the job: calibration and prediction read them."""
+        inputs = gravity.gravity_inputs(
             self.centroids(), self.population(), self.income_2023(), self.od_trips(), 2023
         )
+        store = self.store("gravity")
+        store.refresh(inputs, "gold_gravity_inputs")
+        return store.read("gold_gravity_inputs", inputs.schema)
 
     @once
     def ranking(self) -> DataFrame:
-        observed = self.observed()
-        return gravity.infrastructure_ranking(gravity.predict(observed, observed))
+        return gravity.infrastructure_ranking(gravity.predict(self.gravity_inputs()))
 
     @once
     def dependency(self) -> DataFrame:

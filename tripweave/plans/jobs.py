@@ -22,6 +22,7 @@ SILVER_POPULATION = "silver_population"
 SILVER_INCOME = "silver_economy_aggregated"
 SILVER_ZONES = "silver_geometry_wgs84"
 GOLD_ZONES = "gold_geometry_wgs84"
+GOLD_INPUTS = "gold_gravity_inputs"
 GOLD_MODEL = "gold_gravity_model_analysis"
 GOLD_RANKING = "gold_municipality_infrastructure_ranking"
 GOLD_LONG_TRIPS = "gold_long_trip_dependency"
@@ -67,14 +68,17 @@ def population_job(
     census.load_year(store, raw, BRONZE_POPULATION, target_year, source_year, overwrite=True)
     bronze = store.read(BRONZE_POPULATION).where(F.col("year") == target_year)
     people = census.population_by_municipality(bronze, target_year)
-    store.replace_partitions(people, SILVER_POPULATION, ["year"])
+    store.replace_partitions(people, SILVER_POPULATION, ["year"], delivered=[target_year])
     return store.read(SILVER_POPULATION, schemas.SILVER_POPULATION)
 
 
-def economy_job(store: Store, path: str, year: int = 2023, separator: str = ";") -> DataFrame:
+def economy_job(
+    store: Store, path: str, year: int = 2023, separator: str = ";", indicator: str | None = None
+) -> DataFrame:
     _check_year(year, 2011, 2030)
     census.load_year(store, census.scan_income(store.spark, path, separator), BRONZE_INCOME, year)
-    income = census.income_by_section(store.read(BRONZE_INCOME).where(F.col("year") == year).drop("year"))
+    bronze = store.read(BRONZE_INCOME).where(F.col("year") == year).drop("year")
+    income = census.income_by_section(bronze, indicator)
     store.append_new(income, SILVER_INCOME, "year", schemas.SILVER_INCOME)
     return store.read(SILVER_INCOME, schemas.SILVER_INCOME)
 
@@ -127,9 +131,8 @@ def gravity_job(
     money = census.income_by_municipality(store.read(SILVER_INCOME, schemas.SILVER_INCOME), year)
     od_trips = mobility.by_municipality(store.read(mobility.GOLD, schemas.GOLD_PATTERNS))
     centroids = zone_ops.municipality_centroids(zones)
-    inputs = gravity.gravity_inputs(centroids, people, money, od_trips, year)
-    observed = gravity.observed_inputs(centroids, people, money, od_trips, year)
-    store.refresh(gravity.predict(inputs, observed), GOLD_MODEL)
+    store.refresh(gravity.gravity_inputs(centroids, people, money, od_trips, year), GOLD_INPUTS)
+    store.refresh(gravity.predict(store.read(GOLD_INPUTS)), GOLD_MODEL)
     model = store.read(GOLD_MODEL)
     store.refresh(gravity.infrastructure_ranking(model), GOLD_RANKING)
     ranking = store.read(GOLD_RANKING)

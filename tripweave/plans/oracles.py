@@ -68,7 +68,6 @@ def _inside(x1: str, y1: str, x2: str, y2: str) -> str:
 # Named parts; a query takes in those it mentions, and those they mention.
 PARTS: dict[str, str] = {
     "bronze": fx.duckdb_select(fx.TRIPS, "lineitem"),
-    "bronze_monthly": fx.duckdb_select(fx.TRIPS, "lineitem", fx.MONTHLY),
     "trip_years": "select distinct year(l_shipdate) as y from lineitem",
     "easter": (
         "select y, make_date(y, 3, 22) + cast(case when d = 29 and e = 6 then 28"
@@ -94,7 +93,6 @@ PARTS: dict[str, str] = {
         " left join feasts on feast = day"
         " where day is not null and hour_period is not null and trips is not null"
     ),
-    "silver_monthly": "",  # filled in below: the same over bronze_monthly
     "patterns": (
         "select day_type, hour_period, origin_zone, destination_zone, sum(trips) as total_trips,"
         " avg(trips) as avg_trips, coalesce(stddev_samp(trips), 0) as std_trips,"
@@ -148,7 +146,8 @@ PARTS: dict[str, str] = {
     ),
     "pairs": (
         "select a.municipality_id as o, b.municipality_id as d, a.x as ax, a.y as ay, b.x as bx, b.y as by_"
-        " from spots a, spots b where a.municipality_id <> b.municipality_id"
+        " from spots a join od on od.o = a.municipality_id join spots b on b.municipality_id = od.d"
+        " where a.municipality_id <> b.municipality_id"
     ),
     "distances": (
         "select o, d, m / 1000 as km from ("
@@ -158,7 +157,7 @@ PARTS: dict[str, str] = {
     "mass": (
         "select o, d, km, population, avg_income, mean_trips, std_trips from distances"
         " left join people p on p.municipality_code = o and p.year = 2023"
-        " left join money m on m.municipality_code = d left join od using (o, d)"
+        " left join money m on m.municipality_code = d join od using (o, d)"
         " where coalesce(population, 0) > 0 and coalesce(avg_income, 0) > 0"
     ),
     "factor": (
@@ -219,8 +218,6 @@ PARTS: dict[str, str] = {
     ),
 }
 
-PARTS["silver_monthly"] = PARTS["silver"].replace("from bronze ", "from bronze_monthly ")
-
 ORACLES: dict[str, str] = {}
 
 
@@ -257,17 +254,28 @@ oracle(
 )
 oracle(
     "bronze_incremental_append",
-    "select date, count(*) as row_count, count(distinct (origin_zone, trips)) as kinds from bronze_monthly group by date",
+    "select date, count(*) as row_count, count(distinct (origin_zone, trips)) as kinds from bronze group by date",
+)
+oracle(  # an empty field of a file is no value
+    "bronze_economy_year",
+    "select * replace (nullif(Total, '') as Total) from raw_income where Periodo = '2023'",
 )
-oracle("bronze_economy_year", "select * from raw_income where Periodo = '2023'")
 oracle(
     "bronze_population_remap",
     "select *, case right(Periodo, 4) when '2022' then 2023 else 2022 end as year from raw_population",
 )
 oracle("silver_append_new_years", f"select * exclude (avg_income), {_r('avg_income')} from income")
 oracle("silver_trips", "select * from silver")
-for key in ("silver_replace_day", "stream_daily_trips"):
-    oracle(key, "select * from silver_monthly")
+oracle("stream_daily_trips", "select * from silver")
+oracle(
+    "silver_replace_day",
+    f"select * from silver where strftime(date, '%Y%m%d') < '{fx.FIRST}' or isodow(date) <> 7",
+)
+oracle(
+    "trip_file_scan",
+    "select date as fecha, count(*) as narrow_rows, count(*) as row_count,"
+    " count(distinct (origin_zone, trips)) as kinds from bronze where trips <> '7' group by date",
+)
 oracle(
     "profile_csv_roundtrip",
     "select day_type, hour_period, round(sum(total_trips), 6) as total_trips,"

@@ -83,9 +83,9 @@ def bronze_trips(data: Inputs) -> DataFrame:
 
 @query
 def bronze_incremental_append(data: Inputs) -> DataFrame:
-    """A first load, then a delivery that repeats a month: no row is doubled."""
+    """A first load, then a delivery that repeats some days: no row is doubled."""
     store = data.store("bronze")
-    whole = trips.to_bronze(data.raw_trips(fx.MONTHLY))
+    whole = trips.to_bronze(data.raw_trips())
     trips.append_days(store, whole.where(F.col("date") < fx.SECOND))
     trips.append_days(store, whole.where(F.col("date") >= fx.FIRST))
     stored = store.read(trips.BRONZE, schemas.BRONZE_TRIPS)
@@ -96,7 +96,30 @@ def bronze_incremental_append(data: Inputs) -> DataFrame:
 
 @query
 def bronze_economy_year(data: Inputs) -> DataFrame:
-    return census.period_rows(data.raw_income(), 2023)
+    """Read from files with an indicator more and the columns in another order."""
+    path = scratch_path(data.spark, "income")
+    raw = data.raw_income()
+    wide = raw.select("Periodo", F.lit("Renta neta media").alias("Indicadores"), "Total", "Secciones", "Distritos", "Municipios")
+    wide.write.option("header", True).option("sep", ";").csv(path)
+    scanned = census.scan_income(data.spark, path)
+    return census.period_rows(scanned, 2023).select(*schemas.INCOME_COLUMNS)
+
+
+@query
+def trip_file_scan(data: Inputs) -> DataFrame:
+    """Trip files with a column more and the columns turned around, in which trips of 7 are
+    broken rows: a row is there or not, whichever columns are asked for."""
+    path = scratch_path(data.spark, "trip-files")
+    raw = data.raw_trips()
+    broken = F.when(F.col("viajes") == "7", "7,7").otherwise(F.col("viajes"))
+    turned = raw.withColumn("viajes", broken).select(F.lit("x").alias("added"), *reversed(raw.columns))
+    turned.write.option("header", True).option("quote", "").csv(path)
+    scanned = trips.scan_trip_files(data.spark, path)
+    one = scanned.select("fecha").groupBy("fecha").agg(F.count(F.lit(1)).alias("narrow_rows"))
+    two = scanned.groupBy("fecha").agg(
+        F.count(F.struct(*scanned.columns)).alias("row_count"), F.count_distinct("origen", "viajes").alias("kinds")
+    )
+    return one.join(two, "fecha")
 
 
 @query
@@ -134,12 +157,15 @@ def silver_append_new_years(data: Inputs) -> DataFrame:
 
 @query
 def silver_replace_day(data: Inputs) -> DataFrame:
-    """Days loaded with every trip counted twice are made anew from a second delivery."""
+    """Days loaded with every trip counted twice are made anew from a second delivery, in
+    which the Sundays hold nothing but foreign trips: those days become empty."""
     store = data.store("silver")
-    bronze, holidays = data.bronze(fx.MONTHLY), data.holidays()
+    bronze, holidays = data.bronze(), data.holidays()
     wrong = bronze.where(F.col("date") >= fx.FIRST)
     mobility.replace_days(store, bronze.unionByName(wrong), holidays)
-    mobility.replace_days(store, wrong, holidays)
+    sunday = F.weekday(text.compact_date(F.col("date"))) == 6
+    abroad = F.when(sunday, "FR101").otherwise(F.col("origin_zone"))
+    mobility.replace_days(store, wrong.withColumn("origin_zone", abroad), holidays)
     return store.read(mobility.SILVER, schemas.SILVER_TRIPS)
 
 
@@ -185,11 +211,11 @@ def column_profile(data: Inputs) -> DataFrame:
 
 @query
 def stream_daily_trips(data: Inputs) -> DataFrame:
-    """Files landed in two deliveries, taken in by the stream; the days of one month
+    """Files landed in two deliveries, taken in by the stream; the days of some months
     come partly with the first and partly with the second."""
     store = data.store("stream")
     landing, checkpoint = store.location("landing"), store.location("checkpoint")
-    raw = data.raw_trips(fx.MONTHLY)
+    raw = data.raw_trips()
     early = (F.col("fecha") < fx.FIRST) | ((F.col("fecha") < fx.SECOND) & (F.col("viajes") < "3"))
     for part in (early, ~early):
         files = raw.where(part).write.mode("append").option("header", True)
@@ -424,7 +450,7 @@ def dissolved_outline(data: Inputs) -> DataFrame:
 
 @query
 def municipality_distances(data: Inputs) -> DataFrame:
-    return rounded(gravity.municipality_distances(data.centroids()))
+    return rounded(gravity.municipality_distances(data.centroids(), data.od_trips()))
 
 
 @query
@@ -434,7 +460,7 @@ def gravity_inputs(data: Inputs) -> DataFrame:
 
 @query
 def gravity_model(data: Inputs) -> DataFrame:
-    return rounded(gravity.predict(data.gravity_inputs(), data.observed()).drop("created_at"))
+    return rounded(gravity.predict(data.gravity_inputs()).drop("created_at"))
 
 
 @query

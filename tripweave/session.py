@@ -31,13 +31,13 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session may fall back to a folder on this machine.
+    Where it names none, a session on this machine alone may use a folder here, as in tests.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tripweave-"))
     return context.getCheckpointDir()

@@ -9,12 +9,16 @@ from tripweave.functions import text
 from tripweave.sources.store import Store, read_csv
 
 
+# How the files label totals.
+ALL_SEXES, ALL_AGES = "Total", "Todas las edades"
+
+
 def scan_population(spark: SparkSession, path, separator: str = ";") -> DataFrame:
-    return read_csv(spark, path, schemas.text_schema(schemas.POPULATION_COLUMNS), separator)
+    return read_csv(spark, path, schemas.POPULATION_COLUMNS, separator)
 
 
 def scan_income(spark: SparkSession, path, separator: str = ";") -> DataFrame:
-    return read_csv(spark, path, schemas.text_schema(schemas.INCOME_COLUMNS), separator)
+    return read_csv(spark, path, schemas.INCOME_COLUMNS, separator)
 
 
 def period_rows(raw: DataFrame, year: int) -> DataFrame:
@@ -40,7 +44,7 @@ def load_year(
             return False
     source = target_year if source_year is None else source_year
     rows = period_rows(raw, source).withColumn("year", F.lit(target_year))
-    store.replace_partitions(rows, table, ["year"])
+    store.replace_partitions(rows, table, ["year"], delivered=[target_year])
     return True
 
 
@@ -52,8 +56,8 @@ def population_by_municipality(bronze: DataFrame, year: int | None = None) -> Da
     """
     counted = bronze.where(
         (F.col("Total") != "")
-        & (F.trim("Sexo") != "Total")
-        & (F.trim("`Edad (grandes grupos)`") != "Todas las edades")
+        & (F.trim("Sexo") != ALL_SEXES)
+        & (F.trim("`Edad (grandes grupos)`") != ALL_AGES)
     )
     period = text.period_year(F.col("Periodo")) if year is None else F.lit(year)
     leaf = counted.select(
@@ -67,7 +71,8 @@ def population_by_municipality(bronze: DataFrame, year: int | None = None) -> Da
 def income_by_section(bronze: DataFrame, indicator: str | None = None) -> DataFrame:
     """Mean income per section and year; rows without section or value are left out.
 
-    ``indicator`` names a text to find in an indicator column, where the file has one.
+    ``indicator`` is a text to find in the column ``Indicadores``, which a file with
+    several indicators has.
     """
     if indicator is not None:
         bronze = bronze.where(F.col("Indicadores").contains(indicator))

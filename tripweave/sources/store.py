@@ -60,31 +60,46 @@ class Store:
         """Write the whole table anew."""
         self._write(rows, table, partition_by, "overwrite", partitionOverwriteMode="static")
 
-    def replace_partitions(self, rows: DataFrame, table: str, partition_by: Sequence[str]) -> None:
-        """Write anew just the partitions that occur in ``rows``; the others stay."""
+    def replace_partitions(
+        self,
+        rows: DataFrame,
+        table: str,
+        partition_by: Sequence[str],
+        delivered: Sequence[object] | None = None,
+    ) -> None:
+        """Write anew just the partitions that occur in ``rows``; the others stay.
+
+        ``delivered`` lists values of the first partition column that ``rows`` were made
+        from: what the table holds of these goes, also where no row is left for them.
+        """
+        if delivered:
+            self._drop_partitions(table, partition_by[0], delivered)
         self._write(rows, table, partition_by, "overwrite", partitionOverwriteMode="dynamic")
 
-    def append_new(self, rows: DataFrame, table: str, key: str, schema: T.StructType) -> None:
+    def _drop_partitions(self, table: str, column: str, values: Sequence[object]) -> None:
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.location(table))
+        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for value in values:
+            files.delete(jvm.org.apache.hadoop.fs.Path(root, f"{column}={value}"), True)
+
+    def append_new(
+        self,
+        rows: DataFrame,
+        table: str,
+        key: str,
+        schema: T.StructType,
+        partition_by: Sequence[str] | None = None,
+    ) -> None:
         """Append the rows whose ``key`` (a day, a year) the table does not hold yet.
 
-        The table is partitioned by ``key``, so the keys it holds come from one
-        narrow column; a re-delivered key adds nothing.
+        The table is partitioned by ``key`` first, so the keys it holds are its partition
+        values: as many as there are days or years at most, which bounds the broadcast.
+        The delivered rows are not shuffled for this; a re-delivered key adds nothing.
         """
         held = self.read(table, schema).select(key).distinct()
-        self._write(rows.join(held, key, "left_anti"), table, [key], "append")
-
-
-def spread(table: DataFrame) -> DataFrame:
-    """Deal out the rows of a table that is read in fewer tasks than there are cores.
-
-    A gzip file or a Parquet file of one row group is read by one task, which would
-    then do all that follows. A table of many files is left as it is. Rows go by the hash
-    of all their columns, which is the same when a task is run again and needs no sort.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores, *table.columns)
+        fresh = rows.join(F.broadcast(held), key, "left_anti")
+        self._write(fresh, table, partition_by or [key], "append")
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
@@ -92,10 +107,19 @@ def write_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_csv(spark: SparkSession, path, schema: T.StructType, separator: str = ",") -> DataFrame:
-    """CSV with a header; rows that do not fit the schema are left out."""
-    reader = spark.read.schema(schema).option("header", True).option("sep", separator)
-    return reader.option("mode", "DROPMALFORMED").csv(path)
+def read_csv(spark: SparkSession, path, needed: Sequence[str], separator: str = ",") -> DataFrame:
+    """CSV with a header line: all columns of the files, as text, by the header's names.
+
+    A name of ``needed`` that the header lacks is an error, and so is a file whose header
+    differs from the first one's. Rows with more or fewer fields are left out, whichever
+    columns are used later: the reader always parses whole rows.
+    """
+    reader = spark.read.option("header", True).option("sep", separator).option("columnPruning", False)
+    names = reader.csv(path).columns
+    if missing := [name for name in needed if name not in names]:
+        raise ValueError(f"columns not found: {', '.join(missing)}; the file has {', '.join(names)}")
+    layout = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return reader.schema(layout).option("enforceSchema", False).option("mode", "DROPMALFORMED").csv(path)
 
 
 def column_inventory(table: DataFrame, name: str) -> DataFrame:

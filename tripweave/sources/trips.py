@@ -11,14 +11,17 @@ from tripweave.functions import text
 from tripweave.sources.store import Store, read_csv
 
 BRONZE = "bronze_mobility_trips"
+# Loads and the stream share the table; the stream counts its batches from 0.
+LAYOUT = ["date", "batch"]
+LOADED = -1
 
 
 def scan_trip_files(spark: SparkSession, paths, separator: str = ",") -> DataFrame:
-    """Daily files (gzip or plain CSV), every column as text.
+    """Daily files (gzip or plain CSV), every column of the files as text.
 
     A gzip file is read by one task, so a scan is as wide as the number of days.
     """
-    return read_csv(spark, paths, schemas.RAW_TRIPS, separator)
+    return read_csv(spark, paths, list(schemas.TRIP_COLUMNS), separator)
 
 
 def to_bronze(raw: DataFrame) -> DataFrame:
@@ -28,8 +31,9 @@ def to_bronze(raw: DataFrame) -> DataFrame:
 
 
 def append_days(store: Store, bronze: DataFrame) -> None:
-    """Append the days not stored yet."""
-    store.append_new(bronze, BRONZE, "date", schemas.BRONZE_TRIPS)
+    """Append the days not stored yet, neither by a load nor by the stream."""
+    rows = bronze.withColumn("batch", F.lit(LOADED).cast("bigint"))
+    store.append_new(rows, BRONZE, "date", schemas.BRONZE_TRIPS, LAYOUT)
 
 
 def daily_path(root: str, day: Column) -> Column:

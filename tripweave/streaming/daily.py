@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tripweave import schemas
 from tripweave.operators import mobility
 from tripweave.sources.store import Store
-from tripweave.sources.trips import BRONZE, to_bronze
+from tripweave.sources.trips import BRONZE, LAYOUT, to_bronze
 
 STREAMED_BRONZE = T.StructType(schemas.BRONZE_TRIPS.fields + [T.StructField("batch", T.LongType())])
 
@@ -29,13 +29,14 @@ def stream_trip_files(
     """
     spark = store.spark
     reader = spark.readStream.schema(schemas.RAW_TRIPS).option("header", True)
-    reader = reader.option("sep", separator).option("mode", "DROPMALFORMED")
+    reader = reader.option("sep", separator).option("mode", "DROPMALFORMED").option("columnPruning", False)
+    reader = reader.option("enforceSchema", False)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def take_in(raw: DataFrame, batch: int) -> None:
         rows = to_bronze(raw).withColumn("batch", F.lit(batch).cast("bigint"))
-        store.replace_partitions(rows, BRONZE, ["date", "batch"])
+        store.replace_partitions(rows, BRONZE, LAYOUT)
         stored = store.read(BRONZE, STREAMED_BRONZE)
         # The batch's own partitions name its days; both sides read partition values only
         # for this, and the day filter prunes the scan of the other batches.
