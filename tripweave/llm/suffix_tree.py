@@ -39,8 +39,8 @@ from tripweave.llm.common import bucket_of, row_numbers, slices, stored, text_or
 DEPTH = 2
 P_MIN = 1e-6
 STRENGTH = 2.0
-HELD = 1_000_000
-HELD_WORDS = 300_000
+HELD = 400_000
+HELD_WORDS = 150_000
 FOLDS = 5
 SHIFT = 20  # bits of a frequent word's number: 1 / P_MIN of them fit
 START = 1

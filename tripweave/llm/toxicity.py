@@ -47,7 +47,7 @@ TRAINED = 3  # rows whose id hash, modulo this, is 1 are held out
 THRESHOLD = 0.7
 PUNCTUATION = b".,;:!?\"'()[]{}<>|/\\*&%$#@~`^_+=-"
 SHARES = (1.0, 0.75, 0.5, 0.25)  # of the largest margin in a text's mean
-FLOOR = -1.0  # no word counts for less than this margin
+FLOOR = -0.5  # no word counts for less than this margin
 CACHED = 200_000
 SPACED = re.compile(rb"(?<![^\x20\x09-\x0d])(?:\w[\x20\x09-\x0d]+){2,}\w(?![^\x20\x09-\x0d])")
 
@@ -65,7 +65,9 @@ def stretches(word: bytes) -> list[bytes]:
     if word.isalnum() and len(word) + 2 <= WIDTH:
         return [b"\x02" + word + b"\x03"]
     word = word.strip(PUNCTUATION)
-    bare = word if word.isalnum() else word.translate(None, PUNCTUATION)
+    bare = word.translate(None, PUNCTUATION)
+    if bare == word and len(word) + 2 <= WIDTH:
+        return [b"\x02" + word + b"\x03"]
     out = []
     for form in (word,) if bare == word else (word, bare):
         marked = b"\x02" + form + b"\x03"
@@ -191,7 +193,7 @@ class Model:
         out = np.full((len(sets), 2), FLOOR)
         known = self._marked
         for i, words in enumerate(sets):
-            if best := sorted(known[w] for w in words if w in known)[-2:]:
+            if best := sorted(map(known.__getitem__, known.keys() & words))[-2:]:
                 out[i, : len(best)] = best[::-1]
         return out
 
