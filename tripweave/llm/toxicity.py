@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -47,6 +48,8 @@ TRAINED = 3  # rows whose id hash, modulo this, is 1 are held out
 THRESHOLD = 0.7
 PUNCTUATION = b".,;:!?\"'()[]{}<>|/\\*&%$#@~`^_+=-"
 SHARES = (1.0, 0.75, 0.5, 0.25)  # of the largest margin in a text's mean
+PENALTY = 1e-4
+NEEDED = 0.05  # of a suspect's texts, the least share that no stronger suspect explains
 FLOOR = -0.5  # no word counts for less than this margin
 CACHED = 200_000
 SPACED = re.compile(rb"(?<![^\x20\x09-\x0d])(?:\w[\x20\x09-\x0d]+){2,}\w(?![^\x20\x09-\x0d])")
@@ -202,20 +205,28 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(a * tops[:, 0] + b * tops[:, 1] + c, -40, 40)))
 
 
-def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 3e-4) -> np.ndarray:
-    """Squared-hinge support vector machine by Newton steps; the last column is the bias."""
+def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
+    """Squared-hinge support vector machine by Newton steps, halved until the loss falls;
+    the last value is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], penalty * weight.sum())
     ridge[-1] *= 1e-3
-    for _ in range(50):
-        slack = 1 - y * (x @ w)
-        active = slack > 0
+
+    def loss(w: np.ndarray) -> float:
+        return float(weight @ np.maximum(0, 1 - y * (x @ w)) ** 2 + ridge @ w**2)
+
+    now = loss(w)
+    for _ in range(100):
+        active = y * (x @ w) < 1
         xa, wa = x[active], weight[active]
-        new = np.linalg.solve((xa * wa[:, None]).T @ xa + np.diag(ridge), (xa * wa[:, None]).T @ y[active])
-        if np.abs(new - w).max() < 1e-6:
+        step = np.linalg.solve((xa * wa[:, None]).T @ xa + np.diag(ridge), (xa * wa[:, None]).T @ y[active]) - w
+        size = 1.0
+        while size > 1e-6 and (new := loss(w + size * step)) > now:
+            size /= 2
+        if size <= 1e-6 or now - new < 1e-9 * now:
             break
-        w = new
+        w, now = w + size * step, new
     return w
 
 
@@ -279,6 +290,36 @@ def _each_word(batches):
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(marks, pa.int32())], names=["word", "toxic"])
 
 
+def _explaining(sample: DataFrame, suspects: list[tuple[bytes, float]]) -> list[tuple[bytes, float]]:
+    """The suspects that toxic texts need: taken in order of evidence, a word stays if it
+    stands in texts that hardly any before it stands in. So the other words of a toxic text that
+    has many copies are not held against it. Equal texts count once."""
+    number = {w: i for i, (w, _) in enumerate(suspects)}
+
+    def found(batches):
+        for batch in slices(batches, 0, 2 << 20):
+            rows = [
+                (zlib.crc32(raw) << 31 | zlib.adler32(raw) >> 1, number[w])
+                for raw in utf8(batch.column(0))
+                for w in {w.strip(PUNCTUATION) for w in tokens(raw)}
+                if w in number
+            ]
+            texts, words = zip(*rows, strict=True) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.int64()), pa.array(words, pa.int32())], names=["text", "word"])
+
+    # at most PER_CLASS texts with CANDIDATES words
+    pairs = sample.where("toxic = 1").select("text").mapInArrow(found, "text long, word int").distinct().toPandas()
+    texts = {word: set(own) for word, own in pairs.groupby("word")["text"]}
+    explained: Counter = Counter()
+    kept = []
+    for i, suspect in enumerate(suspects):
+        own = texts.get(i, set())
+        if sum(explained[t] < 2 for t in own) >= max(2, NEEDED * len(own)):
+            kept.append(suspect)
+            explained.update(own)
+    return kept or suspects[:1]
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", per_class: int = PER_CLASS) -> Model:
     """Learn from the labelled texts that are not held out."""
     sample = _labelled(docs, labels, key, text, per_class)
@@ -298,8 +339,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     suspects = [(bytes(r.word), r.evidence) for r in picked]
     if not suspects:
         return Model(np.zeros(0, np.int64), np.zeros(0), FLOOR, (0.0, 0.0, -40.0))
-    best = suspects[0][1]
-    suspects = [(w, e) for w, e in suspects if e >= best / 8]
+    suspects = _explaining(sample, suspects)
     bad = [w for w, _ in suspects]
     probe = Landmarks([b"\x02" + w + b"\x03" for w in spread_landmarks(bad, LANDMARKS)])
 
@@ -313,7 +353,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # the clean words most like a suspect, and some of every kind
     hard = clean.orderBy(F.desc("near"), "word").limit(COUNTER).union(clean.orderBy(F.xxhash64("word"), "word").limit(COUNTER // 3))
     # a clean word counts for more the more texts have it and the more it is like a suspect
-    good = {bytes(r.word): r.good**0.5 * (r.near + 0.02) for r in hard.collect()}
+    good = {bytes(r.word): r.good**0.5 * (r.near + 0.2) for r in hard.collect()}
     heavy = sorted(good, key=lambda w: (-good[w], w))[: LANDMARKS // 2]
     positive, negative = [b"\x02" + w + b"\x03" for w in bad], [b"\x02" + w + b"\x03" for w in good]
     landmarks = spread_landmarks(positive, LANDMARKS // 2) + [b"\x02" + w + b"\x03" for w in heavy]
