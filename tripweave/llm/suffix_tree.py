@@ -158,7 +158,7 @@ class SuffixTree:
         short = np.stack([codes >> SHIFT * back & LOW for back in range(len(self.levels), -1, -1)], axis=1)
         lead = np.zeros((len(short), 1), np.int64)
         expected = self.ratios(np.hstack([lead, short]).ravel()).reshape(len(short), -1)[:, -1] * self.root(last) if len(short) else np.zeros(0)
-        gain = np.bincount(owner, counts * np.log(counts / total[owner] / expected), len(contexts))
+        gain = np.bincount(owner, counts * np.log(counts / total[owner] / expected), len(contexts)).astype(float)
         rest = np.maximum(total - seen, 0)
         left = np.maximum(1 - np.bincount(owner, expected, len(contexts)), 1e-9)
         gain += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-9) / total / left), 0)
@@ -249,9 +249,9 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds:
             texts = [words_of(t) for t in utf8(batch.column(1))]
             ids, number = numbered(texts, tree.words)
             place = ids != START
-            gain = np.bincount(number[place], np.log10(tree.ratios(ids))[place], len(texts))
+            gain = np.bincount(number[place], np.log10(tree.ratios(ids))[place], len(texts)).astype(float)
             common = place & (ids > 0)
-            logs = np.bincount(number[common], logs_of[ids[common]], len(texts))
+            logs = np.bincount(number[common], logs_of[ids[common]], len(texts)).astype(float)
             known = np.bincount(number[common], minlength=len(texts))
             rare = []
             for i, words in enumerate(texts):

@@ -2,7 +2,8 @@
 
 The kernel compares words by their common subsequences of three letters, each weighted by
 ``DECAY`` to the number of letters it skips, so that an insult with letters put in between
-still is like the insult. It is normalised, and word ends count as letters. Landmarks,
+still is like the insult. It is normalised by the weights of all subsequences, and word ends
+count as letters. Landmarks,
 taken from words that labelled toxic texts have and clean ones have not, carry it into a
 vector space (Nyström: kernel values with the landmarks times the inverse root of the
 landmarks' own kernel matrix), where a linear machine is trained. A text scores by its
