@@ -17,17 +17,19 @@ def _each_point(geometry: str, make: Callable[[str], str]) -> str:
 def from_wkt(text: str) -> str:
     """POLYGON or MULTIPOLYGON text to a geometry; NULL for anything else.
 
-    Point pairs and brackets become those of a JSON list, which Spark then parses.
+    Points and brackets become those of a JSON list, which Spark then parses. Heights and
+    measures are left out. A coordinate that is no number makes the whole text NULL.
     """
 
     def parse(t: str) -> str:
-        body = rf"regexp_replace({t}, r'^(MULTI)?POLYGON\s*', '')"
-        quoted = rf"""regexp_replace({body}, r'{_NUMBER}\s+{_NUMBER}', '["$1","$2"]')"""
+        body = rf"regexp_replace({t}, r'^(MULTI)?POLYGON\s*(Z|M|ZM)?\s*', '')"
+        quoted = rf"""regexp_replace({body}, r'{_NUMBER}\s+{_NUMBER}(?:\s+{_NUMBER}){{0,2}}', '["$1","$2"]')"""
         lists = f"translate({quoted}, '()', '[]')"
         nested = f"if(startswith({t}, 'MULTI'), {lists}, concat('[', {lists}, ']'))"
         parsed = f"from_json({nested}, 'array<array<array<array<string>>>>')"
-        shape = _each_point(parsed, lambda p: point(f"cast({p}[0] as double)", f"cast({p}[1] as double)"))
-        return rf"if(rlike({t}, r'^(MULTI)?POLYGON\s*\(\('), {let(shape, oriented)}, null)"
+        shape = _each_point(parsed, lambda p: point(f"try_cast({p}[0] as double)", f"try_cast({p}[1] as double)"))
+        whole = let(shape, lambda s: f"if(exists(flatten(flatten({s})), p -> p.x is null or p.y is null), null, {oriented(s)})")
+        return rf"if(rlike({t}, r'^(MULTI)?POLYGON\s*(Z|M|ZM)?\s*\(\('), {whole}, null)"
 
     return let(f"upper(trim({text}))", parse)
 
