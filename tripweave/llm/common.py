@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripweave.session import scratch_path
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: int, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -30,6 +30,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: int, limit: int = BATCH_BYTE
                 start, total = i, 0
             total += size
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers stay for the next task
 
 
 def utf8(column: pa.Array) -> list[bytes]:

@@ -45,7 +45,7 @@ from tripweave.llm.rolling import LIMIT, Rolling, mixed, sliding_min
 LENGTH = 200
 K = 32
 STEP = 16
-HELD_ROWS = 400_000
+HELD_ROWS = 250_000
 
 
 def units(texts: list[bytes], length: int, limit: int = LIMIT) -> Iterator[list[tuple[int, int, bytes]]]:
