@@ -73,3 +73,30 @@ def test_odd_input(spark):
     table = spark.createDataFrame(same, "doc_id long, text string")
     rows = suffix_tree.score_texts(table.withColumn("row", table.doc_id)).collect()
     assert len(rows) == 3 and len({r.score for r in rows if r.doc_id == 3}) == 1
+
+
+def test_a_context_stays_however_many_tokens_there_are(spark):
+    texts = spark.createDataFrame([(t or "",) for _, t in corpus(5)], "text string")
+    counts = suffix_tree.word_counts(texts, "text")
+    tree = suffix_tree.grow(texts, counts, 500_000_000, 42)
+    assert b"one" in tree.words and len(tree.levels) and len(tree.levels[0].contexts)
+
+
+def test_the_third_word_back_counts(spark):
+    rows = [(k, f"{a} mm nn {b}") for k, (a, b) in enumerate([("xx", "yy"), ("uu", "vv")] * 20)]
+    deep, flat = scored(spark, rows), scored(spark, rows, depth=2)
+    assert all(deep[k].score > flat[k].score + 0.2 for k, _ in rows)
+
+
+def test_scores_are_those_of_the_gathered_tree(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "AT_HAND", 20)  # most numbers are met in the join
+    rows = corpus(9)
+    got = scored(spark, rows, held_out=9)  # all learn
+    texts = spark.createDataFrame([(t or "",) for _, t in rows], "text string")
+    counts = suffix_tree.word_counts(texts, "text")
+    tokens, distinct = counts.selectExpr("sum(n)", "count(*)").first()
+    tree = suffix_tree.grow(texts, counts, tokens, distinct)
+    for k, t in rows:
+        ids = np.array([suffix_tree.START, *(tree.words.get(w, 0) for w in [*(t or "").encode().lower().split(), b""])])
+        gain = np.log10(tree.ratios(ids)[1:]).sum()
+        assert math.isclose(got[k].score - got[k].base_score, gain, rel_tol=1e-6, abs_tol=1e-9)

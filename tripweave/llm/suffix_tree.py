@@ -1,22 +1,25 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
 The tree's contexts are the words before a word, ``DEPTH`` at most, or fewer and the start
-of the text. For each context it holds how often every word, or the end, follows. A
-context or a continuation is a candidate only if it makes up at least ``P_MIN`` of all
-training tokens (and comes twice): of those there are at most ``1 / P_MIN`` of each
-length, whatever the corpus is, so the tree may travel to the tasks. Its counts are exact
-and over all training texts: a longer word sequence is frequent only if its parts are, so
-each length is counted, per task and then by a shuffle that grows with the corpus, among
-the sequences whose parts are known to be frequent.
-
-A candidate is kept if what follows it diverges from what its longest kept suffix expects
+of the text. For each context it holds how often every word, or the end, follows. Every
+word sequence that comes ``LEAST`` times in the training texts counts, however large the
+corpus is. The tree is a set of tables keyed by a sequence, which grow with the corpus and
+are never gathered: a sequence's key is made from those of its two parts (without its last
+word, without its first), so any depth fits. Each length is counted per task and then by a
+shuffle; sequences with a part that is not frequent are left out before it as far as a bit
+table of fixed size tells, which changes the cost and not the result.
+
+A context is kept if what follows it diverges from what its longest kept suffix expects
 by more than its number of parameters is worth. Its distribution is smoothed with that
 suffix's, down to the root, whose distribution is the base score's. Texts are scored by
 the state of the longest kept suffix; the probabilities of a state sum to 1 over the
 training vocabulary and one unknown word.
 
-The base needs the count of every word. Frequent words are at hand in the tasks; all
-others meet their counts in a join.
+In logarithms a score is a sum over the text's sequences: a kept context adds what it
+leaves to its suffix, and a continuation that it lists adds what lies between its own
+probability and that. So each sequence has one number, and texts meet these numbers in a
+join by sequence; only the ``AT_HAND`` most frequent ones travel to the tasks. The base
+score's word counts are met in the same join.
 
 Null texts count as empty: they have the end as their one token. Null ids belong to the
 training texts; repeated rows count and are scored each. Without training texts every
@@ -28,24 +31,29 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tripweave.llm.common import bucket_of, row_numbers, slices, stored, text_or_empty, utf8
+from tripweave.llm.rolling import mixed
 
-DEPTH = 2
-P_MIN = 1e-6
+DEPTH = 3
+LEAST = 2
 STRENGTH = 2.0
 HELD = 400_000
 HELD_WORDS = 150_000
+HELD_PLACES = 3_000_000
+CACHED = 300_000
+AT_HAND = 1 << 16
+FILTER = 26  # bits of a key that number the bits of a filter
 FOLDS = 5
-SHIFT = 20  # bits of a frequent word's number: 1 / P_MIN of them fit
 START = 1
 FIRST = 2
-LOW = (1 << SHIFT) - 1
+START_KEY = 0x5851F42D4C957F2D
+JOIN = np.uint64(0xD1342543DE82EF95)
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -75,56 +83,171 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def numbered(texts: list[list[bytes]], numbers: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' words as numbers, each text between the start and the end; a rare word
-    is 0. And for each number its text."""
-    end, get = numbers.get(b"", 0), numbers.get
+class Keys(dict):
+    """Words' keys, kept for the next texts."""
+
+    def __missing__(self, word: bytes) -> int:
+        key = self[word] = xxhash.xxh3_64_intdigest(word)
+        return key
+
+
+def keyed(texts: list[list[bytes]], keys: Keys) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' words as keys, each text between the start and the end; and for each key
+    its text."""
+    if len(keys) > CACHED:
+        keys.clear()
+    end = keys[b""]
     flat: list[int] = []
     for words in texts:
-        flat.append(START)
-        flat += [get(w, 0) for w in words]
+        flat.append(START_KEY)
+        flat += map(keys.__getitem__, words)
         flat.append(end)
-    return np.array(flat, np.int64), np.repeat(np.arange(len(texts)), [len(w) + 2 for w in texts])
+    return np.array(flat, np.uint64), np.repeat(np.arange(len(texts)), [len(w) + 2 for w in texts])
 
 
-def sequences(ids: np.ndarray, length: int) -> np.ndarray:
-    """For each place the ``length`` numbers up to it in one; 0 where a rare word is among
-    them or they reach back over the start."""
-    code, fine = np.zeros(len(ids), np.int64), np.ones(len(ids), bool)
-    for back in range(length - 1, -1, -1):
-        moved = np.zeros(len(ids), np.int64)
-        moved[back:] = ids[: len(ids) - back] if back else ids
-        code = code << SHIFT | moved
-        fine &= moved > 0
-        if back < length - 1:
-            fine &= moved != START
-    return np.where(fine, code, 0)
+def joined(context: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The keys of sequences from those of their parts without the last and the first word."""
+    return mixed(context * JOIN + rest)
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
+def sequences(ids: np.ndarray, length: int):
+    """For each length up to ``length``: keys of the sequences up to each place, and which
+    of them lie inside their text, whose start may come first."""
+    starts = ids == np.uint64(START_KEY)
+    codes, inside = ids, np.ones(len(ids), bool)
+    yield codes, inside
+    for _ in range(1, length):
+        codes, inside = np.r_[np.uint64(0), joined(codes[:-1], codes[1:])], np.r_[False, inside[:-1]] & ~starts
+        yield codes, inside
 
 
-@dataclass
-class Level:
-    """The kept contexts of one length, with what follows them."""
+def filter_of(table: DataFrame, column: str = "code") -> np.ndarray:
+    """A bit table of fixed size of the keys; it says yes for all of them."""
+    bits = table.select(F.shiftrightunsigned(F.col(column), 64 - FILTER).alias("bit"))
+    word = bits.select(F.shiftright("bit", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("own"))
+    found = word.groupBy("word").agg(F.bit_or("own").alias("own")).toArrow()  # at most 2 ** (FILTER - 6) rows
+    out = np.zeros(1 << (FILTER - 6), np.uint64)
+    out[found["word"].to_numpy()] = found["own"].to_numpy().view(np.uint64)
+    return out
+
+
+def passing(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    at = codes >> np.uint64(64 - FILTER)
+    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def with_code(rows: DataFrame) -> DataFrame:
+    """context, rest, n and the sequence's own key."""
+
+    def run(batches):
+        for batch in batches:
+            context, rest = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(joined(context, rest).view(np.int64))], names=["context", "rest", "n", "code"])
+
+    return rows.mapInArrow(run, "context long, rest long, n long, code long")
+
+
+def _counted(texts: DataFrame, length: int, parts: np.ndarray, least: int) -> DataFrame:
+    """context, rest, n, code of the sequences of ``length`` words that are frequent."""
+
+    def run(batches):
+        keys = Keys()
+        held: list[np.ndarray] = []
+
+        def merged() -> np.ndarray:
+            rows = np.concatenate(held)
+            rows = rows[np.lexsort((rows["rest"], rows["context"]))]
+            fresh = np.r_[True, (rows["context"][1:] != rows["context"][:-1]) | (rows["rest"][1:] != rows["rest"][:-1])]
+            at = np.flatnonzero(fresh)
+            out = rows[at]
+            out["n"] = np.add.reduceat(rows["n"], at)
+            return out
+
+        def done(rows: np.ndarray):
+            held.clear()
+            columns = [pa.array(np.ascontiguousarray(rows[c]).view(np.int64)) for c in ("context", "rest", "n")]
+            return pa.RecordBatch.from_arrays(columns, names=["context", "rest", "n"])
+
+        for batch in slices(batches, 0, 4 << 20):
+            ids, _ = keyed([words_of(t) for t in utf8(batch.column(0))], keys)
+            for size, (codes, inside) in enumerate(sequences(ids, length), 1):
+                if size == length - 1:
+                    short = codes
+            at = np.flatnonzero(inside)
+            at = at[passing(parts, short[at - 1]) & passing(parts, short[at])]
+            rows = np.empty(len(at), [("context", np.uint64), ("rest", np.uint64), ("n", np.int64)])
+            rows["context"], rows["rest"], rows["n"] = short[at - 1], short[at], 1
+            if len(rows):
+                held.append(rows)
+            if sum(map(len, held)) > 3 * HELD:
+                held[:] = [merged()]
+                if len(held[0]) > HELD:
+                    yield done(held[0])
+        if held:
+            yield done(merged())
+
+    rows = texts.mapInArrow(run, "context long, rest long, n long")
+    return with_code(rows.groupBy("context", "rest").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+
+
+def signed(key: int) -> int:
+    return key - (1 << 64) if key >> 63 else key
 
-    contexts: np.ndarray
-    total: np.ndarray
-    seen: np.ndarray
-    codes: np.ndarray
-    counts: np.ndarray
+
+def keyed_counts(counts: DataFrame) -> DataFrame:
+    """code, n, word of the words."""
+
+    def run(batches):
+        for batch in batches:
+            codes = np.array([xxhash.xxh3_64_intdigest(w) for w in batch.column(0).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), batch.column(1), batch.column(0)], names=["code", "n", "word"])
+
+    return counts.select("word", "n").mapInArrow(run, "code long, n long, word binary")
+
+
+def levels(texts: DataFrame, words: DataFrame, tokens: int, distinct: int, least: int = LEAST, depth: int = DEPTH) -> list[tuple[DataFrame, DataFrame]]:
+    """For each length of contexts the kept ones (code, n, gain: what each leaves to its
+    suffix) and what they list (code, n, gain: what each continuation has beyond that).
+    ``words``: the training texts' words with code and n."""
+    norm = tokens + 0.5 * (distinct + 1)
+    frequent = words.where(F.col("n") >= least)
+    end = signed(xxhash.xxh3_64_intdigest(b""))
+    start = words.where(F.col("code") == end).select(F.lit(signed(START_KEY)).alias("code"), "n", F.lit(None).cast("double").alias("p"))
+    # of each frequent sequence the probability of its last word after the others
+    known = frequent.select("code", "n", ((F.col("n") + 0.5) / norm).alias("p")).unionAll(start.where(F.col("n") >= least))
+    known = stored(known, "tree-level-1")
+    price = math.log(known.count() + 2)
+    out = []
+    for length in range(2, depth + 2):
+        counted = _counted(texts, length, filter_of(known), least)
+        counted = stored(counted, f"tree-counts-{length}")
+        expected = known.select(F.col("code").alias("rest"), F.col("p").alias("e"))
+        totals = known.select(F.col("code").alias("context"), F.col("n").alias("total"))
+        rows = counted.join(expected, "rest").join(totals, "context").select("context", "code", "n", "e", "total")
+        rows = stored(rows, f"tree-rows-{length}")
+        own = F.col("n") * F.log(F.col("n") / F.col("total") / F.col("e"))
+        sums = rows.groupBy("context").agg(F.first("total").alias("total"), F.sum("n").alias("seen"), F.count("*").alias("kinds"), F.sum("e").alias("sum_e"), F.sum(own).alias("gain"))
+        others = F.greatest(F.col("total") - F.col("seen"), F.lit(0))
+        left = F.greatest(1 - F.col("sum_e"), F.lit(1e-9))
+        more = F.when(others > 0, others * F.log(F.greatest(others, F.lit(1)) / F.col("total") / left)).otherwise(0.0)
+        cost = F.col("kinds") * price + 0.5 * F.log(F.greatest(F.col("total"), F.lit(2)))
+        part = (STRENGTH + F.col("total") - F.col("seen")) / (STRENGTH + F.col("total"))
+        kept = stored(sums.where(F.col("gain") + more > cost).select("context", "total", part.alias("part")), f"tree-kept-{length}")
+        placed = rows.join(kept.select("context", "part"), "context", "left")
+        p = F.when(F.col("part").isNull(), F.col("e")).otherwise(F.col("n") / (F.col("total") + STRENGTH) + F.col("part") * F.col("e"))
+        known = stored(placed.select("code", "n", p.alias("p"), "e", "part"), f"tree-level-{length}")
+        listed = known.where("part is not null").select("code", "n", F.log10(F.col("p") / F.col("e") / F.col("part")).alias("gain"))
+        out.append((kept.select(F.col("context").alias("code"), F.col("total").alias("n"), F.log10("part").alias("gain")), listed))
+    return out
 
 
 class SuffixTree:
-    """Frequent words with their numbers, and the kept contexts of each length."""
+    """The tree of a small corpus, gathered to look at."""
 
     def __init__(self, words: dict[bytes, int], counts: np.ndarray, tokens: int, distinct: int):
         self.words, self.counts = words, counts
         self.norm = tokens + 0.5 * (distinct + 1)
+        self.keys = np.array([0, START_KEY, *map(xxhash.xxh3_64_intdigest, words)], np.uint64)
         self.levels: list[Level] = []
 
     def root(self, words: np.ndarray) -> np.ndarray:
@@ -132,156 +255,125 @@ class SuffixTree:
 
     def ratios(self, ids: np.ndarray) -> np.ndarray:
         """For each place how many times as likely as by the root its word is."""
-        ratio = np.ones(len(ids))
-        base = self.root(ids)
-        for length, level in enumerate(self.levels, 1):
-            before = np.r_[0, sequences(ids, length)[:-1]]
-            before[ids == START] = 0
-            at, known = _find(level.contexts, before)
-            known &= before > 0
-            if not known.any():
-                continue
-            place, there = _find(level.codes, before << SHIFT | ids)
-            n = np.where(there & known & (ids > 0), level.counts[place] if len(level.counts) else 0.0, 0.0)
-            total, seen = level.total[at], level.seen[at]
-            ratio = np.where(known, (n / base + (STRENGTH + total - seen) * ratio) / (total + STRENGTH), ratio)
-        return ratio
-
-    def add_level(self, contexts: np.ndarray, total: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> None:
-        """Keep those of the candidate contexts (sorted) that diverge from their suffix."""
-        owner, known = _find(contexts, codes >> SHIFT)
-        codes, counts, owner = codes[known], counts[known].astype(float), owner[known]
-        total = total.astype(float)
-        seen = np.bincount(owner, counts, len(contexts))
-        last = codes & LOW
-        # by the longest kept suffix: its words and the one that follows, as short texts
-        short = np.stack([codes >> SHIFT * back & LOW for back in range(len(self.levels), -1, -1)], axis=1)
-        lead = np.zeros((len(short), 1), np.int64)
-        expected = self.ratios(np.hstack([lead, short]).ravel()).reshape(len(short), -1)[:, -1] * self.root(last) if len(short) else np.zeros(0)
-        gain = np.bincount(owner, counts * np.log(counts / total[owner] / expected), len(contexts)).astype(float)
-        rest = np.maximum(total - seen, 0)
-        left = np.maximum(1 - np.bincount(owner, expected, len(contexts)), 1e-9)
-        gain += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-9) / total / left), 0)
-        kinds = np.bincount(owner, minlength=len(contexts))
-        keep = gain > kinds * np.log(len(self.counts) + 1) + 0.5 * np.log(np.maximum(total, 2))
-        chosen = keep[owner]
-        self.levels.append(Level(contexts[keep], total[keep], seen[keep], codes[chosen], counts[chosen]))
-
-
-def _counted(texts: DataFrame, words: dict[bytes, int], length: int, parts: np.ndarray | None, least: float):
-    """Sequences of ``length`` numbers that are frequent, sorted, with their counts."""
-
-    def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged():
-            codes, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-            distinct, inverse = np.unique(codes, return_inverse=True)
-            return distinct, np.bincount(inverse, counts, len(distinct)).astype(np.int64)
+        gain = np.zeros(len(ids))
+        found = list(sequences(self.keys[ids], len(self.levels) + 1))
+        for level, (before, left), (codes, inside) in zip(self.levels, found, found[1:], strict=False):
+            known = inside & np.r_[False, np.isin(before[:-1], level.contexts) & left[:-1]]
+            gain += np.where(known, np.r_[0.0, [level.gains.get(c, 0.0) for c in before[:-1].tolist()]], 0.0)
+            gain += np.where(known, [level.listed.get(c, 0.0) for c in codes.tolist()], 0.0)
+        return 10**gain
 
-        def done(codes, counts):
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
 
-        for batch in slices(batches, 0, 4 << 20):
-            ids, _ = numbered([words_of(t) for t in utf8(batch.column(0))], words)
-            code = sequences(ids, length)
-            if parts is not None:  # both the sequence without its last and without its first
-                code = code[code > 0]
-                code = code[_find(parts, code >> SHIFT)[1] & _find(parts, code & ((1 << SHIFT * (length - 1)) - 1))[1]]
-            distinct, counts = np.unique(code[code > 0], return_counts=True)
-            held.append((distinct, counts))
-            if sum(len(x[0]) for x in held) > 2 * HELD:
-                held[:] = [merged()]
-                if len(held[0][0]) > HELD:
-                    yield done(*held[0])
-        if held:
-            yield done(*merged())
+class Level:
+    """The kept contexts of one length, and what they list, with their gains."""
 
-    rows = texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    found = rows.toPandas().sort_values("code")  # at most 1 / P_MIN of them
-    return found["code"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+    def __init__(self, kept: DataFrame, listed: DataFrame):
+        self.gains, self.listed = ({r.code & ((1 << 64) - 1): r.gain for r in t.collect()} for t in (kept, listed))
+        self.contexts = np.array(sorted(self.gains), np.uint64)
 
 
-def grow(texts: DataFrame, counts: DataFrame, tokens: int, distinct: int, p_min: float = P_MIN, depth: int = DEPTH) -> SuffixTree:
-    """The tree of the training texts, whose word counts are given."""
-    least = max(2.0, p_min * tokens)
-    found = counts.where((F.col("n") >= least) | (F.octet_length("word") == 0)).collect()
-    found.sort(key=lambda r: bytes(r.word))
+def grow(texts: DataFrame, counts: DataFrame, tokens: int, distinct: int, least: int = LEAST, depth: int = DEPTH) -> SuffixTree:
+    """The tree of a few training texts, whose word counts are given, down to its longest
+    kept context."""
+    found = sorted(counts.where(F.col("n") >= least).collect(), key=lambda r: bytes(r.word))
     words = {bytes(r.word): FIRST + i for i, r in enumerate(found)}
-    numbers = np.array([0, 0, *(r.n for r in found)], float)
-    tree = SuffixTree(words, numbers, tokens, distinct)
-    if not words:
-        return tree
-    end = words[b""]
-    contexts = np.arange(START, len(numbers))
-    total = np.r_[numbers[end], numbers[FIRST:]]
-    fine = contexts != end
-    contexts, total, parts = contexts[fine], total[fine], None
-    for length in range(2, depth + 2):
-        codes, n = _counted(texts, words, length, parts, least)
-        tree.add_level(contexts, total, codes, n)
-        going = (codes & LOW) != end
-        contexts, total, parts = codes[going], n[going], codes
+    tree = SuffixTree(words, np.array([0, 0, *(r.n for r in found)], float), tokens, distinct)
+    tree.levels = [Level(*x) for x in levels(texts, stored(keyed_counts(counts), "tree-words"), tokens, distinct, least, depth)]
+    while tree.levels and not len(tree.levels[-1].contexts):
+        tree.levels.pop()
     return tree
 
 
-SCORED = "row long, id {kind}, held_out boolean, n_tokens long, known long, logs double, gain double, rare array<struct<word: binary, n: int>>"
+def _at_hand(values: DataFrame) -> tuple[np.ndarray, ...]:
+    """key, gain, base, known of the most frequent sequences, sorted."""
+    top = values.orderBy(F.desc("n"), "code").limit(AT_HAND).toArrow()
+    codes = top["code"].to_numpy().view(np.uint64)
+    order = np.argsort(codes)
+    return codes[order], *(top[c].to_numpy()[order] for c in ("gain", "base", "known"))
+
 
+SCORED = "row long, id {kind}, held_out boolean, n_tokens long, known double, base double, gain double"
+PLACES = "code long, shift long, rows array<int>"
 
-def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = FOLDS, held_out: int = 1, p_min: float = P_MIN) -> DataFrame:
+
+def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = FOLDS, held_out: int = 1, least: int = LEAST, depth: int = DEPTH) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per row.
 
     Learns from the texts whose id hash, modulo ``folds``, is not ``held_out``.
     """
     plain = docs.select(F.col(key).alias("id"), text_or_empty(text).alias("text"), (bucket_of(key, folds) == held_out).alias("held_out"))
     train = plain.where("not held_out").select("text")
-    counts = stored(word_counts(train, "text"), "tree-words")
+    counts = stored(keyed_counts(word_counts(train, "text")), "tree-words")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    tree = grow(train, counts, tokens, distinct, p_min)
-    kind = dict(plain.dtypes)["id"]
-    schema = SCORED.format(kind=kind)
+    zero = F.lit(0.0)
+    # beyond what a word that is not known has
+    rows = counts.select("code", "n", zero.alias("gain"), (F.log10(F.col("n") + 0.5) - math.log10(0.5)).alias("base"), F.lit(1.0).alias("known"))
+    for kept, listed in levels(train, counts, tokens, distinct, least, depth):
+        rows = rows.unionAll(kept.unionAll(listed).select("code", "n", "gain", zero.alias("base"), zero.alias("known")))
+    values = rows.groupBy("code").agg(F.max("n").alias("n"), *[F.sum(c).alias(c) for c in ("gain", "base", "known")])
+    values = stored(values, "tree-values")
+    bits, top = filter_of(values), _at_hand(values)
+    schema = SCORED.format(kind=dict(plain.dtypes)["id"])
+    own_schema = f"{schema}, {PLACES}"
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches):
-        rows = row_numbers()
-        logs_of = np.log10(tree.counts + 0.5)
+        numbers, keys = row_numbers(), Keys()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        first = None
+
+        def places():
+            codes, rows = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.argsort(codes, kind="stable")
+            codes, rows = codes[order], rows[order]
+            at = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[at, len(codes)].astype(np.int32)), pa.array(rows))
+            for some in range(0, len(at), 1 << 16):
+                part = lists.slice(some, 1 << 16)
+                own = [pa.array(codes[at[some : some + (1 << 16)]].view(np.int64)), pa.array(np.full(len(part), first)), part]
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part), t) for t in kinds), *own], names=[*names, "code", "shift", "rows"])
+
         for batch in slices(batches, 1, 4 << 20):
             texts = [words_of(t) for t in utf8(batch.column(1))]
-            ids, number = numbered(texts, tree.words)
-            place = ids != START
-            gain = np.bincount(number[place], np.log10(tree.ratios(ids))[place], len(texts)).astype(float)
-            common = place & (ids > 0)
-            logs = np.bincount(number[common], logs_of[ids[common]], len(texts)).astype(float)
-            known = np.bincount(number[common], minlength=len(texts))
-            rare = []
-            for i, words in enumerate(texts):
-                own = Counter(w for w in words if w not in tree.words)
-                if b"" not in tree.words:
-                    own[b""] = 1
-                rare.append([{"word": w, "n": n} for w, n in own.items()])
+            ids, number = keyed(texts, keys)
+            row = np.array([next(numbers) for _ in texts], np.int64)
+            first = int(row[0]) if not held else first
+            sums = np.zeros((3, len(texts)))
+            for size, (codes, inside) in enumerate(sequences(ids, depth + 1), 1):
+                at = np.flatnonzero(inside & passing(bits, codes))
+                codes, owner = codes[at], number[at]
+                spot = np.minimum(np.searchsorted(top[0], codes), max(len(top[0]) - 1, 0))
+                near = top[0][spot] == codes if len(top[0]) else np.zeros(len(codes), bool)
+                for sum_, column in zip(sums, top[1:], strict=True):
+                    sum_ += np.bincount(owner[near], column[spot[near]], len(texts))
+                if not near.all():
+                    held.append((codes[~near], (row[owner[~near]] - first).astype(np.int32)))
             columns = [
-                pa.array([next(rows) for _ in texts], pa.int64()), batch.column(0), batch.column(2),
-                pa.array([len(w) + 1 for w in texts], pa.int64()), pa.array(known.astype(np.int64)), pa.array(logs), pa.array(gain),
-                pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))),
+                pa.array(row), batch.column(0), batch.column(2), pa.array([len(w) + 1 for w in texts], pa.int64()),
+                pa.array(sums[2]), pa.array(sums[1]), pa.array(sums[0]),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ", 7)])
-
-    scored = stored(plain.mapInArrow(run, schema), "tree-scores")
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
-    least = max(2.0, p_min * tokens)
-    met = rare.join(counts.where((F.col("n") < least) | (F.octet_length("word") == 0)), "word", "left")
-    sums = met.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("found"),
-    )
+            kinds = [c.type for c in columns]
+            none = [pa.nulls(len(texts), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*columns, *none], names=[*names, "code", "shift", "rows"])
+            if sum(len(c) for c, _ in held) > HELD_PLACES:
+                yield from places()
+        if held:
+            yield from places()
+
+    scored = stored(plain.mapInArrow(run, own_schema), "tree-scores")
+    met = scored.where("code is not null").select("code", "shift", "rows").join(values.drop("n"), "code")
+    each = met.select(F.explode("rows").alias("own"), "shift", "gain", "base", "known")
+    sums = each.groupBy((F.col("shift") + F.col("own")).alias("row")).agg(*[F.sum(c).alias(f"more_{c}") for c in ("gain", "base", "known")])
     norm = math.log10(tokens + 0.5 * (distinct + 1))
-    base = F.col("logs") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * norm
-    return scored.drop("rare").join(sums, "row", "left").select(
+    whole = {c: F.col(c) + F.coalesce(f"more_{c}", zero) for c in ("gain", "base", "known")}
+    base = whole["base"] + F.col("n_tokens") * (math.log10(0.5) - norm)
+    return scored.where("code is null").select(*names).join(sums, "row", "left").select(
         F.col("id").alias(key),
         "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"),
+        F.round(whole["known"]).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        (base + F.col("gain")).alias("score"),
+        (base + whole["gain"]).alias("score"),
     )
