@@ -94,3 +94,12 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (501, 501)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(201)}, 500: 500, 501: 500}
+
+
+def test_one_row_of_a_component_stays_when_rows_repeat(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, "a"), (1, text, "a"), (1, text, "b"), (2, f"{text} more", "a"), (3, "", "a"), (3, None, "a"), (None, "alone", "a")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = near.keep_one(table).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "3", "None"]
+    assert near.keep_one(table).columns == table.columns

@@ -291,8 +291,9 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each component, with all their columns."""
+    """The rows of ``docs`` that stay, one of each component, with all their columns; of
+    rows that are equal in id and text any one."""
     found = near_dedup(docs, key, text, percent).where("stays").select("row").distinct()
     row = F.xxhash64(F.col(key), F.coalesce(F.col(text), F.lit("")))
     everything = docs.select(row.alias("row"), F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
-    return everything.join(found, "row", "left_semi").select("doc.*")
+    return everything.join(found, "row", "left_semi").dropDuplicates(["row"]).select("doc.*")
