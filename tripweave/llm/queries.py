@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripweave.llm import bpe, chat, exact, lines, near, packing, simhash, suffix_tree, suffixes, toxicity
+from tripweave.llm import bisectors, bpe, chat, exact, lines, near, packing, replay, simhash, suffix_tree, suffixes, toxicity, whitening
 from tripweave.llm.common import bucket_of, documents, stored
 
 
@@ -82,6 +82,19 @@ def op10_line_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op11_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_bisector_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisectors.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.coding_digest(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_suffix_tree": op2_suffix_tree,
@@ -93,9 +106,58 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_radix_repeats": op9_radix_repeats,
     "op10_line_suffixes": op10_line_suffixes,
+    "op11_polarised_whitening": op11_polarised_whitening,
+    "op12_bisector_tournament": op12_bisector_tournament,
+    "op13_merge_replay": op13_merge_replay,
 }
 
+
+def _clustering_sql(k: int, rounds: int, dimensions: int) -> str:
+    """The rounds one after the other, over whole numbers that doubles hold exactly."""
+    nearest = """
+        {name} as materialized (
+            select vec_id, any_value(v.x) as x,
+                   min(((list_inner_product(v.x, v.x) - 2 * list_inner_product(v.x, c.x) + list_inner_product(c.x, c.x))::hugeint * {k} + c.k)) as best
+            from kept v cross join {centroids} c group by vec_id
+        )"""
+    mean = """
+        {name} as materialized (
+            select c.k, coalesce(m.x, c.x) as x from {old} c left join (
+                select k, list(((s - ((s % n) + n) % n) // n)::double order by i) as x from (
+                    select k, i, sum(value::hugeint)::hugeint as s, count(*)::hugeint as n from (
+                        select (best % {k})::bigint as k, unnest(x) as value, generate_subscripts(x, 1) as i from {placed}
+                    ) group by k, i
+                ) group by k
+            ) m using (k)
+        )"""
+    parts = [
+        f"""
+        kept as materialized (
+            select vec_id, list_transform(embedding, lambda c: floor(c::double * 256)) as x from embeddings
+            where len(embedding) = {dimensions} and len(list_filter(embedding, lambda c: isfinite(c))) = {dimensions}
+        ), c0 as materialized (
+            select row_number() over (order by sha256('2:' || vec_id)) - 1 as k, x
+            from kept qualify row_number() over (order by sha256('2:' || vec_id)) <= {k}
+        )"""
+    ]
+    for r in range(rounds):
+        parts.append(nearest.format(name=f"p{r}", centroids=f"c{r}", k=k))
+        parts.append(mean.format(name=f"c{r + 1}", old=f"c{r}", placed=f"p{r}", k=k))
+    parts.append(nearest.format(name="last", centroids=f"c{rounds}", k=k))
+    return (
+        "with "
+        + ", ".join(parts)
+        + f""", done as (select vec_id, (best % {k})::int as cluster, (best // {k})::bigint as distance from last)
+        select vec_id, cluster, distance, (sum(distance) over (partition by cluster))::bigint as cluster_inertia,
+               (sum(distance) over ())::bigint as inertia,
+               sha256(array_to_string(list_transform(x, lambda v: v::bigint), ',')) as centroid_sha256
+        from done join c{rounds} c on c.k = done.cluster
+    """
+    )
+
+
 ORACLES = {
+    "op12_bisector_tournament": _clustering_sql(bisectors.CENTROIDS, bisectors.ROUNDS, bisectors.DIMENSIONS),
     "op10_line_suffixes": """
         with split as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
         window_ as (
