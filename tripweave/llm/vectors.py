@@ -67,7 +67,7 @@ def in_parts(total: int) -> tuple[Decimal, Decimal]:
 def totals(rows: DataFrame, *keys: str) -> dict[tuple, int]:
     """Exact sums of columns (high, low) by key, on the driver: callers bound the keys."""
     summed = rows.groupBy(*keys).agg(F.sum("high").alias("high"), F.sum("low").alias("low"))
-    return {tuple(r[k] for k in keys): int(r.high) * PART + int(r.low) for r in summed.toLocalIterator()}
+    return {tuple(r[k] for k in keys): int(r.high) * PART + int(r.low) for r in summed.collect()}
 
 
 def total_rows(found: dict[tuple, int], names: list[str]) -> Iterator[pa.RecordBatch]:
