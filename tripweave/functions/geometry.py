@@ -153,9 +153,9 @@ TOLERANCE = 1e-11
 _T = num(TOLERANCE)
 
 
-def on_edge(x: str, y: str, e: str) -> str:
+def on_edge(x: str, y: str, e: str, tolerance: float = TOLERANCE) -> str:
     dx, dy = direction(e)
-    slack = f"{_T} * sqrt({dx} * {dx} + {dy} * {dy})"
+    slack = f"{num(tolerance)} * sqrt({dx} * {dx} + {dy} * {dy})"
     along = f"(({x} - {e}.ax) * {dx} + ({y} - {e}.ay) * {dy})"
     off = cross(dx, dy, f"{x} - {e}.ax", f"{y} - {e}.ay")
     return (

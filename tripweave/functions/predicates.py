@@ -67,11 +67,11 @@ def _middles(e: str, boundary: str) -> str:
     )
 
 
-def edge_runs_inside(e: str, boundary: str) -> str:
-    """Some piece of the edge lies strictly inside the shape."""
+def edge_runs_inside(e: str, boundary: str, tolerance: float = TOLERANCE) -> str:
+    """Some piece of the edge lies strictly inside the shape, ``tolerance`` off its boundary."""
     return some(
         _middles(e, boundary),
-        lambda m: f"not {some(boundary, lambda f: on_edge(m + '.x', m + '.y', f))}"
+        lambda m: f"not {some(boundary, lambda f: on_edge(m + '.x', m + '.y', f, tolerance))}"
         f" and {point_inside(m + '.x', m + '.y', boundary)}",
     )
 

@@ -2,107 +2,33 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tripweave.functions import formats, geometry as geo
+from tripweave.operators import overlay, rings
 
-# Decimal places (degrees) to which corners are snapped, so that the two copies of
-# a shared border are equal.
-SNAP = 9
 
+def outline_edges(zones: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Directed edges (ax, ay, bx, by) of the union of the zones of each group, which may
+    overlap and whose common borders may be cut unevenly (see ``overlay``)."""
+    return overlay.union_edges(zones, by)
 
-def outline_edges(zones: DataFrame, by: list[str]) -> DataFrame:
-    """Directed edges (ax, ay, bx, by) of the union of the zones of each group.
 
-    Neighbours run along their shared border in opposite directions, so each border
-    inside the union cancels out. Edges are counted on the edge itself, combined
-    before the shuffle: a group of any size spreads over all tasks.
-    """
-    snapped = zones.select(*by, F.explode(F.expr(geo.edges("geometry"))).alias("e")).select(
-        *by, *[F.round(f"e.{c}", SNAP).alias(c) for c in ("ax", "ay", "bx", "by")]
-    )
-    forward = (F.col("ax") < F.col("bx")) | ((F.col("ax") == F.col("bx")) & (F.col("ay") < F.col("by")))
-    a, b = F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(
-        F.col("bx").alias("x"), F.col("by").alias("y")
-    )
-    netted = (
-        snapped.where("ax <> bx or ay <> by")
-        .select(*by, F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"), F.when(forward, 1).otherwise(-1).alias("way"))
-        .groupBy(*by, "lo", "hi")
-        .agg(F.sum("way").alias("way"))
-        .where("way <> 0")
-    )
-    start = F.when(F.col("way") > 0, F.col("lo")).otherwise(F.col("hi"))
-    end = F.when(F.col("way") > 0, F.col("hi")).otherwise(F.col("lo"))
-    return netted.select(*by, start.x.alias("ax"), start.y.alias("ay"), end.x.alias("bx"), end.y.alias("by"))
-
-
-def _signed_area(ring: list[tuple[float, float]]) -> float:
-    ox, oy = ring[0]
-    return sum((p[0] - ox) * (q[1] - oy) - (q[0] - ox) * (p[1] - oy) for p, q in zip(ring, ring[1:])) / 2
-
-
-def _rings(rows: pd.DataFrame) -> list[list[tuple[float, float]]]:
-    """Closed rings from directed edges; a walk is cut where it comes back to a corner."""
-    onward = defaultdict(list)
-    for ax, ay, bx, by in sorted(rows[["ax", "ay", "bx", "by"]].itertuples(index=False, name=None)):
-        onward[(ax, ay)].append((bx, by))
-    rings = []
-    for start in sorted(onward):
-        while onward[start]:
-            walk, place = [start], {start: 0}
-            while onward.get(walk[-1]):
-                step = onward[walk[-1]].pop()
-                walk.append(step)
-                if step in place:
-                    first = place[step]
-                    rings.append(walk[first:])
-                    for corner in walk[first + 1 : -1]:
-                        del place[corner]
-                    walk = walk[: first + 1]
-                else:
-                    place[step] = len(walk) - 1
-    return rings
-
-
-def _encloses(ring: list[tuple[float, float]], hole: list[tuple[float, float]]) -> bool:
-    """The middle of the hole's first edge lies inside the ring."""
-    x, y = (hole[0][0] + hole[1][0]) / 2, (hole[0][1] + hole[1][1]) / 2
-    inside = False
-    for (ax, ay), (bx, by) in zip(ring, ring[1:]):
-        if (ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay):
-            inside = not inside
-    return inside
-
-
-def _outline_wkt(rows: pd.DataFrame) -> str:
-    rings = _rings(rows)
-    shells = sorted((r for r in rings if _signed_area(r) > 0), key=_signed_area)
-    polygons = [[shell] for shell in shells]
-    for hole in (r for r in rings if _signed_area(r) < 0):
-        home = next((p for p in polygons if _encloses(p[0], hole)), None)
-        if home is not None:
-            home.append(hole)
-    text = ", ".join(
-        "(" + ", ".join("(" + ", ".join(f"{x!r} {y!r}" for x, y in ring) + ")" for ring in polygon) + ")"
-        for polygon in polygons
-    )
-    return f"MULTIPOLYGON ({text})"
+def outline_rings(zones: DataFrame, by: Sequence[str]) -> DataFrame:
+    """ring, corners, area and ``by``: the rings of each group's union. Shells run
+    counter-clockwise, holes clockwise with a negative area."""
+    return rings.closed_rings(rings.ring_corners(outline_edges(zones, by), by), by)
 
 
 def merged_shapes(zones: DataFrame, by: str = "municipality_id") -> DataFrame:
     """One geometry per group: the union of its zones, borders inside it dissolved.
 
-    All merging is done on single edges (see ``outline_edges``). What meets in one
-    task at the end is the outline of one group, which is the value of its output row.
+    All merging is done on single edges, and rings are found by list ranking; what comes
+    together at the end is the value of the output row.
     """
-
-    def assemble(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({by: [rows[by].iloc[0]], "wkt": [_outline_wkt(rows)]})
-
-    outline = outline_edges(zones.where(F.col(by).isNotNull()), [by])
-    texts = outline.groupBy(by).applyInPandas(assemble, f"{by} string, wkt string")
-    return texts.select(by, F.expr(formats.from_wkt("wkt")).alias("geometry"))
+    found = outline_rings(zones.where(F.col(by).isNotNull()), [by])
+    polygons = rings.with_holes(found, [by])
+    return polygons.groupBy(by).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("area", "polygon"))), lambda p: p["polygon"]).alias("geometry")
+    )

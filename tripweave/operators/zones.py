@@ -65,6 +65,8 @@ def zones_in_area(zones: DataFrame, wkt: str = DEFAULT_AREA, name: str = "inters
     return _with_area(inside, wkt).where(F.expr(predicates.within("geometry", "_area"))).drop("_area")
 
 
+# The outline's corners lie on a grid, up to a step from where they were (degrees).
+SLIVER = 2e-9
 # A shape reaches over at most this many grid cells in each direction.
 CELLS_ACROSS = 4
 # Zones of one cell are spread over this many tasks.
@@ -117,10 +119,10 @@ def zones_by_layer(zones: DataFrame, layer: DataFrame, name: str = "intersects")
     """Zones that stand in a relation to the union of a polygon layer.
 
     ``contains`` here asks that the zone contains the whole layer. ``layer`` has a
-    ``geometry`` column in degrees; its polygons may share borders but must not
-    overlap for ``within`` and ``overlaps``. Zones are told apart by ZONE_KEY.
+    ``geometry`` column in degrees; its polygons may overlap, and their common borders may
+    be cut unevenly. Zones are told apart by ZONE_KEY.
 
-    Nothing is broadcast and the union is never made. Each question breaks down into
+    Nothing is broadcast, and of the union just the border is made. Each question breaks down into
     tests of a single zone polygon with a single layer polygon or a single edge
     of the layer's dissolved outline, joined on grid cells:
     * intersects: some layer polygon does;
@@ -172,7 +174,7 @@ def zones_by_layer(zones: DataFrame, layer: DataFrame, name: str = "intersects")
         F.expr(
             let(
                 row(edge="edge", e=geo.edges("shape")),
-                lambda v: predicates.edge_runs_inside(f"{v}.edge", f"{v}.e"),
+                lambda v: predicates.edge_runs_inside(f"{v}.edge", f"{v}.e", SLIVER),
             )
         ).alias("cut"),
     )

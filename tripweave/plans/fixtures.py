@@ -100,6 +100,16 @@ LAYER = [
     "POLYGON((-0.5663 39.3073, -0.401 39.3073, -0.401 39.5765, -0.5663 39.5765, -0.5663 39.3073))",
     "POLYGON((-0.401 39.3073, -0.2295 39.3073, -0.2295 39.5765, -0.401 39.5765, -0.401 39.3073))",
 ]
+# The same area from boxes with a T border, boxes that overlap and one that comes twice.
+CUT_LAYER = [
+    "POLYGON((-0.5663 39.3073, -0.401 39.3073, -0.401 39.5765, -0.5663 39.5765, -0.5663 39.3073))",
+    "POLYGON((-0.401 39.3073, -0.2295 39.3073, -0.2295 39.4431, -0.401 39.4431, -0.401 39.3073))",
+    "POLYGON((-0.401 39.4431, -0.2295 39.4431, -0.2295 39.5765, -0.401 39.5765, -0.401 39.4431))",
+    "POLYGON((-0.5 39.35, -0.3 39.35, -0.3 39.5, -0.5 39.5, -0.5 39.35))",
+    "POLYGON((-0.5 39.35, -0.3 39.35, -0.3 39.5, -0.5 39.5, -0.5 39.35))",
+]
+# By how much the boxes of grown zones reach over their neighbours.
+GROWN = 0.0007
 # A box small enough to lie inside one strip.
 SPOT = (
     "POLYGON((-0.3899 39.3551, -0.3898 39.3551, -0.3898 39.3552, -0.3899 39.3552, -0.3899 39.3551))"

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tripweave import schemas
 from tripweave.functions import calendar, formats, geometry as geo, text
 from tripweave.functions.geodesy import TransverseMercator
-from tripweave.operators import gravity, longtrip, mobility, profiles, quality, zones as zone_ops
+from tripweave.operators import gravity, longtrip, mobility, outline, overlay, profiles, quality, zones as zone_ops
 from tripweave.plans import fixtures as fx
 from tripweave.plans.inputs import Inputs
 from tripweave.session import scratch_path
@@ -364,6 +364,40 @@ def zones_overlap_layer(data: Inputs) -> DataFrame:
     return _by_layer(data, fx.LAYER, "overlaps")
 
 
+@query
+def zones_within_cut_layer(data: Inputs) -> DataFrame:
+    return _by_layer(data, fx.CUT_LAYER, "within")
+
+
+@query
+def zones_overlap_cut_layer(data: Inputs) -> DataFrame:
+    return _by_layer(data, fx.CUT_LAYER, "overlaps")
+
+
+def _turned(table: DataFrame) -> DataFrame:
+    """Shapes turned over by 45 degrees: boxes become slanted squares."""
+    corner = geo.point("(p.x + p.y) / 2", "(p.x - p.y) / 2")
+    shape = f"transform(geometry, polygon -> transform(polygon, ring -> transform(ring, p -> {corner})))"
+    turned = table.withColumn("geometry", F.expr(geo.oriented(shape)))
+    return turned.withColumns({c: F.expr(e) for c, e in geo.envelope("geometry").items()})
+
+
+def _by_turned_layer(data: Inputs, name: str) -> DataFrame:
+    zones = _turned(data.zones().select("census_section_id", "municipality_id", "year", "geometry"))
+    kept = zone_ops.zones_by_layer(zones, _turned(zone_ops.layer_from_wkt(zones, fx.CUT_LAYER)), name)
+    return kept.select("census_section_id", "municipality_id", "year")
+
+
+@query
+def zones_within_slanted_layer(data: Inputs) -> DataFrame:
+    return _by_turned_layer(data, "within")
+
+
+@query
+def zones_overlap_slanted_layer(data: Inputs) -> DataFrame:
+    return _by_turned_layer(data, "overlaps")
+
+
 @query
 def zones_containing_polygon(data: Inputs) -> DataFrame:
     return _by_layer(data, [fx.SPOT], "contains")
@@ -445,6 +479,28 @@ def dissolved_outline(data: Inputs) -> DataFrame:
     )
 
 
+@query
+def dissolved_rings(data: Inputs) -> DataFrame:
+    """The rings of each municipality by their least corner, with corners and area."""
+    rings = outline.outline_rings(data.area_zones(), ["municipality_id"])
+    return rings.select(
+        "municipality_id",
+        F.expr("corners[0].x").alias("x"),
+        F.expr("corners[0].y").alias("y"),
+        (F.size("corners") - 1).cast("long").alias("corners"),
+        F.round("area", 9).alias("area"),
+    )
+
+
+@query
+def union_of_overlaps(data: Inputs) -> DataFrame:
+    """The area that zones cover together, each grown over its neighbours."""
+    grown = F.expr(geo.rectangle("xmin", "ymin", f"round(xmax + {fx.GROWN}D, 9)", f"round(ymax + {fx.GROWN}D, 9)"))
+    lines = overlay.union_edges(data.area_zones().withColumn("geometry", grown), ["municipality_id"])
+    area = F.sum(F.expr("(ax + 0.4) * (by - 39.4) - (bx + 0.4) * (ay - 39.4)")) / 2
+    return lines.groupBy("municipality_id").agg(F.round(area, 9).alias("area"))
+
+
 # Gravity model
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Plan-shaping settings; executor counts and memory belong to spark-submit.
 SETTINGS = {
@@ -46,3 +46,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh location under the shared folder; never reused between runs."""
     return f"{shared_dir(spark)}/tripweave/{name}-{uuid.uuid4().hex}"
+
+
+def written(table: DataFrame, name: str) -> DataFrame:
+    """The table, written to the shared folder and read back: a cut in the lineage that
+    outlives executors."""
+    path = scratch_path(table.sparkSession, name)
+    table.write.option("compression", "zstd").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
