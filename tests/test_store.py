@@ -75,6 +75,26 @@ def test_an_emptied_day_goes(spark, store):
     assert store.read("p", T.StructType([*raw.schema.fields, T.StructField("year", T.IntegerType())])).count() == 0
 
 
+def test_a_failed_replace_keeps_the_old_day(spark, store):
+    store.refresh(spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k int, v string"), "t", ["k"])
+    new = spark.createDataFrame([(2, "x"), (3, "y")], "k int, v string")
+    failing = new.select("k", F.when(F.col("k") == 3, F.raise_error(F.lit("no"))).otherwise(F.col("v")).alias("v"))
+    with pytest.raises(Exception, match="no"):
+        store.replace_partitions(failing, "t", ["k"], delivered=[2, 3])
+    assert sorted(map(tuple, store.read("t").select("k", "v").collect())) == [(1, "a"), (2, "b"), (2, "c")]
+    store.replace_partitions(new, "t", ["k"], delivered=[1, 2, 3])
+    assert sorted(map(tuple, store.read("t").select("k", "v").collect())) == [(2, "x"), (3, "y")]
+    assert not [p for p in (store.spark.sparkContext._jvm.java.io.File(store.root).list()) if ".staged" in p]
+
+
+def test_rows_from_the_table_itself(spark, store):
+    store.refresh(spark.createDataFrame([(1, 0, "a"), (2, 0, "b"), (2, 1, "c"), (None, 0, "d")], "k int, j int, v string"), "t", ["k", "j"])
+    rows = store.read("t").where("k = 2 or k is null").withColumn("v", F.concat("v", F.lit("!")))
+    store.replace_partitions(rows, "t", ["k", "j"], delivered=[2, None])
+    assert sorted(map(str, store.read("t").select("v", "k", "j").collect())) == sorted(
+        map(str, spark.createDataFrame([("a", 1, 0), ("b!", 2, 0), ("c!", 2, 1), ("d!", None, 0)], "v string, k int, j int").collect()))
+
+
 def test_load_then_stream(spark, store, tmp_path):
     holidays = calendar.holidays_between(spark, 2024, 2024)
     loaded = day_file(tmp_path / "in", "20240101", [("01", "46001", "46002", "1")] * 3)
@@ -155,6 +175,23 @@ def test_stream_equals_batch(spark, store, tmp_path):
     assert run() == batch() and len(batch()) == 7
 
 
+def test_stream_reads_each_file_by_its_header(spark, store, tmp_path):
+    """A file with one more column and another order, beside a plain one, in one run."""
+    holidays, landing = calendar.holidays_between(spark, 2024, 2024), tmp_path / "landing"
+    day_file(landing, "20240101", [("01", "46001", "46002", "1")])
+    names = ["extra", *reversed(schemas.TRIP_COLUMNS)]
+    values = {"fecha": "20240102", "periodo": "07", "origen": "46003", "destino": "46004", "viajes": "5", "extra": "z"}
+    lines = [",".join(names), ",".join(values.get(n, "") for n in names), "short,row"]
+    (landing / "20240102_Viajes_distritos.csv").write_text("\n".join(lines) + "\n")
+    stream_trip_files(store, str(landing), str(tmp_path / "checkpoint"), holidays)
+    got = store.read(mobility.SILVER, schemas.SILVER_TRIPS).orderBy("date").collect()
+    assert [(r.date.day, r.hour_period, r.origin_zone, r.destination_zone, r.trips) for r in got] == [
+        (1, 1, "46001", "46002", 1.0), (2, 7, "46003", "46004", 5.0)]
+    (landing / "bare.csv").write_text("1,2,3\n")
+    with pytest.raises(Exception, match="bare.csv"):
+        stream_trip_files(store, str(landing), str(tmp_path / "checkpoint"), holidays)
+
+
 def test_shared_folder(spark):
     assert shared_dir(spark) == shared_dir(spark)
 

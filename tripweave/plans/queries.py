@@ -212,14 +212,18 @@ def column_profile(data: Inputs) -> DataFrame:
 @query
 def stream_daily_trips(data: Inputs) -> DataFrame:
     """Files landed in two deliveries, taken in by the stream; the days of some months
-    come partly with the first and partly with the second."""
+    come partly with the first and partly with the second. Files of the second one have
+    their columns in the plain order or backwards, with one more."""
     store = data.store("stream")
     landing, checkpoint = store.location("landing"), store.location("checkpoint")
     raw = data.raw_trips()
     early = (F.col("fecha") < fx.FIRST) | ((F.col("fecha") < fx.SECOND) & (F.col("viajes") < "3"))
-    for part in (early, ~early):
-        files = raw.where(part).write.mode("append").option("header", True)
-        files.option("compression", "gzip").csv(landing)
+    plain, backwards = list(raw.columns), [F.lit("x").alias("more"), *reversed(raw.columns)]
+    late = F.col("periodo") > "11"
+    for deliveries in ([(early, plain)], [(~early & late, plain), (~early & ~late, backwards)]):
+        for part, layout in deliveries:
+            files = raw.where(part).select(*layout).write.mode("append").option("header", True)
+            files.option("compression", "gzip").csv(landing)
         daily.stream_trip_files(store, landing, checkpoint, data.holidays())
     return store.read(mobility.SILVER, schemas.SILVER_TRIPS)
 

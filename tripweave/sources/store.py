@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+# Folders of rows that are not yet part of a table stand beside it under its name and this.
+STAGED = ".staged-"
+# Spark's name for the partition of null.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 class Store:
     """Tables under one root folder.
 
@@ -71,17 +78,75 @@ class Store:
 
         ``delivered`` lists values of the first partition column that ``rows`` were made
         from: what the table holds of these goes, also where no row is left for them.
+
+        The rows are first written whole to a folder of their own beside the table. Until
+        that has succeeded the table is as it was, and ``rows`` may be read from it. Then
+        the new partitions are put in place of the old ones by renaming folders, and the
+        delivered partitions that got no row go last.
+        """
+        staged = f"{self.location(table)}{STAGED}{uuid.uuid4().hex}"
+        made = rows.hint("rebalance", *partition_by) if partition_by else rows
+        try:
+            made.write.mode("errorifexists").partitionBy(*partition_by).parquet(staged)
+            self._swap(staged, table, partition_by, delivered or ())
+        finally:
+            self._delete(staged)
+
+    def _folder(self, location: str):
+        """A Hadoop path and the file system it is on."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _delete(self, location: str) -> None:
+        path, files = self._folder(location)
+        files.delete(path, True)
+
+    def _below(self, location: str) -> list[str]:
+        """The names of the partition folders in a folder."""
+        path, files = self._folder(location)
+        names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+        return sorted(name for name in names if "=" in name)
+
+    def _swap(self, staged: str, table: str, partition_by: Sequence[str], delivered: Sequence[object]) -> None:
+        """Put staged partitions in place of the table's, then drop the emptied ones.
+
+        A partition is away only between the two renames that replace it. The folders of
+        partitions, as many as the rows have days or years, are listed and renamed by the
+        driver; no data pass through it. A failure between two renames leaves the other
+        partitions as they were, and a repeated run mends the rest.
         """
-        if delivered:
-            self._drop_partitions(table, partition_by[0], delivered)
-        self._write(rows, table, partition_by, "overwrite", partitionOverwriteMode="dynamic")
-
-    def _drop_partitions(self, table: str, column: str, values: Sequence[object]) -> None:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.location(table))
-        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        for value in values:
-            files.delete(jvm.org.apache.hadoop.fs.Path(root, f"{column}={value}"), True)
+        home = self.location(table)
+        root, files = self._folder(home)
+        aside = f"{home}/_old-{uuid.uuid4().hex}"
+        files.mkdirs(self._folder(aside)[0])
+        present, fresh = set(self._below(home)), self._below(staged)
+        gone = {f"{partition_by[0]}={NO_VALUE if value is None else value}" for value in delivered}
+        moves = []  # source, target, whether the target is there
+        for first in fresh:
+            if first not in present or first in gone or len(partition_by) == 1:
+                moves.append((first, first in present))
+                continue
+            held = set(self._leaves(f"{home}/{first}", len(partition_by) - 1))
+            moves += [(f"{first}/{leaf}", leaf in held) for leaf in self._leaves(f"{staged}/{first}", len(partition_by) - 1)]
+        moved = lambda source, target: files.rename(self._folder(source)[0], self._folder(target)[0])
+        for n, (name, held) in enumerate(moves):
+            if held and not moved(f"{home}/{name}", f"{aside}/{n}"):
+                raise OSError(f"cannot move {home}/{name}")
+            if not held and "/" in name:
+                files.mkdirs(self._folder(f"{home}/{name}")[0].getParent())
+            if not moved(f"{staged}/{name}", f"{home}/{name}"):
+                if held:
+                    moved(f"{aside}/{n}", f"{home}/{name}")
+                raise OSError(f"cannot move {staged}/{name}")
+        for first in sorted((gone & present) - set(fresh)):
+            moved(f"{home}/{first}", f"{aside}/{first}")
+        self._delete(aside)
+
+    def _leaves(self, location: str, depth: int) -> list[str]:
+        """The partition folders ``depth`` levels below, as paths relative to the folder."""
+        if not depth:
+            return [""]
+        return [f"{name}/{leaf}".rstrip("/") for name in self._below(location) for leaf in self._leaves(f"{location}/{name}", depth - 1)]
 
     def append_new(
         self,

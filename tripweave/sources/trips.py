@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,6 +25,30 @@ def scan_trip_files(spark: SparkSession, paths, separator: str = ",") -> DataFra
     return read_csv(spark, paths, list(schemas.TRIP_COLUMNS), separator)
 
 
+def source_file() -> Column:
+    """The file a row of a scan comes from, as a path: Spark names it with escapes."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def by_header(spark: SparkSession, lines: DataFrame, separator: str = ",") -> DataFrame | None:
+    """The rows of files whose headers differ, with the columns they need; None without files.
+
+    ``lines`` has each line (``value``) and its ``file``. A line that names all needed
+    columns is its file's header. Files with equal headers are read together, so there is
+    one scan for each layout; names and headers of the files of one load come to the driver.
+    """
+    fields = F.transform(F.split("value", F.lit(f"\\Q{separator}\\E")), lambda c: F.trim(F.translate(c, '"\ufeff', "")))
+    named = F.size(F.array_intersect(fields, F.array(*map(F.lit, schemas.TRIP_COLUMNS)))) == len(schemas.TRIP_COLUMNS)
+    found = lines.groupBy("file").agg(F.max(F.when(named, F.col("value"))).alias("header")).collect()
+    if bare := sorted(r.file for r in found if r.header is None):
+        raise ValueError(f"columns not found in {', '.join(bare[:5])}")
+    layouts: dict[str, list[str]] = {}
+    for r in sorted(found):
+        layouts.setdefault(r.header, []).append(r.file)
+    scans = [scan_trip_files(spark, files, separator).select(*schemas.TRIP_COLUMNS) for files in layouts.values()]
+    return reduce(DataFrame.unionByName, scans) if scans else None
+
+
 def to_bronze(raw: DataFrame) -> DataFrame:
     """English column names and the time of loading."""
     renamed = [F.col(old).alias(new) for old, new in schemas.TRIP_COLUMNS.items()]
