@@ -184,3 +184,44 @@ def test_quality(spark):
     assert tuple(quality.negatives(table, "v").first()) == (1, 4)
     assert quality.duplicate_keys(table, ["k", "year"]).first()[0] == 1
     assert [r.v for r in quality.sample_rows(table, ["k", "year", "v"], 2).collect()] == [None, -1.0]
+
+
+def test_states_of_days_merge_without_losing_digits(spark):
+    """Values near 1e9 with a spread of about one: squares would cancel all digits."""
+    values = [1e9 + (i * 7 % 5) for i in range(60)]
+    table = silver(spark, {"a": values}).withColumn("date", F.expr("date_add(date, -(cast(trips as int) % 3))"))
+    r = mobility.pooled(mobility.daily_states(table)).first()
+    mean = sum(values) / 60
+    assert r.squares == pytest.approx(sum((v - mean) ** 2 for v in values), rel=1e-6)
+    profile = profiles.district_profile(
+        mobility.typical_patterns(table),
+        spark.createDataFrame([("a", "a", 1), ("s", "a", 1)], "census_section_id string, district_id string, year int"),
+    ).first()
+    assert profile.total_trips == pytest.approx(2 * sum(values)) and profile.std_trips == pytest.approx(0, abs=1e-3)
+
+
+def test_days_added_equal_the_full_refresh(spark, store):
+    groups = {f"z{i}": [float((i * 31 + j * j) % 17) for j in range(25)] + [500.0 * (i % 2)] for i in range(8)}
+    table = silver(spark, groups)
+    days = sorted({r.date for r in table.select("date").distinct().collect()})
+    mobility.refresh_days(store, table.where(F.col("date") <= days[14]), days[:15])
+    got = mobility.refresh_days(store, table, days[12:])
+    ours, full = (sorted(map(tuple, t.collect())) for t in (got, mobility.typical_patterns(table)))
+    assert ours == full and len(full) == 8
+    emptied = table.where(F.col("date") != days[0])
+    less = mobility.refresh_days(store, emptied, days[:1])
+    assert sorted(map(tuple, less.collect())) == sorted(map(tuple, mobility.typical_patterns(emptied).collect()))
+
+
+def test_rows_matched_do_not_grow_with_shuffle_partitions(spark):
+    groups = {f"z{i}": [10.0 + j % 3 for j in range(20)] + [900.0 * (i % 3)] for i in range(9)}
+    table, before = silver(spark, groups), spark.conf.get("spark.sql.shuffle.partitions")
+    plans = []
+    try:
+        for n in ("4", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            plan = mobility.typical_patterns(table)._jdf.queryExecution().optimizedPlan().toString()
+            plans.append((plan.count("Generate"), plan.count("Join")))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert plans[0] == plans[1] and plans[0][0] == 0  # nothing is copied to slices

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tripweave.functions.calendar import day_type_label
+from tripweave.session import written
 
 PROFILE_KEYS = ["day_type", "hour_period"]
 
@@ -33,12 +34,9 @@ def zone_weights(zones: DataFrame, by_year: bool = False) -> DataFrame:
     codes are equal counts once.
     """
     year = ["year"] if by_year else []
-    sections = zones.select(F.col("census_section_id").alias("origin_zone"), *year)
-    districts = zones.where(
-        "census_section_id is null or census_section_id <> district_id"
-    ).select(F.col("district_id").alias("origin_zone"), *year)
-    codes = sections.unionByName(districts).where("origin_zone is not null")
-    return codes.groupBy("origin_zone", *year).agg(F.count(F.lit(1)).alias("_weight"))
+    codes = F.array_distinct(F.array_compact(F.array("census_section_id", "district_id")))
+    coded = zones.select(F.explode(codes).alias("origin_zone"), *year)
+    return coded.groupBy("origin_zone", *year).agg(F.count(F.lit(1)).alias("_weight"))
 
 
 def district_profile(
@@ -69,19 +67,23 @@ def district_profile(
         F.count("num_days_observed").alias("_days_n"),
         F.sum("num_days_observed").alias("_days"),
     )
-    w = F.col("_weight")
-    total = F.sum(w * F.col("_sum"))
-    count = F.sum(w * F.col("_n"))
-    # Spread of all rows = spread inside the groups + spread of the group means.
-    squares = F.sum(w * (F.col("_within") + F.try_divide(F.pow("_sum", F.lit(2)), F.col("_n"))))
-    scatter = F.greatest(squares - F.try_divide(total * total, count), F.lit(0.0))
+    w, n = F.col("_weight"), F.col("_weight") * F.col("_n")
+    rows = written(sums.join(weights, ["origin_zone", *year]), "profile-sums")
+    # at most a row for each day type and hour
+    means = rows.groupBy(*PROFILE_KEYS).agg(
+        F.sum(w * F.col("_sum")).alias("_total"),
+        F.sum(n).alias("_count"),
+        F.try_divide(F.sum(w * F.col("_sum")), F.sum(n)).alias("_mean"),
+    )
+    # Spread of all rows = spread inside the groups + spread of the group means about the mean.
+    apart = F.coalesce(n * F.pow(F.try_divide("_sum", "_n") - F.col("_mean"), F.lit(2)), F.lit(0.0))
     return (
-        sums.join(weights, ["origin_zone", *year])
+        rows.join(F.broadcast(means), PROFILE_KEYS)
         .groupBy(*PROFILE_KEYS)
         .agg(
-            total.alias("total_trips"),
-            F.try_divide(total, count).alias("avg_trips"),
-            F.sqrt(F.try_divide(scatter, count - 1)).alias("std_trips"),
+            F.first("_total").alias("total_trips"),
+            F.first("_mean").alias("avg_trips"),
+            F.sqrt(F.try_divide(F.sum(w * F.coalesce("_within", F.lit(0.0)) + apart), F.first("_count") - 1)).alias("std_trips"),
             F.try_divide(F.sum(w * F.col("_days")), F.sum(w * F.col("_days_n"))).alias("num_days_observed"),
         )
         .orderBy(*PROFILE_KEYS)

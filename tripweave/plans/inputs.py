@@ -10,7 +10,7 @@ from tripweave import schemas
 from tripweave.functions import calendar, geometry as geo
 from tripweave.operators import gravity, longtrip, mobility, zones as zone_ops
 from tripweave.plans import fixtures as fx
-from tripweave.session import scratch_path
+from tripweave.session import scratch_path, written
 from tripweave.sources import boundaries, census, trips
 from tripweave.sources.store import Store
 
@@ -54,6 +54,12 @@ class Inputs:
         """The five bronze columns that hold data."""
         return self._of(self.trip_rows(), fx.TRIPS, {**fx.SPARK, "D": fx.DAYS["spark"]})
 
+    @once
+    def stored_bronze(self) -> DataFrame:
+        """The same as a table, which the jobs read: parsing then starts from columns, not
+        from the expressions that make the fixture."""
+        return written(self.bronze(), "bronze")
+
     def raw_trips(self) -> DataFrame:
         """All fifteen columns under the names of the daily files."""
         five = self.bronze()
@@ -72,11 +78,16 @@ class Inputs:
 
     @once
     def silver(self) -> DataFrame:
-        return mobility.silver_trips(self.bronze(), self.holidays())
+        return mobility.silver_trips(self.stored_bronze(), self.holidays())
+
+    @once
+    def stored_silver(self) -> DataFrame:
+        """Stored, as in the job: patterns read it twice."""
+        return written(self.silver(), "silver")
 
     @once
     def patterns(self) -> DataFrame:
-        return mobility.typical_patterns(self.silver())
+        return mobility.typical_patterns(self.stored_silver())
 
     @once
     def od_trips(self) -> DataFrame:

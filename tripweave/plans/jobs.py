@@ -54,9 +54,13 @@ def mobility_job(
     raw = trips.scan_trip_files(store.spark, paths, separator)
     trips.append_days(store, trips.to_bronze(raw).where(F.col("date").between(*days)))
     stored = store.read(trips.BRONZE, schemas.BRONZE_TRIPS)
-    mobility.replace_days(store, stored.where(F.col("date").between(*days)), holidays)
+    done = mobility.replace_days(store, stored.where(F.col("date").between(*days)), holidays)
     silver = store.read(mobility.SILVER, schemas.SILVER_TRIPS)
-    store.refresh(mobility.typical_patterns(silver), mobility.GOLD, ["day_type"])
+    # days loaded before states were kept get theirs now
+    held = store.read(mobility.DAILY, schemas.DAILY_STATES).select("date").distinct()
+    known = silver.select("date").distinct().join(held, "date", "left_anti").collect()
+    patterns = mobility.refresh_days(store, silver, sorted({*done, *(r.date for r in known)}))
+    store.refresh(patterns, mobility.GOLD, ["day_type"])
     return store.read(mobility.GOLD, schemas.GOLD_PATTERNS)
 
 

@@ -343,7 +343,7 @@ oracle(
     " round(avg(trips), 6) as avg_trips, round(coalesce(stddev_samp(trips), 0), 6) as std_trips,"
     " count(distinct date) as num_days_observed from silver group by all",
 )
-for key in ("typical_patterns", "typical_patterns_by_day_type"):
+for key in ("typical_patterns", "typical_patterns_by_day", "typical_patterns_by_day_type"):
     oracle(
         key,
         "select day_type, hour_period, origin_zone, destination_zone,"

@@ -283,11 +283,23 @@ def typical_patterns(data: Inputs) -> DataFrame:
     return rounded(data.patterns())
 
 
+@query
+def typical_patterns_by_day(data: Inputs) -> DataFrame:
+    """Daily states of the early days first, then of the others and, once more, of those
+    between: the patterns come from states, but for days that hold an outlier."""
+    store, silver = data.store("daily"), data.stored_silver()
+    days = [r.date for r in silver.select("date").distinct().collect()]
+    first, second = (F.to_date(F.lit(d), "yyyyMMdd") for d in (fx.FIRST, fx.SECOND))
+    cut = data.spark.range(1).select(first.alias("a"), second.alias("b")).first()
+    mobility.refresh_days(store, silver, [d for d in days if d < cut.b])
+    return rounded(mobility.refresh_days(store, silver, [d for d in days if d >= cut.a]))
+
+
 @query
 def typical_patterns_by_day_type(data: Inputs) -> DataFrame:
     """Gold first made without trimming, then each day type made anew in two refreshes."""
     store = data.store("gold")
-    silver = data.silver()
+    silver = data.stored_silver()
     store.refresh(mobility.typical_patterns_raw(silver), mobility.GOLD, ["day_type"])
     mobility.refresh_day_types(store, silver, [0, 6, 8])
     mobility.refresh_day_types(store, silver, [1, 2, 5])

@@ -48,6 +48,21 @@ SILVER_TRIPS = T.StructType(
     ]
 )
 
+DAILY_STATES = T.StructType(
+    [
+        T.StructField("day_type", T.IntegerType()),
+        T.StructField("hour_period", T.IntegerType()),
+        T.StructField("origin_zone", T.StringType()),
+        T.StructField("destination_zone", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("total", T.DoubleType()),
+        T.StructField("squares", T.DoubleType()),
+        T.StructField("low", T.DoubleType()),
+        T.StructField("high", T.DoubleType()),
+        T.StructField("date", T.DateType()),
+    ]
+)
+
 GOLD_PATTERNS = T.StructType(
     [
         T.StructField("day_type", T.IntegerType()),
