@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -6,7 +7,8 @@ from pyspark.sql import functions as F
 from tripweave.functions import formats, geometry as geo, predicates
 from tripweave.functions.geodesy import GRS80, TransverseMercator, ellipsoid_distance
 from tripweave.functions.lambdas import num
-from tripweave.operators import outline, zones as zone_ops
+from tripweave.operators import outline, validity, zones as zone_ops
+from tripweave.operators.validity import with_validity
 from tripweave.sources import boundaries
 
 BOX = "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0))"
@@ -100,10 +102,34 @@ def test_validity(spark):
         "POLYGON((0 0, 1 0, 0 0))",  # no area
         "POLYGON((0 0, 4 0, 4 4, 4 -1, 4 4, 0 4, 0 0))",  # folds back
         "POLYGON((0 0, 4 0, 4 4, 2 0, 0 4, 0 0))",  # touches itself
+        "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0), (3 3, 5 3, 5 5, 3 5, 3 3))",  # a hole across the shell
+        "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0), (6 6, 7 6, 7 7, 6 7, 6 6))",  # a hole outside
+        "MULTIPOLYGON(((0 0,1 0,1 1,0 0)),((5 5, 7 7, 7 5, 5 7, 5 5)))",  # one part is a bow tie
     ]
-    table = shapes(spark, *[(t,) for t in good + bad])
-    found = {r[0]: r[1] for r in table.select("t0", F.expr(geo.is_valid("g0"))).collect()}
-    assert found == {**dict.fromkeys(good, True), **dict.fromkeys(bad, False)}
+    good += ["POLYGON((0 0, 4 0, 4 4, 0 4, 0 0), (0 2, 1 1, 1 3, 0 2))", "MULTIPOLYGON(((0 0,1 0,1 1,0 0)),((5 5,6 5,6 6,5 5)))"]
+    table = shapes(spark, *[(t,) for t in good + bad], (None,)).withColumnRenamed("g0", "geometry")
+    found = {r.t0: r.valid for r in with_validity(table).collect()}
+    assert found == {**dict.fromkeys(good, True), **dict.fromkeys(bad, False), None: False}
+
+
+def test_validity_compares_few_edges(spark, monkeypatch):
+    """Rings of 500 and 2,000 corners: the work grows with the corners, not their square."""
+    seen = []
+    monkeypatch.setattr(validity, "written", lambda table, name: seen.append((name, table)) or table)
+
+    def ring(n):
+        turns = [2 * math.pi * i / n for i in range(n)]
+        at = [(round((5 + math.sin(9 * t)) * math.cos(t), 9), round((5 + math.sin(9 * t)) * math.sin(t), 9)) for t in turns]
+        return "POLYGON((" + ",".join(f"{x} {y}" for x, y in [*at, at[0]]) + "))"
+
+    pairs = {}
+    for n in (500, 2000):
+        seen.clear()
+        table = shapes(spark, (ring(n),)).withColumnRenamed("g0", "geometry")
+        assert validity.with_validity(table).first().valid
+        laid = dict(seen)["validity-slabs"].groupBy("slab").count()
+        pairs[n] = laid.agg(F.sum(F.expr("count * count"))).first()[0]
+    assert pairs[2000] < 2 * 4 * pairs[500]
 
 
 def test_text_forms(spark):

@@ -9,7 +9,7 @@ inside of a geometry lies to the left of each of its edges.
 
 from __future__ import annotations
 
-from tripweave.functions.lambdas import each, every, fold, having, let, neighbours, num, row, some
+from tripweave.functions.lambdas import each, fold, having, let, neighbours, num, row
 
 
 def point(x: str, y: str) -> str:
@@ -109,31 +109,6 @@ def envelope(geometry: str) -> dict[str, str]:
     }
 
 
-def is_valid(geometry: str) -> str:
-    """Rings closed, of at least four points, with area, and no edge meeting another
-    of its ring except at the shared point of neighbours."""
-
-    def free(lines: str, e: str, i: str) -> str:
-        later = each(f"slice({lines}, {i} + 2, size({lines}))", lambda f, k: row(f=f, j=f"{k} + {i} + 1"))
-        hit = some(
-            later,
-            lambda w: f"if({w}.j = {i} + 1 or ({i} = 0 and {w}.j = size({lines}) - 1), "
-            f"{_folds_back(e, w + '.f')}, {segments_meet(e, w + '.f')})",
-        )
-        return f"not {hit}"
-
-    def simple(ring: str) -> str:
-        lines = edges(f"array(array({ring}))")
-        return let(lines, lambda v: every(each(v, lambda e, i: free(v, e, i)), lambda ok: ok))
-
-    def good(ring: str) -> str:
-        closed = f"get({ring}, 0) = get({ring}, size({ring}) - 1)"
-        return f"size({ring}) >= 4 and {closed} and {ring_area(ring)} <> 0 and {simple(ring)}"
-
-    rings = f"flatten({geometry})"
-    return f"coalesce(size({rings}) > 0 and {every(rings, good)}, false)"
-
-
 def cross(ax: str, ay: str, bx: str, by: str) -> str:
     return f"(({ax}) * ({by}) - ({ay}) * ({bx}))"
 
@@ -142,7 +117,7 @@ def direction(e: str) -> tuple[str, str]:
     return f"({e}.bx - {e}.ax)", f"({e}.by - {e}.ay)"
 
 
-def _folds_back(e: str, f: str) -> str:
+def folds_back(e: str, f: str) -> str:
     """Neighbour edges that lie on one line and run over each other."""
     (ex, ey), (fx, fy) = direction(e), direction(f)
     return f"({cross(ex, ey, fx, fy)} = 0 and {ex} * {fx} + {ey} * {fy} < 0)"

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tripweave.functions.geometry import is_valid
+from tripweave.operators.validity import with_validity
 
 
 def rows_by_year(table: DataFrame) -> DataFrame:
@@ -32,8 +32,9 @@ def duplicate_keys(table: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def valid_geometry(zones: DataFrame) -> DataFrame:
-    good = F.count_if(F.expr(is_valid("geometry")))
-    return zones.agg(good.alias("valid_rows"), F.count(F.lit(1)).alias("row_count"))
+    """Rows with a valid geometry (see ``validity``), and all rows."""
+    checked = with_validity(zones.select("geometry"))
+    return checked.agg(F.count_if("valid").alias("valid_rows"), F.count(F.lit(1)).alias("row_count"))
 
 
 def sample_rows(table: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
