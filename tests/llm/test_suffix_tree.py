@@ -100,3 +100,51 @@ def test_scores_are_those_of_the_gathered_tree(spark, monkeypatch):
         ids = np.array([suffix_tree.START, *(tree.words.get(w, 0) for w in [*(t or "").encode().lower().split(), b""])])
         gain = np.log10(tree.ratios(ids)[1:]).sum()
         assert math.isclose(got[k].score - got[k].base_score, gain, rel_tol=1e-6, abs_tol=1e-9)
+
+
+def brute_scores(rows, depth, least=2, strength=2.0):
+    """The tree from its definition: plain dictionaries of tuples, one probability a token."""
+    texts = {k: ["<s>", *(t or "").lower().split(), ""] for k, t in rows}
+    n = Counter(w for t in texts.values() for w in t[1:])
+    total, kinds = sum(n.values()), len(n)
+    norm = total + 0.5 * (kinds + 1)
+    root = lambda w: (n[w] + 0.5) / norm
+    seqs = Counter(tuple(t[i : i + m]) for t in texts.values() for m in range(1, depth + 2) for i in range(len(t) - m + 1))
+    often = {s: c for s, c in seqs.items() if c >= least}
+    price = math.log(len([s for s in often if len(s) == 1]) + 2)
+    kept = {}
+
+    def prob(context, w):
+        """By the longest kept suffix of the context."""
+        while context and context not in kept:
+            context = context[1:]
+        if not context:
+            return root(w)
+        listed, part, size = kept[context]
+        lower = prob(context[1:], w)
+        return listed[w] / (size + strength) + part * lower if w in listed else part * lower
+
+    for m in range(1, depth + 1):
+        found = {}
+        for s, c in often.items():
+            if len(s) == m + 1 and s[:-1] in often and s[1:] in often:
+                found.setdefault(s[:-1], {})[s[-1]] = c
+        fresh = {}
+        for context, listed in found.items():
+            size, seen = often[context], sum(listed.values())
+            e = {w: prob(context[1:], w) for w in listed}
+            gain = sum(c * math.log(c / size / e[w]) for w, c in listed.items())
+            if others := max(size - seen, 0):
+                gain += others * math.log(others / size / max(1 - sum(e.values()), 1e-9))
+            if gain > len(listed) * price + 0.5 * math.log(max(size, 2)):
+                fresh[context] = (listed, (strength + size - seen) / (strength + size), size)
+        kept.update(fresh)
+    return {k: sum(math.log10(prob(tuple(t[max(0, i - depth) : i]), t[i])) for i in range(1, len(t))) for k, t in texts.items()}
+
+
+def test_scores_are_those_of_the_definition(spark):
+    for depth in (1, 3):
+        rows = corpus(11)
+        got = scored(spark, rows, held_out=9, depth=depth)  # all learn
+        for k, score in brute_scores(rows, depth).items():
+            assert math.isclose(got[k].score, score, rel_tol=1e-6), (depth, k)

@@ -60,6 +60,15 @@ def stored(table: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing will read these tables again."""
+    for table in tables:
+        for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            jvm = table.sparkSession.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+            folder.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tripweave.llm.common import bucket_of, row_numbers, slices, stored, text_or_empty, utf8
+from tripweave.llm.common import bucket_of, discard, row_numbers, slices, stored, text_or_empty, utf8
 from tripweave.llm.rolling import mixed
 
 DEPTH = 3
@@ -47,7 +47,7 @@ HELD = 400_000
 HELD_WORDS = 150_000
 HELD_PLACES = 3_000_000
 CACHED = 300_000
-AT_HAND = 1 << 16
+AT_HAND = 1 << 20  # 32 bytes each in every task
 FILTER = 26  # bits of a key that number the bits of a filter
 FOLDS = 5
 START = 1
@@ -220,24 +220,34 @@ def levels(texts: DataFrame, words: DataFrame, tokens: int, distinct: int, least
     out = []
     for length in range(2, depth + 2):
         counted = _counted(texts, length, filter_of(known), least)
-        counted = stored(counted, f"tree-counts-{length}")
-        expected = known.select(F.col("code").alias("rest"), F.col("p").alias("e"))
-        totals = known.select(F.col("code").alias("context"), F.col("n").alias("total"))
-        rows = counted.join(expected, "rest").join(totals, "context").select("context", "code", "n", "e", "total")
-        rows = stored(rows, f"tree-rows-{length}")
-        own = F.col("n") * F.log(F.col("n") / F.col("total") / F.col("e"))
-        sums = rows.groupBy("context").agg(F.first("total").alias("total"), F.sum("n").alias("seen"), F.count("*").alias("kinds"), F.sum("e").alias("sum_e"), F.sum(own).alias("gain"))
+        rows = counted.join(known.select(F.col("code").alias("rest"), F.col("p").alias("e")), "rest")
+        rows = stored(rows.select("context", "code", "n", "e"), f"tree-rows-{length}")
+        sums = rows.groupBy("context").agg(
+            F.sum("n").alias("seen"), F.count("*").alias("kinds"), F.sum("e").alias("sum_e"), F.sum(F.col("n") * F.log(F.col("n") / F.col("e"))).alias("own")
+        )
+        sums = sums.join(known.select(F.col("code").alias("context"), F.col("n").alias("total")), "context")
+        gain = F.col("own") - F.col("seen") * F.log("total")
         others = F.greatest(F.col("total") - F.col("seen"), F.lit(0))
         left = F.greatest(1 - F.col("sum_e"), F.lit(1e-9))
         more = F.when(others > 0, others * F.log(F.greatest(others, F.lit(1)) / F.col("total") / left)).otherwise(0.0)
         cost = F.col("kinds") * price + 0.5 * F.log(F.greatest(F.col("total"), F.lit(2)))
         part = (STRENGTH + F.col("total") - F.col("seen")) / (STRENGTH + F.col("total"))
-        kept = stored(sums.where(F.col("gain") + more > cost).select("context", "total", part.alias("part")), f"tree-kept-{length}")
-        placed = rows.join(kept.select("context", "part"), "context", "left")
-        p = F.when(F.col("part").isNull(), F.col("e")).otherwise(F.col("n") / (F.col("total") + STRENGTH) + F.col("part") * F.col("e"))
-        known = stored(placed.select("code", "n", p.alias("p"), "e", "part"), f"tree-level-{length}")
-        listed = known.where("part is not null").select("code", "n", F.log10(F.col("p") / F.col("e") / F.col("part")).alias("gain"))
+        kept = stored(sums.where(gain + more > cost).select("context", "total", part.alias("part")), f"tree-kept-{length}")
+        # the last length has no longer one to tell probabilities to
+        last = length == depth + 1
+        placed = rows.join(kept, "context", "inner" if last else "left")
+        own = F.col("n") / (F.col("total") + STRENGTH) + F.col("part") * F.col("e")
+        p = F.when(F.col("part").isNull(), F.col("e")).otherwise(own)
+        gain = F.log10(own / F.col("e") / F.col("part"))
+        level = stored(placed.select("code", "n", *([] if last else [p.alias("p")]), gain.alias("gain")), f"tree-level-{length}")
+        discard(rows)
+        listed = level
+        if not last:
+            listed = stored(level.where("gain is not null").select("code", "n", "gain"), f"tree-listed-{length}")
+            discard(known)
+            known = level
         out.append((kept.select(F.col("context").alias("code"), F.col("total").alias("n"), F.log10("part").alias("gain")), listed))
+    discard(known)
     return out
 
 
@@ -308,10 +318,12 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds:
     zero = F.lit(0.0)
     # beyond what a word that is not known has
     rows = counts.select("code", "n", zero.alias("gain"), (F.log10(F.col("n") + 0.5) - math.log10(0.5)).alias("base"), F.lit(1.0).alias("known"))
-    for kept, listed in levels(train, counts, tokens, distinct, least, depth):
+    grown = levels(train, counts, tokens, distinct, least, depth)
+    for kept, listed in grown:
         rows = rows.unionAll(kept.unionAll(listed).select("code", "n", "gain", zero.alias("base"), zero.alias("known")))
     values = rows.groupBy("code").agg(F.max("n").alias("n"), *[F.sum(c).alias(c) for c in ("gain", "base", "known")])
     values = stored(values, "tree-values")
+    discard(counts, *(table for level in grown for table in level))
     bits, top = filter_of(values), _at_hand(values)
     schema = SCORED.format(kind=dict(plain.dtypes)["id"])
     own_schema = f"{schema}, {PLACES}"
