@@ -62,3 +62,12 @@ def test_reader_undoes_escapes(texts):
     reader = chat.TurnReader(template)
     formatted = "".join("### User: " + re.sub(f"({template.escaped})", r"\\\1", t) + "</turn>\n" for t in texts)
     assert list(reader.read(formatted)) == [("user", t) for t in texts]
+
+
+def test_equal_turns_come_by_their_text(spark):
+    """Escaping puts a backslash before ``###``, which must not change the order."""
+    rows = [(1, 0, "user", "A"), (1, 0, "user", "###"), (1, None, "user", "first")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = chat.read_back(chat.format_turns(turns)).first()
+    want = hashlib.sha256(b"user\nfirst\nuser\n###\nuser\nA\n").hexdigest()
+    assert got.turns_sha256 == want

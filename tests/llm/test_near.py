@@ -103,3 +103,23 @@ def test_one_row_of_a_component_stays_when_rows_repeat(spark):
     kept = near.keep_one(table).collect()
     assert sorted(str(r.doc_id) for r in kept) == ["1", "3", "None"]
     assert near.keep_one(table).columns == table.columns
+
+
+def test_words_that_beat_polynomials_modulo_two_to_the_64(spark):
+    """A Thue-Morse word and its complement have equal polynomial hashes for any base."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    table = spark.createDataFrame([(1, f"x {word} y z w"), (2, f"x {other} y z w")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near.near_dedup(table).collect()} == {1: 1, 2: 2}
+
+
+def test_links_are_confirmed_on_words(spark, monkeypatch):
+    """With hashes of three bits nearly all texts look alike; the words tell them apart."""
+    whole = near.shingle_hashes
+    monkeypatch.setattr(near, "shingle_hashes", lambda texts, n: (np.unique(h & np.uint64(7)) for h in whole(texts, n)))
+    alike = near.SameShingles()
+    one, two = "a b c d e f g h i j k", "q r s t u v w x y z l"
+    assert not alike.linked(alike.prepare(one), alike.prepare(two))
+    assert alike.linked(alike.prepare(one), alike.prepare(one + " k"))

@@ -79,8 +79,9 @@ def format_turns(turns: DataFrame, template: Template | None = None, conv: str =
         F.struct(escape(F.coalesce(F.col(text), F.lit("")), template).alias("text"), bears.alias("loss")),
         F.struct(F.lit(template.closing + template.separator).alias("text"), F.lit(False).alias("loss")),
     )
-    rows = turns.select(F.col(conv).cast("long").alias("conv"), F.col(turn).alias("turn"), who.alias("role"), segments.alias("segments"))
-    order = ["conv", "turn", "role", F.col("segments")[1]["text"]]
+    said = F.coalesce(F.col(text), F.lit("")).alias("said")
+    rows = turns.select(F.col(conv).cast("long").alias("conv"), F.col(turn).alias("turn"), who.alias("role"), said, segments.alias("segments"))
+    order = ["conv", "turn", "role", "said"]
     ordered = rows.repartition("conv").sortWithinPartitions(*order).select("conv", "role", "segments")
 
     def machine(batches) -> Iterator[pa.RecordBatch]:

@@ -38,7 +38,7 @@ from tripweave.llm.common import slices, stored, utf8
 from tripweave.llm.graphs import components
 from tripweave.llm.rolling import mixed
 from tripweave.llm.suffixes import keyed
-from tripweave.llm.words import shingle_hashes
+from tripweave.llm.words import same_shingles, shingle_hashes
 
 SHINGLE = 5
 PERCENT = 75
@@ -126,12 +126,11 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
     two = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
 
     def run(batches):
+        alike = SameShingles(percent)
         for batch in slices(batches, 3, 2 << 20):
-            a, b = (list(shingle_hashes(utf8(batch.column(i)), SHINGLE)) for i in (2, 3))
-            keep = []
-            for x, y in zip(a, b, strict=True):
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            one, two = (utf8(batch.column(i)) for i in (2, 3))
+            sets = [list(shingle_hashes(texts, SHINGLE)) for texts in (one, two)]
+            keep = [alike.linked((x, s), (y, t)) for x, s, y, t in zip(sets[0], one, sets[1], two, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(one, "b").join(two, "a").select("a", "b", "text_a", "text_b")
@@ -198,17 +197,20 @@ def _joining_links(batches, close: np.ndarray, alike) -> Iterator[pa.RecordBatch
 
 
 class SameShingles:
-    """Full shingle sets, similar by at least ``percent``."""
+    """Full shingle sets, similar by at least ``percent``: by the hashes of the shingles, and
+    where these say so by the shingles themselves."""
 
     def __init__(self, percent: int = PERCENT):
         self.percent = percent
 
-    def prepare(self, text: str | None) -> np.ndarray:
-        return next(iter(shingle_hashes([(text or "").encode()], SHINGLE)))
+    def prepare(self, text: str | None) -> tuple[np.ndarray, bytes]:
+        raw = (text or "").encode()
+        return next(iter(shingle_hashes([raw], SHINGLE))), raw
 
-    def linked(self, x: np.ndarray, y: np.ndarray) -> bool:
+    def linked(self, one: tuple[np.ndarray, bytes], two: tuple[np.ndarray, bytes]) -> bool:
+        (x, a), (y, b) = one, two
         common = len(np.intersect1d(x, y, assume_unique=True))
-        return 100 * common >= self.percent * (len(x) + len(y) - common)
+        return 100 * common >= self.percent * (len(x) + len(y) - common) and same_shingles(a, b, SHINGLE, self.percent)
 
 
 def bucket_members(banded: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:

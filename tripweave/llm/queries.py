@@ -192,7 +192,7 @@ ORACLES = {
         ), placed as (
             select *, row_number() over w as n, lag(role) over w as before,
                    regexp_replace(text, '(\\\\|###|</turn>|: )', '\\\\\\1', 'g') as escaped
-            from rows_ window w as (partition by conv_id order by turn, role, text)
+            from rows_ window w as (partition by conv_id order by turn nulls first, role, text)
         ), judged as (
             select *, case coalesce(before, '') when '' then role in ('system', 'user') when 'system' then role = 'user'
                       when 'user' then role = 'assistant' when 'assistant' then role = 'user' else false end as allowed

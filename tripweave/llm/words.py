@@ -6,9 +6,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
-from tripweave.llm.rolling import LIMIT, Rolling
+from tripweave.llm.rolling import LIMIT, mixed
 
+_STEP = np.uint64(0xD1342543DE82EF95)
 LONGEST = 4096  # longer words are told apart by a digest, to bound the buffers
 
 
@@ -45,25 +47,38 @@ def all_shingle_hashes(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
     yield from _hashes(held, n)
 
 
+def _chained(codes: list[np.ndarray]) -> np.ndarray:
+    """One hash of the words that stand at the same place of each array, in their order."""
+    hashes = np.full(len(codes[0]), len(codes), np.uint64)
+    for code in codes:
+        hashes = mixed(hashes * _STEP + code)
+    return hashes
+
+
 def _hashes(docs: list[list[bytes]], n: int) -> Iterator[np.ndarray]:
-    counts = np.array([len(d) for d in docs], np.int64)
     flat = [w for d in docs for w in d]
-    if not flat:
-        yield from (np.array([], np.uint64) for _ in docs)
-        return
-    data = np.frombuffer(b" ".join(flat) + b" ", np.uint8)
-    ends = np.cumsum(np.fromiter(map(len, flat), np.int64, len(flat)) + 1)
-    starts = np.r_[0, ends[:-1]]
-    hashes = Rolling(data)
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, flat), np.uint64, len(flat))
     full = np.array([], np.uint64)
     if len(flat) >= n:
-        full = hashes.at(starts[: len(flat) - n + 1], ends[n - 1 :])
-    first = np.r_[0, np.cumsum(counts)]
-    for i, count in enumerate(counts.tolist()):
-        a = int(first[i])
+        full = _chained([codes[k : len(codes) - n + 1 + k] for k in range(n)])
+    a = 0
+    for doc in docs:
+        count = len(doc)
         if count >= n:
             yield full[a : a + count - n + 1]
         elif count:
-            yield hashes.at(starts[a : a + 1], ends[a + count - 1 : a + count])
+            yield _chained([codes[i : i + 1] for i in range(a, a + count)])
         else:
             yield np.array([], np.uint64)
+        a += count
+
+
+def same_shingles(one: bytes, two: bytes, n: int, percent: int) -> bool:
+    """Whether the sets of ``n``-word shingles of two texts, the words themselves and no
+    hashes, have ``percent`` of their union in common."""
+    a, b = (
+        {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+        for words in (one.lower().split(), two.lower().split())
+    )
+    common = len(a & b)
+    return 100 * common >= percent * (len(a) + len(b) - common)
