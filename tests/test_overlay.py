@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripweave.functions import formats, geometry as geo, planar, predicates
-from tripweave.operators import outline, overlay, rings, zones as zone_ops
+from tripweave.operators import cover, outline, overlay, rings, zones as zone_ops
 from tests.test_geometry import picked, zone_table
 
 
@@ -141,3 +141,21 @@ def test_layers_that_overlap_or_are_cut_unevenly(spark):
         assert got["overlaps"] == {across}
         assert got["contains"] == {whole, around}
         assert got["intersects"] == {inside, across, whole, around}
+
+
+def test_one_large_polygon_makes_no_hot_tile(spark):
+    """900 zones under one polygon, and 100 small polygons at one side."""
+    rows = [(y * 30 + x, box(x, y, x + 1, y + 1)) for x in range(30) for y in range(30)]
+    zones = spark.createDataFrame(rows, "id long, t string").select("id", F.expr(geo.oriented(formats.from_wkt("t"))).alias("shape"))
+    small = [("s", box(40 + x, y, 40.5 + x, y + 0.5)) for x in range(10) for y in range(10)]
+    layer = shapes(spark, [("b", box(-1, -1, 22.5, 31)), *small])
+    border = overlay.union_border(layer.select("geometry"), [])
+    spots = zones.select("id", *[F.expr(f"cast(({cover.inner_point('shape')}).{c} * 1e9 as long) as g{c}") for c in "xy"])
+    tiles = cover.tiles_over(border, spots, 50)
+    where = [(int(tiles.column(np.array([2 * r.gx]))[0]), int(tiles.row(np.array([2 * r.gy]))[0])) for r in spots.collect()]
+    counts = sorted(where.count(t) for t in set(where))
+    assert len(counts) >= 10 and counts[-1] <= 3 * counts[len(counts) // 2]
+    facts = {r.id: (r.touch, r.meets, r.inside) for r in cover.polygon_facts(zones, border, tile=50).collect()}
+    for n, _ in rows:
+        x = n % 30
+        assert facts[n] == (x < 23, x < 23, x < 22), n

@@ -125,7 +125,6 @@ def folds_back(e: str, f: str) -> str:
 
 # Points closer than this to an edge count as lying on it (degrees; about a micrometre).
 TOLERANCE = 1e-11
-_T = num(TOLERANCE)
 
 
 def on_edge(x: str, y: str, e: str, tolerance: float = TOLERANCE) -> str:
@@ -151,8 +150,9 @@ def segments_cross(e: str, f: str) -> str:
     return f"({sides(e, f)} and {sides(f, e)})"
 
 
-def boxes_meet(e: str, f: str) -> str:
+def boxes_meet(e: str, f: str, tolerance: float = TOLERANCE) -> str:
     """The bounding boxes of two edges touch (a cheap first test)."""
+    t = num(tolerance)
 
     def spans(c: str, d: str) -> str:
         return f"least({c}.a{d}, {c}.b{d})", f"greatest({c}.a{d}, {c}.b{d})"
@@ -160,18 +160,18 @@ def boxes_meet(e: str, f: str) -> str:
     (ex1, ex2), (ey1, ey2) = spans(e, "x"), spans(e, "y")
     (fx1, fx2), (fy1, fy2) = spans(f, "x"), spans(f, "y")
     return (
-        f"({ex1} <= {fx2} + {_T} and {fx1} <= {ex2} + {_T}"
-        f" and {ey1} <= {fy2} + {_T} and {fy1} <= {ey2} + {_T})"
+        f"({ex1} <= {fx2} + {t} and {fx1} <= {ex2} + {t}"
+        f" and {ey1} <= {fy2} + {t} and {fy1} <= {ey2} + {t})"
     )
 
 
-def segments_meet(e: str, f: str) -> str:
+def segments_meet(e: str, f: str, tolerance: float = TOLERANCE) -> str:
     """The segments share at least one point, ends included."""
     touches = [
         segments_cross(e, f),
-        on_edge(f"{f}.ax", f"{f}.ay", e),
-        on_edge(f"{f}.bx", f"{f}.by", e),
-        on_edge(f"{e}.ax", f"{e}.ay", f),
-        on_edge(f"{e}.bx", f"{e}.by", f),
+        on_edge(f"{f}.ax", f"{f}.ay", e, tolerance),
+        on_edge(f"{f}.bx", f"{f}.by", e, tolerance),
+        on_edge(f"{e}.ax", f"{e}.ay", f, tolerance),
+        on_edge(f"{e}.bx", f"{e}.by", f, tolerance),
     ]
-    return f"({boxes_meet(e, f)} and ({' or '.join(touches)}))"
+    return f"({boxes_meet(e, f, tolerance)} and ({' or '.join(touches)}))"

@@ -142,17 +142,18 @@ def nodes(group, ax, ay, bx, by, inside) -> tuple[np.ndarray, np.ndarray, np.nda
     return i, marks[j, 1], marks[j, 2]
 
 
-def covers(group, x1, y1, x2, y2, way, own, corner, base) -> tuple[np.ndarray, np.ndarray]:
-    """What covers the left and the right side of the segments numbered ``own``.
+def coverage_at(group, x1, y1, x2, y2, way, points, corner, base, skip=None) -> np.ndarray:
+    """What covers some points (group, doubled x, doubled y) of a tile.
 
     Segments go from (x1, y1) to (x2, y2) in rising order and meet at ends only; ``way``
     is by how much coverage is larger on the left. ``base`` is the coverage, by group,
     at the tile's doubled ``corner``. From there a path leads up to the height of each
-    segment's middle and then right to it; what it crosses changes the coverage.
+    point and then right to it; what it crosses changes the coverage. ``skip`` names a
+    segment for each point that the last stretch of its path does not count.
     """
     cx, cy = corner
     ax, ay, bx, by = 2 * x1, 2 * y1, 2 * x2, 2 * y2
-    mx, my, mg = x1[own] + x2[own], y1[own] + y2[own], group[own]
+    mg, mx, my = points
     found = base[mg].astype(np.int64)
 
     def crossed(m, s, px, py, qx, qy, spans) -> None:
@@ -162,7 +163,7 @@ def covers(group, x1, y1, x2, y2, way, own, corner, base) -> tuple[np.ndarray, n
         change = way[s] * (side(*line, qx, qy) - side(*line, px, py)) // 2
         np.add.at(found, m, change)
 
-    # up the left border, past segments that cross it, the segment itself among them
+    # up the left border, past segments that cross it, the one to skip among them
     over = np.flatnonzero((ax < cx) & (bx > cx))
     if len(over):
         order = np.argsort(group[over], kind="stable")
@@ -170,13 +171,38 @@ def covers(group, x1, y1, x2, y2, way, own, corner, base) -> tuple[np.ndarray, n
         begin, end = (np.searchsorted(group[over], mg, s) for s in ("left", "right"))
         for m, k in ranges(begin, end):
             crossed(m, over[k], cx, cy, cx, my[m], np.ones(len(m), bool))
-    # and right to the middle
+    # and right to the point
     low, high = np.minimum(ay, by), np.maximum(ay, by)
     far = np.full(len(mx), cx)
     for m, s in meeting(mg, np.minimum(far, mx), mx, my, my, group, ax, bx, low, high):
-        spans = ((ay[s] > my[m]) != (by[s] > my[m])) & (s != own[m])
+        spans = (ay[s] > my[m]) != (by[s] > my[m])
+        if skip is not None:
+            spans &= s != skip[m]
         crossed(m, s, cx, my[m], mx[m], my[m], spans)
+    return found
+
+
+def covers(group, x1, y1, x2, y2, way, own, corner, base) -> tuple[np.ndarray, np.ndarray]:
+    """What covers the left and the right side of the segments numbered ``own``, by the
+    coverage beside their middles (see ``coverage_at``)."""
+    middles = group[own], x1[own] + x2[own], y1[own] + y2[own]
+    found = coverage_at(group, x1, y1, x2, y2, way, middles, corner, base, own)
     # the path comes from the west, or from above where the segment is level
     rising = y2[own] >= y1[own]
     step = way[own]
     return np.where(rising, found, found + step), np.where(rising, found - step, found)
+
+
+def near_boxes(boxes, x1, y1, x2, y2) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (box, segment) of the boxes (left, right, low, high) that the segments pass or
+    touch; a box whose corners all lie on one side of a segment's line is left out."""
+    left, right, low, high = boxes
+    one, two = np.zeros(len(left), np.int64), np.zeros(len(x1), np.int64)
+    for b, s in meeting(one, left, right, low, high, two, x1, x2, np.minimum(y1, y2), np.maximum(y1, y2)):
+        line = x1[s], y1[s], x2[s], y2[s]
+        turns = [(line[2] - line[0]).astype(float) * (v[b] - line[1]) - (line[3] - line[1]).astype(float) * (h[b] - line[0])
+                 for h in (left, right) for v in (low, high)]
+        slack = 1e-6 * (np.abs(line[2] - line[0]) + np.abs(line[3] - line[1]))
+        keep = (np.min(turns, axis=0) <= slack) & (np.max(turns, axis=0) >= -slack)
+        if keep.any():
+            yield b[keep], s[keep]

@@ -150,12 +150,15 @@ def pieces_of(edges: DataFrame, tiles: Tiles) -> DataFrame:
     return turned.groupBy("g", *_EDGE).agg(F.sum("way").alias("way")).where("way <> 0")
 
 
-def corner_coverage(laid: DataFrame) -> DataFrame:
-    """What covers the lower left corner of each tile of a group: ``way``, with ``edge`` false.
+def corner_coverage(laid: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """What covers the lower left corner of each tile that a group has edges in, or of those
+    of ``asked`` (g, tx, ty) too: ``way``, with ``edge`` false.
 
     A running sum along each line of tiles; a tile without crossings to its left has 0."""
     changes = laid.where("not edge").groupBy("g", "ty", "tx").agg(F.sum("way").alias("way")).withColumn("here", F.lit(0))
-    present = laid.where("edge").select("g", "ty", "tx", F.lit(0).cast("long").alias("way"), F.lit(1).alias("here")).distinct()
+    tiles = laid.where("edge").select("g", "ty", "tx")
+    tiles = tiles if asked is None else tiles.unionByName(asked)
+    present = tiles.distinct().select("g", "ty", "tx", F.lit(0).cast("long").alias("way"), F.lit(1).alias("here"))
     line = Window.partitionBy("g", "ty").orderBy("tx", "here").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = changes.unionByName(present).withColumn("way", F.sum("way").over(line)).where("here = 1")
     return summed.select("g", *[F.lit(0).cast("long").alias(c) for c in _EDGE], "way", "tx", "ty", F.lit(False).alias("edge"))
@@ -181,6 +184,18 @@ def covered_pieces(pieces: DataFrame, tiles: Tiles) -> DataFrame:
     return everything.groupBy("tx", "ty").applyInPandas(cover, f"{_DDL}, left long, right long")
 
 
+def union_border(shapes: DataFrame, by: Sequence[str], geometry: str = "geometry", tile: int = TILE) -> DataFrame:
+    """g, x1, y1, x2, y2, way: the border of each group's union in grid units, stored.
+    ``way`` is 1 where the inside is on the left of the rising edge, else -1."""
+    edges = written(netted_edges(shapes, by, geometry), "overlay-edges")
+    tiles = tiles_for(edges, tile)
+    if tiles is None:
+        return edges
+    covered = covered_pieces(written(pieces_of(edges, tiles), "overlay-pieces"), tiles)
+    border = covered.where("(left > 0) <> (right > 0)")
+    return written(border.select("g", *_EDGE, F.when(F.col("left") > 0, 1).otherwise(-1).cast("long").alias("way")), "overlay-border")
+
+
 def union_edges(shapes: DataFrame, by: Sequence[str], geometry: str = "geometry", tile: int = TILE) -> DataFrame:
     """Directed edges (ax, ay, bx, by) of the border of each group's union, its inside to
     their left, in degrees; no two of them meet except at their ends.
@@ -189,17 +204,10 @@ def union_edges(shapes: DataFrame, by: Sequence[str], geometry: str = "geometry"
     counter-clockwise and holes clockwise. Edges that others touch are cut there. Null and
     empty geometries have no edges. Repeated polygons count as one.
     """
-    edges = written(netted_edges(shapes, by, geometry), "overlay-edges")
-    tiles = tiles_for(edges, tile)
-    if tiles is None:
-        covered = edges.withColumns({"left": F.lit(0), "right": F.lit(0)})
-    else:
-        covered = covered_pieces(written(pieces_of(edges, tiles), "overlay-pieces"), tiles)
-    border = covered.where("(left > 0) <> (right > 0)")
-    onward = F.col("left") > 0
+    onward = F.col("way") > 0
     ends = [F.when(onward, F.col(p)).otherwise(F.col(q)).alias(n) for p, q, n in
             (("x1", "x2", "ax"), ("y1", "y2", "ay"), ("x2", "x1", "bx"), ("y2", "y1", "by"))]
     kinds = dict(shapes.select(*by).dtypes)
     group = F.from_json("g", ", ".join(f"`{c}` {kinds[c]}" for c in by)) if by else F.lit(None)
-    placed = border.select(group.alias("g"), *ends)
+    placed = union_border(shapes, by, geometry, tile).select(group.alias("g"), *ends)
     return placed.select(*[F.col(f"g.`{c}`").alias(c) for c in by], *[degrees(F.col(c)).alias(c) for c in ("ax", "ay", "bx", "by")])

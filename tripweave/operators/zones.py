@@ -7,8 +7,10 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripweave.functions import formats, geometry as geo, predicates
-from tripweave.functions.lambdas import let, row
+from tripweave.operators.cover import polygon_facts
 from tripweave.operators.outline import outline_edges
+from tripweave.operators.overlay import union_border
+from tripweave.session import written
 
 # Fixed value: the default study polygon, in degrees.
 DEFAULT_AREA = (
@@ -65,8 +67,6 @@ def zones_in_area(zones: DataFrame, wkt: str = DEFAULT_AREA, name: str = "inters
     return _with_area(inside, wkt).where(F.expr(predicates.within("geometry", "_area"))).drop("_area")
 
 
-# The outline's corners lie on a grid, up to a step from where they were (degrees).
-SLIVER = 2e-9
 # A shape reaches over at most this many grid cells in each direction.
 CELLS_ACROSS = 4
 # Zones of one cell are spread over this many tasks.
@@ -122,72 +122,46 @@ def zones_by_layer(zones: DataFrame, layer: DataFrame, name: str = "intersects")
     ``geometry`` column in degrees; its polygons may overlap, and their common borders may
     be cut unevenly. Zones are told apart by ZONE_KEY.
 
-    Nothing is broadcast, and of the union just the border is made. Each question breaks down into
-    tests of a single zone polygon with a single layer polygon or a single edge
-    of the layer's dissolved outline, joined on grid cells:
-    * intersects: some layer polygon does;
-    * interiors meet: those of some layer polygon do;
-    * contains: each layer polygon lies in the zone;
-    * within: for each polygon of the zone, interiors meet and no outline edge runs
-      inside it.
+    Nothing is broadcast, and of the union just the border is made (see ``cover``): each
+    polygon of a zone meets the border's edges near it, and one point of it is asked for.
+    Only zones whose box holds the layer's box can contain the layer; each polygon of the
+    layer is then tested with them.
     """
     predicates.predicate(name)
-    polygon = layer.select(F.explode("geometry").alias("p")).select(F.array("p").alias("s_geometry"))
-    parts = polygon.distinct().withColumn("part", F.xxhash64("s_geometry"))
-    parts = _boxed(parts, "s_geometry")
-    single = zones.select(*ZONE_KEY, F.posexplode("geometry").alias("piece", "p")).select(
-        *ZONE_KEY, "piece", F.array("p").alias("shape")
+    numbered = written(zones.select(*ZONE_KEY, "geometry"), "layer-zones")
+    single = numbered.select(*ZONE_KEY, F.posexplode("geometry").alias("piece", "p")).select(
+        *ZONE_KEY, F.array("p").alias("shape"), F.xxhash64(*ZONE_KEY, "piece").alias("id")
     )
-    single = _boxed(single, "shape")
-    largest = _extent(parts).unionAll(_extent(zones)).agg((F.max("d") / CELLS_ACROSS).alias("d"))
-    size = largest.scalar()
-    pairs = _meet_on_grid(single, parts, size)
+    wanted = zones.select(*ZONE_KEY).distinct()
+    if name != "contains":
+        border = union_border(layer.select(F.expr(geo.oriented("geometry")).alias("geometry")), [])
+        facts = single.join(polygon_facts(single.select("id", "shape").dropDuplicates(["id"]), border), "id").groupBy(*ZONE_KEY).agg(
+            F.bool_or("touch").alias("touch"), F.bool_or("meets").alias("meets"), F.bool_and("inside").alias("inside")
+        )
+        truth = {"intersects": "touch", "within": "inside", "overlaps": "meets and not inside"}[name]
+        wanted = facts.where(truth).select(*ZONE_KEY)
+    if name in ("contains", "overlaps"):
+        holding = _holding(zones, layer)
+        wanted = wanted.join(holding, ZONE_KEY, "left_anti" if name == "overlaps" else "left_semi")
+    return zones.join(wanted, ZONE_KEY, "left_semi")
 
-    if name == "intersects":
-        hits = pairs.where(predicates.intersects("shape", "s_geometry"))
-        return zones.join(hits.select(*ZONE_KEY).distinct(), ZONE_KEY, "left_semi")
-
-    met = pairs.select(
-        *ZONE_KEY,
-        "piece",
-        F.expr(predicates.interiors_meet("shape", "s_geometry")).alias("meets"),
-        F.when(F.expr(predicates.within("s_geometry", "shape")), F.col("part")).alias("held"),
-    )
-    total = parts.agg(F.count_distinct("part").alias("n")).scalar()
-    held = met.groupBy(*ZONE_KEY).agg(
-        (F.count_distinct("held") == total).alias("contains"), F.bool_or("meets").alias("meets")
-    )
-    if name == "contains":
-        return zones.join(held.where("contains").select(*ZONE_KEY), ZONE_KEY, "left_semi")
-
-    lines = outline_edges(layer, []).select(
-        F.struct("ax", "ay", "bx", "by").alias("edge"),
-        F.least("ax", "bx").alias("xmin"),
-        F.least("ay", "by").alias("ymin"),
-        F.greatest("ax", "bx").alias("xmax"),
-        F.greatest("ay", "by").alias("ymax"),
-    )
-    crossed = _meet_on_grid(single, lines, size).select(
-        *ZONE_KEY,
-        "piece",
-        F.lit(False).alias("meets"),
-        F.expr(
-            let(
-                row(edge="edge", e=geo.edges("shape")),
-                lambda v: predicates.edge_runs_inside(f"{v}.edge", f"{v}.e", SLIVER),
-            )
-        ).alias("cut"),
-    )
-    facts = met.select(*ZONE_KEY, "piece", "meets", F.lit(False).alias("cut")).unionByName(crossed)
-    blank = single.select(*ZONE_KEY, "piece", F.lit(False).alias("meets"), F.lit(False).alias("cut"))
-    by_piece = facts.unionByName(blank).groupBy(*ZONE_KEY, "piece").agg(
-        (F.bool_or("meets") & ~F.bool_or("cut")).alias("within")
+
+def _holding(zones: DataFrame, layer: DataFrame) -> DataFrame:
+    """The keys of the zones that contain each polygon of the layer."""
+    polygon = layer.select(F.explode("geometry").alias("p")).select(F.array("p").alias("s_geometry"))
+    parts = _boxed(polygon.distinct().withColumn("part", F.xxhash64("s_geometry")), "s_geometry")
+    whole = parts.agg(*[f(c).alias(f"_{c}") for f, c in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax"))]).first()
+    if whole._xmin is None:
+        return zones.select(*ZONE_KEY).limit(0)
+    around = zones.where(
+        (F.col("xmin") <= whole._xmin) & (F.col("ymin") <= whole._ymin) & (F.col("xmax") >= whole._xmax) & (F.col("ymax") >= whole._ymax)
     )
-    inside = by_piece.groupBy(*ZONE_KEY).agg(F.bool_and("within").alias("within"))
-    if name == "within":
-        return zones.join(inside.where("within").select(*ZONE_KEY), ZONE_KEY, "left_semi")
-    both = held.where("meets and not contains").join(inside.where("not within"), ZONE_KEY)
-    return zones.join(both.select(*ZONE_KEY), ZONE_KEY, "left_semi")
+    single = around.select(*ZONE_KEY, F.explode("geometry").alias("p")).select(*ZONE_KEY, F.array("p").alias("shape"))
+    size = _extent(parts).unionAll(_extent(around)).agg((F.max("d") / CELLS_ACROSS).alias("d")).scalar()
+    pairs = _meet_on_grid(_boxed(single, "shape"), parts, size)
+    held = pairs.where(predicates.within("s_geometry", "shape")).groupBy(*ZONE_KEY).agg(F.count_distinct("part").alias("n"))
+    total = parts.agg(F.count_distinct("part").alias("n")).first().n
+    return held.where(F.col("n") == total).select(*ZONE_KEY)
 
 
 def layer_from_wkt(zones: DataFrame, texts: list[str]) -> DataFrame:
