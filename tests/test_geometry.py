@@ -4,11 +4,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tripweave.functions import formats, geometry as geo, predicates
+from tripweave.functions import formats, geometry as geo, predicates, projections
 from tripweave.functions.geodesy import GRS80, TransverseMercator, ellipsoid_distance
 from tripweave.functions.lambdas import num
 from tripweave.operators import outline, validity, zones as zone_ops
 from tripweave.operators.validity import with_validity
+from tripweave.plans import jobs
 from tripweave.sources import boundaries
 
 BOX = "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0))"
@@ -172,6 +173,51 @@ def test_projection_round_trip(spark):
     assert (middle.x, middle.y) == (pytest.approx(500000), pytest.approx(0, abs=1e-6))
 
 
+TEXAS = (
+    'PROJCS["NAD27 / Texas South Central",GEOGCS["NAD27",DATUM["North_American_Datum_1927",SPHEROID["Clarke 1866",6378206.4,294.978698213898]],'
+    'PRIMEM["Greenwich",0],UNIT["degree",0.0174532925199433]],PROJECTION["Lambert_Conformal_Conic_2SP"],'
+    'PARAMETER["standard_parallel_1",28.3833333333333],PARAMETER["standard_parallel_2",30.2833333333333],'
+    'PARAMETER["latitude_of_origin",27.8333333333333],PARAMETER["central_meridian",-99],'
+    'PARAMETER["false_easting",2000000],PARAMETER["false_northing",0],UNIT["US survey foot",0.304800609601219]]'
+)
+ZONE_30 = (
+    'PROJCS["UTM 30N",GEOGCS["ETRS",DATUM["D",SPHEROID["GRS_1980",6378137.0,298.257222101]],PRIMEM["Greenwich",0.0],'
+    'UNIT["Degree",0.0174532925199433]],PROJECTION["Transverse_Mercator"],PARAMETER["False_Easting",500000.0],'
+    'PARAMETER["False_Northing",0.0],PARAMETER["Central_Meridian",-3.0],PARAMETER["Scale_Factor",0.9996],'
+    'PARAMETER["Latitude_Of_Origin",0.0],UNIT["Meter",1.0]]'
+)
+
+
+def test_projections_by_description(spark):
+    def at(text):
+        return spark.range(1).select(F.expr(text).alias("p")).first().p
+
+    # A published example: 28 30 N, 96 W lies at 2963503.91, 254759.80 feet.
+    p = at(projections.from_description(TEXAS).to_lonlat("2963503.91D", "254759.80D"))
+    assert (p.x, p.y) == (pytest.approx(-96, abs=1e-7), pytest.approx(28.5, abs=1e-7))
+    read = projections.from_description(ZONE_30)
+    plane = TransverseMercator()
+    assert read.unit == 1 and (read.plane.meridian, read.plane.radius) == (plane.meridian, pytest.approx(plane.radius))
+    assert projections.from_description(TEXAS[TEXAS.index("GEOGCS") : TEXAS.index(",PROJECTION")]).plane is None
+    assert at(projections.from_description(ZONE_30.replace('Origin",0.0', 'Origin",40.0')).plane.from_lonlat("-3D", "40D")).y == pytest.approx(0, abs=1e-6)
+    for wrong in (ZONE_30.replace("Transverse_Mercator", "Robinson"), "PROJCS[]"):
+        with pytest.raises(ValueError):
+            projections.from_description(wrong)
+    for cone in (projections.from_description(TEXAS).plane, projections.LambertConic((-30.0, -30.0), (20.0, -30.0), scale=0.999)):
+        south = cone.origin[1] < 0
+        grid = spark.sql(f"select {cone.origin[0]} + i * 2D as lon, {-50 if south else 20} + j * 2.5D as lat from range(-5, 6) a(i), range(9) b(j)")
+        there = grid.withColumn("p", F.expr(cone.from_lonlat("lon", "lat")))
+        back = there.withColumn("q", F.expr(cone.to_lonlat("p.x", "p.y")))
+        assert back.selectExpr("max(greatest(abs(q.x - lon), abs(q.y - lat)))").first()[0] < 1e-9
+
+
+def test_area_of_a_layer_in_metres(spark):
+    zones = zone_table(spark, [square(-3, 40), square(-1, 40)])
+    plane = [f"POLYGON(({','.join(f'{x} {y}' for x, y in [(480000, 4400000), (600000, 4400000), (600000, 4600000), (480000, 4600000), (480000, 4400000)])}))"]
+    got = picked(jobs.extract_area(zones, plane, "intersects", ZONE_30))
+    assert got == {square(-3, 40)} == picked(jobs.extract_area(zones, plane[0], "intersects", ZONE_30))
+
+
 def merged(spark, texts):
     table = shapes(spark, *[(t,) for t in texts]).select(F.lit("m").alias("municipality_id"), F.col("g0").alias("geometry"))
     r = outline.merged_shapes(table).select("geometry", F.expr(geo.area("geometry")).alias("area")).first()

@@ -108,6 +108,15 @@ CUT_LAYER = [
     "POLYGON((-0.5 39.35, -0.3 39.35, -0.3 39.5, -0.5 39.5, -0.5 39.35))",
     "POLYGON((-0.5 39.35, -0.3 39.35, -0.3 39.5, -0.5 39.5, -0.5 39.35))",
 ]
+# A conic plane of Europe as a description.
+CONIC = (
+    'PROJCS["Conic of Europe",GEOGCS["GCS_ETRS_1989",DATUM["D_ETRS_1989",SPHEROID["GRS_1980",6378137.0,'
+    '298.257222101]],PRIMEM["Greenwich",0.0],UNIT["Degree",0.0174532925199433]],'
+    'PROJECTION["Lambert_Conformal_Conic_2SP"],PARAMETER["Standard_Parallel_1",35.0],'
+    'PARAMETER["Standard_Parallel_2",65.0],PARAMETER["Latitude_Of_Origin",52.0],'
+    'PARAMETER["Central_Meridian",10.0],PARAMETER["False_Easting",4000000.0],'
+    'PARAMETER["False_Northing",2800000.0],UNIT["Meter",1.0]]'
+)
 # By how much the boxes of grown zones reach over their neighbours.
 GROWN = 0.0007
 # A box small enough to lie inside one strip.

@@ -8,10 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from tripweave import schemas
-from tripweave.functions import calendar
+from tripweave.functions import calendar, geometry as geo, projections
 from tripweave.functions.geodesy import TransverseMercator
 from tripweave.operators import gravity, longtrip, mobility, profiles, zones as zone_ops
-from tripweave.sources import boundaries, census, trips
+from tripweave.sources import boundaries, census, shapefile, trips
 from tripweave.sources.store import Store
 
 # Names of the stored tables.
@@ -88,11 +88,24 @@ def economy_job(
 
 
 def geometry_job(
-    store: Store, path: str, year: int = 2023, plane: TransverseMercator | None = TransverseMercator()
+    store: Store,
+    path: str,
+    year: int = 2023,
+    plane: TransverseMercator | str | None = TransverseMercator(),
+    form: str = "geojson",
 ) -> DataFrame:
-    """Boundary features (GeoJSON lines) to zones in degrees."""
+    """Boundary features to zones in degrees: GeoJSON lines, or with ``form`` "shapefile" the
+    folder of a layer, whose own projection counts before ``plane``, which may be a
+    description too."""
+    if form not in ("geojson", "shapefile"):
+        raise ValueError(f"unknown form {form!r}; known: geojson, shapefile")
+    if form == "shapefile":
+        plane = shapefile.description(store.spark, path) or plane
     _check_year(year, 2011, 2030)
-    bronze = boundaries.scan_geojson(store.spark, path)
+    if isinstance(plane, str):
+        plane = projections.from_description(plane)
+    scan = shapefile.scan_shapefile if form == "shapefile" else boundaries.scan_geojson
+    bronze = scan(store.spark, path)
     stamped = bronze.withColumns({"ingestion_date": F.current_timestamp(), "year": F.lit(year)})
     if not store.exists(BRONZE_GEOMETRY) or store.read(BRONZE_GEOMETRY).where(F.col("year") == year).isEmpty():
         store.replace_partitions(stamped, BRONZE_GEOMETRY, ["year"])
@@ -103,18 +116,27 @@ def geometry_job(
 
 
 def extract_area(
-    zones: DataFrame, polygons: str | Sequence[str] | DataFrame, predicate: str = "intersects"
+    zones: DataFrame,
+    polygons: str | Sequence[str] | DataFrame,
+    predicate: str = "intersects",
+    projection: str | None = None,
 ) -> DataFrame:
     """Zones that stand in a relation to a study area.
 
+    ``projection`` is the description of a layer that is not in degrees (see
+    ``projections.from_description``); its polygons are then brought to degrees first.
+
     One WKT text: see ``zones_in_area``, where ``contains`` means the area contains
     the zone. Several texts or a layer with a ``geometry`` column: see
     ``zones_by_layer``, where ``contains`` means the zone contains the layer.
     """
-    if isinstance(polygons, str):
+    if isinstance(polygons, str) and projection is None:
         return zone_ops.zones_in_area(zones, polygons, predicate)
     if not isinstance(polygons, DataFrame):
-        polygons = zone_ops.layer_from_wkt(zones, list(polygons))
+        polygons = zone_ops.layer_from_wkt(zones, [polygons] if isinstance(polygons, str) else list(polygons))
+    if projection is not None:
+        shape = projections.from_description(projection).reproject("geometry")
+        polygons = polygons.withColumn("geometry", F.expr(geo.oriented(shape)))
     return zone_ops.zones_by_layer(zones, polygons, predicate)
 
 

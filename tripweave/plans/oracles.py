@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from tripweave.functions.geodesy import GRS80, TransverseMercator, WGS84
+from tripweave.functions.geodesy import WGS84
 from tripweave.plans import fixtures as fx
 from tripweave.plans.queries import TABLES
 from tripweave.schemas import TRIP_COLUMNS
@@ -118,7 +118,7 @@ PARTS: dict[str, str] = {
         "select string_split(Municipios, ' ')[1] as municipality_code,"
         " string_split(Distritos, ' ')[1] as district_code, string_split(Secciones, ' ')[1] as section_code,"
         " cast(right(Periodo, 4) as int) as year, avg(v) as avg_income from (select *,"
-        " try_cast(translate(trim(Total), ',.', '.') as double) as v from raw_income)"
+        " try_cast(array_to_string(string_split(array_to_string(string_split(trim(Total), '.'), ''), ','), '.') as double) as v from raw_income)"
         " where v is not null and Distritos is not null and Secciones is not null group by all"
     ),
     "money": (
@@ -320,7 +320,7 @@ oracle(
 )
 oracle(
     "parse_decimal_comma",
-    "select Municipios, Secciones, Total, round(try_cast(translate(trim(Total), ',.', '.') as double), 6)"
+    "select Municipios, Secciones, Total, round(try_cast(array_to_string(string_split(array_to_string(string_split(trim(Total), '.'), ''), ','), '.') as double), 6)"
     " as value from raw_income",
 )
 oracle(
@@ -424,7 +424,8 @@ oracle(
 )
 oracle(
     "wkt_roundtrip",
-    "select census_section_id, true as same_shape, true as same_point from zones",
+    "select census_section_id, true as same_shape, true as same_point,"
+    " round((xmax - xmin) * (ymax - ymin) * 0.46875e6, 6) as area, 8 as corners from zones",
 )
 oracle("dissolved_outline", "select * from outline")
 # Walks along the outline from every corner, given up at a corner smaller than the first.
@@ -457,24 +458,40 @@ oracle(
 
 def _to_degrees(source: str) -> str:
     """Longitude and latitude from e, n: the latitude by rounds on the isometric latitude."""
-    plane = TransverseMercator()
-    f = GRS80[1]
-    ecc = (f * (2 - f)) ** 0.5
-    xi = f"n / {plane.radius!r}"
-    eta = f"(e - {plane.false_easting!r}) / {plane.radius!r}"
+    # Zone 30 north, written out: scaled radius, eccentricity, coefficients.
+    radius, ecc = 6364902.16611274, 0.0818191910428158
+    beta = [8.37732168164e-4, 5.905869626e-8, 1.6734889e-10, 2.167738e-13]
+    xi, eta = f"n / {radius!r}", f"(e - 500000) / {radius!r}"
     sql = f"select *, {xi} as xi, {eta} as eta from {source}"
     bent_xi = "".join(
-        f" - {b!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, b in enumerate(plane.beta, 1)
+        f" - {b!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, b in enumerate(beta, 1)
     )
     bent_eta = "".join(
-        f" - {b!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, b in enumerate(plane.beta, 1)
+        f" - {b!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, b in enumerate(beta, 1)
     )
     sql = f"select *, xi{bent_xi} as bx, eta{bent_eta} as be from ({sql})"
     sql = f"select *, atan2(sinh(be), cos(bx)) as lam, asinh(sin(bx) / sqrt(pow(sinh(be), 2) + pow(cos(bx), 2))) as psi from ({sql})"
     sql = f"select *, atan(sinh(psi)) as p0 from ({sql})"
     for k in range(7):
         sql = f"select *, atan(sinh(psi + {ecc!r} * atanh({ecc!r} * sin(p{k})))) as p{k + 1} from ({sql})"
-    return f"select *, {plane.meridian!r} + degrees(lam) as lon, degrees(p7) as lat from ({sql})"
+    return f"select *, degrees(lam) - 3 as lon, degrees(p7) as lat from ({sql})"
+
+
+def _from_cone(source: str) -> str:
+    """Longitude and latitude from e, n on the fixture's conic plane, from its literal
+    parallels, origin and ellipsoid: the latitude by rounds."""
+    ecc, axis = "sqrt(2 / 298.257222101 - pow(1 / 298.257222101, 2))", "6378137"
+    small = lambda d: f"tan(pi() / 4 - radians({d}) / 2) * pow((1 + k * sin(radians({d}))) / (1 - k * sin(radians({d}))), k / 2)"
+    wide = lambda d: f"cos(radians({d})) / sqrt(1 - pow(k * sin(radians({d})), 2))"
+    sql = f"select *, {ecc} as k from {source}"
+    sql = f"select *, ln(({wide(35)}) / ({wide(65)})) / ln(({small(35)}) / ({small(65)})) as cone from ({sql})"
+    sql = f"select *, {axis} * ({wide(35)}) / (cone * pow({small(35)}, cone)) as reach from ({sql})"
+    sql = f"select *, reach * pow({small(52)}, cone) - (n - 2800000) as dy, e - 4000000 as dx from ({sql})"
+    sql = f"select *, pow(sqrt(dx * dx + dy * dy) / reach, 1 / cone) as t, atan2(dx, dy) / cone as lam from ({sql})"
+    sql = f"select *, pi() / 2 - 2 * atan(t) as p0 from ({sql})"
+    for j in range(8):
+        sql = f"select *, pi() / 2 - 2 * atan(t * pow((1 - k * sin(p{j})) / (1 + k * sin(p{j})), k / 2)) as p{j + 1} from ({sql})"
+    return f"select *, 10 + degrees(lam) as lon, degrees(p8) as lat from ({sql})"
 
 
 _CORNERS = (
@@ -487,6 +504,11 @@ oracle(
     "select census_section_id, corner, round(lon, 7) as x, round(lat, 7) as y from"
     f" ({_to_degrees(_CORNERS)})",
 )
+oracle(
+    "reproject_layer",
+    "select census_section_id, corner, round(lon, 7) as x, round(lat, 7) as y from"
+    f" ({_from_cone(_CORNERS)})",
+)
 oracle(
     "boundary_ingest",
     "select census_section_id, district_id, municipality_id, province_id, autonomous_community_id,"

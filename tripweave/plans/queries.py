@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripweave import schemas
-from tripweave.functions import calendar, formats, geometry as geo, text
+from tripweave.functions import calendar, formats, geometry as geo, projections, text
 from tripweave.functions.geodesy import TransverseMercator
 from tripweave.operators import gravity, longtrip, mobility, outline, overlay, profiles, quality, zones as zone_ops
 from tripweave.plans import fixtures as fx
@@ -473,15 +473,32 @@ def reproject_zones(data: Inputs) -> DataFrame:
     return as_xy(corners, "p", 7)
 
 
+@query
+def reproject_layer(data: Inputs) -> DataFrame:
+    """The same corners on a conic plane, whose description is a text."""
+    shape = projections.from_description(fx.CONIC).reproject("geom")
+    corners = data.plane_boxes().select(
+        F.col("CUSEC").alias("census_section_id"), F.posexplode(F.expr(geo.points(shape))).alias("corner", "p")
+    )
+    return as_xy(corners, "p", 7)
+
+
 @query
 def wkt_roundtrip(data: Inputs) -> DataFrame:
     zones = data.zones()
     back = F.expr(formats.from_wkt(formats.to_wkt("geometry")))
     spot = F.expr(formats.point_from_wkt(formats.point_to_wkt("centroid")))
-    return zones.select(
+    # a triangle with a hole, as a text of the box's numbers
+    at = lambda u, v: f"xmin + (xmax - xmin) * {u}D, ' ', ymin + (ymax - ymin) * {v}D"
+    ring = lambda *corners: "'(', " + ", ', ', ".join(at(*c) for c in (*corners, corners[0])) + ", ')'"
+    text = f"concat('POLYGON (', {ring((0, 0), (1, 0), (1, 1))}, ', ', {ring((0.5, 0.125), (0.75, 0.125), (0.75, 0.375))}, ')')"
+    read = zones.withColumn("wkt", F.expr(text)).withColumn("slanted", F.expr(formats.from_wkt("wkt")))
+    return read.select(
         "census_section_id",
         (back == F.col("geometry")).alias("same_shape"),
         (spot == F.col("centroid")).alias("same_point"),
+        F.round(F.expr(geo.area("slanted")) * 1e6, 6).alias("area"),
+        F.size(F.expr(geo.points("slanted"))).alias("corners"),
     )
 
 
