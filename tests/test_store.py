@@ -243,7 +243,12 @@ def test_whole_pipeline(spark, store, tmp_path):
         zones = jobs.geometry_job(store, str(shapes), plane=None)
     assert zones.count() == 3
 
-    answers = jobs.business_questions_job(store)
+    report = str(tmp_path / "report")
+    answers = jobs.business_questions_job(store, origins=["4600101", "46002"], report=report)
+    assert answers["origin_profile"].count() == 2
+    for name in ("profile", "day_types", "dependency", "origin_profile", "origin_day_types"):
+        read = spark.read.option("header", True).csv(f"{report}/{name}")
+        assert read.columns == answers[name].columns and read.count() == answers[name].count()
     assert answers["model"].count() == 6
     assert {r.municipality_id for r in answers["map"].collect()} == set(codes)
     assert all('"MultiPolygon"' in r.geometry for r in answers["map"].collect())
@@ -252,6 +257,11 @@ def test_whole_pipeline(spark, store, tmp_path):
     assert answers["dependency_map"].where("dependency_code between 0 and 3").count() == 3
     assert [r.district_id for r in answers["districts"].collect()] == [c + "01" for c in codes]
     assert answers["day_types"].first().peak_hour == 8
+    found = {(r.municipality_id, r.total_trips) for r in answers["dependency"].collect()}
+    bare = zones.select(F.col("municipality_id").alias("zone_id"), "centroid")
+    assert {(r.municipality_id, r.total_trips) for r in jobs.long_trip_job(store, bare).collect()} == found
+    with pytest.raises(ValueError, match="centroid"):
+        jobs.long_trip_job(store, zones.select("municipality_id"))
     with pytest.raises(ValueError, match="unknown predicate"):
         jobs.extract_area(zones, ["POLYGON((0 0,1 0,1 1,0 0))"], "near")
 

@@ -236,3 +236,17 @@ def municipality_mean_centroids(zones: DataFrame, year: int | None = None) -> Da
     return _of_year(zones, year).groupBy("municipality_id").agg(
         F.expr(geo.point("avg(centroid.x)", "avg(centroid.y)")).alias("centroid")
     )
+
+
+def municipality_centres(zones: DataFrame, year: int | None = None) -> DataFrame:
+    """Per municipality its centre, from what the zone table has: shapes, or else centres.
+
+    The code may be named ``municipality_id`` or ``zone_id``. A table without years holds
+    one year only.
+    """
+    code = next((c for c in ("municipality_id", "zone_id") if c in zones.columns), None)
+    if code is None or not {"geometry", "centroid"} & set(zones.columns):
+        raise ValueError(f"zones need municipality_id or zone_id, and geometry or centroid; the table has {', '.join(zones.columns)}")
+    named = zones.withColumn("municipality_id", F.col(code).cast("string"))
+    of = municipality_area_centroids if "geometry" in zones.columns else municipality_mean_centroids
+    return of(named, year if "year" in zones.columns else None)

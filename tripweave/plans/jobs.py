@@ -12,7 +12,7 @@ from tripweave.functions import calendar, geometry as geo, projections
 from tripweave.functions.geodesy import TransverseMercator
 from tripweave.operators import gravity, longtrip, mobility, profiles, zones as zone_ops
 from tripweave.sources import boundaries, census, shapefile, trips
-from tripweave.sources.store import Store
+from tripweave.sources.store import Store, write_csv
 
 # Names of the stored tables.
 BRONZE_POPULATION = "bronze_population"
@@ -170,29 +170,56 @@ def gravity_job(
     }
 
 
+def long_trip_job(store: Store, zones: DataFrame, year: int = 2023) -> DataFrame:
+    """Dependency on long trips of the municipalities of a zone table, which may lack shapes,
+    years, or call its codes ``zone_id`` (see ``zones.municipality_centres``)."""
+    store.require(mobility.SILVER)
+    points = zone_ops.municipality_centres(zones, year)
+    silver = store.read(mobility.SILVER, schemas.SILVER_TRIPS)
+    store.refresh(longtrip.long_trip_dependency(silver, points, year), GOLD_LONG_TRIPS)
+    return store.read(GOLD_LONG_TRIPS)
+
+
+def origin_report(store: Store, origins: Sequence[str], report: str | None = None) -> dict[str, DataFrame]:
+    """Hourly profile of some origin zones and its day-type summary; as CSV too, under the
+    folder ``report``, if one is given."""
+    store.require(mobility.GOLD)
+    profile = profiles.origin_profile(store.read(mobility.GOLD, schemas.GOLD_PATTERNS), origins)
+    answers = {"origin_profile": profile, "origin_day_types": profiles.day_type_summary(profile)}
+    return _reported(answers, report)
+
+
+def _reported(answers: dict[str, DataFrame], report: str | None) -> dict[str, DataFrame]:
+    if report is not None:
+        for name, table in answers.items():
+            write_csv(table, f"{report.rstrip('/')}/{name}")
+    return answers
+
+
 def business_questions_job(
     store: Store,
     polygon: str = zone_ops.DEFAULT_AREA,
     predicate: str = "intersects",
     year: int = 2023,
+    origins: Sequence[str] = (),
+    report: str | None = None,
 ) -> dict[str, DataFrame]:
-    """The gravity job, then district profiles and long-trip dependency of its area."""
+    """The gravity job, then district profiles and long-trip dependency of its area, and the
+    profile of ``origins`` if there are any. Profiles and summaries also go to CSV, each to a
+    folder of its name under ``report``."""
     results = gravity_job(store, polygon, predicate, year)
     zones = store.read(GOLD_ZONES, schemas.ZONES)
     patterns = store.read(mobility.GOLD, schemas.GOLD_PATTERNS)
     profile = profiles.district_profile(patterns, zones)
-    points = zone_ops.municipality_area_centroids(zones, year)
-    silver = store.read(mobility.SILVER, schemas.SILVER_TRIPS)
-    store.refresh(longtrip.long_trip_dependency(silver, points, year), GOLD_LONG_TRIPS)
-    dependency = store.read(GOLD_LONG_TRIPS)
-    return {
+    dependency = long_trip_job(store, zones, year)
+    tables = {"profile": profile, "day_types": profiles.day_type_summary(profile), "dependency": dependency}
+    answers = {
         **results,
         "districts": zone_ops.district_list(zones),
-        "profile": profile,
-        "day_types": profiles.day_type_summary(profile),
-        "dependency": dependency,
+        **_reported(tables, report),
         "dependency_map": longtrip.dependency_map(dependency, zones, year),
     }
+    return {**answers, **origin_report(store, origins, report)} if origins else answers
 
 
 def missing_days(files: DataFrame, start: date, end: date) -> DataFrame:

@@ -144,6 +144,7 @@ PARTS: dict[str, str] = {
         "select municipality_id, sum(w * cx) / sum(w) as x, sum(w * cy) / sum(w) as y from"
         " (select *, (xmax - xmin) * (ymax - ymin) as w from kept) group by 1"
     ),
+    "mean_spots": "select municipality_id, avg(cx) as x, avg(cy) as y from kept group by 1",
     "pairs": (
         "select a.municipality_id as o, b.municipality_id as d, a.x as ax, a.y as ay, b.x as bx, b.y as by_"
         " from spots a join od on od.o = a.municipality_id join spots b on b.municipality_id = od.d"
@@ -556,6 +557,15 @@ oracle(
     "long_trip_dependency",
     f"select year, municipality_id, {_LONG}, round(avg_trip_km, 6) as avg_trip_km from dependency",
 )
+# The same over plain means of centres: the parts under other names.
+for _name in ("area_pairs", "area_meters", "legs", "dependency"):
+    if _name in PARTS:
+        _body = re.sub(r"\barea_spots\b", "mean_spots", PARTS[_name])
+        PARTS[f"plain_{_name}"] = re.sub(r"\b(area_pairs|area_meters|legs)\b", r"plain_\1", _body)
+oracle(
+    "long_trip_plain_zones",
+    f"select year, municipality_id, {_LONG}, round(avg_trip_km, 6) as avg_trip_km from plain_dependency",
+)
 oracle(
     "dependency_map_frame",
     f"select year, municipality_id, {_LONG}, round(coalesce(avg_trip_km, 0), 6) as avg_trip_km,"

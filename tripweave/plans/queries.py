@@ -579,6 +579,14 @@ def long_trip_dependency(data: Inputs) -> DataFrame:
     return rounded(data.dependency())
 
 
+@query
+def long_trip_plain_zones(data: Inputs) -> DataFrame:
+    """The same for a zone table without shapes and years, which calls its codes zone_id."""
+    bare = data.area_zones().select(F.col("municipality_id").alias("zone_id"), "centroid")
+    points = zone_ops.municipality_centres(bare, 2023)
+    return rounded(longtrip.long_trip_dependency(data.silver(), points, 2023))
+
+
 @query
 def dependency_map_frame(data: Inputs) -> DataFrame:
     return rounded(_measured(longtrip.dependency_map(data.dependency(), data.area_zones(), 2023)))
