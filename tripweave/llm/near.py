@@ -264,7 +264,8 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     marks one such row of each component."""
     plain = keyed(docs, key, text)
     signed = stored(signatures(plain, key), "near-signatures")
-    classes = signed.where("set is not null").groupBy("set").agg(F.min("node").alias("leader"))
+    # stored before they meet the rows again, so that one set of very many rows can be split
+    classes = stored(signed.where("set is not null").groupBy("set").agg(F.min("node").alias("leader")), "near-classes")
     leaders = signed.select("node", "sketch", "bands", "set").join(classes.select(F.col("leader").alias("node")), "node", "left_semi")
     leaders = stored(leaders.dropDuplicates(["node"]), "near-leaders")
     members, stars = bucket_members(leaders.select("node", F.explode("bands").alias("band")), "near")
@@ -280,7 +281,7 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     placed = stored(placed.select("node", "id", "n_shingles", "component"), "near-placed")
     # a component's name is its smallest id; its rows meet the name, not each other
     at = F.struct(F.col("id").isNull().alias("none"), "id", "node")
-    names = placed.groupBy("component").agg(F.min(at).alias("first"))
+    names = stored(placed.groupBy("component").agg(F.min(at).alias("first")), "near-names")
     named = placed.join(names, "component")
     return named.select(
         F.col("id").alias(key),
