@@ -36,7 +36,7 @@ DEFAULT_VOCABULARY = "word_bpe_49k.json"
 LEAF = 256
 WINDOW = 24
 SEGMENT = 1 << 16
-CACHED = 250_000
+CACHED = 120_000
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:

@@ -52,7 +52,7 @@ SHARES = (1.0, 0.75, 0.5, 0.25)  # of the largest margin in a text's mean
 PENALTY = 1e-4
 NEEDED = 0.05  # of a suspect's texts, the least share that no stronger suspect explains
 FLOOR = -0.5  # no word counts for less than this margin
-CACHED = 120_000
+CACHED = 60_000
 SPACED = re.compile(rb"(?<![^\x20\x09-\x0d])(?:\w[\x20\x09-\x0d]+){2,}\w(?![^\x20\x09-\x0d])")
 
 
