@@ -65,7 +65,7 @@ def digits_zone(zone: Column) -> Column:
 
 def is_domestic(zone: Column) -> Column:
     """True for zones inside the country; NULL for a NULL zone."""
-    return ~zone.rlike("^(PT|FR|externo$)")
+    return ~(zone.startswith("PT") | zone.startswith("FR") | (zone == "externo"))
 
 
 def municipality_of(zone: Column) -> Column:
