@@ -6,8 +6,10 @@ word sequence that comes ``LEAST`` times in the training texts counts, however l
 corpus is. The tree is a set of tables keyed by a sequence, which grow with the corpus and
 are never gathered: a sequence's key is made from those of its two parts (without its last
 word, without its first), so any depth fits. Each length is counted per task and then by a
-shuffle; sequences with a part that is not frequent are left out before it as far as a bit
-table of fixed size tells, which changes the cost and not the result.
+shuffle of blocks, a task's sequences of one bucket packed; there are as many buckets as the
+corpus asks for, so that each holds a bounded share. Sequences with a part that is not
+frequent are left out before it as far as a bit table of fixed size tells, which changes the
+cost and not the result.
 
 A context is kept if what follows it diverges from what its longest kept suffix expects
 by more than its number of parameters is worth. Its distribution is smoothed with that
@@ -17,9 +19,9 @@ training vocabulary and one unknown word.
 
 In logarithms a score is a sum over the text's sequences: a kept context adds what it
 leaves to its suffix, and a continuation that it lists adds what lies between its own
-probability and that. So each sequence has one number, and texts meet these numbers in a
-join by sequence; only the ``AT_HAND`` most frequent ones travel to the tasks. The base
-score's word counts are met in the same join.
+probability and that. So each sequence has one number, and texts meet these numbers by
+bucket of sequences, as packed blocks too; only the ``AT_HAND`` most frequent ones travel to
+the tasks. The base score's word counts are met in the same place.
 
 Null texts count as empty: they have the end as their one token. Null ids belong to the
 training texts; repeated rows count and are scored each. Without training texts every
@@ -34,6 +36,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -47,7 +50,9 @@ HELD = 400_000
 HELD_WORDS = 150_000
 HELD_PLACES = 3_000_000
 CACHED = 300_000
-AT_HAND = 1 << 20  # 32 bytes each in every task
+AT_HAND = 1 << 20  # 24 bytes each in every task
+COUNTED_TOKENS = 1 << 21  # training tokens for each bucket of sequences that are counted
+SCORED_TOKENS = 1 << 22  # and for each bucket of sequences that are scored
 FILTER = 26  # bits of a key that number the bits of a filter
 FOLDS = 5
 START = 1
@@ -136,37 +141,65 @@ def passing(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def with_code(rows: DataFrame) -> DataFrame:
-    """context, rest, n and the sequence's own key."""
+def buckets(tokens: int, each: int) -> int:
+    """How many leading bits of a key number its bucket, one at least."""
+    return max(1, math.ceil(math.log2(max(tokens, 1) / each)))
 
-    def run(batches):
-        for batch in batches:
-            context, rest = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(joined(context, rest).view(np.int64))], names=["context", "rest", "n", "code"])
 
-    return rows.mapInArrow(run, "context long, rest long, n long, code long")
+def planes(values: np.ndarray) -> bytes:
+    """The first byte of every value, then the second, and so on: equal bytes side by side."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def values_of(data: np.ndarray, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed(ordered: np.ndarray, *others: np.ndarray) -> bytes:
+    """Rows as one block; their first column ascends and is told by its differences."""
+    return b"".join(planes(x) for x in (np.diff(ordered, prepend=np.uint64(0)), *others))
+
+
+def unpacked(block: bytes, *kinds: type) -> list[np.ndarray]:
+    """The columns of a block: unsigned longs that ascend, then these kinds."""
+    data = np.frombuffer(block, np.uint8)
+    widths = [np.dtype(k).itemsize for k in (np.uint64, *kinds)]
+    ends = np.cumsum([0, *widths]) * (len(data) // sum(widths))
+    columns = [values_of(data[a:b], k) for a, b, k in zip(ends, ends[1:], (np.uint64, *kinds), strict=False)]
+    return [np.cumsum(columns[0], dtype=np.uint64), *columns[1:]]
+
 
+def cuts(bits: int, codes: np.ndarray):
+    """bucket and slice of the codes, which ascend, for each bucket."""
+    owner = codes >> np.uint64(64 - bits)
+    at = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]).tolist() if len(codes) else []
+    for a, b in zip(at, [*at[1:], len(codes)], strict=True):
+        yield int(owner[a]), slice(a, b)
 
-def _counted(texts: DataFrame, length: int, parts: np.ndarray, least: int) -> DataFrame:
+
+def added(codes: np.ndarray, context: np.ndarray, rest: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Equal sequences together, their counts added up, by code."""
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    at = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return [codes[at], context[order[at]], rest[order[at]], np.add.reduceat(n[order], at)]
+
+
+def _counted(texts: DataFrame, length: int, parts: np.ndarray, least: int, tokens: int) -> DataFrame:
     """context, rest, n, code of the sequences of ``length`` words that are frequent."""
+    bits = buckets(tokens, COUNTED_TOKENS)
 
     def run(batches):
         keys = Keys()
-        held: list[np.ndarray] = []
-
-        def merged() -> np.ndarray:
-            rows = np.concatenate(held)
-            rows = rows[np.lexsort((rows["rest"], rows["context"]))]
-            fresh = np.r_[True, (rows["context"][1:] != rows["context"][:-1]) | (rows["rest"][1:] != rows["rest"][:-1])]
-            at = np.flatnonzero(fresh)
-            out = rows[at]
-            out["n"] = np.add.reduceat(rows["n"], at)
-            return out
-
-        def done(rows: np.ndarray):
-            held.clear()
-            columns = [pa.array(np.ascontiguousarray(rows[c]).view(np.int64)) for c in ("context", "rest", "n")]
-            return pa.RecordBatch.from_arrays(columns, names=["context", "rest", "n"])
+        held: list[list[np.ndarray]] = []
+
+        def done():
+            codes, *columns = held.pop()
+            for bucket, own in cuts(bits, codes):
+                context, rest, n = (c[own] for c in columns)
+                order = np.argsort(context)
+                block = packed(context[order], rest[order], n[order])
+                yield pa.RecordBatch.from_arrays([pa.array([bucket]), pa.array([block], pa.binary())], names=["bucket", "block"])
 
         for batch in slices(batches, 0, 4 << 20):
             ids, _ = keyed([words_of(t) for t in utf8(batch.column(0))], keys)
@@ -175,19 +208,26 @@ def _counted(texts: DataFrame, length: int, parts: np.ndarray, least: int) -> Da
                     short = codes
             at = np.flatnonzero(inside)
             at = at[passing(parts, short[at - 1]) & passing(parts, short[at])]
-            rows = np.empty(len(at), [("context", np.uint64), ("rest", np.uint64), ("n", np.int64)])
-            rows["context"], rows["rest"], rows["n"] = short[at - 1], short[at], 1
-            if len(rows):
-                held.append(rows)
-            if sum(map(len, held)) > 3 * HELD:
-                held[:] = [merged()]
-                if len(held[0]) > HELD:
-                    yield done(held[0])
+            if len(at):
+                held.append([codes[at], short[at - 1], short[at], np.ones(len(at), np.int64)])
+            if sum(len(x[0]) for x in held) > 3 * HELD:
+                held[:] = [added(*map(np.concatenate, zip(*held, strict=True)))]
+                if len(held[0][0]) > HELD:
+                    yield from done()
         if held:
-            yield done(merged())
+            held[:] = [added(*map(np.concatenate, zip(*held, strict=True)))]
+            yield from done()
+
+    def merged(table: pa.Table) -> pa.Table:
+        rows = [unpacked(block, np.uint64, np.int64) for block in table["block"].to_pylist()]
+        context, rest, n = map(np.concatenate, zip(*rows, strict=True))
+        codes, context, rest, n = added(joined(context, rest), context, rest, n)
+        frequent = n >= least
+        columns = [pa.array(c[frequent].view(np.int64)) for c in (context, rest, n, codes)]
+        return pa.table(columns, names=["context", "rest", "n", "code"])
 
-    rows = texts.mapInArrow(run, "context long, rest long, n long")
-    return with_code(rows.groupBy("context", "rest").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+    found = texts.mapInArrow(run, "bucket long, block binary")
+    return found.groupBy("bucket").applyInArrow(merged, "context long, rest long, n long, code long")
 
 
 def signed(key: int) -> int:
@@ -219,7 +259,7 @@ def levels(texts: DataFrame, words: DataFrame, tokens: int, distinct: int, least
     price = math.log(known.count() + 2)
     out = []
     for length in range(2, depth + 2):
-        counted = _counted(texts, length, filter_of(known), least)
+        counted = _counted(texts, length, filter_of(known), least, tokens)
         rows = counted.join(known.select(F.col("code").alias("rest"), F.col("p").alias("e")), "rest")
         rows = stored(rows.select("context", "code", "n", "e"), f"tree-rows-{length}")
         sums = rows.groupBy("context").agg(
@@ -295,15 +335,28 @@ def grow(texts: DataFrame, counts: DataFrame, tokens: int, distinct: int, least:
 
 
 def _at_hand(values: DataFrame) -> tuple[np.ndarray, ...]:
-    """key, gain, base, known of the most frequent sequences, sorted."""
+    """code, gain, base of the most frequent sequences, sorted."""
     top = values.orderBy(F.desc("n"), "code").limit(AT_HAND).toArrow()
     codes = top["code"].to_numpy().view(np.uint64)
     order = np.argsort(codes)
-    return codes[order], *(top[c].to_numpy()[order] for c in ("gain", "base", "known"))
+    return codes[order], *(top[c].to_numpy()[order] for c in ("gain", "base"))
+
+
+def _met(table: tuple[np.ndarray, ...], codes: np.ndarray, owner: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Add the gain, the base and the number of known words that the table has for each code
+    to its owner's sums; which codes the table has."""
+    if not len(table[0]):
+        return np.zeros(len(codes), bool)
+    spot = np.minimum(np.searchsorted(table[0], codes), len(table[0]) - 1)
+    found = table[0][spot] == codes
+    spot, owner = spot[found], owner[found]
+    base = table[2][spot]
+    for sum_, weights in zip(sums, (table[1][spot], base, base > 0), strict=True):
+        sum_ += np.bincount(owner, weights, len(sum_))
+    return found
 
 
-SCORED = "row long, id {kind}, held_out boolean, n_tokens long, known double, base double, gain double"
-PLACES = "code long, shift long, rows array<int>"
+SCORED = "row long, id {kind}, held_out boolean, n_tokens long, gain double, base double, known double"
 
 
 def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = FOLDS, held_out: int = 1, least: int = LEAST, depth: int = DEPTH) -> DataFrame:
@@ -316,17 +369,16 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds:
     counts = stored(keyed_counts(word_counts(train, "text")), "tree-words")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     zero = F.lit(0.0)
-    # beyond what a word that is not known has
-    rows = counts.select("code", "n", zero.alias("gain"), (F.log10(F.col("n") + 0.5) - math.log10(0.5)).alias("base"), F.lit(1.0).alias("known"))
+    # beyond what a word that is not known has, so more than 0 for the words and them alone
+    rows = counts.select("code", "n", zero.alias("gain"), (F.log10(F.col("n") + 0.5) - math.log10(0.5)).alias("base"))
     grown = levels(train, counts, tokens, distinct, least, depth)
     for kept, listed in grown:
-        rows = rows.unionAll(kept.unionAll(listed).select("code", "n", "gain", zero.alias("base"), zero.alias("known")))
-    values = rows.groupBy("code").agg(F.max("n").alias("n"), *[F.sum(c).alias(c) for c in ("gain", "base", "known")])
+        rows = rows.unionAll(kept.unionAll(listed).select("code", "n", "gain", zero.alias("base")))
+    values = rows.groupBy("code").agg(F.max("n").alias("n"), F.sum("gain").alias("gain"), F.sum("base").alias("base"))
     values = stored(values, "tree-values")
     discard(counts, *(table for level in grown for table in level))
-    bits, top = filter_of(values), _at_hand(values)
+    table, top, bits = filter_of(values), _at_hand(values), buckets(tokens, SCORED_TOKENS)
     schema = SCORED.format(kind=dict(plain.dtypes)["id"])
-    own_schema = f"{schema}, {PLACES}"
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches):
@@ -339,12 +391,9 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds:
             held.clear()
             order = np.argsort(codes, kind="stable")
             codes, rows = codes[order], rows[order]
-            at = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[at, len(codes)].astype(np.int32)), pa.array(rows))
-            for some in range(0, len(at), 1 << 16):
-                part = lists.slice(some, 1 << 16)
-                own = [pa.array(codes[at[some : some + (1 << 16)]].view(np.int64)), pa.array(np.full(len(part), first)), part]
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part), t) for t in kinds), *own], names=[*names, "code", "shift", "rows"])
+            for bucket, own in cuts(bits, codes):
+                block = [pa.array([bucket]), pa.array([first]), pa.array([packed(codes[own], rows[own])], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in kinds), *block], names=[*names, "bucket", "shift", "block"])
 
         for batch in slices(batches, 1, 4 << 20):
             texts = [words_of(t) for t in utf8(batch.column(1))]
@@ -352,40 +401,49 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds:
             row = np.array([next(numbers) for _ in texts], np.int64)
             first = int(row[0]) if not held else first
             sums = np.zeros((3, len(texts)))
-            for size, (codes, inside) in enumerate(sequences(ids, depth + 1), 1):
-                at = np.flatnonzero(inside & passing(bits, codes))
+            for codes, inside in sequences(ids, depth + 1):
+                at = np.flatnonzero(inside & passing(table, codes))
                 codes, owner = codes[at], number[at]
-                spot = np.minimum(np.searchsorted(top[0], codes), max(len(top[0]) - 1, 0))
-                near = top[0][spot] == codes if len(top[0]) else np.zeros(len(codes), bool)
-                for sum_, column in zip(sums, top[1:], strict=True):
-                    sum_ += np.bincount(owner[near], column[spot[near]], len(texts))
+                near = _met(top, codes, owner, sums)
                 if not near.all():
                     held.append((codes[~near], (row[owner[~near]] - first).astype(np.int32)))
-            columns = [
-                pa.array(row), batch.column(0), batch.column(2), pa.array([len(w) + 1 for w in texts], pa.int64()),
-                pa.array(sums[2]), pa.array(sums[1]), pa.array(sums[0]),
-            ]
+            columns = [pa.array(row), batch.column(0), batch.column(2), pa.array([len(w) + 1 for w in texts], pa.int64()), *map(pa.array, sums)]
             kinds = [c.type for c in columns]
-            none = [pa.nulls(len(texts), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*columns, *none], names=[*names, "code", "shift", "rows"])
+            none = [pa.nulls(len(texts), t) for t in (pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(row & ((1 << bits) - 1)), *none], names=[*names, "bucket", "shift", "block"])
             if sum(len(c) for c, _ in held) > HELD_PLACES:
                 yield from places()
         if held:
             yield from places()
 
-    scored = stored(plain.mapInArrow(run, own_schema), "tree-scores")
-    met = scored.where("code is not null").select("code", "shift", "rows").join(values.drop("n"), "code")
-    each = met.select(F.explode("rows").alias("own"), "shift", "gain", "base", "known")
-    sums = each.groupBy((F.col("shift") + F.col("own")).alias("row")).agg(*[F.sum(c).alias(f"more_{c}") for c in ("gain", "base", "known")])
+    def met(own: pa.Table, found: pa.Table) -> pa.Table:
+        """The texts' own rows, and what the blocks' texts have besides."""
+        codes = found["code"].to_numpy().view(np.uint64)
+        order = np.argsort(codes)
+        numbers = codes[order], *(found[c].to_numpy()[order] for c in ("gain", "base"))
+        out = [own.filter(pc.is_valid(own["row"])).select(names)]
+        places = own.filter(pc.is_valid(own["block"]))
+        for shift, block in zip(places["shift"].to_pylist(), places["block"], strict=True):
+            codes, rows = unpacked(block.as_py(), np.int32)
+            which, owner = np.unique(rows, return_inverse=True)
+            sums = np.zeros((3, len(which)))
+            _met(numbers, codes, owner, sums)
+            more = [pa.array(which.astype(np.int64) + shift), *(pa.nulls(len(which), own.schema.field(c).type) for c in names[1:4])]
+            out.append(pa.table([*more, *map(pa.array, sums)], schema=out[0].schema))
+        return pa.concat_tables(out)
+
+    placed = plain.mapInArrow(run, f"{schema}, bucket long, shift long, block binary")
+    kept = values.select(F.shiftrightunsigned("code", 64 - bits).alias("bucket"), "code", "gain", "base")
+    scored = placed.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(met, schema)
+    sums = scored.groupBy("row").agg(*[F.max(c).alias(c) for c in names[1:4]], *[F.sum(c).alias(c) for c in names[4:]])
     norm = math.log10(tokens + 0.5 * (distinct + 1))
-    whole = {c: F.col(c) + F.coalesce(f"more_{c}", zero) for c in ("gain", "base", "known")}
-    base = whole["base"] + F.col("n_tokens") * (math.log10(0.5) - norm)
-    return scored.where("code is null").select(*names).join(sums, "row", "left").select(
+    base = F.col("base") + F.col("n_tokens") * (math.log10(0.5) - norm)
+    return sums.select(
         F.col("id").alias(key),
         "held_out",
         "n_tokens",
-        F.round(whole["known"]).cast("long").alias("n_known"),
+        F.round("known").cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        (base + whole["gain"]).alias("score"),
+        (base + F.col("gain")).alias("score"),
     )
