@@ -32,11 +32,26 @@ def test_against_brute_force(spark):
         assert sum(r.kept for r in got) == len({x[3] for x in brute(rows)})
 
 
-def test_the_table_compares_contents():
+def classes(rows, budget):
+    return sorted(exact.grace_classes(((d, c, m, (m,), 1) for d, c, m in rows), budget))
+
+
+def test_the_table_compares_contents(monkeypatch):
     same = b"\x01" * 32
     rows = [(same, b"one", 1), (same, b"two", 2), (same, b"one", 3)]
-    assert sorted(map(sorted, exact.grace_groups(rows, 10**6))) == [[1, 3], [2]]
-    assert sorted(map(sorted, exact.grace_groups(rows * 40, 1))) == [sorted([1, 3] * 40), [2] * 40]
+    assert classes(rows, 10**6) == [(1, (1,), 2), (2, (2,), 1), (3, (1,), 2)]
+    expected = sorted([(1, (1,), 80), (2, (2,), 40), (3, (1,), 80)] * 40)
+    assert classes(rows * 40, 1) == expected
+    monkeypatch.setattr(exact, "MEMBERS", 7)  # members wait in the file
+    assert classes(rows * 40, 1) == classes(rows * 40, 10**6) == expected
+
+
+def test_ids_of_other_types(spark):
+    rows = [(7, "a b"), (3, "ab "), (None, "c")]
+    for kind in ("smallint", "string", "decimal(10,0)"):
+        table = spark.createDataFrame(rows, "doc_id int, text string").selectExpr(f"cast(doc_id as {kind}) doc_id", "text")
+        got = {(r.doc_id and int(r.doc_id)): (r.keep_id and int(r.keep_id), r.group_size) for r in exact.exact_dedup(table).collect()}
+        assert got == {7: (3, 2), 3: (3, 2), None: (None, 1)}
 
 
 def test_rows_that_stay_keep_their_columns(spark):

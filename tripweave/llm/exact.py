@@ -7,7 +7,9 @@ are dealt out by hash; each task then puts them into an open-addressing table th
 compares complete contents. When the table has reached its share of memory, rows whose
 content it does not hold go to spill files by further bits of their hash, and each file
 is worked through in the same way with a fresh table. A pass always empties into its table
-at least one full share, so the recursion ends whatever the hashes are.
+at least one full share, so the recursion ends whatever the hashes are. A content in the table holds
+the best of its rows and their number, so a text may come in any number of batches. A single
+very long text is one entry, and as such may exceed the share alone.
 
 Null texts count as empty, and all empty texts are equal. Of equal texts the one with the
 most code points in the original stays, then the smallest id (null ids last), then the
@@ -21,11 +23,13 @@ import hashlib
 import pickle
 import tempfile
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tripweave.llm.common import row_numbers, slices, stored, utf8
 
@@ -33,6 +37,7 @@ WHITE = b" \t\n\r\x0b\x0c"
 TABLE_BYTES = 48 << 20
 FAN_OUT = 16
 OUT_ROWS = 20_000
+MEMBERS = 50_000
 
 
 class ContentTable:
@@ -74,27 +79,41 @@ class ContentTable:
             self.slots[at] = entry
 
 
-def grace_groups(rows: Iterable[tuple[bytes, bytes, tuple]], budget: int = TABLE_BYTES, level: int = 0) -> Iterator[list[tuple]]:
-    """(digest, content, payload) -> the payloads of each distinct content together."""
-    table, groups, files = ContentTable(), [], {}
-    for digest, content, payload in rows:
-        code = int.from_bytes(digest[:8], "little") >> 1
-        entry, at = table.find(code, content)
-        if entry >= 0:
-            groups[entry].append(payload)
-        elif table.size < budget or not table.contents:
-            table.add(code, content, at)
-            groups.append([payload])
-        else:
-            bucket = digest[8 + level % 24] % FAN_OUT
-            if bucket not in files:
-                files[bucket] = tempfile.TemporaryFile(prefix="grace-")
-            pickle.dump((digest, content, payload), files[bucket], pickle.HIGHEST_PROTOCOL)
-    yield from groups
-    del table, groups
+def grace_classes(rows: Iterable[tuple[bytes, bytes, int, tuple, int]], budget: int = TABLE_BYTES, level: int = 0) -> Iterator[tuple[int, tuple, int]]:
+    """(digest, content, member, rank, n) -> (member, least rank of its content, sum of n).
+
+    A content holds one rank and one sum, however many members it has; members wait in
+    memory up to ``MEMBERS`` of them, then in a spill file."""
+    table, best, total, files = ContentTable(), [], [], {}
+    members: list[tuple[int, int]] = []
+    with tempfile.TemporaryFile(prefix="grace-") as waiting:
+        for digest, content, member, rank, n in rows:
+            code = int.from_bytes(digest[:8], "little") >> 1
+            entry, at = table.find(code, content)
+            if entry >= 0:
+                best[entry] = min(best[entry], rank)
+                total[entry] += n
+            elif table.size < budget or not table.contents:
+                entry = table.add(code, content, at)
+                best.append(rank)
+                total.append(n)
+            else:
+                bucket = digest[8 + level % 24] % FAN_OUT
+                if bucket not in files:
+                    files[bucket] = tempfile.TemporaryFile(prefix="grace-")
+                pickle.dump((digest, content, member, rank, n), files[bucket], pickle.HIGHEST_PROTOCOL)
+                continue
+            members.append((entry, member))
+            if len(members) >= MEMBERS:
+                pickle.dump(members, waiting, pickle.HIGHEST_PROTOCOL)
+                members = []
+        del table
+        for some in chain(_spilled(waiting), [members]):
+            yield from ((member, best[entry], total[entry]) for entry, member in some)
+    del best, total, members
     for file in files.values():
         with file:
-            yield from grace_groups(_spilled(file), budget, level + 1)
+            yield from grace_classes(_spilled(file), budget, level + 1)
 
 
 def _spilled(file) -> Iterator[tuple]:
@@ -163,21 +182,19 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", budget
     def grouped(batches):
         def rows():
             for batch in slices(batches, 1):
-                for digest, content, *payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    yield digest, content, tuple(payload)
+                for digest, content, first, chars, best, number, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    yield digest, content, first, _rank(chars, best, number), n
 
         out: list[tuple] = []
-        for group in grace_groups(rows(), budget):
-            _, chars, best, row, _ = min(group, key=lambda p: _rank(*p[1:4]))
-            size = sum(p[4] for p in group)
-            out += [(p[0], best, row, size) for p in group]
+        for first, (_, null, best, number), size in grace_classes(rows(), budget):
+            out.append((first, None if null else best, number, size))
             if len(out) >= OUT_ROWS:
                 yield _table(out)
                 out = []
         if out:
             yield _table(out)
 
-    key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    key_type = to_arrow_type(docs.schema[key].dataType)
 
     def _table(out):
         kinds = [pa.int64(), key_type, pa.int64(), pa.int64()]
