@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from check import canonical, duckdb_on
 from tripweave.plans.oracles import ORACLES
 from tripweave.plans.queries import QUERIES
+from tripweave.sources.store import Store
 
 FOLDER = "/root/testdata/sf0.001"
 CHOSEN = [
@@ -44,3 +45,19 @@ def test_against_sql(spark, name):
     theirs = duckdb_on(FOLDER).execute(entry.oracle_sql()[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert canonical(ours) == canonical(theirs)
+
+
+def lone_file(table, path):
+    table.coalesce(1).write.parquet(str(path))
+
+
+def test_holidays_are_worked_out_once_a_year(spark, tmp_path, monkeypatch):
+    """Easter is worked out from the years seen, not again from every row."""
+    days = spark.range(400).selectExpr("timestamp'1997-06-01' + make_dt_interval(cast(id * 4 as int)) as l_shipdate")
+    lone_file(days.union(days), tmp_path / "lineitem.parquet")
+    given = []
+    append = Store.append_new
+    monkeypatch.setattr(Store, "append_new", lambda self, rows, *more: (given.append(rows), append(self, rows, *more)))
+    found = QUERIES["holiday_calendar"](spark, str(tmp_path))
+    assert found.count() == 10 * 5
+    assert given and not [f for rows in given for f in rows.inputFiles() if "lineitem.parquet" in f]
