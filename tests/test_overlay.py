@@ -159,3 +159,16 @@ def test_one_large_polygon_makes_no_hot_tile(spark):
     for n, _ in rows:
         x = n % 30
         assert facts[n] == (x < 23, x < 23, x < 22), n
+
+
+@pytest.mark.parametrize("name", ["within", "overlaps"])
+def test_layers_are_not_broadcast(spark, capsys, name):
+    """Shapes are sorted and merged, also where files are small enough for a broadcast."""
+    texts = [box(k, 0, k + 1, 1) for k in range(6)]
+    zones = zone_table(spark, texts)
+    layer = shapes(spark, [("", box(0, 0, 3.5, 1)), ("", box(2, 0, 2.5, 1))])
+    kept = zone_ops.zones_by_layer(zones, layer, name)
+    assert picked(kept) == set(texts[:3] if name == "within" else texts[3:4])
+    kept.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

@@ -127,7 +127,7 @@ def polygon_facts(polygons: DataFrame, border: DataFrame, tile: int = overlay.TI
     """
     found = written(met_border(polygons, border, tile), "cover-found")
     edge = F.struct("ax", "ay", "bx", "by").alias("edge")
-    pairs = found.where("ax is not null").select("id", edge).join(polygons, "id")
+    pairs = found.where("ax is not null").select("id", edge).join(polygons.hint("merge"), "id")
     entered = let(row(edge="edge", e=geo.edges("shape")), lambda v: predicates.edge_runs_inside(f"{v}.edge", f"{v}.e", SLIVER))
     reached = let(row(edge="edge", e=geo.edges("shape")), lambda v: some(f"{v}.e", lambda f: geo.segments_meet(f"{v}.edge", f, SLIVER)))
     judged = pairs.select("id", F.expr(entered).alias("cut"), F.expr(reached).alias("reached"), F.lit(False).alias("covered"))
