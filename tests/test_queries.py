@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import canonical, duckdb_on
+from tripweave.plans import inputs
 from tripweave.plans.oracles import ORACLES
 from tripweave.plans.queries import QUERIES
 from tripweave.sources.store import Store
@@ -51,6 +52,16 @@ def lone_file(table, path):
     table.coalesce(1).write.parquet(str(path))
 
 
+def test_shapes_are_made_by_many_tasks(spark, tmp_path):
+    """A file of keys, as small as it is, is spread out before shapes are made; they are made once."""
+    keys = spark.range(3 * inputs.ZONES_A_TASK).union(spark.range(5)).withColumnRenamed("id", "p_partkey")
+    lone_file(keys, tmp_path / "part.parquet")
+    zones = inputs.Inputs(spark, str(tmp_path)).zones()
+    assert len(zones.inputFiles()) >= 4
+    assert not [f for f in zones.inputFiles() if "part.parquet" in f]
+    assert zones.count() == 3 * inputs.ZONES_A_TASK + 5
+
+
 def test_holidays_are_worked_out_once_a_year(spark, tmp_path, monkeypatch):
     """Easter is worked out from the years seen, not again from every row."""
     days = spark.range(400).selectExpr("timestamp'1997-06-01' + make_dt_interval(cast(id * 4 as int)) as l_shipdate")
