@@ -172,3 +172,16 @@ def test_layers_are_not_broadcast(spark, capsys, name):
     kept.explain()
     plan = capsys.readouterr().out
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_edges_over_each_other_are_made_one(spark):
+    """Boxes that each lie over the next thirty: no more stretches than twice their edges."""
+    table = shapes(spark, [("a", box(k, 0, k + 30, 1)) for k in range(100)])
+    edges = overlay.netted_edges(table, ["g"]).cache()
+    found = [tuple(r) for r in overlay.levelled(edges).select("x1", "y1", "x2", "y2", "way").collect()]
+    assert len(found) <= 2 * edges.count()
+    unit = 10**overlay.SNAP
+    want = {(k * unit, 0, (k + 1) * unit, 0): min(k + 1, 30, 129 - k) for k in range(129)}
+    assert {f[:4]: f[4] for f in found if f[1] == f[3] == 0} == want
+    border = overlay.union_edges(table, ["g"], tile=20)
+    assert area(border) == {"a": 129}
