@@ -34,6 +34,22 @@ def test_words_equal_the_library():
         assert bpe.rejoin(words, parts, [words.encode(p) for p in parts]) == ids
 
 
+def test_marks_at_the_end_cost_no_word_twice(monkeypatch):
+    # Words with marks behind them, or capitals beyond ASCII, are one word and its marks; the
+    # word is merged once, however many marks follow it, and the whole library is not asked.
+    words, whole = bpe.WordBPE(bpe.vocabulary_path()), library()
+    text = "heenth heenth, heenth.*** heenth&&& Éeauon &&& heenth'"
+    asked = []
+    monkeypatch.setattr(words, "tokenize", lambda shown, f=words.tokenize: asked.append(shown) or f(shown))
+    monkeypatch.setattr(words, "whole", None)
+    some = words.encode("heenth heenth, heenth.*** heenth&&& Éeauon heenth'".encode())
+    assert asked.count("heenth") == 1 and len(asked) == 6
+    monkeypatch.undo()
+    assert np.frombuffer(some, "<u4").tolist() == whole.encode(text.replace(" &&& ", " "), add_special_tokens=False).ids
+    for text in [text, "ÀÉ. İa, ſa! ŉ' x's' x'll. a<| a<|. <|endoftext|>. a_ a\\\\ a''' 'a' .a. a" + "!" * 40]:
+        assert np.frombuffer(words.encode(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_windows_grow_until_both_sides_agree():
     words = bpe.coder(bpe.vocabulary_path())
     rng = random.Random(4)

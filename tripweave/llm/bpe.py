@@ -37,6 +37,9 @@ LEAF = 256
 WINDOW = 24
 SEGMENT = 1 << 16
 CACHED = 120_000
+CACHED_TAILS = 1_000
+LONGEST_TAIL = 16
+MARKS = b"!\"#$%&'()*+,-./:;=>?@[\\]^_`{}~"  # what no special token starts with
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -97,6 +100,24 @@ def tree_encode(text: str, inner: Callable, last: Callable, leaf: int = LEAF, wi
     return piece(0, len(text)).ids
 
 
+class Chunks(dict):
+    """Chunks' ids, each worked out when it is first asked for."""
+
+    __slots__ = ("words",)
+
+    def __init__(self, words: WordBPE):
+        super().__init__()
+        self.words = words
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        words = self.words
+        ids = words.old.get(chunk)
+        if ids is None:
+            ids = words._learn(chunk)
+        self[chunk] = ids
+        return ids
+
+
 class WordBPE:
     """A byte-level BPE file with word ends, applied without special tokens.
 
@@ -113,8 +134,6 @@ class WordBPE:
         vocabulary = self.whole.get_vocab(with_added_tokens=False)
         special = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
         self.special = sorted(special, key=len)
-        self.shield = self.special[-1] if special else None
-        self.shield_id = special.get(self.shield)
         self.suffix = model.end_of_word_suffix or ""
         self.names = [""] * (max([*vocabulary.values(), *special.values()]) + 1)
         for name, i in [*vocabulary.items(), *special.items()]:
@@ -124,8 +143,9 @@ class WordBPE:
         self.tokenize = model.tokenize
         self.path = path
         self._inner = None
-        self.young: dict[bytes, bytes] = {}
+        self.young = Chunks(self)
         self.old: dict[bytes, bytes] = {}
+        self.tails: dict[bytes, bytes] = {}
 
     @property
     def inner(self) -> BPE:
@@ -167,31 +187,36 @@ class WordBPE:
         return b"".join([codes[i] for i in self._shown(shown)])
 
     @staticmethod
-    def _plain(chunk: bytes) -> bool:
-        """Lower-case letters of the Latin blocks alone: one word, already in normal form."""
+    def _plain(chunk: bytes) -> bytes | None:
+        """The normal form of letters of the Latin blocks alone, which are one word."""
         if chunk.isalpha():
-            return chunk.islower()  # ASCII
+            return chunk if chunk.islower() else None  # ASCII
         text = chunk.decode()
-        return text.isalpha() and max(text) < "\u0180" and text.lower() == text
-
-    def _learn(self, missing: list[bytes]) -> None:
-        rest, young, plain, word = [], self.young, self._plain, self._word
-        ends = {tail: word(tail) for tail in (b".", b",")}
-        for chunk in missing:
-            if plain(chunk):
-                young[chunk] = word(chunk)
-            elif (tail := chunk[-1:]) in ends and plain(chunk[:-1]):
-                young[chunk] = word(chunk[:-1]) + ends[tail]
-            elif len(chunk) > LEAF or b"<|" in chunk or self.shield is None:
-                young[chunk] = self._odd(chunk)
-            else:
-                rest.append(chunk)
-        for k in range(0, len(rest), 512):
-            some = rest[k : k + 512]
-            text = self.shield.join(chunk.decode() for chunk in some)
-            ids = np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
-            for chunk, part in zip(some, np.split(ids, np.flatnonzero(ids == self.shield_id)), strict=True):
-                young[chunk] = (part[1:] if chunk is not some[0] else part).tobytes()
+        if not text.isalpha() or max(text) >= "\u0180":
+            return None
+        lower = text.lower()
+        return lower.encode() if lower.isalpha() and max(lower) < "\u0180" else None
+
+    def _known(self, word: bytes) -> bytes:
+        """Ids of one word in normal form, which may stand alone in the cache."""
+        ids = self.young.get(word) or self.old.get(word)
+        return self._word(word) if ids is None else ids
+
+    def _learn(self, chunk: bytes) -> bytes:
+        body = chunk.rstrip(MARKS)
+        if body and (word := self._plain(body)) is not None:
+            if len(body) == len(chunk):
+                return self._word(word)
+            tail = chunk[len(body) :]
+            if len(tail) <= LONGEST_TAIL:
+                if (marks := self.tails.get(tail)) is None:
+                    marks = self._word(tail)
+                    if len(self.tails) < CACHED_TAILS:
+                        self.tails[tail] = marks
+                return self._known(word) + marks
+        if len(chunk) > LEAF or b"<|" in chunk:
+            return self._odd(chunk)
+        return np.asarray(self.whole.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def _odd(self, chunk: bytes) -> bytes:
         """A long chunk or one with a special token: the file's own normal form and word
@@ -209,21 +234,10 @@ class WordBPE:
     # texts
 
     def encode(self, text: bytes) -> bytes:
+        if len(self.young) > CACHED:
+            self.old, self.young = self.young, Chunks(self)
         chunks = (text if b"<|" in text else text.lower()).split()
-        young = self.young
-        missing = [c for c in set(chunks) if c not in young]
-        if missing:
-            if len(young) + len(missing) > CACHED:
-                self.old, self.young = young, {c: young[c] for c in set(chunks) if c in young}
-                young = self.young
-            old, new = self.old, []
-            for c in missing:
-                if c in old:
-                    young[c] = old[c]
-                else:
-                    new.append(c)
-            self._learn(new)
-        return b"".join(map(young.__getitem__, chunks))
+        return b"".join(map(self.young.__getitem__, chunks))
 
     def decode(self, ids: bytes) -> str:
         """The library joins the names of the tokens by blanks: the file has no decoder."""
