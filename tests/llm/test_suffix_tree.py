@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from tripweave.llm import suffix_tree
 
@@ -148,3 +149,40 @@ def test_scores_are_those_of_the_definition(spark):
         got = scored(spark, rows, held_out=9, depth=depth)  # all learn
         for k, score in brute_scores(rows, depth).items():
             assert math.isclose(got[k].score, score, rel_tol=1e-6), (depth, k)
+
+
+def nodes(plan):
+    yield plan
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        yield from nodes(plan.executedPlan())
+    elif kind.endswith("QueryStageExec"):
+        yield from nodes(plan.plan())
+    for k in range(plan.children().size()):
+        yield from nodes(plan.children().apply(k))
+
+
+def test_rows_of_the_meeting_do_not_grow_with_the_buckets(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "AT_HAND", 20)
+    rows = corpus(3)
+    expected = scored(spark, rows)
+    monkeypatch.setattr(suffix_tree, "COUNTED_TOKENS", 64)
+    monkeypatch.setattr(suffix_tree, "SCORED_TOKENS", 64, raising=False)
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    result = suffix_tree.score_texts(table)
+    got = {r.doc_id: r for r in result.collect()}
+    assert all(math.isclose(got[k].score, r.score, rel_tol=1e-9) for k, r in expected.items())
+    found = [n for n in nodes(result._jdf.queryExecution().executedPlan()) if n.getClass().getSimpleName() == "FlatMapCoGroupsInArrowExec"]
+    made = found[0].metrics().apply("pythonNumRowsReceived").value()
+    buckets = 2 ** suffix_tree.buckets(got[0].train_tokens, 64)
+    assert len(found) == 1 and len(rows) < made <= len(rows) + buckets, (made, buckets)
+
+
+def test_keys_are_those_of_the_words():
+    texts = [b"Ab\tab \x1cAB\x0b\x0c", b"", b"  ", "é É".encode(), b"a" * 5000, b" " * 5000 + b"ab"]
+    ids, number = suffix_tree.keyed(pa.array([b"ab", *texts]).slice(1))
+    words = [(k, w) for k, t in enumerate(texts) for w in [None, *t.lower().split(), b""]]
+    seen = {}
+    assert number.tolist() == [k for k, _ in words]
+    assert all(seen.setdefault(w, i) == i for (_, w), i in zip(words, ids.tolist(), strict=True))
+    assert len(set(seen.values())) == len(seen)

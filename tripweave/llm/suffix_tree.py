@@ -7,7 +7,8 @@ corpus is. The tree is a set of tables keyed by a sequence, which grow with the
 are never gathered: a sequence's key is made from those of its two parts (without its last
 word, without its first), so any depth fits. Each length is counted per task and then by a
 shuffle of blocks, a task's sequences of one bucket packed; there are as many buckets as the
-corpus asks for, so that each holds a bounded share. Sequences with a part that is not
+corpus asks for. Blocks by suffix and by context then meet the tables of the length before;
+the bucket of a very frequent word holds all that is frequent beside it. Sequences with a part that is not
 frequent are left out before it as far as a bit table of fixed size tells, which changes the
 cost and not the result.
 
