@@ -186,3 +186,47 @@ def test_keys_are_those_of_the_words():
     assert number.tolist() == [k for k, _ in words]
     assert all(seen.setdefault(w, i) == i for (_, w), i in zip(words, ids.tolist(), strict=True))
     assert len(set(seen.values())) == len(seen)
+
+
+def test_only_sequences_that_may_have_a_number_are_met(spark):
+    """A continuation is met where its context is kept; all that have a number are met."""
+    rows = corpus(9)
+    texts = spark.createDataFrame([(t or "",) for _, t in rows], "text string")
+    counts = suffix_tree.word_counts(texts, "text")
+    tokens, distinct = counts.selectExpr("sum(n)", "count(*)").first()
+    words = suffix_tree.stored(suffix_tree.keyed_counts(counts), "tree-words")
+    grown = suffix_tree.levels(texts, words, tokens, distinct)
+    kept, listed = ([level[k] for level in grown] for k in (0, 1))
+    codes = lambda tables: {r.code % (1 << 64) for t in tables for r in suffix_tree.as_rows(t).collect()}
+    contexts, more = codes(kept), codes(listed)
+    filters = [suffix_tree.filter_of(tables[0].unionAll(tables[1]).unionAll(tables[2])) for tables in (kept, listed)]
+    ids, _ = suffix_tree.keyed(pa.array([t or "" for _, t in rows]))
+    met = []
+    for size, (keys, asked) in enumerate(suffix_tree.met_sequences(ids, suffix_tree.DEPTH + 1, filters), 1):
+        inside = list(suffix_tree.sequences(ids, size))[-1][1]
+        own = np.array([k in contexts or k in more or size == 1 and k != suffix_tree.START_KEY for k in keys.tolist()])
+        assert not (own & inside & ~asked).any() and not (asked & ~inside).any()
+        met.append((asked.sum(), (own & inside).sum()))
+    asked, own = map(sum, zip(*met, strict=True))
+    assert contexts and more and asked <= 1.02 * own, (asked, own)
+    # the continuation of a context that is not kept is not met, though the filter has it
+    none = [np.zeros_like(filters[0]), filters[1]]
+    assert [asked.any() for _, asked in suffix_tree.met_sequences(ids, 3, none)] == [True, False, False]
+
+
+def test_without_contexts_the_score_is_the_base(spark):
+    got = scored(spark, corpus(4), depth=0)
+    assert all(math.isclose(r.score, r.base_score, rel_tol=1e-12) for r in got.values())
+
+
+def test_a_key_passes_by_all_its_bits(spark):
+    rng = np.random.default_rng(3)
+    codes = np.sort(rng.integers(0, 1 << 64 - suffix_tree.REGION, 1500, dtype=np.uint64))  # all in one region
+    blocks = suffix_tree.blocks_of(3, codes, np.ones(len(codes), np.int64), np.zeros(len(codes)))
+    bits = suffix_tree.filter_of(spark.createDataFrame([(k, bytearray(b)) for k, b in blocks], suffix_tree.BLOCKS))
+    every = np.ones(len(codes), bool)
+    assert suffix_tree.passing(bits, codes, every).all()
+    assert not suffix_tree.passing(bits, codes, ~every).any()
+    # one bit for each key would let 9 % of others through
+    others = rng.integers(0, 1 << 64 - suffix_tree.REGION, len(codes), dtype=np.uint64)
+    assert suffix_tree.passing(bits, others, every).mean() < 0.05

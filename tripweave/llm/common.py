@@ -51,11 +51,13 @@ def stored(table: DataFrame, name: str, **options: str) -> DataFrame:
     outlives executors.
 
     Shuffle files go when the driver's JVM drops the plan that made them. Nothing needs
-    them once the table is written, so the JVM is asked to do that now.
+    them once the table is written, so the JVM is asked to do that now. The session's
+    listeners keep the last query until another one ends: a query without a table is it.
     """
     spark = table.sparkSession
     path = scratch_path(spark, name)
     table.write.options(**{"compression": "zstd", **options}).parquet(path)
+    spark.sql("select 1").collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(table.schema).parquet(path)
 

@@ -35,7 +35,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +55,9 @@ HELD_ROWS = 1 << 15
 AT_HAND = 1 << 20  # 40 bytes each in every task
 COUNTED_TOKENS = 1 << 21  # training tokens for each bucket of sequences
 WORD_BUCKETS = 8  # bits of a key that number the bucket of words that are counted
-FILTER = 26  # bits of a key that number the bits of a filter
+FILTER = 26  # bits of a key that number a bit of a filter
+PROBES = 2  # bits of a filter for each key
+REGION = 12  # leading bits that all of a key's bits have in common, so a bucket's lie together
 FILTER_PARTS = 4
 FOLDS = 5
 START = 1
@@ -192,6 +194,13 @@ def sequences(ids: np.ndarray, length: int):
         yield codes, inside
 
 
+def _bit(codes: np.ndarray, probe: int) -> np.ndarray:
+    """The numbers of one of the codes' bits in a filter."""
+    free = FILTER - REGION
+    within = codes << np.uint64(REGION + free * probe) >> np.uint64(64 - free)
+    return codes >> np.uint64(64 - REGION) << np.uint64(free) | within
+
+
 def filter_of(table: DataFrame) -> np.ndarray:
     """A bit table of fixed size of the keys of blocks; it says yes for all of them."""
     bits = FILTER - FILTER_PARTS  # numbered in a part
@@ -199,11 +208,12 @@ def filter_of(table: DataFrame) -> np.ndarray:
     def run(batches):
         held = np.zeros(1 << (FILTER - 3), np.uint8)
         for codes, *_ in (unpacked(b, *VALUED) for batch in batches for b in batch.column(0).to_pylist()):
-            at = np.unique(codes >> np.uint64(64 - FILTER)).astype(np.int64)
-            byte = at >> 3
-            firsts = np.flatnonzero(np.r_[True, byte[1:] != byte[:-1]][: len(byte)])
-            if len(firsts):
-                held[byte[firsts]] |= np.bitwise_or.reduceat((1 << (at & 7)).astype(np.uint8), firsts)
+            for probe in range(PROBES):
+                at = np.unique(_bit(codes, probe)).astype(np.int64)
+                byte = at >> 3
+                firsts = np.flatnonzero(np.r_[True, byte[1:] != byte[:-1]][: len(byte)])
+                if len(firsts):
+                    held[byte[firsts]] |= np.bitwise_or.reduceat((1 << (at & 7)).astype(np.uint8), firsts)
         used = held.reshape(1 << FILTER_PARTS, -1)
         for part in np.flatnonzero(used.any(axis=1)).tolist():
             yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([used[part].tobytes()], pa.binary())], names=["part", "own"])
@@ -221,9 +231,30 @@ def filter_of(table: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def passing(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    at = codes >> np.uint64(64 - FILTER)
-    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
+def passing(bits: np.ndarray, codes: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which of the codes, told by a mask, the filter lets through."""
+    left = np.flatnonzero(of)
+    for probe in range(PROBES):
+        at = _bit(codes[left], probe)
+        left = left[(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)]
+    out = np.zeros(len(codes), bool)
+    out[left] = True
+    return out
+
+
+def met_sequences(ids: np.ndarray, length: int, filters: list[np.ndarray]):
+    """For each length up to ``length``: keys of the sequences up to each place, and which
+    of them may have a number: words, and by the filters kept contexts and what these list.
+    Only a kept context lists anything, and the longest sequences are no contexts."""
+    kept, listed = filters or (None, None)
+    before = np.zeros(len(ids), bool)  # whether the sequence without its last word may be kept
+    for size, (codes, inside) in enumerate(sequences(ids, length), 1):
+        own = passing(kept, codes, inside) if size < length else np.zeros(len(ids), bool)
+        if size == 1:
+            yield codes, own | (ids != np.uint64(START_KEY))
+        else:
+            yield codes, own | passing(listed, codes, inside & np.r_[False, before[:-1]] & ~own)
+        before = own
 
 
 def buckets(tokens: int, each: int) -> int:
@@ -354,8 +385,8 @@ def _counted(texts: DataFrame, length: int, parts: np.ndarray, least: int, token
             for size, (codes, inside) in enumerate(sequences(ids, length), 1):
                 if size == length - 1:
                     short = codes
-            at = np.flatnonzero(inside)
-            at = at[passing(parts, short[at - 1]) & passing(parts, short[at])]
+            known = passing(parts, short, np.ones(len(short), bool))
+            at = np.flatnonzero(inside & np.r_[False, known[:-1]] & known)
             if len(at):
                 held.append([codes[at], short[at - 1], short[at], np.ones(len(at), np.int64)])
             if sum(len(x[0]) for x in held) > 3 * HELD:
@@ -601,10 +632,13 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds:
     values = stored(as_blocks(counts.select("code", "n", base), bits), "tree-bases").select(F.lit(True).alias("word"), "block", "bucket")
     grown = levels(train, counts, tokens, distinct, least, depth)
     discard(counts)
-    for kept, listed in grown:
-        values = values.unionAll(kept.unionAll(listed).select(F.lit(False).alias("word"), "block", "bucket"))
+    filters = []
+    for tables in zip(*grown, strict=True):  # the kept contexts, and what they list
+        tables = reduce(DataFrame.unionAll, tables)
+        filters.append(filter_of(tables))
+        values = values.unionAll(tables.select(F.lit(False).alias("word"), "block", "bucket"))
     # a word or a sequence that is a kept context too has two rows, of the same n
-    table, top = filter_of(values), AtHand(values.select("word", "block"))
+    top = AtHand(values.select("word", "block"))
     kind = dict(plain.dtypes)["id"]
     schema = SCORED.format(kind=kind)
     names = [x.split()[0] for x in schema.split(", ")]
@@ -628,8 +662,8 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", folds:
             row = np.array([next(numbers) for _ in range(batch.num_rows)], np.int64)
             first = int(row[0]) if not held else first
             sums = np.zeros((3, len(row)))
-            for length, (codes, inside) in enumerate(sequences(ids, depth + 1), 1):
-                at = np.flatnonzero(inside & passing(table, codes))
+            for length, (codes, asked) in enumerate(met_sequences(ids, depth + 1, filters), 1):
+                at = np.flatnonzero(asked)
                 codes, owner = codes[at], number[at]
                 spot, near = top.spots(codes)
                 met_sums(spot[near], owner[near], top.gain, top.base, sums, length == 1)
