@@ -28,6 +28,25 @@ def test_pairs_with_trips_only(spark, world):
     assert sorted((r.origin_municipality, r.dest_municipality) for r in pairs) == [("00000", "00001"), ("00002", "00005")]
 
 
+def test_every_pair_over_100_m(spark, world):
+    """Whether trips were seen or not; a code or a place that is not known makes no pair."""
+    odd = spark.createDataFrame([(None, (0.7, 40.0)), ("00008", None)], world[0].schema)
+    pairs = gravity.municipality_distances(world[0].unionByName(odd)).collect()
+    codes = [r.municipality_code for r in world[0].collect()]
+    want = {(a, b) for a in codes for b in codes if a != b} - {("00000", "00006"), ("00006", "00000")}
+    assert sorted((r.origin_municipality, r.dest_municipality) for r in pairs) == sorted(want)
+    assert all(r.distance_km == pytest.approx(85.4 * abs(int(r.origin_municipality) % 6 - int(r.dest_municipality) % 6) / 10, rel=1e-3) for r in pairs)
+
+
+def test_pairs_are_measured_by_many_tasks(spark, world, monkeypatch):
+    """Many pairs of few points are spread out, and are the same pairs."""
+    whole = gravity.municipality_distances(world[0]).collect()
+    monkeypatch.setattr(gravity, "PAIRS_A_TASK", 10)
+    spread = gravity.municipality_distances(world[0])
+    assert spread.rdd.getNumPartitions() == 5
+    assert sorted(spread.collect()) == sorted(whole)
+
+
 def test_inputs(spark, world):
     trips = od(spark, [("00000", "00001", 5.0, 1.0), ("00001", "00001", 9.0, 0.0), ("00000", "00004", 3.0, 0.0), ("00001", "00002", None, None), ("00006", "00002", 4.0, 0.0)])
     rows = gravity.gravity_inputs(*world, trips, 2023).collect()

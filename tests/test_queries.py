@@ -3,6 +3,7 @@
 
 from pathlib import Path
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -72,3 +73,18 @@ def test_holidays_are_worked_out_once_a_year(spark, tmp_path, monkeypatch):
     found = QUERIES["holiday_calendar"](spark, str(tmp_path))
     assert found.count() == 10 * 5
     assert given and not [f for rows in given for f in rows.inputFiles() if "lineitem.parquet" in f]
+
+
+def test_distances_do_not_hang_on_trips(spark, tmp_path):
+    """Trips between two municipalities only; the eight of the area make 8 x 7 pairs all the same."""
+    lone_file(spark.range(400).withColumnRenamed("id", "p_partkey"), tmp_path / "part.parquet")
+    trip = "1L as l_orderkey, 4L as l_partkey, 2L as l_suppkey, 1 as l_linenumber, 5D as l_quantity, timestamp'1997-06-04' as l_shipdate"
+    lone_file(spark.range(3).selectExpr(*trip.split(", ")), tmp_path / "lineitem.parquet")
+    ours = QUERIES["municipality_distances"](spark, str(tmp_path)).toPandas()
+    codes = [str(c) for c in range(46002, 46010)]
+    pairs = sorted(zip(ours.origin_municipality, ours.dest_municipality, strict=True))
+    assert pairs == [(a, b) for a in codes for b in codes if a != b]
+    connection = duckdb.connect()
+    for table in ("part", "lineitem"):
+        connection.execute(f"create view {table} as select * from read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    assert canonical(ours) == canonical(connection.execute(ORACLES["municipality_distances"]).df())
